@@ -109,6 +109,31 @@ def _catalog_values(rows: list[tuple], cols: str) -> str:
     return f"SELECT * FROM (VALUES {vals}) AS t({cols})"
 
 
+def snap_rounds(sql: str) -> str:
+    """Rewrite every ``round(x, d)`` as ``round(round(x, 9), d)`` (see ``workloads._r``)."""
+    out, i = [], 0
+    while True:
+        j = sql.find("round(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k, comma = 0, j + len("round("), -1
+        while True:
+            ch = sql[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                if depth == 0:
+                    break
+                depth -= 1
+            elif ch == "," and depth == 0:
+                comma = k
+            k += 1
+        inner, digits = sql[j + 6:comma], sql[comma + 1:k].strip()
+        out.append(sql[i:j] + f"round(round({snap_rounds(inner)}, 9), {digits})")
+        i = k + 1
+
+
 _DAILY_ENTRIES = [("timestamp", "LongType"), ("order_total", "DoubleType"), ("order_count", "DoubleType")]
 
 ORACLE_SQL: dict[str, str] = {
@@ -219,3 +244,4 @@ ORACLE_SQL: dict[str, str] = {
         FROM orders WHERE epoch_us(o_orderdate) // 1000000 BETWEEN {YEARS_START} AND {YEARS_FINISH}""",
     "csv_import": _csv_import(),
 }
+ORACLE_SQL = {k: snap_rounds(v) for k, v in ORACLE_SQL.items()}
