@@ -47,14 +47,15 @@ def explode_range(df: DataFrame, lo: Column, hi: Column, step: Column | int, nam
                   block: int = 4096) -> DataFrame:
     """One row per value lo, lo+step, ... <= hi (none if hi < lo), in arrays of at most
     ``block`` elements, so a long outage never builds one huge array."""
-    st = as_col(step).cast("bigint")
-    lo = lo.cast("bigint")
-    hi = hi.cast("bigint")
-    out = df.withColumn("_xr_lo", lo).withColumn("_xr_hi", hi).withColumn("_xr_st", st)
-    out = out.where(F.col("_xr_hi") >= F.col("_xr_lo"))
-    count = idiv(F.col("_xr_hi") - F.col("_xr_lo"), F.col("_xr_st")) + 1
-    out = out.withColumn("_xr_blk", F.explode(F.sequence(F.lit(0).cast("bigint"), idiv(count - 1, F.lit(block).cast("bigint")))))
-    b_lo = F.col("_xr_lo") + F.col("_xr_blk") * F.lit(block).cast("bigint") * F.col("_xr_st")
-    b_hi = F.least(F.col("_xr_hi"), b_lo + (F.lit(block - 1).cast("bigint") * F.col("_xr_st")))
-    out = out.withColumn(name, F.explode(F.sequence(b_lo, b_hi, F.col("_xr_st"))))
-    return out.drop("_xr_lo", "_xr_hi", "_xr_st", "_xr_blk")
+    keep = [c(x) for x in df.columns]
+    blk = F.lit(block).cast("bigint")
+    out = df.select(*keep, lo.cast("bigint").alias("_xr_lo"), hi.cast("bigint").alias("_xr_hi"),
+                    as_col(step).cast("bigint").alias("_xr_st"))
+    lo_c, hi_c, st_c = F.col("_xr_lo"), F.col("_xr_hi"), F.col("_xr_st")
+    count = idiv(hi_c - lo_c, st_c) + 1
+    out = out.where(hi_c >= lo_c).select(
+        *keep, lo_c, hi_c, st_c,
+        F.explode(F.sequence(F.lit(0).cast("bigint"), idiv(count - 1, blk))).alias("_xr_blk"))
+    b_lo = lo_c + F.col("_xr_blk") * blk * st_c
+    b_hi = F.least(hi_c, b_lo + (blk - 1) * st_c)
+    return out.select(*keep, F.explode(F.sequence(b_lo, b_hi, st_c)).alias(name))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronoweave.functions.numeric import floor_to
-from chronoweave.operators._util import c, with_series, SINGLE_SERIES
+from chronoweave.operators._util import c
 
 DAY = 86400
 
@@ -24,20 +24,31 @@ DAY = 86400
 def distinct_next(df: DataFrame, ts: str = "timestamp", by: Sequence[str] = (),
                   chunk: int = DAY, aggs: Sequence[Column] = ()) -> DataFrame:
     """One row per distinct (series, ts) with ``_n`` rows, ``_next`` = next distinct ts of the
-    series (ts itself for the last one), plus ``aggs`` over the tied rows."""
-    k = list(by)
+    series (ts itself for the last one), plus ``aggs`` over the tied rows.
+
+    Three exchanges: the partial-aggregated distinct step on (series, ts), the chunk window
+    on (series, chunk), and a window per series over at most two rows per chunk (each
+    chunk's last row and a marker for each chunk's first timestamp), which hands every
+    chunk-last row the first timestamp of the next non-empty chunk.  No join.
+    """
+    k = [c(x) for x in by]
     base = (df.where(c(ts).isNotNull())
-              .groupBy(*[c(x) for x in k], c(ts))
-              .agg(F.count(F.lit(1)).alias("_n"), *aggs)
-              .withColumn("_chunk", floor_to(c(ts), chunk)))
-    in_chunk = Window.partitionBy(*[c(x) for x in k], F.col("_chunk")).orderBy(c(ts))
-    within = base.withColumn("_next", F.lead(c(ts)).over(in_chunk))
-    heads = base.groupBy(*[c(x) for x in k], F.col("_chunk")).agg(F.min(c(ts)).alias("_head"))
-    by_chunk = Window.partitionBy(*[c(x) for x in k]).orderBy("_chunk")
-    heads = heads.select(*[c(x) for x in k], "_chunk", F.lead("_head").over(by_chunk).alias("_next_head"))
-    out = within.join(heads, [*k, "_chunk"], "left")
-    return (out.withColumn("_next", F.coalesce(F.col("_next"), F.col("_next_head"), c(ts)))
-               .drop("_next_head", "_chunk"))
+              .groupBy(*k, c(ts))
+              .agg(F.count(F.lit(1)).alias("_n"), *aggs))
+    base = base.select("*", floor_to(c(ts), chunk).alias("_chunk"))
+    in_chunk = Window.partitionBy(*k, F.col("_chunk")).orderBy(c(ts))
+    within = base.select("*", F.lead(c(ts)).over(in_chunk).alias("_next"),
+                         F.lag(c(ts)).over(in_chunk).alias("_prev"))
+    inner = within.where(F.col("_next").isNotNull())
+    lasts = within.where(F.col("_next").isNull()).select("*", F.lit(1).alias("_mark"))
+    heads = within.where(F.col("_prev").isNull()).select(*k, c(ts), F.lit(0).alias("_mark"))
+    per_series = Window.partitionBy(*k).orderBy(c(ts), F.col("_mark"))
+    stitched = (lasts.unionByName(heads, allowMissingColumns=True)
+                .select("*", F.lead(c(ts)).over(per_series).alias("_following"))
+                .where(F.col("_mark") == 1)
+                .withColumn("_next", F.coalesce(F.col("_following"), c(ts))))
+    cols = [x for x in inner.columns if x not in ("_prev", "_chunk")]
+    return inner.select(*cols).unionByName(stitched.select(*cols))
 
 
 def next_gap(df: DataFrame, ts: str = "timestamp", by: Sequence[str] = (), tiebreak: str | None = None,
@@ -48,7 +59,7 @@ def next_gap(df: DataFrame, ts: str = "timestamp", by: Sequence[str] = (), tiebr
     others 0, the same multiset as ``lead(ts, 1, ts) OVER (PARTITION BY by ORDER BY ts) - ts``.
     Without a tiebreak column a row id is generated.
     """
-    src, k, synthetic = with_series(df, by)
+    src, k = df, list(by)
     tb = tiebreak
     if tb is None:
         src = src.withColumn("_row", F.monotonically_increasing_id())
@@ -67,8 +78,7 @@ def infer_interval(df: DataFrame, ts: str = "timestamp", by: Sequence[str] = (),
                    chunk: int = DAY, out: str = "interval") -> DataFrame:
     """Per series, the smallest positive gap between consecutive distinct timestamps (NULL
     when the series has fewer than two distinct timestamps)."""
-    src, k, synthetic = with_series(df, by)
-    d = distinct_next(src, ts, k, chunk)
-    res = d.groupBy(*[c(x) for x in k]).agg(
+    k = list(by)
+    d = distinct_next(df, ts, k, chunk)
+    return d.groupBy(*[c(x) for x in k]).agg(
         F.min(F.when(F.col("_next") > c(ts), F.col("_next") - c(ts))).alias(out))
-    return res.drop(SINGLE_SERIES) if synthetic else res

@@ -26,6 +26,7 @@ from chronoweave.operators._util import (
     SINGLE_SERIES, as_col, c, explode_range, idiv, value_columns, with_series,
 )
 from chronoweave.operators.gaps import DAY, distinct_next
+from chronoweave.session import materialized
 
 EQUAL, SLOWER, FASTER, SINGLE = "equal", "slower", "faster", "single"
 
@@ -40,15 +41,14 @@ def upsample(df: DataFrame, step: int | Column, ts: str = "timestamp", by: Seque
     """Forward-fill: every row is kept, and a row whose gap to the next timestamp is ``g``
     is copied to ``ts + i*step`` for ``1 <= i < g div step`` (values copied as they are,
     NULLs included).  Rows tied on a timestamp fill once, from a representative row."""
-    src, k, synthetic = with_series(df, by)
+    k = list(by)
     vals = list(values) if values is not None else value_columns(df, [*k, ts])
-    d = distinct_next(src, ts, k, chunk, aggs=[_rep(vals)]).withColumn("_step", as_col(step))
+    d = distinct_next(df, ts, k, chunk, aggs=[_rep(vals)]).select("*", as_col(step).alias("_step"))
     n = idiv(F.col("_next") - c(ts), F.col("_step"))
     extra = explode_range(d.where(F.col("_step") > 0), F.lit(1), n - 1, 1, "_i")
     extra = extra.select(*[c(x) for x in k], (c(ts) + F.col("_i") * F.col("_step")).alias(ts),
                          *[F.col("_rep").getField(v).alias(v) for v in vals])
-    res = src.select(*[c(x) for x in k], c(ts), *[c(v) for v in vals]).unionByName(extra)
-    return res.drop(SINGLE_SERIES) if synthetic else res
+    return df.select(*[c(x) for x in k], c(ts), *[c(v) for v in vals]).unionByName(extra)
 
 
 def downsample(df: DataFrame, interval: int | Column, ts: str = "timestamp", by: Sequence[str] = (),
@@ -81,58 +81,93 @@ def _branch_table(d: DataFrame, k: list[str], ts: str, new: int) -> DataFrame:
 def resample_plan(df: DataFrame, interval: int, ts: str = "timestamp", by: Sequence[str] = (),
                   chunk: int = DAY) -> DataFrame:
     """Per series: (old_interval, new_interval, step, branch)."""
-    src, k, synthetic = with_series(df, by)
-    plan = _branch_table(distinct_next(src, ts, k, chunk), k, ts, interval)
-    return plan.drop(SINGLE_SERIES) if synthetic else plan
+    return _branch_table(distinct_next(df, ts, list(by), chunk), list(by), ts, interval)
+
+
+# Above this many series the branch table is joined instead of inlined as literals.
+MAX_INLINE_SERIES = 1000
+
+
+def _per_series(k: list[str], rows: list, field: str) -> Column:
+    """A per-series value of the (small) branch table as a literal expression."""
+    if not k:
+        return F.lit(rows[0][field]) if rows else F.lit(None)
+    expr = F.lit(None)
+    for r in rows:
+        cond = None
+        for x in k:
+            eq = c(x).eqNullSafe(F.lit(r[x]))
+            cond = eq if cond is None else cond & eq
+        expr = F.when(cond, F.lit(r[field])).otherwise(expr)
+    return expr
 
 
 def resample(df: DataFrame, interval: int, ts: str = "timestamp", by: Sequence[str] = (),
-             values: Sequence[str] | None = None, chunk: int = DAY) -> DataFrame:
+             values: Sequence[str] | None = None, chunk: int = DAY, materialize: bool = False) -> DataFrame:
     """Resample every series of ``df`` to ``interval`` seconds in one plan (see module doc).
 
-    Series keys ``by`` name the sources of an import, so the per-series branch table has one
-    row per source and is broadcast.  Values keep their type: text stays text (averages are
-    written back as text, which round-trips exactly), numbers become DOUBLE.
+    Everything is derived from one distinct table ``d`` (one row per series and timestamp,
+    with the tied rows' sums and counts and a representative row), so the source pipeline
+    appears once in the plan.  With ``materialize`` ``d`` is written as a table in
+    the shared checkpoint folder: the lineage is cut (an executor loss later re-reads it instead of
+    re-running the gap windows) and the per-series branch table, one row per source, is read
+    from it and inlined as literals (joined instead above ``MAX_INLINE_SERIES`` series).
+    Without it the branch comes from a scalar subquery (one series) or a join (AQE makes it a
+    broadcast join when the measured table is small).  Rows tied on a timestamp collapse to
+    one row in the equal branch (its representative) and all count in the averages.
+    Values keep their type: text stays text (averages are written back as text, which
+    round-trips exactly), numbers become DOUBLE.
     """
     new = int(interval)
-    src, k, synthetic = with_series(df, by)
+    k = list(by)
+    keys = [c(x) for x in k]
     vals = list(values) if values is not None else value_columns(df, [*k, ts])
-    d = distinct_next(src, ts, k, chunk, aggs=[_rep(vals)])
-    plan = F.broadcast(_branch_table(d, k, ts, new).select(*k, "step", "branch"))
-    rows = src.join(plan, k, "left")
-    dd = d.join(plan, k, "left")
-    n = idiv(F.col("_next") - c(ts), F.col("step"))
-
-    # equal branch: forward-fill at the target interval, no averaging
-    eq_rows = rows.where(F.col("branch") == EQUAL).select(*[c(x) for x in k], c(ts), *[c(v) for v in vals])
-    eq_fill = explode_range(dd.where(F.col("branch") == EQUAL), F.lit(1), n - 1, 1, "_i")
-    eq_fill = eq_fill.select(*[c(x) for x in k], (c(ts) + F.col("_i") * F.col("step")).alias(ts),
-                             *[F.col("_rep").getField(v).alias(v) for v in vals])
-
-    # other branches: weighted bucket average of the rows and their fill steps
-    nw = F.lit(new).cast("bigint")
-    av_rows = rows.where(F.col("branch") != EQUAL).select(
-        *[c(x) for x in k], floor_to(c(ts), nw).alias("_bucket"), c(ts).alias("_label"),
-        F.lit(1).cast("bigint").alias("_w"), *[to_double(c(v)).alias(v) for v in vals])
-    fill = dd.where((F.col("branch") != EQUAL) & (n >= 2))
-    first_b = floor_to(c(ts) + F.col("step"), nw)
-    last_b = floor_to(c(ts) + (n - 1) * F.col("step"), nw)
-    fill = explode_range(fill.withColumn("_n_steps", n), first_b, last_b, new, "_bucket")
+    sums = [F.sum(to_double(c(v))).alias(f"_s{i}") for i, v in enumerate(vals)]
+    cnts = [F.count(to_double(c(v))).alias(f"_c{i}") for i, v in enumerate(vals)]
+    d = distinct_next(df, ts, k, chunk, aggs=[_rep(vals), *sums, *cnts])
+    if materialize:
+        d = materialized(d, "resample-gaps")
+    table = _branch_table(d, k, ts, new).select(*k, "step", "branch")
+    rows = table.limit(MAX_INLINE_SERIES + 1).collect() if materialize else None
+    if rows is not None and len(rows) <= MAX_INLINE_SERIES:
+        dd = d.select("*", _per_series(k, rows, "step").cast("bigint").alias("step"),
+                      _per_series(k, rows, "branch").cast("string").alias("branch"))
+    elif k:
+        dd = d.join(table, k, "left")
+    else:
+        dd = d.select("*", table.select("step").scalar().alias("step"), table.select("branch").scalar().alias("branch"))
+    types = dict(df.dtypes)
+
+    def typed(col: Column, v: str) -> Column:
+        return (col.cast(StringType()) if types.get(v) == "string" else to_double(col)).alias(v)
+
     st = F.col("step")
+    n = F.greatest(F.coalesce(idiv(F.col("_next") - c(ts), st), F.lit(1).cast("bigint")), F.lit(1).cast("bigint"))
+    rep = [F.col("_rep").getField(v) for v in vals]
+
+    # equal branch: forward-fill at the target interval (positions 0 .. n-1), no averaging
+    eq = explode_range(dd.where(F.col("branch") == EQUAL), F.lit(0), n - 1, 1, "_i")
+    eq = eq.select(*keys, (c(ts) + F.col("_i") * st).alias(ts), *[typed(r, v) for r, v in zip(rep, vals)])
+
+    # other branches: each distinct timestamp contributes its tied rows to its own bucket and
+    # its fill steps (positions 1 .. n-1) to every bucket they reach, weighted by step count
+    nw = F.lit(new).cast("bigint")
+    av = dd.where(F.col("branch") != EQUAL)
+    own = av.select(*keys, floor_to(c(ts), nw).alias("_bucket"), c(ts).alias("_label"),
+                    *[F.col(f"_s{i}").alias(f"_v{i}") for i in range(len(vals))],
+                    *[F.when(F.col(f"_c{i}") > 0, F.col(f"_c{i}")).alias(f"_w{i}") for i in range(len(vals))])
+    fill = av.where(n >= 2).select(*keys, c(ts), "step", "_rep", n.alias("_n_steps"))
+    fill = explode_range(fill, floor_to(c(ts) + st, nw), floor_to(c(ts) + (F.col("_n_steps") - 1) * st, nw),
+                         new, "_bucket")
     i_lo = F.greatest(F.lit(1).cast("bigint"), -idiv(c(ts) - F.col("_bucket"), st))
     i_hi = F.least(F.col("_n_steps") - 1, idiv(F.col("_bucket") + nw - 1 - c(ts), st))
-    av_fill = fill.select(*[c(x) for x in k], "_bucket", (c(ts) + i_lo * st).alias("_label"),
-                          (i_hi - i_lo + 1).alias("_w"),
-                          *[to_double(F.col("_rep").getField(v)).alias(v) for v in vals])
-    av_fill = av_fill.where(F.col("_w") > 0)
-    parts = av_rows.unionByName(av_fill)
-    aggs = [(F.sum(c(v) * F.col("_w")) / F.sum(F.when(c(v).isNotNull(), F.col("_w")))).alias(v) for v in vals]
-    averaged = parts.groupBy(*[c(x) for x in k], "_bucket").agg(F.min("_label").alias(ts), *aggs)
-    types = dict(df.dtypes)
-    averaged = averaged.select(*[c(x) for x in k], c(ts), *[
-        (c(v).cast(StringType()) if types.get(v) == "string" else c(v)).alias(v) for v in vals])
-    eq = eq_rows.unionByName(eq_fill)
-    eq = eq.select(*[c(x) for x in k], c(ts), *[
-        (c(v) if types.get(v) == "string" else to_double(c(v))).alias(v) for v in vals])
-    res = eq.unionByName(averaged)
-    return res.drop(SINGLE_SERIES) if synthetic else res
+    w = i_hi - i_lo + 1
+    fill = fill.select(*keys, "_bucket", (c(ts) + i_lo * st).alias("_label"),
+                       *[(to_double(r) * w).alias(f"_v{i}") for i, r in enumerate(rep)],
+                       *[F.when(to_double(r).isNotNull(), w).alias(f"_w{i}") for i, r in enumerate(rep)]
+                       ).where(w > 0)
+    ratios = [(F.sum(f"_v{i}") / F.sum(f"_w{i}")).alias(v) for i, v in enumerate(vals)]
+    averaged = (own.unionByName(fill).groupBy(*keys, "_bucket")
+                .agg(F.min("_label").alias(ts), *ratios)
+                .select(*keys, c(ts), *[typed(c(v), v) for v in vals]))
+    return eq.unionByName(averaged)

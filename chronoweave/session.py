@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "chronoweave") -> SparkSession:
@@ -60,3 +60,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.exists(hpath))
+
+
+def materialized(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as a Parquet table in the shared folder and read it back: the lineage
+    is cut (lost executors re-read the table instead of recomputing its plan) and later plans
+    built on it stay short.  One job, unlike ``Dataset.checkpoint`` which computes twice."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
