@@ -421,10 +421,10 @@ def q_csv_import(spark: SparkSession, d: str) -> DataFrame:
                   f"{root}/purchase")
     agg.unpersist()
     sources = [
-        SourceSpec("CSV", {"path": f"{root}/view"}, (TagSpec(3, "site.view.avg", "view_avg"),
+        SourceSpec("CSV", {"path": f"{root}/view", "tz": "UTC"}, (TagSpec(3, "site.view.avg", "view_avg"),
                                                      TagSpec(1, "site.view.n", "view_n")), name="view"),
-        SourceSpec("CSV", {"path": f"{root}/click"}, (TagSpec(2, "site.click.avg", "click"),), name="click"),
-        SourceSpec("CSV", {"path": f"{root}/purchase"}, (TagSpec(4, "site.purchase.avg", "purchase"),), name="purchase"),
+        SourceSpec("CSV", {"path": f"{root}/click", "tz": "UTC"}, (TagSpec(2, "site.click.avg", "click"),), name="click"),
+        SourceSpec("CSV", {"path": f"{root}/purchase", "tz": "UTC"}, (TagSpec(4, "site.purchase.avg", "purchase"),), name="purchase"),
     ]
     rule = ImportRule.from_json_fields({"newDatasetID": "events_2400", "startTime": str(JAN_START * 1000),
                                         "finishTime": str(JAN_FINISH * 1000), "timeInterval": "2400",
