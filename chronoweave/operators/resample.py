@@ -32,8 +32,9 @@ EQUAL, SLOWER, FASTER, SINGLE = "equal", "slower", "faster", "single"
 
 
 def _rep(values: Sequence[str]) -> Column:
-    """Representative values of rows tied on one timestamp (deterministic: largest tuple)."""
-    return F.max(F.struct(*[c(v) for v in values])).alias("_rep")
+    """Representative values of rows tied on one timestamp: the largest value of each tag
+    (deterministic; plain per-column maxima keep numeric tags in a hash aggregate)."""
+    return F.struct(*[F.max(c(v)).alias(v) for v in values]).alias("_rep")
 
 
 def upsample(df: DataFrame, step: int | Column, ts: str = "timestamp", by: Sequence[str] = (),

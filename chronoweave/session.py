@@ -21,6 +21,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # resample/align plans carry many CASE branches over unions; constraint inference on
+        # them costs optimizer time and prunes nothing here
+        .config("spark.sql.constraintPropagation.enabled", "false")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )

@@ -30,7 +30,7 @@ from chronoweave.operators.quality import (
     DROP, bad_field_names, rejects_report, type_error_counts, validate, validation_counts,
 )
 from chronoweave.operators.resample import downsample, resample, resample_plan, upsample
-from chronoweave.plans.dataset_import import build_dataset, import_dataset
+from chronoweave.plans.dataset_import import build_dataset, build_from_long, import_dataset
 from chronoweave.plans.rdbms_import import rdbms_import
 from chronoweave.session import scratch_path
 from chronoweave.sources.csv import read_csv_null_to_zero, read_tag_csv, write_csv, write_tag_csv
@@ -197,11 +197,11 @@ def flagship(spark: SparkSession, d: str) -> DataFrame:
     """Three event types as regular sources (hourly, 15-min, 90-min) resampled to hourly and
     aligned on the January timeline; off-timeline rows dropped, gaps filled with 0.0."""
     src = _regular_sources(spark, d, SOURCE_BUCKETS, JAN_START, JAN_FINISH)
-    frames = [(k, src.where(F.col("event_type") == k).select("timestamp", F.col("value").alias(k)))
-              for k in SOURCE_BUCKETS]
+    long = src.select(F.col("event_type").alias("_source"), "timestamp",
+                      *[F.when(F.col("event_type") == k, F.col("value")).alias(k) for k in SOURCE_BUCKETS])
     rule = ImportRule("events_hourly", start_ms=JAN_START * 1000, finish_ms=JAN_FINISH * 1000,
                       interval_s=3600, on_error=DROP)
-    ds = build_dataset(spark, frames, list(SOURCE_BUCKETS), rule)
+    ds = build_from_long(spark, long, list(SOURCE_BUCKETS), rule)
     return _r(ds, list(SOURCE_BUCKETS))
 
 
