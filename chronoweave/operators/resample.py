@@ -87,6 +87,7 @@ def resample_plan(df: DataFrame, interval: int, ts: str = "timestamp", by: Seque
 
 # Above this many series the branch table is joined instead of inlined as literals.
 MAX_INLINE_SERIES = 1000
+INLINE_DEFAULT = False
 
 
 def _per_series(k: list[str], rows: list, field: str) -> Column:
@@ -104,7 +105,8 @@ def _per_series(k: list[str], rows: list, field: str) -> Column:
 
 
 def resample(df: DataFrame, interval: int, ts: str = "timestamp", by: Sequence[str] = (),
-             values: Sequence[str] | None = None, chunk: int = DAY, materialize: bool = False) -> DataFrame:
+             values: Sequence[str] | None = None, chunk: int = DAY, materialize: bool = False,
+             inline: bool = INLINE_DEFAULT) -> DataFrame:
     """Resample every series of ``df`` to ``interval`` seconds in one plan (see module doc).
 
     Everything is derived from one distinct table ``d`` (one row per series and timestamp,
@@ -129,14 +131,15 @@ def resample(df: DataFrame, interval: int, ts: str = "timestamp", by: Sequence[s
     if materialize:
         d = materialized(d, "resample-gaps")
     table = _branch_table(d, k, ts, new).select(*k, "step", "branch")
-    rows = table.limit(MAX_INLINE_SERIES + 1).collect() if materialize else None
+    rows = table.limit(MAX_INLINE_SERIES + 1).collect() if (materialize or inline) else None
     if rows is not None and len(rows) <= MAX_INLINE_SERIES:
         dd = d.select("*", _per_series(k, rows, "step").cast("bigint").alias("step"),
                       _per_series(k, rows, "branch").cast("string").alias("branch"))
     elif k:
         dd = d.join(table, k, "left")
     else:
-        dd = d.select("*", table.select("step").scalar().alias("step"), table.select("branch").scalar().alias("branch"))
+        both = table.select(F.struct("step", "branch")).scalar()
+        dd = d.select("*", both.getField("step").alias("step"), both.getField("branch").alias("branch"))
     types = dict(df.dtypes)
 
     def typed(col: Column, v: str) -> Column:
