@@ -64,8 +64,12 @@ def write_csv(df: DataFrame, path: str, mode: str = "error", header: bool = Fals
 
 
 def write_tag_csv(df: DataFrame, path: str, ts: str = "timestamp", mode: str = "error",
-                  time_format: str = "yyyy/MM/dd HH:mm:ss") -> None:
-    """Write a frame with an epoch-seconds column as a tag file: header, UTC time text first."""
+                  time_format: str = "yyyy/MM/dd HH:mm:ss", partition_by: Sequence[str] = ()) -> None:
+    """Write a frame with an epoch-seconds column as tag files: header, UTC time text first;
+    with ``partition_by`` one folder per source (``<column>=<value>``) in a single job."""
     cols = [x for x in df.columns if x != ts]
     out = df.select(epoch_to_text(c(ts), time_format).alias("time"), *[c(x) for x in cols])
-    out.write.mode(mode).option("header", True).csv(path)
+    writer = out.write.mode(mode).option("header", True)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.csv(path)

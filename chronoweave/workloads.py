@@ -411,20 +411,15 @@ def q_csv_import(spark: SparkSession, d: str) -> DataFrame:
         width = F.when(F.col("event_type") == k, F.lit(v).cast("bigint")).otherwise(width)
     agg = (ev.withColumn("_w", width)
              .groupBy("event_type", (F.col("timestamp") - F.pmod("timestamp", "_w")).alias("timestamp"))
-             .agg(F.avg("value").alias("avg"), F.count(F.lit(1)).alias("n")))
-    agg = agg.cache()
-    write_tag_csv(agg.where(F.col("event_type") == "view").select(
-        "timestamp", F.col("avg").alias("site.view.avg"), F.col("n").alias("site.view.n")), f"{root}/view")
-    write_tag_csv(agg.where(F.col("event_type") == "click").select("timestamp", F.col("avg").alias("site.click.avg")),
-                  f"{root}/click")
-    write_tag_csv(agg.where(F.col("event_type") == "purchase").select("timestamp", F.col("avg").alias("site.purchase.avg")),
-                  f"{root}/purchase")
-    agg.unpersist()
+             .agg(F.avg("value").alias("site.avg"), F.count(F.lit(1)).alias("site.n")))
+    # one job writes every source's tag files: <root>/files/event_type=<kind>/
+    write_tag_csv(agg, f"{root}/files", partition_by=["event_type"])
+    folder = lambda kind: {"path": f"{root}/files/event_type={kind}", "tz": "UTC"}
     sources = [
-        SourceSpec("CSV", {"path": f"{root}/view", "tz": "UTC"}, (TagSpec(3, "site.view.avg", "view_avg"),
-                                                     TagSpec(1, "site.view.n", "view_n")), name="view"),
-        SourceSpec("CSV", {"path": f"{root}/click", "tz": "UTC"}, (TagSpec(2, "site.click.avg", "click"),), name="click"),
-        SourceSpec("CSV", {"path": f"{root}/purchase", "tz": "UTC"}, (TagSpec(4, "site.purchase.avg", "purchase"),), name="purchase"),
+        SourceSpec("CSV", folder("view"), (TagSpec(3, "site.avg", "view_avg"), TagSpec(1, "site.n", "view_n")),
+                   name="view"),
+        SourceSpec("CSV", folder("click"), (TagSpec(2, "site.avg", "click"),), name="click"),
+        SourceSpec("CSV", folder("purchase"), (TagSpec(4, "site.avg", "purchase"),), name="purchase"),
     ]
     rule = ImportRule.from_json_fields({"newDatasetID": "events_2400", "startTime": str(JAN_START * 1000),
                                         "finishTime": str(JAN_FINISH * 1000), "timeInterval": "2400",
