@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-from typing import Iterable, Sequence
+from typing import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronoweave.functions.text import quote
 
-# Name of the synthetic series key used when a caller has a single series.
-SINGLE_SERIES = "_series"
-
-
 def c(name: str) -> Column:
     """Column by exact name (dots and spaces allowed)."""
     return F.col(quote(name))
@@ -36,13 +32,6 @@ def value_columns(df: DataFrame, exclude: Iterable[str]) -> list[str]:
     return [n for n in df.columns if n not in skip]
 
 
-def with_series(df: DataFrame, by: Sequence[str]) -> tuple[DataFrame, list[str], bool]:
-    """Give a single-series frame a constant series key so every operator has one."""
-    if by:
-        return df, list(by), False
-    return df.withColumn(SINGLE_SERIES, F.lit("")), [SINGLE_SERIES], True
-
-
 def explode_range(df: DataFrame, lo: Column, hi: Column, step: Column | int, name: str,
                   block: int = 4096) -> DataFrame:
     """One row per value lo, lo+step, ... <= hi (none if hi < lo), in arrays of at most

@@ -57,7 +57,8 @@ def next_gap(df: DataFrame, ts: str = "timestamp", by: Sequence[str] = (), tiebr
 
     Among rows sharing a timestamp the one with the largest ``tiebreak`` gets the gap and the
     others 0, the same multiset as ``lead(ts, 1, ts) OVER (PARTITION BY by ORDER BY ts) - ts``.
-    Without a tiebreak column a row id is generated.
+    Without a tiebreak column a row id is generated (``monotonically_increasing_id``, stable
+    for a re-read of the same files); pass a key column when the input has one.
     """
     src, k = df, list(by)
     tb = tiebreak

@@ -22,9 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from chronoweave.functions.numeric import floor_to, gcd, to_double
-from chronoweave.operators._util import (
-    SINGLE_SERIES, as_col, c, explode_range, idiv, value_columns, with_series,
-)
+from chronoweave.operators._util import as_col, c, explode_range, idiv, value_columns
 from chronoweave.operators.gaps import DAY, distinct_next
 from chronoweave.session import materialized
 

@@ -5,7 +5,7 @@ by ``unnest(range(...))`` one row per step, then plain ``avg``."""
 from __future__ import annotations
 
 from chronoweave.workloads import (
-    DAY, JAN_FINISH, JAN_START, ORDERS_FINISH, ORDERS_START, RANGE_FINISH, RANGE_START,
+    JAN_FINISH, JAN_START, ORDERS_FINISH, ORDERS_START, RANGE_FINISH, RANGE_START,
     SOURCE_BUCKETS, WEEK, YEARS_FINISH, YEARS_START,
 )
 
