@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from typing import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -9,8 +10,11 @@ from pyspark.sql import functions as F
 
 from chronoweave.functions.text import quote
 
+
+@functools.lru_cache(maxsize=4096)
 def c(name: str) -> Column:
-    """Column by exact name (dots and spaces allowed)."""
+    """Column by exact name (dots and spaces allowed).  Memoized: a by-name reference is
+    immutable, and reusing it avoids a JVM round trip per use while plans are built."""
     return F.col(quote(name))
 
 

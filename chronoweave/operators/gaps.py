@@ -35,20 +35,22 @@ def distinct_next(df: DataFrame, ts: str = "timestamp", by: Sequence[str] = (),
     base = (df.where(c(ts).isNotNull())
               .groupBy(*k, c(ts))
               .agg(F.count(F.lit(1)).alias("_n"), *aggs))
-    base = base.select("*", floor_to(c(ts), chunk).alias("_chunk"))
-    in_chunk = Window.partitionBy(*k, F.col("_chunk")).orderBy(c(ts))
+    in_chunk = Window.partitionBy(*k, floor_to(c(ts), chunk)).orderBy(c(ts))
     within = base.select("*", F.lead(c(ts)).over(in_chunk).alias("_next"),
                          F.lag(c(ts)).over(in_chunk).alias("_prev"))
-    inner = within.where(F.col("_next").isNotNull())
-    lasts = within.where(F.col("_next").isNull()).select("*", F.lit(1).alias("_mark"))
-    heads = within.where(F.col("_prev").isNull()).select(*k, c(ts), F.lit(0).alias("_mark"))
+    inner = within.where(F.col("_next").isNotNull()).drop("_prev")
+    # each chunk's first row becomes a head marker (0) and its last row a stitch row (1);
+    # a one-row chunk gives both
+    marks = F.array_compact(F.array(F.when(F.col("_prev").isNull(), F.lit(0)),
+                                    F.when(F.col("_next").isNull(), F.lit(1))))
+    edges = (within.where(F.col("_prev").isNull() | F.col("_next").isNull())
+             .select("*", F.explode(marks).alias("_mark")))
     per_series = Window.partitionBy(*k).orderBy(c(ts), F.col("_mark"))
-    stitched = (lasts.unionByName(heads, allowMissingColumns=True)
-                .select("*", F.lead(c(ts)).over(per_series).alias("_following"))
-                .where(F.col("_mark") == 1)
-                .withColumn("_next", F.coalesce(F.col("_following"), c(ts))))
-    cols = [x for x in inner.columns if x not in ("_prev", "_chunk")]
-    return inner.select(*cols).unionByName(stitched.select(*cols))
+    stitched = (edges.select("*", F.lead(c(ts)).over(per_series).alias("_following"))
+                .where(F.col("_mark") == 1))
+    cols = inner.columns
+    return inner.unionByName(stitched.select(
+        *[F.coalesce(F.col("_following"), c(ts)).alias("_next") if x == "_next" else c(x) for x in cols]))
 
 
 def next_gap(df: DataFrame, ts: str = "timestamp", by: Sequence[str] = (), tiebreak: str | None = None,

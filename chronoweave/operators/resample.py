@@ -64,16 +64,24 @@ def downsample(df: DataFrame, interval: int | Column, ts: str = "timestamp", by:
     return res.select(*[c(x) for x in k], lab.alias(ts), *[c(v) for v in vals])
 
 
-def _branch_table(d: DataFrame, k: list[str], ts: str, new: int) -> DataFrame:
-    """One row per series: own interval, fill step and branch."""
+def _branch_table(d: DataFrame, k: list[str], ts: str, new: int, share: Sequence[str] = ()) -> DataFrame:
+    """One row per series: own interval, fill step and branch.
+
+    With ``share`` the aggregate also reads those columns of ``d`` (a hash, carried into the
+    branch name as an empty string) so its input is the same projection of ``d`` that the
+    main path reads: AQE then reuses ``d``'s shuffles for both instead of recomputing the gap
+    pipeline for a narrower projection."""
     old = F.min(F.when(F.col("_next") > c(ts), F.col("_next") - c(ts)))
-    iv = d.groupBy(*[c(x) for x in k]).agg(old.alias("old_interval"))
+    extra = [F.max(F.hash(*[c(x) for x in share])).alias("_all")] if share else []
+    iv = d.groupBy(*[c(x) for x in k]).agg(old.alias("old_interval"), *extra)
     o = F.col("old_interval")
     nw = F.lit(int(new)).cast("bigint")
     step = (F.when(o.isNull(), F.lit(None).cast("bigint"))
               .when(o == nw, nw).when(o < nw, o).otherwise(gcd(o, nw)))
     branch = (F.when(o.isNull(), F.lit(SINGLE)).when(o == nw, F.lit(EQUAL))
                 .when(o < nw, F.lit(SLOWER)).otherwise(F.lit(FASTER)))
+    if share:
+        branch = F.concat(branch, F.substring(F.col("_all").cast("string"), 1, 0))
     return iv.select(*[c(x) for x in k], o, nw.alias("new_interval"), step.alias("step"), branch.alias("branch"))
 
 
@@ -107,29 +115,43 @@ def resample(df: DataFrame, interval: int, ts: str = "timestamp", by: Sequence[s
              inline: bool = INLINE_DEFAULT) -> DataFrame:
     """Resample every series of ``df`` to ``interval`` seconds in one plan (see module doc).
 
-    Everything is derived from one distinct table ``d`` (one row per series and timestamp,
-    with the tied rows' sums and counts and a representative row), so the source pipeline
-    appears once in the plan.  With ``materialize`` ``d`` is written as a table in
-    the shared checkpoint folder: the lineage is cut (an executor loss later re-reads it instead of
-    re-running the gap windows) and the per-series branch table, one row per source, is read
-    from it and inlined as literals (joined instead above ``MAX_INLINE_SERIES`` series).
-    Without it the branch comes from a scalar subquery (one series) or a join (AQE makes it a
-    broadcast join when the measured table is small).  Rows tied on a timestamp collapse to
-    one row in the equal branch (its representative) and all count in the averages.
-    Values keep their type: text stays text (averages are written back as text, which
-    round-trips exactly), numbers become DOUBLE.
+    Everything comes from one distinct table ``d`` (one row per series and timestamp, with
+    the tied rows' sums and counts and a representative row).  Each row of ``d`` is exploded
+    once: equal-branch series into their fill positions, the others into the target buckets
+    they reach (weighted by fill steps).  One hash aggregate then yields both kinds of output
+    row, so ``d`` feeds a single path.  The branch of each series comes from a per-series
+    aggregate of ``d``: a scalar subquery for a single series, a join otherwise (AQE makes it a
+    broadcast join when the measured table is small); with ``inline`` it is read first and
+    inlined as literals.  With ``materialize`` ``d`` is written as a table in the shared
+    checkpoint folder first, cutting the lineage.
+
+    Output values are DOUBLE.  For text inputs a ``_bad`` column flags rows whose forward-filled
+    text does not parse, so the validator can drop or fail them; averages ignore such text.
+    Rows tied on one timestamp collapse to one row in the equal branch (largest values) and all
+    count in averages.
     """
     new = int(interval)
     k = list(by)
     keys = [c(x) for x in k]
     vals = list(values) if values is not None else value_columns(df, [*k, ts])
+    types = dict(df.dtypes)
+    text = [v for v in vals if types.get(v) == "string"]
     sums = [F.sum(to_double(c(v))).alias(f"_s{i}") for i, v in enumerate(vals)]
     cnts = [F.count(to_double(c(v))).alias(f"_c{i}") for i, v in enumerate(vals)]
-    d = distinct_next(df, ts, k, chunk, aggs=[_rep(vals), *sums, *cnts])
+    reps = [F.max(to_double(c(v))).alias(f"_r{i}") for i, v in enumerate(vals)]
+    bad = []
+    if text:
+        flag = None
+        for v in text:
+            b = c(v).isNotNull() & to_double(c(v)).isNull()
+            flag = b if flag is None else flag | b
+        bad = [F.max(flag).alias("_bad_rep")]
+    d = distinct_next(df, ts, k, chunk, aggs=[*reps, *sums, *cnts, *bad])
     if materialize:
         d = materialized(d, "resample-gaps")
-    table = _branch_table(d, k, ts, new).select(*k, "step", "branch")
-    rows = table.limit(MAX_INLINE_SERIES + 1).collect() if (materialize or inline) else None
+    used = [x for x in d.columns if x != "_n"]             # what the main path reads of d
+    table = _branch_table(d, k, ts, new, share=used).select(*k, "step", "branch")
+    rows = table.limit(MAX_INLINE_SERIES + 1).collect() if inline else None
     if rows is not None and len(rows) <= MAX_INLINE_SERIES:
         dd = d.select("*", _per_series(k, rows, "step").cast("bigint").alias("step"),
                       _per_series(k, rows, "branch").cast("string").alias("branch"))
@@ -138,38 +160,41 @@ def resample(df: DataFrame, interval: int, ts: str = "timestamp", by: Sequence[s
     else:
         both = table.select(F.struct("step", "branch")).scalar()
         dd = d.select("*", both.getField("step").alias("step"), both.getField("branch").alias("branch"))
-    types = dict(df.dtypes)
-
-    def typed(col: Column, v: str) -> Column:
-        return (col.cast(StringType()) if types.get(v) == "string" else to_double(col)).alias(v)
-
-    st = F.col("step")
-    n = F.greatest(F.coalesce(idiv(F.col("_next") - c(ts), st), F.lit(1).cast("bigint")), F.lit(1).cast("bigint"))
-    rep = [F.col("_rep").getField(v) for v in vals]
-
-    # equal branch: forward-fill at the target interval (positions 0 .. n-1), no averaging
-    eq = explode_range(dd.where(F.col("branch") == EQUAL), F.lit(0), n - 1, 1, "_i")
-    eq = eq.select(*keys, (c(ts) + F.col("_i") * st).alias(ts), *[typed(r, v) for r, v in zip(rep, vals)])
 
-    # other branches: each distinct timestamp contributes its tied rows to its own bucket and
-    # its fill steps (positions 1 .. n-1) to every bucket they reach, weighted by step count
     nw = F.lit(new).cast("bigint")
-    av = dd.where(F.col("branch") != EQUAL)
-    own = av.select(*keys, floor_to(c(ts), nw).alias("_bucket"), c(ts).alias("_label"),
-                    *[F.col(f"_s{i}").alias(f"_v{i}") for i in range(len(vals))],
-                    *[F.when(F.col(f"_c{i}") > 0, F.col(f"_c{i}")).alias(f"_w{i}") for i in range(len(vals))])
-    fill = av.where(n >= 2).select(*keys, c(ts), "step", "_rep", n.alias("_n_steps"))
-    fill = explode_range(fill, floor_to(c(ts) + st, nw), floor_to(c(ts) + (F.col("_n_steps") - 1) * st, nw),
-                         new, "_bucket")
-    i_lo = F.greatest(F.lit(1).cast("bigint"), -idiv(c(ts) - F.col("_bucket"), st))
-    i_hi = F.least(F.col("_n_steps") - 1, idiv(F.col("_bucket") + nw - 1 - c(ts), st))
-    w = i_hi - i_lo + 1
-    fill = fill.select(*keys, "_bucket", (c(ts) + i_lo * st).alias("_label"),
-                       *[(to_double(r) * w).alias(f"_v{i}") for i, r in enumerate(rep)],
-                       *[F.when(to_double(r).isNotNull(), w).alias(f"_w{i}") for i, r in enumerate(rep)]
-                       ).where(w > 0)
-    ratios = [(F.sum(f"_v{i}") / F.sum(f"_w{i}")).alias(v) for i, v in enumerate(vals)]
-    averaged = (own.unionByName(fill).groupBy(*keys, "_bucket")
-                .agg(F.min("_label").alias(ts), *ratios)
-                .select(*keys, c(ts), *[typed(c(v), v) for v in vals]))
-    return eq.unionByName(averaged)
+    one = F.lit(1).cast("bigint")
+    zero = F.lit(0).cast("bigint")
+    eq = F.col("branch") == F.lit(EQUAL)
+    st = F.coalesce(F.col("step"), nw)                       # a single-timestamp series never steps
+    n = F.greatest(F.coalesce(idiv(F.col("_next") - c(ts), F.col("step")), one), one)
+    lo = F.when(eq, zero).otherwise(floor_to(c(ts), nw))
+    hi = F.when(eq, n - 1).otherwise(floor_to(c(ts) + (n - 1) * st, nw))
+    inc = F.when(eq, one).otherwise(nw)
+    x = explode_range(dd.select("*", n.alias("_steps")), lo, hi, inc, "_x")
+
+    steps = F.col("_steps")
+    # equal branch: _x is the fill position; other branches: _x is a target bucket
+    i_lo = F.when(eq, F.col("_x")).otherwise(F.greatest(zero, -idiv(c(ts) - F.col("_x"), st)))
+    i_hi = F.when(eq, F.col("_x")).otherwise(F.least(steps - 1, idiv(F.col("_x") + nw - 1 - c(ts), st)))
+    own = (i_lo == 0) & ~eq                                  # bucket holding the row's own timestamp
+    fills = F.when(eq, one).otherwise(i_hi - F.greatest(i_lo, one) + 1)
+    group = F.when(eq, c(ts) + F.col("_x") * st).otherwise(F.col("_x"))
+    cols = [*keys, group.alias("_g"), eq.alias("_eq"), (c(ts) + i_lo * st).alias("_label")]
+    for i in range(len(vals)):
+        rep = F.col(f"_r{i}")
+        own_sum = F.when(own, F.col(f"_s{i}"))
+        own_cnt = F.when(own, F.col(f"_c{i}")).otherwise(zero)
+        fill_sum = F.when(fills > 0, rep * fills)
+        fill_cnt = F.when(rep.isNotNull() & (fills > 0), fills).otherwise(zero)
+        cols.append(F.coalesce(own_sum + fill_sum, own_sum, fill_sum).alias(f"_v{i}"))
+        cols.append((own_cnt + fill_cnt).alias(f"_w{i}"))
+    if text:
+        cols.append((eq & F.col("_bad_rep")).alias("_bad"))
+    parts = x.where(i_lo <= i_hi).select(*cols)
+    aggs = [F.min("_label").alias(ts)]
+    aggs += [(F.sum(f"_v{i}") / F.sum(F.when(F.col(f"_w{i}") > 0, F.col(f"_w{i}")))).alias(v)
+             for i, v in enumerate(vals)]
+    if text:
+        aggs.append(F.max("_bad").alias("_bad"))
+    out = parts.groupBy(*keys, "_g", "_eq").agg(*aggs)
+    return out.select(*keys, c(ts), *[c(v) for v in vals], *(["_bad"] if text else []))
