@@ -36,19 +36,26 @@ def value_columns(df: DataFrame, exclude: Iterable[str]) -> list[str]:
     return [n for n in df.columns if n not in skip]
 
 
-def explode_range(df: DataFrame, lo: Column, hi: Column, step: Column | int, name: str,
+def sql_floor_div(a: str, b: str) -> str:
+    """SQL text for exact floor division of longs (b > 0)."""
+    return f"((({a}) - pmod(({a}), ({b}))) div ({b}))"
+
+
+def explode_range(df: DataFrame, lo: Column | str, hi: Column | str, step: Column | int | str, name: str,
                   block: int = 4096) -> DataFrame:
     """One row per value lo, lo+step, ... <= hi (none if hi < lo), in arrays of at most
-    ``block`` elements, so a long outage never builds one huge array."""
-    keep = [c(x) for x in df.columns]
-    blk = F.lit(block).cast("bigint")
-    out = df.select(*keep, lo.cast("bigint").alias("_xr_lo"), hi.cast("bigint").alias("_xr_hi"),
-                    as_col(step).cast("bigint").alias("_xr_st"))
-    lo_c, hi_c, st_c = F.col("_xr_lo"), F.col("_xr_hi"), F.col("_xr_st")
-    count = idiv(hi_c - lo_c, st_c) + 1
-    out = out.where(hi_c >= lo_c).select(
-        *keep, lo_c, hi_c, st_c,
-        F.explode(F.sequence(F.lit(0).cast("bigint"), idiv(count - 1, blk))).alias("_xr_blk"))
-    b_lo = lo_c + F.col("_xr_blk") * blk * st_c
-    b_hi = F.least(hi_c, b_lo + (blk - 1) * st_c)
-    return out.select(*keep, F.explode(F.sequence(b_lo, b_hi, st_c)).alias(name))
+    ``block`` elements, so a long outage never builds one huge array.  Bounds may be Columns
+    or SQL expression text."""
+    keep = [quote(x) for x in df.columns]
+
+    def col(x: Column | int | str) -> Column:
+        return F.expr(x) if isinstance(x, str) else as_col(x)
+
+    out = df.select(*[c(x) for x in df.columns], col(lo).cast("bigint").alias("_xr_lo"),
+                    col(hi).cast("bigint").alias("_xr_hi"), col(step).cast("bigint").alias("_xr_st"))
+    out = out.where("_xr_hi >= _xr_lo").selectExpr(
+        *keep, "_xr_lo", "_xr_hi", "_xr_st",
+        f"explode(sequence(0L, ((_xr_hi - _xr_lo) div _xr_st) div {block}L)) AS _xr_blk")
+    start = f"_xr_lo + _xr_blk * {block}L * _xr_st"
+    return out.selectExpr(
+        *keep, f"explode(sequence({start}, least(_xr_hi, {start} + {block - 1}L * _xr_st), _xr_st)) AS {quote(name)}")

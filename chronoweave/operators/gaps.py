@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronoweave.functions.numeric import floor_to
+from chronoweave.functions.text import quote
 from chronoweave.operators._util import c
 
 DAY = 86400
@@ -32,25 +33,24 @@ def distinct_next(df: DataFrame, ts: str = "timestamp", by: Sequence[str] = (),
     chunk-last row the first timestamp of the next non-empty chunk.  No join.
     """
     k = [c(x) for x in by]
+    t = quote(ts)
+    keys = ", ".join(quote(x) for x in by)
     base = (df.where(c(ts).isNotNull())
               .groupBy(*k, c(ts))
               .agg(F.count(F.lit(1)).alias("_n"), *aggs))
-    in_chunk = Window.partitionBy(*k, floor_to(c(ts), chunk)).orderBy(c(ts))
-    within = base.select("*", F.lead(c(ts)).over(in_chunk).alias("_next"),
-                         F.lag(c(ts)).over(in_chunk).alias("_prev"))
-    inner = within.where(F.col("_next").isNotNull()).drop("_prev")
+    in_chunk = f"PARTITION BY {keys + ', ' if keys else ''}{t} - pmod({t}, {int(chunk)}L) ORDER BY {t}"
+    within = base.selectExpr("*", f"lead({t}) OVER ({in_chunk}) AS _next", f"lag({t}) OVER ({in_chunk}) AS _prev")
+    inner = within.where("_next IS NOT NULL").drop("_prev")
     # each chunk's first row becomes a head marker (0) and its last row a stitch row (1);
     # a one-row chunk gives both
-    marks = F.array_compact(F.array(F.when(F.col("_prev").isNull(), F.lit(0)),
-                                    F.when(F.col("_next").isNull(), F.lit(1))))
-    edges = (within.where(F.col("_prev").isNull() | F.col("_next").isNull())
-             .select("*", F.explode(marks).alias("_mark")))
-    per_series = Window.partitionBy(*k).orderBy(c(ts), F.col("_mark"))
-    stitched = (edges.select("*", F.lead(c(ts)).over(per_series).alias("_following"))
-                .where(F.col("_mark") == 1))
+    edges = within.where("_prev IS NULL OR _next IS NULL").selectExpr(
+        "*", "explode(array_compact(array(CASE WHEN _prev IS NULL THEN 0 END, "
+             "CASE WHEN _next IS NULL THEN 1 END))) AS _mark")
+    per_series = f"{'PARTITION BY ' + keys if keys else ''} ORDER BY {t}, _mark"
+    stitched = edges.selectExpr("*", f"lead({t}) OVER ({per_series}) AS _following").where("_mark = 1")
     cols = inner.columns
-    return inner.unionByName(stitched.select(
-        *[F.coalesce(F.col("_following"), c(ts)).alias("_next") if x == "_next" else c(x) for x in cols]))
+    return inner.unionByName(stitched.selectExpr(
+        *[f"coalesce(_following, {t}) AS _next" if x == "_next" else quote(x) for x in cols]))
 
 
 def next_gap(df: DataFrame, ts: str = "timestamp", by: Sequence[str] = (), tiebreak: str | None = None,

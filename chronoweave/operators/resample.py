@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from chronoweave.functions.numeric import floor_to, gcd, to_double
-from chronoweave.operators._util import as_col, c, explode_range, idiv, value_columns
+from chronoweave.functions.text import quote
+from chronoweave.operators._util import as_col, c, explode_range, idiv, sql_floor_div, value_columns
 from chronoweave.operators.gaps import DAY, distinct_next
 from chronoweave.session import materialized
 
@@ -64,6 +65,12 @@ def downsample(df: DataFrame, interval: int | Column, ts: str = "timestamp", by:
     return res.select(*[c(x) for x in k], lab.alias(ts), *[c(v) for v in vals])
 
 
+def _gcd_sql(a: str, b: str) -> str:
+    """Euclid folded by ``aggregate`` over a fixed 92-step sequence (covers all longs)."""
+    return (f"aggregate(sequence(1, 92), named_struct('x', CAST({a} AS BIGINT), 'y', CAST({b} AS BIGINT)), "
+            "(acc, i) -> IF(acc.y = 0, acc, named_struct('x', acc.y, 'y', acc.x % acc.y)), acc -> acc.x)")
+
+
 def _branch_table(d: DataFrame, k: list[str], ts: str, new: int, share: Sequence[str] = ()) -> DataFrame:
     """One row per series: own interval, fill step and branch.
 
@@ -71,18 +78,19 @@ def _branch_table(d: DataFrame, k: list[str], ts: str, new: int, share: Sequence
     branch name as an empty string) so its input is the same projection of ``d`` that the
     main path reads: AQE then reuses ``d``'s shuffles for both instead of recomputing the gap
     pipeline for a narrower projection."""
-    old = F.min(F.when(F.col("_next") > c(ts), F.col("_next") - c(ts)))
-    extra = [F.max(F.hash(*[c(x) for x in share])).alias("_all")] if share else []
-    iv = d.groupBy(*[c(x) for x in k]).agg(old.alias("old_interval"), *extra)
-    o = F.col("old_interval")
-    nw = F.lit(int(new)).cast("bigint")
-    step = (F.when(o.isNull(), F.lit(None).cast("bigint"))
-              .when(o == nw, nw).when(o < nw, o).otherwise(gcd(o, nw)))
-    branch = (F.when(o.isNull(), F.lit(SINGLE)).when(o == nw, F.lit(EQUAL))
-                .when(o < nw, F.lit(SLOWER)).otherwise(F.lit(FASTER)))
+    t = quote(ts)
+    aggs = [F.expr(f"min(CASE WHEN _next > {t} THEN _next - {t} END) AS old_interval")]
+    if share:
+        aggs.append(F.expr(f"max(hash({', '.join(quote(x) for x in share)})) AS _all"))
+    iv = d.groupBy(*[c(x) for x in k]).agg(*aggs)
+    o, nw = "old_interval", f"{int(new)}L"
+    step = (f"CASE WHEN {o} IS NULL THEN CAST(NULL AS BIGINT) WHEN {o} = {nw} THEN {nw} "
+            f"WHEN {o} < {nw} THEN {o} ELSE {_gcd_sql(o, nw)} END AS step")
+    branch = (f"CASE WHEN {o} IS NULL THEN '{SINGLE}' WHEN {o} = {nw} THEN '{EQUAL}' "
+              f"WHEN {o} < {nw} THEN '{SLOWER}' ELSE '{FASTER}' END")
     if share:
-        branch = F.concat(branch, F.substring(F.col("_all").cast("string"), 1, 0))
-    return iv.select(*[c(x) for x in k], o, nw.alias("new_interval"), step.alias("step"), branch.alias("branch"))
+        branch = f"concat({branch}, substring(CAST(_all AS STRING), 1, 0))"
+    return iv.selectExpr(*[quote(x) for x in k], o, f"{nw} AS new_interval", step, f"{branch} AS branch")
 
 
 def resample_plan(df: DataFrame, interval: int, ts: str = "timestamp", by: Sequence[str] = (),
@@ -133,20 +141,19 @@ def resample(df: DataFrame, interval: int, ts: str = "timestamp", by: Sequence[s
     new = int(interval)
     k = list(by)
     keys = [c(x) for x in k]
+    qk = [quote(x) for x in k]
+    t = quote(ts)
     vals = list(values) if values is not None else value_columns(df, [*k, ts])
     types = dict(df.dtypes)
     text = [v for v in vals if types.get(v) == "string"]
-    sums = [F.sum(to_double(c(v))).alias(f"_s{i}") for i, v in enumerate(vals)]
-    cnts = [F.count(to_double(c(v))).alias(f"_c{i}") for i, v in enumerate(vals)]
-    reps = [F.max(to_double(c(v))).alias(f"_r{i}") for i, v in enumerate(vals)]
-    bad = []
+    num = [f"try_cast({quote(v)} AS DOUBLE)" for v in vals]
+    aggs = [F.expr(f"max({x}) AS _r{i}") for i, x in enumerate(num)]
+    aggs += [F.expr(f"sum({x}) AS _s{i}") for i, x in enumerate(num)]
+    aggs += [F.expr(f"count({x}) AS _c{i}") for i, x in enumerate(num)]
     if text:
-        flag = None
-        for v in text:
-            b = c(v).isNotNull() & to_double(c(v)).isNull()
-            flag = b if flag is None else flag | b
-        bad = [F.max(flag).alias("_bad_rep")]
-    d = distinct_next(df, ts, k, chunk, aggs=[*reps, *sums, *cnts, *bad])
+        flag = " OR ".join(f"({quote(v)} IS NOT NULL AND try_cast({quote(v)} AS DOUBLE) IS NULL)" for v in text)
+        aggs.append(F.expr(f"max({flag}) AS _bad_rep"))
+    d = distinct_next(df, ts, k, chunk, aggs=aggs)
     if materialize:
         d = materialized(d, "resample-gaps")
     used = [x for x in d.columns if x != "_n"]             # what the main path reads of d
@@ -161,40 +168,39 @@ def resample(df: DataFrame, interval: int, ts: str = "timestamp", by: Sequence[s
         both = table.select(F.struct("step", "branch")).scalar()
         dd = d.select("*", both.getField("step").alias("step"), both.getField("branch").alias("branch"))
 
-    nw = F.lit(new).cast("bigint")
-    one = F.lit(1).cast("bigint")
-    zero = F.lit(0).cast("bigint")
-    eq = F.col("branch") == F.lit(EQUAL)
-    st = F.coalesce(F.col("step"), nw)                       # a single-timestamp series never steps
-    n = F.greatest(F.coalesce(idiv(F.col("_next") - c(ts), F.col("step")), one), one)
-    lo = F.when(eq, zero).otherwise(floor_to(c(ts), nw))
-    hi = F.when(eq, n - 1).otherwise(floor_to(c(ts) + (n - 1) * st, nw))
-    inc = F.when(eq, one).otherwise(nw)
-    x = explode_range(dd.select("*", n.alias("_steps")), lo, hi, inc, "_x")
-
-    steps = F.col("_steps")
+    # Each row of d explodes once: equal-branch series into fill positions 0 .. n-1, the
+    # others into the target buckets their own timestamp and fill steps reach.
+    nw = f"{new}L"
+    eq = f"(branch = '{EQUAL}')"
+    st = f"coalesce(step, {nw})"                              # a single-timestamp series never steps
+    n = f"greatest(coalesce((_next - {t}) div step, 1L), 1L)"
+    lo = f"CASE WHEN {eq} THEN 0L ELSE {t} - pmod({t}, {nw}) END"
+    last = f"{t} + (_steps - 1) * {st}"
+    hi = f"CASE WHEN {eq} THEN _steps - 1 ELSE {last} - pmod({last}, {nw}) END"
+    inc = f"CASE WHEN {eq} THEN 1L ELSE {nw} END"
+    x = explode_range(dd.selectExpr("*", f"{n} AS _steps"), lo, hi, inc, "_x")
     # equal branch: _x is the fill position; other branches: _x is a target bucket
-    i_lo = F.when(eq, F.col("_x")).otherwise(F.greatest(zero, -idiv(c(ts) - F.col("_x"), st)))
-    i_hi = F.when(eq, F.col("_x")).otherwise(F.least(steps - 1, idiv(F.col("_x") + nw - 1 - c(ts), st)))
-    own = (i_lo == 0) & ~eq                                  # bucket holding the row's own timestamp
-    fills = F.when(eq, one).otherwise(i_hi - F.greatest(i_lo, one) + 1)
-    group = F.when(eq, c(ts) + F.col("_x") * st).otherwise(F.col("_x"))
-    cols = [*keys, group.alias("_g"), eq.alias("_eq"), (c(ts) + i_lo * st).alias("_label")]
+    i_lo = f"CASE WHEN {eq} THEN _x ELSE greatest(0L, -{sql_floor_div(f'{t} - _x', st)}) END"
+    i_hi = f"CASE WHEN {eq} THEN _x ELSE least(_steps - 1, {sql_floor_div(f'_x + {nw} - 1 - {t}', st)}) END"
+    x = x.selectExpr(*qk, t, "_x", "_steps", "step", "branch", *[f"_r{i}" for i in range(len(vals))],
+                     *[f"_s{i}" for i in range(len(vals))], *[f"_c{i}" for i in range(len(vals))],
+                     *(["_bad_rep"] if text else []), f"{i_lo} AS _ilo", f"{i_hi} AS _ihi", f"{eq} AS _eq")
+    own = "(_ilo = 0 AND NOT _eq)"                           # bucket holding the row's own timestamp
+    fills = "CASE WHEN _eq THEN 1L ELSE _ihi - greatest(_ilo, 1L) + 1 END"
+    cols = [*qk, f"CASE WHEN _eq THEN {t} + _x * {st} ELSE _x END AS _g", "_eq", f"{t} + _ilo * {st} AS _label"]
     for i in range(len(vals)):
-        rep = F.col(f"_r{i}")
-        own_sum = F.when(own, F.col(f"_s{i}"))
-        own_cnt = F.when(own, F.col(f"_c{i}")).otherwise(zero)
-        fill_sum = F.when(fills > 0, rep * fills)
-        fill_cnt = F.when(rep.isNotNull() & (fills > 0), fills).otherwise(zero)
-        cols.append(F.coalesce(own_sum + fill_sum, own_sum, fill_sum).alias(f"_v{i}"))
-        cols.append((own_cnt + fill_cnt).alias(f"_w{i}"))
+        own_sum = f"CASE WHEN {own} THEN _s{i} END"
+        fill_sum = f"CASE WHEN {fills} > 0 THEN _r{i} * {fills} END"
+        cols.append(f"coalesce({own_sum} + {fill_sum}, {own_sum}, {fill_sum}) AS _v{i}")
+        cols.append(f"(CASE WHEN {own} THEN _c{i} ELSE 0L END) + "
+                    f"(CASE WHEN _r{i} IS NOT NULL AND {fills} > 0 THEN {fills} ELSE 0L END) AS _w{i}")
     if text:
-        cols.append((eq & F.col("_bad_rep")).alias("_bad"))
-    parts = x.where(i_lo <= i_hi).select(*cols)
-    aggs = [F.min("_label").alias(ts)]
-    aggs += [(F.sum(f"_v{i}") / F.sum(F.when(F.col(f"_w{i}") > 0, F.col(f"_w{i}")))).alias(v)
-             for i, v in enumerate(vals)]
+        cols.append("(_eq AND _bad_rep) AS _bad")
+    parts = x.where("_ilo <= _ihi").selectExpr(*cols)
+    out_aggs = [F.expr(f"min(_label) AS {t}")]
+    out_aggs += [F.expr(f"sum(_v{i}) / sum(CASE WHEN _w{i} > 0 THEN _w{i} END) AS {quote(v)}")
+                 for i, v in enumerate(vals)]
     if text:
-        aggs.append(F.max("_bad").alias("_bad"))
-    out = parts.groupBy(*keys, "_g", "_eq").agg(*aggs)
-    return out.select(*keys, c(ts), *[c(v) for v in vals], *(["_bad"] if text else []))
+        out_aggs.append(F.expr("max(_bad) AS _bad"))
+    out = parts.groupBy(*keys, "_g", "_eq").agg(*out_aggs)
+    return out.select(*keys, c(ts), *[c(v) for v in vals], *([c("_bad")] if text else []))
