@@ -29,7 +29,7 @@ def summarize(plan: str) -> dict:
         "generate": len(re.findall(r"\bGenerate ", plan)),
         "flags": ",".join(x for x in ("BroadcastNestedLoopJoin", "CartesianProduct", "SortAggregate",
                                       "BatchEvalPython", "ArrowEvalPython") if x in plan) or "-",
-        "pushed": sorted({m for m in re.findall(r"PushedFilters: \[([^\]]*)\]", plan) if m}),
+        "pushed": sorted({x for x in (m.rstrip("]") for m in re.findall(r"PushedFilters: \[(.*?), ReadSchema", plan)) if x}),
     }
 
 
@@ -41,7 +41,7 @@ def main() -> None:
     for name, q in queries().items():
         df = q(spark, sf)
         s = summarize(df._jdf.queryExecution().executedPlan().toString())
-        pushed = "; ".join(p[:70] for p in s["pushed"]) or "-"
+        pushed = "; ".join(p if len(p) <= 90 else p[:87] + "..." for p in s["pushed"]) or "-"
         print(f"| {name} | {s['hash']} | {s['range']} | {s['single']} | {s['broadcast']} | {s['window']} | "
               f"{s['generate']} | {s['flags']} | {pushed} |")
     spark.stop()
