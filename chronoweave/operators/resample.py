@@ -19,9 +19,8 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
-from chronoweave.functions.numeric import floor_to, gcd, to_double
+from chronoweave.functions.numeric import floor_to, to_double
 from chronoweave.functions.text import quote
 from chronoweave.operators._util import as_col, c, explode_range, idiv, sql_floor_div, value_columns
 from chronoweave.operators.gaps import DAY, distinct_next

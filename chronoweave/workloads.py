@@ -22,7 +22,7 @@ from chronoweave.operators.align import align_by_joins, time_grid, time_grid_fro
 from chronoweave.operators.catalog import (
     catalog_from_labels, explode_entries, latest, schema_from_names, schema_pairs,
 )
-from chronoweave.operators.filters import modulo_sample, raw_time_range_filter, time_range_filter
+from chronoweave.operators.filters import modulo_sample, raw_time_range_filter
 from chronoweave.operators.gaps import infer_interval, next_gap
 from chronoweave.operators.metadata import multi_table_select, resolve_source
 from chronoweave.operators.pack import pack, pack_rdbms, unpack
