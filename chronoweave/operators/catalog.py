@@ -97,9 +97,11 @@ def latest(catalog: DataFrame) -> DataFrame:
 
 
 def explode_entries(catalog: DataFrame) -> DataFrame:
-    """Catalog rows -> one row per column ``(tablename, colname, datatype, orderby)``."""
-    parsed = catalog.select("tablename", F.explode(F.from_json("columns", ENTRY_TYPE)).alias("e"))
-    return parsed.select("tablename", "e.colname", "e.datatype", "e.orderby")
+    """Catalog rows -> one row per column ``(tablename, colname, datatype, orderby)`` (plus
+    ``version`` when the rows carry it)."""
+    extra = ["version"] if "version" in catalog.columns else []
+    parsed = catalog.select("tablename", *extra, F.explode(F.from_json("columns", ENTRY_TYPE)).alias("e"))
+    return parsed.select("tablename", *extra, "e.colname", "e.datatype", "e.orderby")
 
 
 def check_append(old: Sequence[tuple[str, str]], new_schema: StructType) -> None:

@@ -73,7 +73,7 @@ def rdbms_import(spark: SparkSession, dataset_id: str, rule: ImportRule, dataset
     packed = pack_rdbms(selected, ts_col, tag_cols)
     catalog = catalog_from_labels(mine, dataset="dsabelid", label="labelid", order="labelid", is_time="timestampif")
     if store is not None:
-        store.write_packed(packed, dataset_id, "overwrite")
-        nxt = store._next_version(dataset_id)
-        store.add_catalog_rows(catalog.withColumn("version", F.lit(nxt).cast("bigint")))
+        version = store._next_version(dataset_id)
+        store.write_packed(packed, dataset_id, version, "overwrite")
+        store.add_catalog_rows(catalog.withColumn("version", F.lit(version).cast("bigint")))
     return packed, catalog

@@ -1,5 +1,10 @@
 """Dataset store: packed datasets, their schema catalog and an exception log, as tables
-under one root folder (Parquet by default; any Spark file format works)."""
+under one root folder (Parquet by default; any Spark file format works).
+
+Every overwrite writes a new version folder ``data/<name>/v<version>`` and then appends the
+catalog row that names it: the catalog row is the commit.  A job that dies while writing
+leaves the previous version readable and untouched; readers always see complete versions.
+Appends go into the latest version's folder."""
 
 from __future__ import annotations
 
@@ -23,8 +28,8 @@ class DatasetStore:
     root: str
     fmt: str = "parquet"
 
-    def _data(self, name: str) -> str:
-        return f"{self.root}/data/{name}"
+    def _data(self, name: str, version: int) -> str:
+        return f"{self.root}/data/{name}/v{int(version)}"
 
     @property
     def _catalog(self) -> str:
@@ -35,12 +40,13 @@ class DatasetStore:
         return f"{self.root}/errors"
 
     # packed data ------------------------------------------------------------------------
-    def write_packed(self, packed: DataFrame, name: str, mode: str = OVERWRITE) -> None:
-        packed.write.mode(mode).format(self.fmt).save(self._data(name))
+    def write_packed(self, packed: DataFrame, name: str, version: int, mode: str = OVERWRITE) -> None:
+        packed.write.mode(mode).format(self.fmt).save(self._data(name, version))
 
-    def read_packed(self, name: str) -> DataFrame:
-        """Packed rows with the fixed two-column schema."""
-        return self.spark.read.schema(PACKED_SCHEMA).format(self.fmt).load(self._data(name))
+    def read_packed(self, name: str, version: int | None = None) -> DataFrame:
+        """Packed rows (latest version by default) with the fixed two-column schema."""
+        v = self.latest(name)[0] if version is None else version
+        return self.spark.read.schema(PACKED_SCHEMA).format(self.fmt).load(self._data(name, v))
 
     # catalog ----------------------------------------------------------------------------
     def catalog(self) -> DataFrame:
@@ -56,31 +62,41 @@ class DatasetStore:
         got = self.catalog().where(F.col("tablename") == name).agg(F.max("version")).first()
         return 1 if got is None or got[0] is None else int(got[0]) + 1
 
-    def entries(self, name: str) -> list[tuple[str, str]]:
-        """Latest catalog entry of a dataset as ``[(colname, type name), ...]`` by position."""
-        rows = (explode_entries(latest(self.catalog().where(F.col("tablename") == name)))
-                .orderBy("orderby").select("colname", "datatype").collect())
+    def latest(self, name: str) -> tuple[int, list[tuple[str, str]]]:
+        """Latest version of a dataset and its columns ``[(colname, type name), ...]``.  One
+        catalog row is read (a dataset's column list)."""
+        cat = latest(self.catalog().where(F.col("tablename") == name))
+        rows = explode_entries(cat.select("tablename", "columns", "version")).select(
+            "version", "orderby", "colname", "datatype").collect()
         if not rows:
             raise KeyError(f"dataset {name!r} is not in the catalog")
-        return [(r[0], r[1]) for r in rows]
+        rows = sorted(rows, key=lambda r: r["orderby"])
+        return int(rows[0]["version"]), [(r["colname"], r["datatype"]) for r in rows]
+
+    def entries(self, name: str) -> list[tuple[str, str]]:
+        """Latest catalog entry of a dataset as ``[(colname, type name), ...]`` by position."""
+        return self.latest(name)[1]
 
     # whole datasets ---------------------------------------------------------------------
     def save(self, df: DataFrame, name: str, mode: str = OVERWRITE) -> None:
         """Overwrite: pack, write, add a catalog version.  Append: check compatibility with
         the stored layout, pack, append.  Other modes raise."""
         if mode == OVERWRITE:
-            self.write_packed(pack(df), name, OVERWRITE)
-            rec = catalog_record(df.schema, name, self._next_version(name))
+            version = self._next_version(name)
+            self.write_packed(pack(df), name, version, OVERWRITE)
+            rec = catalog_record(df.schema, name, version)
             self.add_catalog_rows(self.spark.createDataFrame([rec], CATALOG_SCHEMA))
         elif mode == APPEND:
-            check_append(self.entries(name), df.schema)
-            self.write_packed(pack(df), name, APPEND)
+            version, entries = self.latest(name)
+            check_append(entries, df.schema)
+            self.write_packed(pack(df), name, version, APPEND)
         else:
             raise ValueError(f"unknown save mode {mode!r}; accepted: overwrite, append")
 
     def load(self, name: str) -> DataFrame:
-        """Stored dataset with its columns and types restored from the catalog."""
-        return unpack(self.read_packed(name), self.entries(name))
+        """Stored dataset (latest version) with its columns and types restored from the catalog."""
+        version, entries = self.latest(name)
+        return unpack(self.read_packed(name, version), entries)
 
     # exception log ----------------------------------------------------------------------
     def log_errors(self, messages: DataFrame) -> None:

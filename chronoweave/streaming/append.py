@@ -2,7 +2,7 @@
 into epoch seconds, range-filtered, validated under the drop/fail policy, packed and appended
 to a stored dataset.
 
-The sink is Spark's file sink writing into the dataset's data folder, so every micro-batch is
+The sink is Spark's file sink writing into the dataset's current version folder, so every micro-batch is
 committed exactly once through the sink's log (a retried batch is not appended twice), and the
 stream's progress lives in ``checkpoint``.  The catalog row is written (or checked for
 compatibility, as a batch append would be) before the stream starts.  The source declares its
@@ -39,12 +39,14 @@ def start_append_stream(spark: SparkSession, source: SourceSpec, time_column: st
     ds = validate(prepared, names, rule.on_error, key_flag=None)
     name = rule.dataset_id
     try:
-        check_append(store.entries(name), ds.schema)
+        version, entries = store.latest(name)
+        check_append(entries, ds.schema)
     except KeyError:
-        rec = catalog_record(ds.schema, name, store._next_version(name))
+        version = store._next_version(name)
+        rec = catalog_record(ds.schema, name, version)
         store.add_catalog_rows(spark.createDataFrame([rec], CATALOG_SCHEMA))
     writer = (pack(ds).writeStream.format(store.fmt).outputMode("append")
-              .option("checkpointLocation", checkpoint).option("path", store._data(name)))
+              .option("checkpointLocation", checkpoint).option("path", store._data(name, version)))
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:

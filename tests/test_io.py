@@ -152,3 +152,16 @@ def test_jdbc_connection_options():
     assert Connection("SQLSERVER", "h", "1433", "db").jdbc_url() == "jdbc:sqlserver://h:1433;DatabaseName=db"
     with pytest.raises(ValueError):
         Connection("OTHER").jdbc_url()
+
+
+def test_failed_overwrite_keeps_previous_version(spark, scratch):
+    from chronoweave.operators.quality import FAIL, validate
+
+    store = DatasetStore(spark, scratch("atomic"))
+    good = spark.createDataFrame([(1, 1.0)], "timestamp long, x double")
+    store.save(good, "ds")
+    bad = validate(spark.createDataFrame([(2, "oops")], "timestamp long, x string"), ["x"], FAIL)
+    with pytest.raises(Exception, match="rejected row"):
+        store.save(bad, "ds")
+    assert [tuple(r) for r in store.load("ds").collect()] == [(1, 1.0)]
+    assert store.latest("ds")[0] == 1
