@@ -12,7 +12,8 @@ from chronoweave.specs import SourceSpec
 def _csv(spark: SparkSession, s: SourceSpec, start: int | None, finish: int | None) -> DataFrame:
     from chronoweave.sources.csv import read_tag_csv
 
-    return read_tag_csv(spark, s.options["path"], s.tags, start, finish, tz=s.options.get("tz"))
+    return read_tag_csv(spark, s.options["path"], s.tags, start, finish, tz=s.options.get("tz"),
+                        columns=s.options.get("columns"))
 
 
 def _table(spark: SparkSession, s: SourceSpec, start: int | None, finish: int | None) -> DataFrame:

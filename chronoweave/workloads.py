@@ -414,7 +414,8 @@ def q_csv_import(spark: SparkSession, d: str) -> DataFrame:
              .agg(F.avg("value").alias("site.avg"), F.count(F.lit(1)).alias("site.n")))
     # one job writes every source's tag files: <root>/files/event_type=<kind>/
     write_tag_csv(agg, f"{root}/files", partition_by=["event_type"])
-    folder = lambda kind: {"path": f"{root}/files/event_type={kind}", "tz": "UTC"}
+    folder = lambda kind: {"path": f"{root}/files/event_type={kind}", "tz": "UTC",
+                           "columns": ["time", "site.avg", "site.n"]}
     sources = [
         SourceSpec("CSV", folder("view"), (TagSpec(3, "site.avg", "view_avg"), TagSpec(1, "site.n", "view_n")),
                    name="view"),

@@ -165,3 +165,20 @@ def test_failed_overwrite_keeps_previous_version(spark, scratch):
         store.save(bad, "ds")
     assert [tuple(r) for r in store.load("ds").collect()] == [(1, 1.0)]
     assert store.latest("ds")[0] == 1
+
+
+def test_tag_csv_declared_columns(spark, scratch):
+    path = scratch("declared")
+    write_text(spark, path, ["t,a.b,c", "2020/01/02 00:00:00,1,2", "2020/01/02 00:01:00,3,"])
+    df = read_tag_csv(spark, path, [TagSpec(1, "a.b", "ab")], columns=["t", "a.b", "c"])
+    assert sorted(tuple(r) for r in df.collect()) == [(1577923200, "1"), (1577923260, "3")]
+
+
+def test_next_gap_without_tiebreak(spark):
+    from chronoweave.operators.gaps import next_gap
+    import brute
+
+    ts = [5, 5, 5, 9, 20, 20, 31]
+    df = spark.createDataFrame([(t,) for t in ts], "timestamp long")
+    got = sorted((r["timestamp"], r["t"]) for r in next_gap(df, chunk=10).collect())
+    assert got == sorted(brute.gaps(ts))
