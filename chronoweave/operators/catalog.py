@@ -90,9 +90,10 @@ def catalog_from_labels(labels: DataFrame, dataset: str = "dataset", label: str
 
 
 def latest(catalog: DataFrame) -> DataFrame:
-    """Latest version of each dataset's catalog row (an aggregate, no window)."""
-    best = F.max_by(F.struct("columns", "tagNames", "version"), F.col("version"))
-    return catalog.groupBy("tablename").agg(best.alias("_b")).select(
+    """Latest version of each dataset's catalog row.  A dataset has one catalog row per save,
+    so its rows are gathered (an object-hash aggregate) and the highest version is taken."""
+    versions = F.sort_array(F.collect_list(F.struct("version", "columns", "tagNames")), asc=False)
+    return catalog.groupBy("tablename").agg(F.element_at(versions, 1).alias("_b")).select(
         "tablename", "_b.columns", "_b.tagNames", "_b.version")
 
 
