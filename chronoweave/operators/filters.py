@@ -20,14 +20,16 @@ def time_range_filter(df: DataFrame, start_s: int | None = None, finish_s: int |
 
 
 def raw_time_range_filter(df: DataFrame, column: str, start_s: int | None = None,
-                          finish_s: int | None = None) -> DataFrame:
-    """The same inclusive range on a raw TIMESTAMP_NTZ column, written so that the Parquet
-    scan receives it as a pushed filter: floor(epoch(t)) <= f  <=>  t < f + 1."""
+                          finish_s: int | None = None, ntz: bool = True) -> DataFrame:
+    """The same inclusive range on a raw TIMESTAMP_NTZ (or, with ``ntz=False``, TIMESTAMP)
+    column, written as comparisons with constants so that the Parquet scan receives it as a
+    pushed filter: floor(epoch(t)) <= f  <=>  t < f + 1."""
+    lit = ntz_literal if ntz else (lambda s: F.timestamp_seconds(F.lit(int(s))))
     cond = None
     if start_s is not None:
-        cond = c(column) >= ntz_literal(start_s)
+        cond = c(column) >= lit(start_s)
     if finish_s is not None:
-        upper = c(column) < ntz_literal(int(finish_s) + 1)
+        upper = c(column) < lit(int(finish_s) + 1)
         cond = upper if cond is None else cond & upper
     return df if cond is None else df.where(cond)
 

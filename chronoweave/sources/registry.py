@@ -21,8 +21,7 @@ def _table(spark: SparkSession, s: SourceSpec, start: int | None, finish: int |
 
     if not s.time_column:
         raise ValueError("a table source needs time_column")
-    return read_tag_table(spark, s.options["path"], s.time_column, s.tags, start, finish,
-                          s.time_kind if s.time_kind != "text" else "timestamp",
+    return read_tag_table(spark, s.options["path"], s.time_column, s.tags, start, finish, s.time_kind,
                           fmt=s.options.get("format", "parquet"))
 
 

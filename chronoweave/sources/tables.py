@@ -13,7 +13,7 @@ from chronoweave.specs import TagSpec
 
 
 def read_tag_table(spark: SparkSession, path: str, time_column: str, tags: Sequence[TagSpec],
-                   start_s: int | None = None, finish_s: int | None = None, time_kind: str = "timestamp",
+                   start_s: int | None = None, finish_s: int | None = None, time_kind: str = "auto",
                    fmt: str = "parquet", ts: str = "timestamp") -> DataFrame:
     """Table -> ``(timestamp BIGINT, tags ...)``.  For a TIMESTAMP_NTZ time column the range is
     applied to the raw column so it is pushed into the scan; only the listed columns are read."""
@@ -21,11 +21,26 @@ def read_tag_table(spark: SparkSession, path: str, time_column: str, tags: Seque
     return prepare_tag_frame(raw, time_column, tags, start_s, finish_s, time_kind, ts)
 
 
+def time_kind_of(df: DataFrame, column: str) -> str:
+    """"timestamp" (either timestamp type), "epoch" (numbers) or "text", from the column type."""
+    t = dict(df.dtypes)[column]
+    if t.startswith("timestamp"):
+        return "timestamp"
+    if t in ("string",):
+        return "text"
+    return "epoch"
+
+
 def prepare_tag_frame(raw: DataFrame, time_column: str, tags: Sequence[TagSpec], start_s: int | None = None,
-                      finish_s: int | None = None, time_kind: str = "timestamp", ts: str = "timestamp") -> DataFrame:
+                      finish_s: int | None = None, time_kind: str = "auto", ts: str = "timestamp") -> DataFrame:
+    """A table with a time column -> ``(timestamp BIGINT, tags ...)`` inside the range.  The
+    time column's kind is taken from its type unless given."""
+    if time_kind == "auto":
+        time_kind = time_kind_of(raw, time_column)
     if time_kind == "timestamp":
-        raw = raw_time_range_filter(raw, time_column, start_s, finish_s)
-        return select_tags(raw, tags, epoch_seconds(c(time_column)), ts)
+        ntz = dict(raw.dtypes)[time_column] == "timestamp_ntz"
+        raw = raw_time_range_filter(raw, time_column, start_s, finish_s, ntz=ntz)
+        return select_tags(raw, tags, epoch_seconds(c(time_column), ntz=ntz), ts)
     if time_kind == "epoch":
         out = select_tags(raw, tags, c(time_column).cast("bigint"), ts)
     elif time_kind == "text":

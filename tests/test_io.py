@@ -182,3 +182,16 @@ def test_next_gap_without_tiebreak(spark):
     df = spark.createDataFrame([(t,) for t in ts], "timestamp long")
     got = sorted((r["timestamp"], r["t"]) for r in next_gap(df, chunk=10).collect())
     assert got == sorted(brute.gaps(ts))
+
+
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp", "epoch", "text"])
+def test_table_time_kinds(spark, scratch, kind):
+    path = scratch("kinds")
+    base = spark.createDataFrame([(1577923200, 1.0), (1577923260, 2.0), (1577930000, 3.0)], "e long, v double")
+    t = {"timestamp_ntz": "timestampadd(SECOND, e, TIMESTAMP_NTZ'1970-01-01 00:00:00')",
+         "timestamp": "timestamp_seconds(e)", "epoch": "e",
+         "text": "date_format(timestampadd(SECOND, e, TIMESTAMP_NTZ'1970-01-01 00:00:00'), 'yyyy/MM/dd HH:mm:ss')"}[kind]
+    base.selectExpr(f"{t} AS t", "v").write.parquet(path)
+    src = SourceSpec("PARQUET", {"path": path}, (TagSpec(1, "v", "val"),), time_column="t")
+    got = sorted(tuple(r) for r in read_source(spark, src, 1577923200, 1577923260).collect())
+    assert got == [(1577923200, 1.0), (1577923260, 2.0)]
