@@ -16,6 +16,7 @@ from chronoweave.operators.metadata import multi_table_select, resolve_source
 from chronoweave.operators.pack import pack_rdbms
 from chronoweave.sources.jdbc import URL_TEMPLATES, Connection, read_registered
 from chronoweave.sources.store import DatasetStore
+from chronoweave.sources.tables import time_kind_of
 from chronoweave.specs import ImportRule
 
 TableReader = Callable[[str], DataFrame]
@@ -59,9 +60,10 @@ def rdbms_import(spark: SparkSession, dataset_id: str, rule: ImportRule, dataset
     frames = []
     for t in tables:
         df = read(t)
-        if t == ts_table and dict(df.dtypes).get(ts_col, "").startswith("timestamp"):
-            df = raw_time_range_filter(df, ts_col, rule.start_s, rule.finish_s)
-            df = df.withColumn(ts_col, epoch_seconds(c(ts_col)))
+        if t == ts_table and time_kind_of(df, ts_col) == "timestamp":
+            ntz = dict(df.dtypes)[ts_col] == "timestamp_ntz"
+            df = raw_time_range_filter(df, ts_col, rule.start_s, rule.finish_s, ntz=ntz)
+            df = df.withColumn(ts_col, epoch_seconds(c(ts_col), ntz=ntz))
         elif t == ts_table:
             df = time_range_filter(df, rule.start_s, rule.finish_s, ts_col)
         frames.append((t, df))
