@@ -111,3 +111,15 @@ def test_grid_has_no_duplicates(spark, start, span, iv):
     assert len(got) == len(set(got))
     n = max(span // iv, 1)
     assert sorted(got) == sorted({start + i * iv for i in range(n)} | {start + span})
+
+
+@pytest.mark.parametrize("opts", [{"materialize": True}, {"inline": True}, {"materialize": True, "inline": True}])
+def test_resample_options_same_rows(spark, opts):
+    rows = ([("a", t * 300, float(t % 5)) for t in range(20)] + [("b", t * 900, float(t)) for t in range(6)]
+            + [("c", 100, 1.0)])
+    df = spark.createDataFrame(rows, "s string, timestamp long, v double")
+    base = sorted(tuple(r) for r in resample(df, 600, by=["s"]).collect())
+    assert sorted(tuple(r) for r in resample(df, 600, by=["s"], **opts).collect()) == base
+    single = df.where("s = 'a'").drop("s")
+    assert sorted(tuple(r) for r in resample(single, 600, **opts).collect()) == \
+        sorted(tuple(r) for r in resample(single, 600).collect())
