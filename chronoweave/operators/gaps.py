@@ -77,10 +77,18 @@ def next_gap(df: DataFrame, ts: str = "timestamp", by: Sequence[str] = (), tiebr
 
 
 def infer_interval(df: DataFrame, ts: str = "timestamp", by: Sequence[str] = (),
-                   chunk: int = DAY, out: str = "interval") -> DataFrame:
+                   chunk: int = DAY, out: str = "interval", literal: bool = False) -> DataFrame:
     """Per series, the smallest positive gap between consecutive distinct timestamps (NULL
-    when the series has fewer than two distinct timestamps)."""
+    when the series has fewer than two distinct timestamps).
+
+    ``literal=True`` gives the second smallest of all row gaps instead (the last row's gap is
+    0), which is 0 as soon as the series has a duplicate timestamp and NULL for a single row."""
     k = list(by)
     d = distinct_next(df, ts, k, chunk)
-    return d.groupBy(*[c(x) for x in k]).agg(
-        F.min(F.when(F.col("_next") > c(ts), F.col("_next") - c(ts))).alias(out))
+    smallest = F.min(F.when(F.col("_next") > c(ts), F.col("_next") - c(ts)))
+    if not literal:
+        return d.groupBy(*[c(x) for x in k]).agg(smallest.alias(out))
+    rows, distinct = F.sum("_n"), F.count(F.lit(1))
+    second = (F.when(rows < 2, F.lit(None).cast("bigint"))
+                .when(rows > distinct, F.lit(0).cast("bigint")).otherwise(smallest))
+    return d.groupBy(*[c(x) for x in k]).agg(second.alias(out))

@@ -98,6 +98,12 @@ class DatasetStore:
         version, entries = self.latest(name)
         return unpack(self.read_packed(name, version), entries)
 
+    def register(self, name: str, view: str | None = None) -> DataFrame:
+        """Make the stored dataset queryable from Spark SQL as a temporary view."""
+        df = self.load(name)
+        df.createOrReplaceTempView(view or name)
+        return df
+
     # exception log ----------------------------------------------------------------------
     def log_errors(self, messages: DataFrame) -> None:
         """Append ``(app, message)`` rows."""

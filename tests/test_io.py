@@ -195,3 +195,10 @@ def test_table_time_kinds(spark, scratch, kind):
     src = SourceSpec("PARQUET", {"path": path}, (TagSpec(1, "v", "val"),), time_column="t")
     got = sorted(tuple(r) for r in read_source(spark, src, 1577923200, 1577923260).collect())
     assert got == [(1577923200, 1.0), (1577923260, 2.0)]
+
+
+def test_register_view(spark, scratch):
+    store = DatasetStore(spark, scratch("view"))
+    store.save(spark.createDataFrame([(1, 2.0)], "timestamp long, x double"), "ds")
+    store.register("ds", "ds_view")
+    assert spark.sql("SELECT sum(x) AS s FROM ds_view").first()["s"] == 2.0

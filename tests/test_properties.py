@@ -123,3 +123,12 @@ def test_resample_options_same_rows(spark, opts):
     single = df.where("s = 'a'").drop("s")
     assert sorted(tuple(r) for r in resample(single, 600, **opts).collect()) == \
         sorted(tuple(r) for r in resample(single, 600).collect())
+
+
+@SETTINGS
+@given(ts=ts_lists)
+def test_literal_interval_is_second_smallest_row_gap(spark, ts):
+    df = spark.createDataFrame([(t,) for t in ts], "timestamp long")
+    gaps = sorted(g for _, g in brute.gaps(ts))
+    expected = gaps[1] if len(gaps) > 1 else None
+    assert infer_interval(df, literal=True).first()["interval"] == expected
