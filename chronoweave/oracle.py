@@ -226,6 +226,19 @@ ORACLE_SQL: dict[str, str] = {
               FROM o GROUP BY dsabelid)
         SELECT o.dsabelid AS tablename, o.labelid AS colname, 'DoubleType' AS datatype, CAST(o.orderby AS BIGINT) AS orderby,
                n.tagNames FROM o JOIN n USING (dsabelid)""",
+    "catalog_from_labels_customers": """WITH base AS (
+          SELECT 'cust_' || CAST(c_custkey AS VARCHAR) AS dsabelid, n_name, c_mktsegment
+          FROM customer JOIN nation ON c_nationkey = n_nationkey),
+        labels AS (
+          SELECT dsabelid, 'erp.' || n_name || '.' || c_mktsegment AS labelid, 2 AS ord, 0 AS timestampif FROM base
+          UNION ALL SELECT dsabelid, 'erp.' || n_name || '.balance', 1, 0 FROM base
+          UNION ALL SELECT dsabelid, 'erp.' || n_name || '.ts', 9, 1 FROM base),
+        o AS (SELECT dsabelid, labelid, row_number() OVER (PARTITION BY dsabelid
+                ORDER BY CASE WHEN timestampif = 1 THEN 0 ELSE 1 END, ord, labelid) - 1 AS orderby FROM labels),
+        n AS (SELECT dsabelid, string_agg(regexp_extract(labelid, '([^.]*)$', 1), ',' ORDER BY orderby) AS tagNames
+              FROM o GROUP BY dsabelid)
+        SELECT o.dsabelid AS tablename, o.labelid AS colname, 'DoubleType' AS datatype, CAST(o.orderby AS BIGINT) AS orderby,
+               n.tagNames FROM o JOIN n USING (dsabelid)""",
     "catalog_lookup": _catalog_values(
         [("orders_daily", n, t, i, 3) for i, (n, t) in enumerate(_DAILY_ENTRIES)],
         "tablename, colname, datatype, orderby, n_columns"),

@@ -332,6 +332,23 @@ def q_catalog_from_labels(spark: SparkSession, d: str) -> DataFrame:
         .select("tablename", "colname", "datatype", F.col("orderby").cast("bigint").alias("orderby"), "tagNames")
 
 
+def q_catalog_from_labels_customers(spark: SparkSession, d: str) -> DataFrame:
+    """One dataset per customer (datasets grow with the table), three labels each."""
+    cust, nation = _t(spark, d, "customer"), _t(spark, d, "nation")
+    base = cust.join(nation, cust.c_nationkey == nation.n_nationkey).select(
+        F.concat(F.lit("cust_"), F.col("c_custkey").cast("string")).alias("dsabelid"), "n_name", "c_mktsegment")
+    labels = base.select("dsabelid", F.explode(F.array(
+        F.struct(F.concat_ws(".", F.lit("erp"), "n_name", "c_mktsegment").alias("labelid"), F.lit(2).alias("ord"),
+                 F.lit(0).alias("timestampif")),
+        F.struct(F.concat_ws(".", F.lit("erp"), "n_name", F.lit("balance")).alias("labelid"), F.lit(1).alias("ord"),
+                 F.lit(0).alias("timestampif")),
+        F.struct(F.concat_ws(".", F.lit("erp"), "n_name", F.lit("ts")).alias("labelid"), F.lit(9).alias("ord"),
+                 F.lit(1).alias("timestampif")))).alias("l")).select("dsabelid", "l.*")
+    cat = catalog_from_labels(labels, dataset="dsabelid", label="labelid", order="ord", is_time="timestampif")
+    return explode_entries(cat).join(cat.select("tablename", "tagNames"), "tablename") \
+        .select("tablename", "colname", "datatype", F.col("orderby").cast("bigint").alias("orderby"), "tagNames")
+
+
 def q_catalog_lookup(spark: SparkSession, d: str) -> DataFrame:
     store = _store(spark, "catalog_lookup")
     daily = _orders_daily(spark, d)
@@ -462,6 +479,7 @@ QUERIES: dict[str, Query] = {
     "csv_null_to_zero": q_csv_null_to_zero,
     "catalog_build": q_catalog_build,
     "catalog_from_labels": q_catalog_from_labels,
+    "catalog_from_labels_customers": q_catalog_from_labels_customers,
     "catalog_lookup": q_catalog_lookup,
     "cast_by_catalog": q_cast_by_catalog,
     "bad_field_names": q_bad_field_names,
