@@ -53,9 +53,12 @@ def explode_range(df: DataFrame, lo: Column | str, hi: Column | str, step: Colum
 
     out = df.select(*[c(x) for x in df.columns], col(lo).cast("bigint").alias("_xr_lo"),
                     col(hi).cast("bigint").alias("_xr_hi"), col(step).cast("bigint").alias("_xr_st"))
-    out = out.where("_xr_hi >= _xr_lo").selectExpr(
+    # an empty range explodes an empty array (no filter: a filter here would be pushed into
+    # the inputs and copied into every expression the bounds come from)
+    out = out.selectExpr(
         *keep, "_xr_lo", "_xr_hi", "_xr_st",
-        f"explode(sequence(0L, ((_xr_hi - _xr_lo) div _xr_st) div {block}L)) AS _xr_blk")
+        f"explode(CASE WHEN _xr_hi >= _xr_lo THEN sequence(0L, ((_xr_hi - _xr_lo) div _xr_st) div {block}L) "
+        "ELSE array() END) AS _xr_blk")
     start = f"_xr_lo + _xr_blk * {block}L * _xr_st"
     return out.selectExpr(
         *keep, f"explode(sequence({start}, least(_xr_hi, {start} + {block - 1}L * _xr_st), _xr_st)) AS {quote(name)}")

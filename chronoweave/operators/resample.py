@@ -127,9 +127,10 @@ def resample(df: DataFrame, interval: int, ts: str = "timestamp", by: Sequence[s
     once: equal-branch series into their fill positions, the others into the target buckets
     they reach (weighted by fill steps).  One hash aggregate then yields both kinds of output
     row, so ``d`` feeds a single path.  The branch of each series comes from a per-series
-    aggregate of ``d``, joined back (AQE makes it a broadcast join when the measured table is
-    small, and reuses ``d``'s shuffles for it); for a single series, or with ``inline``, it
-    is read first and inlined as literals.  With ``materialize`` ``d`` is written as a table
+    aggregate of ``d``: joined back for several series (AQE makes it a broadcast join when the
+    measured table is small), a scalar subquery for one; either way AQE computes it on
+    ``d``'s shuffles, so the gap pipeline runs once.  With ``inline`` it is read first and
+    inlined as literals.  With ``materialize`` ``d`` is written as a table
     in the shared checkpoint folder first, cutting the lineage.
 
     Output values are DOUBLE.  For text inputs a ``_bad`` column flags rows whose forward-filled
@@ -157,15 +158,17 @@ def resample(df: DataFrame, interval: int, ts: str = "timestamp", by: Sequence[s
         d = materialized(d, "resample-gaps")
     used = [x for x in d.columns if x != "_n"]             # what the main path reads of d
     table = _branch_table(d, k, ts, new, share=used).select(*k, "step", "branch")
-    # A single series has exactly one branch row: it is read (one small job) and inlined as
-    # literals.  As a scalar subquery, predicate pushdown would copy it into every expression
-    # that uses the step.
-    rows = table.limit(MAX_INLINE_SERIES + 1).collect() if (inline or not k) else None
+    rows = table.limit(MAX_INLINE_SERIES + 1).collect() if inline else None
     if rows is not None and len(rows) <= MAX_INLINE_SERIES:
         dd = d.select("*", _per_series(k, rows, "step").cast("bigint").alias("step"),
                       _per_series(k, rows, "branch").cast("string").alias("branch"))
-    else:
+    elif k:
         dd = d.join(table, k, "left")
+    else:
+        # one series: a scalar subquery, projected once as a struct and then split, so the
+        # optimizer keeps a single copy; AQE runs it on the same shuffles as the main path
+        both = table.select(F.struct("step", "branch")).scalar()
+        dd = d.select("*", both.alias("_b")).selectExpr("*", "_b.step AS step", "_b.branch AS branch").drop("_b")
 
     # Each row of d explodes once: equal-branch series into fill positions 0 .. n-1, the
     # others into the target buckets their own timestamp and fill steps reach.
