@@ -202,3 +202,11 @@ def test_register_view(spark, scratch):
     store.save(spark.createDataFrame([(1, 2.0)], "timestamp long, x double"), "ds")
     store.register("ds", "ds_view")
     assert spark.sql("SELECT sum(x) AS s FROM ds_view").first()["s"] == 2.0
+
+
+@pytest.mark.parametrize("fmt", ["orc", "json"])
+def test_store_other_formats(spark, scratch, fmt):
+    store = DatasetStore(spark, scratch("fmt"), fmt)
+    store.save(spark.createDataFrame([(1, 1.5, None)], "timestamp long, a double, b double"), "ds")
+    store.save(spark.createDataFrame([(2, 2.5, 3.0)], "timestamp long, a double, b double"), "ds", mode="append")
+    assert sorted(tuple(r) for r in store.load("ds").collect()) == [(1, 1.5, 0.0), (2, 2.5, 3.0)]
