@@ -4,8 +4,9 @@ The plain formulation, ``lead(ts) OVER (ORDER BY ts)``, sends a whole series thr
 task.  Here the window runs on *distinct* timestamps cut into fixed time chunks: a chunk of
 ``chunk`` seconds holds at most ``chunk`` distinct timestamps however many rows share them,
 so every window partition is bounded.  The last timestamp of a chunk takes the first
-timestamp of the next non-empty chunk, found from a one-row-per-chunk table.  Duplicate
-timestamps are collapsed by a partial (map-side) aggregate before any shuffle.
+timestamp of the next non-empty chunk, found by a window over the chunks' edge rows (at most
+two per chunk).  Duplicate timestamps are collapsed by a partial (map-side) aggregate before
+any shuffle.
 """
 
 from __future__ import annotations

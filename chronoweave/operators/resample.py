@@ -98,7 +98,7 @@ def resample_plan(df: DataFrame, interval: int, ts: str = "timestamp", by: Seque
     return _branch_table(distinct_next(df, ts, list(by), chunk), list(by), ts, interval)
 
 
-# Above this many series the branch table is joined instead of inlined as literals.
+# With ``inline``: above this many series the branch table is joined instead of inlined.
 MAX_INLINE_SERIES = 1000
 INLINE_DEFAULT = False
 
