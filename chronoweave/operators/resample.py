@@ -57,11 +57,14 @@ def downsample(df: DataFrame, interval: int | Column, ts: str = "timestamp", by:
     (``label="bucket"``).  Text cells are parsed leniently; unparsable text is ignored."""
     k = list(by)
     vals = list(values) if values is not None else value_columns(df, [*k, ts])
-    bucket = floor_to(c(ts), as_col(interval))
+    t = quote(ts)
+    bucket = floor_to(c(ts), as_col(interval)) if isinstance(interval, Column) \
+        else F.expr(f"{t} - pmod({t}, {int(interval)}L)")
     res = (df.groupBy(*[c(x) for x in k], bucket.alias("_bucket"))
-             .agg(F.min(c(ts)).alias("_min_ts"), *[F.avg(to_double(c(v))).alias(v) for v in vals]))
-    lab = F.col("_min_ts") if label == "min" else F.col("_bucket")
-    return res.select(*[c(x) for x in k], lab.alias(ts), *[c(v) for v in vals])
+             .agg(F.expr(f"min({t}) AS _min_ts"),
+                  *[F.expr(f"avg(try_cast({quote(v)} AS DOUBLE)) AS {quote(v)}") for v in vals]))
+    lab = "_min_ts" if label == "min" else "_bucket"
+    return res.selectExpr(*[quote(x) for x in k], f"{lab} AS {t}", *[quote(v) for v in vals])
 
 
 def _gcd_sql(a: str, b: str) -> str:
