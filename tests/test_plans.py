@@ -35,3 +35,16 @@ def test_gap_windows_are_partitioned(spark):
 def test_resample_multi_series_single_pass(spark):
     df = queries()["resample_plan"](spark, SF)
     assert "SinglePartition" not in plan_of(df)
+
+
+def test_single_series_window_partitioned_by_chunk(spark):
+    p = plan_of(queries()["next_gap_chunked"](spark, SF))
+    # the row-level window is partitioned by the time chunk (an extracted partition
+    # expression); the one single-partition exchange sits above the filter that keeps only
+    # each chunk's edge rows (two per chunk)
+    chunk_window = [x for x in p.split("\n") if "Window [lead(" in x and "lag(" in x]
+    assert chunk_window and "windowspecdefinition(_w" in chunk_window[0]
+    lines = p.split("\n")
+    single = [i for i, x in enumerate(lines) if "Exchange SinglePartition" in x]
+    assert len(single) == 1
+    assert "isnull(_prev" in lines[single[0] + 1] or "isnull(_prev" in lines[single[0] + 2]
