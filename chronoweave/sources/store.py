@@ -111,4 +111,7 @@ class DatasetStore:
             .write.mode(APPEND).format(self.fmt).save(self._errors)
 
     def errors(self) -> DataFrame:
-        return self.spark.read.format(self.fmt).load(self._errors)
+        """The exception log ``(app, message)`` (empty before anything was logged)."""
+        if not path_exists(self.spark, self._errors):
+            return self.spark.createDataFrame([], "app string, message string")
+        return self.spark.read.schema("app string, message string").format(self.fmt).load(self._errors)

@@ -210,3 +210,11 @@ def test_store_other_formats(spark, scratch, fmt):
     store.save(spark.createDataFrame([(1, 1.5, None)], "timestamp long, a double, b double"), "ds")
     store.save(spark.createDataFrame([(2, 2.5, 3.0)], "timestamp long, a double, b double"), "ds", mode="append")
     assert sorted(tuple(r) for r in store.load("ds").collect()) == [(1, 1.5, 0.0), (2, 2.5, 3.0)]
+
+
+def test_error_log_empty_then_appended(spark, scratch):
+    store = DatasetStore(spark, scratch("errs"))
+    assert store.errors().count() == 0
+    store.log_errors(spark.createDataFrame([("app", "m1")], "app string, message string"))
+    store.log_errors(spark.createDataFrame([("app", "m2")], "app string, message string"))
+    assert sorted(r["message"] for r in store.errors().collect()) == ["m1", "m2"]
