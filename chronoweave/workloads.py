@@ -114,27 +114,32 @@ def _cell_frame(spark: SparkSession, d: str) -> DataFrame:
 # scans, filters, gaps
 # ------------------------------------------------------------------------------------------
 def q_time_range_filter(spark: SparkSession, d: str) -> DataFrame:
+    """Events inside an inclusive range given in epoch ms, pushed into the scan."""
     rule = ImportRule("range", start_ms=RANGE_START * 1000, finish_ms=RANGE_FINISH * 1000 + 999)
     ev = raw_time_range_filter(_t(spark, d, "events"), "ts", rule.start_s, rule.finish_s)
     return ev.select("event_id", epoch_seconds(F.col("ts")).alias("timestamp"), "event_type", "value")
 
 
 def q_modulo_sample(spark: SparkSession, d: str) -> DataFrame:
+    """Events whose epoch second is a multiple of 30."""
     return modulo_sample(_events(spark, d), 30).select("event_id", "timestamp", "event_type", "value")
 
 
 def q_next_gap(spark: SparkSession, d: str) -> DataFrame:
+    """Gap to the next event of the same type (ties broken by event id)."""
     g = next_gap(_events(spark, d).select("event_id", "event_type", "timestamp"), by=["event_type"],
                  tiebreak="event_id", out="gap")
     return g.select("event_type", "timestamp", "gap")
 
 
 def q_next_gap_chunked(spark: SparkSession, d: str) -> DataFrame:
+    """Gap to the next event over all events as one series, hour chunks stitched."""
     g = next_gap(_events(spark, d).select("event_id", "timestamp"), tiebreak="event_id", out="gap", chunk=3600)
     return g.select("timestamp", "gap")
 
 
 def q_infer_interval(spark: SparkSession, d: str) -> DataFrame:
+    """AG3: each event type's own interval (smallest positive gap)."""
     return infer_interval(_events(spark, d).select("event_type", "timestamp"), by=["event_type"])
 
 
@@ -142,12 +147,14 @@ def q_infer_interval(spark: SparkSession, d: str) -> DataFrame:
 # resampling
 # ------------------------------------------------------------------------------------------
 def q_upsample_ffill(spark: SparkSession, d: str) -> DataFrame:
+    """G1: hourly averages of every event type forward-filled at 1800 s."""
     types = ["view", "click", "purchase", "signup", "error"]
     src = _regular_sources(spark, d, {t: 3600 for t in types})
     return _r(upsample(src, 1800, by=["event_type"], values=["value"]), ["value"])
 
 
 def q_downsample_avg(spark: SparkSession, d: str) -> DataFrame:
+    """AG1: hourly averages per event type, labelled with the bucket's first second."""
     ev = _events(spark, d).select("event_type", "timestamp", "value")
     return _r(downsample(ev, 3600, by=["event_type"], values=["value"]), ["value"])
 
@@ -160,6 +167,7 @@ def _resample_one(kind: str) -> Query:
 
 
 def q_resample_plan(spark: SparkSession, d: str) -> DataFrame:
+    """Per-series old interval, step and branch for the three regular sources."""
     src = _regular_sources(spark, d, SOURCE_BUCKETS)
     return resample_plan(src, 3600, by=["event_type"]).withColumnRenamed("event_type", "series")
 
@@ -168,18 +176,21 @@ def q_resample_plan(spark: SparkSession, d: str) -> DataFrame:
 # timelines and alignment
 # ------------------------------------------------------------------------------------------
 def q_time_grid(spark: SparkSession, d: str) -> DataFrame:
+    """Weekly key timeline between the first and last order date."""
     o = _t(spark, d, "orders").select(epoch_seconds(F.col("o_orderdate")).alias("t"))
     bounds = o.agg(F.min("t").alias("start"), F.max("t").alias("finish"))
     return time_grid_from_bounds(bounds, WEEK)
 
 
 def q_union_keys(spark: SparkSession, d: str) -> DataFrame:
+    """U1/AG2: distinct days of orders and of shipments."""
     o = _t(spark, d, "orders").select(epoch_seconds(F.col("o_orderdate")).alias("timestamp"))
     li = _t(spark, d, "lineitem").select(epoch_seconds(F.col("l_shipdate")).alias("timestamp"))
     return union_keys([o, li])
 
 
 def q_align_union_keys(spark: SparkSession, d: str) -> DataFrame:
+    """C1 without resampling: daily order totals and shipped quantities on the union of their days."""
     orders, ship = _daily(spark, d)
     rule = ImportRule("daily", interval_s=0, on_error=DROP)
     ds = build_dataset(spark, [("orders", orders), ("lineitem", ship)], ["order_total", "ship_qty"], rule)
@@ -187,6 +198,7 @@ def q_align_union_keys(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_full_outer_offgrid(spark: SparkSession, d: str) -> DataFrame:
+    """C1 literal: key timeline full-joined with each source; off-timeline rows keep a NULL key."""
     orders, ship = _daily(spark, d)
     keys = time_grid(spark, ORDERS_START, ORDERS_FINISH, WEEK)
     out = align_by_joins(keys, [orders, ship], ["order_total", "ship_qty"])
@@ -209,15 +221,18 @@ def flagship(spark: SparkSession, d: str) -> DataFrame:
 # quality
 # ------------------------------------------------------------------------------------------
 def q_validate_drop(spark: SparkSession, d: str) -> DataFrame:
+    """B9 drop policy: rows whose text cell is not a number are removed, NULL becomes 0.0."""
     f = _cell_frame(spark, d)
     return validate(f, ["value", "cell"], DROP, keep=["event_id"])
 
 
 def q_validate_fail_count(spark: SparkSession, d: str) -> DataFrame:
+    """B9 fail policy, counted: valid and rejected rows per event type."""
     return validation_counts(_cell_frame(spark, d), ["value", "cell"], by=["event_type"])
 
 
 def q_detect_type_errors(spark: SparkSession, d: str) -> DataFrame:
+    """A3: wrongly typed cells per column of a text frame."""
     f = _cell_frame(spark, d)
     time_text = F.when(F.col("event_type") == "signup", F.concat(F.lit("t"), F.col("timestamp").cast("string"))) \
         .otherwise(F.col("timestamp").cast("string"))
@@ -226,6 +241,7 @@ def q_detect_type_errors(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_rejects_report(spark: SparkSession, d: str) -> DataFrame:
+    """Exception-log rows for rejected rows."""
     f = _cell_frame(spark, d).select("timestamp", "value", "cell")
     return rejects_report(f, ["value", "cell"], "events_import")
 
@@ -240,31 +256,37 @@ def _lineitem_wide(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_pack_dataset(spark: SparkSession, d: str) -> DataFrame:
+    """Lineitem quantities, prices and discounts packed behind the ship date."""
     return pack(_lineitem_wide(spark, d))
 
 
 def q_pack_no_timestamp(spark: SparkSession, d: str) -> DataFrame:
+    """P4 without a timestamp column."""
     return pack(_t(spark, d, "lineitem").select("l_quantity", "l_extendedprice", "l_discount", "l_tax"))
 
 
 def q_pack_dataset_rdbms(spark: SparkSession, d: str) -> DataFrame:
+    """P5: database flavour, missing cells as empty text."""
     o = _t(spark, d, "orders").select(epoch_seconds(F.col("o_orderdate")).alias("t"), "o_totalprice",
                                       "o_custkey", "o_orderpriority")
     return pack_rdbms(o, "t", ["o_totalprice", "o_custkey", "o_orderpriority"])
 
 
 def q_unpack_dataset(spark: SparkSession, d: str) -> DataFrame:
+    """Pack then unpack by catalog entries."""
     wide = _lineitem_wide(spark, d)
     return unpack(pack(wide), schema_pairs(wide.schema))
 
 
 def q_save_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Save (packed data + catalog row) and load back."""
     store = _store(spark, "save_roundtrip")
     store.save(_orders_daily(spark, d), "orders_daily")
     return _r(store.load("orders_daily"), ["order_total"], 2)
 
 
 def q_append_dataset(spark: SparkSession, d: str) -> DataFrame:
+    """Save the first years, append the rest, load back."""
     store = _store(spark, "append_dataset")
     daily = _orders_daily(spark, d)
     mid = 915148800  # 1999-01-01
@@ -274,6 +296,7 @@ def q_append_dataset(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """CSV sink without header and read back with the schema."""
     o = _t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice",
                                       epoch_seconds(F.col("o_orderdate")).alias("timestamp"))
     path = scratch_path(spark, "csv_roundtrip")
@@ -282,6 +305,7 @@ def q_csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_csv_tag_scan(spark: SparkSession, d: str) -> DataFrame:
+    """A tag file with dotted names read by spec inside a range."""
     daily = _orders_daily(spark, d).select(
         "timestamp", F.col("order_total").alias("plant.order_total"), F.col("order_count").alias("plant.order_count"))
     path = scratch_path(spark, "tag_csv")
@@ -294,6 +318,7 @@ def q_csv_tag_scan(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_csv_null_to_zero(spark: SparkSession, d: str) -> DataFrame:
+    """Inferred CSV with 'null' text and empty cells turned into zero."""
     o = _t(spark, d, "orders")
     text = o.select(
         F.date_format(F.col("o_orderdate"), "yyyy/MM/dd HH:mm:ss").alias("time"),
@@ -308,6 +333,7 @@ def q_csv_null_to_zero(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_catalog_build(spark: SparkSession, d: str) -> DataFrame:
+    """Catalog row of a saved dataset, exploded."""
     store = _store(spark, "catalog_build")
     store.save(_orders_daily(spark, d), "orders_daily")
     cat = latest(store.catalog())
@@ -326,6 +352,7 @@ def _region_labels(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_catalog_from_labels(spark: SparkSession, d: str) -> DataFrame:
+    """Catalogs of all region datasets from nation labels, exploded."""
     cat = catalog_from_labels(_region_labels(spark, d), dataset="dsabelid", label="labelid", order="ord",
                               is_time="timestampif")
     return explode_entries(cat).join(cat.select("tablename", "tagNames"), "tablename") \
@@ -350,6 +377,7 @@ def q_catalog_from_labels_customers(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_catalog_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """Latest of two catalog versions."""
     store = _store(spark, "catalog_lookup")
     daily = _orders_daily(spark, d)
     store.save(daily.select("timestamp", "order_total"), "orders_daily")
@@ -362,6 +390,7 @@ def q_catalog_lookup(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_cast_by_catalog(spark: SparkSession, d: str) -> DataFrame:
+    """Text columns cast by catalog type names."""
     p = _t(spark, d, "part")
     names = [("p_partkey", "LongType"), ("p_name", "StringType"), ("p_size", "IntegerType"),
              ("p_retailprice", "DoubleType")]
@@ -371,6 +400,7 @@ def q_cast_by_catalog(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_bad_field_names(spark: SparkSession, d: str) -> DataFrame:
+    """Label names that are not plain identifiers."""
     p = _t(spark, d, "part")
     labels = p.select(F.col("p_brand").alias("tablename"),
                       F.concat_ws(".", F.lit("erp"), "p_type", "p_name").alias("labelid"))
@@ -382,6 +412,7 @@ def q_bad_field_names(spark: SparkSession, d: str) -> DataFrame:
 # metadata and database-style import
 # ------------------------------------------------------------------------------------------
 def q_resolve_source(spark: SparkSession, d: str) -> DataFrame:
+    """Dataset -> source -> region look-ups."""
     cust, nation, region = _t(spark, d, "customer"), _t(spark, d, "nation"), _t(spark, d, "region")
     datasets = cust.select(F.col("c_custkey").alias("dsabelid"), F.col("c_nationkey").alias("datasourcesid"))
     sources = nation.select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("dsname"),
@@ -394,6 +425,7 @@ def q_resolve_source(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_multi_table_select(spark: SparkSession, d: str) -> DataFrame:
+    """Labelled columns of orders, customer and nation joined on keys, inside a range."""
     orders = raw_time_range_filter(_t(spark, d, "orders"), "o_orderdate", YEARS_START, YEARS_FINISH)
     tables = [("orders", orders), ("customer", _t(spark, d, "customer")), ("nation", _t(spark, d, "nation"))]
     cols = [("orders", "o_orderkey"), ("orders", "o_totalprice"), ("customer", "c_name"), ("nation", "n_name")]
@@ -402,6 +434,7 @@ def q_multi_table_select(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_rdbms_import(spark: SparkSession, d: str) -> DataFrame:
+    """The database-style import on the orders table, stored and read back packed."""
     datasets = spark.createDataFrame([("ds1", "src1")], "dsabelid string, datasourcesid string")
     sources = spark.createDataFrame([("src1", "warehouse", "PARQUET", "", "", d, None, None)],
                                     "id string, dsname string, dstype string, dsip string, dsport string, "
