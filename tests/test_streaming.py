@@ -23,3 +23,16 @@ def test_append_stream_two_waves(spark, scratch):
     got = sorted(tuple(r) for r in store.load("live").collect())
     assert got == [(10, 1.5, 0.0), (30, 3.0, 4.0)]
     assert store.entries("live") == [("timestamp", "LongType"), ("v", "DoubleType"), ("w", "DoubleType")]
+
+
+def test_append_stream_fail_policy_stops(spark, scratch):
+    import pytest
+
+    inbox, store_root, ckpt = scratch("inbox_f"), scratch("store_f"), scratch("ckpt_f")
+    store = DatasetStore(spark, store_root)
+    src = SourceSpec("CSV", {"path": inbox, "tz": "UTC"}, (TagSpec(1, "p.v", "v"),))
+    write_text(spark, inbox + "/w1", ["time,p.v", "1970/01/01 00:00:10,1.5", "1970/01/01 00:00:20,oops"])
+    q = start_append_stream(spark, src, "time", ImportRule("strict", on_error="fail"), store, ckpt, available_now=True)
+    with pytest.raises(Exception, match="rejected row at timestamp 20"):
+        q.awaitTermination(120)
+    assert store.load("strict").count() == 0
