@@ -11,27 +11,30 @@ from pyspark.sql.types import NumericType, StringType, StructField, StructType
 from chronoweave.functions.text import null_text_to_zero
 from chronoweave.functions.time import TIME_TEXT_FORMAT, epoch_to_text, parse_time_text
 from chronoweave.operators._util import c
-from chronoweave.operators.filters import select_tags, time_range_filter
+from chronoweave.operators.filters import time_range_filter
 from chronoweave.specs import TagSpec
 
 
 def read_tag_csv(spark: SparkSession, path: str, tags: Sequence[TagSpec], start_s: int | None = None,
                  finish_s: int | None = None, time_format: str = TIME_TEXT_FORMAT,
                  ts: str = "timestamp", tz: str | None = None,
-                 columns: Sequence[str] | None = None) -> DataFrame:
+                 columns: Sequence[str] | None = None, with_file: bool = False) -> DataFrame:
     """Tag file -> ``(timestamp BIGINT, tag STRING ...)``.
 
     The header names the columns; every cell is read as text.  When the spec lists the
     file's ``columns`` they are declared as the schema (all text) and no job is spent reading
     the header.  The first column is the time text, turned into epoch seconds (NULL if it
     does not parse).  Only the listed tags are kept (CSV column pruning), renamed to their
-    output names, and the inclusive time range applied."""
+    output names, and the inclusive time range applied.  ``with_file`` adds ``_file``, the
+    base name of the file each row came from (without ``.csv``)."""
     reader = spark.read.option("header", True)
     if columns:
         reader = reader.schema(StructType([StructField(x, StringType()) for x in columns]))
     raw = reader.csv(path)
     time_col = raw.columns[0]
-    out = select_tags(raw, tags, parse_time_text(c(time_col), time_format, tz), ts)
+    extra = [F.regexp_replace(F.col("_metadata.file_name"), r"(?i)\.csv$", "").alias("_file")] if with_file else []
+    out = raw.select(parse_time_text(c(time_col), time_format, tz).alias(ts),
+                     *[c(t.id).alias(t.name) for t in tags], *extra)
     return time_range_filter(out, start_s, finish_s, ts)
 
 

@@ -218,3 +218,12 @@ def test_error_log_empty_then_appended(spark, scratch):
     store.log_errors(spark.createDataFrame([("app", "m1")], "app string, message string"))
     store.log_errors(spark.createDataFrame([("app", "m2")], "app string, message string"))
     assert sorted(r["message"] for r in store.errors().collect()) == ["m1", "m2"]
+
+
+def test_tag_csv_file_name(spark, scratch):
+    path = scratch("named")
+    write_text(spark, path, ["t,v", "2020/01/02 00:00:00,1"])
+    df = read_tag_csv(spark, path, [TagSpec(1, "v", "v")], with_file=True)
+    (row,) = df.collect()
+    assert row["timestamp"] == 1577923200 and row["v"] == "1"
+    assert row["_file"].startswith("part-") and not row["_file"].endswith(".csv")
