@@ -48,4 +48,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
 
 
 if __name__ == "__main__":
+    # run as a file (spark-submit .../cli.py): make the package importable from its checkout
+    sys.path.insert(0, __import__("os").path.dirname(__import__("os").path.dirname(
+        __import__("os").path.dirname(__import__("os").path.abspath(__file__)))))
     sys.exit(main())
