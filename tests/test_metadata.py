@@ -23,3 +23,17 @@ def test_rdbms_import_needs_one_source(spark):
     labels = spark.createDataFrame([("d", "t", "db.t.ts", 1)], "dsabelid string, tablename string, labelid string, timestampif int")
     with pytest.raises(ValueError, match="exactly one source"):
         rdbms_import(spark, "d", ImportRule("d"), datasets, sources, labels)
+
+
+def test_one_sided_ranges(spark):
+    from pyspark.sql import functions as F
+
+    from chronoweave.operators.filters import raw_time_range_filter, time_range_filter
+
+    df = spark.createDataFrame([(t,) for t in (10, 20, 30)], "timestamp long")
+    assert [r[0] for r in time_range_filter(df, start_s=20).collect()] == [20, 30]
+    assert [r[0] for r in time_range_filter(df, finish_s=20).collect()] == [10, 20]
+    assert time_range_filter(df).count() == 3
+    raw = df.select(F.expr("timestampadd(SECOND, timestamp, TIMESTAMP_NTZ'1970-01-01 00:00:00')").alias("t"))
+    assert raw_time_range_filter(raw, "t", finish_s=20).count() == 2
+    assert raw_time_range_filter(raw, "t", start_s=21).count() == 1
