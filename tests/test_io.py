@@ -227,3 +227,9 @@ def test_tag_csv_file_name(spark, scratch):
     (row,) = df.collect()
     assert row["timestamp"] == 1577923200 and row["v"] == "1"
     assert row["_file"].startswith("part-") and not row["_file"].endswith(".csv")
+
+
+def test_append_to_missing_dataset_raises(spark, scratch):
+    store = DatasetStore(spark, scratch("missing"))
+    with pytest.raises(KeyError, match="not in the catalog"):
+        store.save(spark.createDataFrame([(1, 1.0)], "timestamp long, x double"), "nope", mode="append")
