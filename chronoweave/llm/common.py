@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +21,26 @@ _RADIX_INV = _U64(pow(int(_RADIX), -1, 1 << 64))
 _powers: list[np.ndarray] = [np.ones(1, _U64), np.ones(1, _U64)]
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers this package, as an archive that Spark hands out, once a session;
+    where it is installed on the workers anyway, this changes nothing."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = Path(__file__).resolve().parent.parent
+    path = Path(tempfile.mkdtemp(prefix="ship-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for p in sorted(package.rglob("*.py")):
+            z.write(p, p.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(path))
+    _shipped.add(app)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

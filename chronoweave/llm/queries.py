@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from . import decontaminate, piece_codec, token_counts
+from . import circulant_minhash, decontaminate, fertility, hilbert_shards, language_ecoc, piece_codec, quality_fm, token_counts, warc_salvage
 
 QUERIES = {
+    "op2_quality_fm": quality_fm.query,
     "op3_token_counts": token_counts.query,
+    "op4_warc_salvage": warc_salvage.query,
+    "op5_fertility": fertility.query,
+    "op6_circulant_minhash": circulant_minhash.query,
+    "op7_language_ecoc": language_ecoc.query,
+    "op8_hilbert_shards": hilbert_shards.query,
     "op9_piece_codec": piece_codec.query,
     "op10_decontaminate": decontaminate.query,
 }
