@@ -1,11 +1,12 @@
 """Operator 9: piece encoding and decoding by a batched Viterbi in numpy.
 
 The model file gives pieces and scores.  A text becomes ``mark + text`` with spaces as marks and
-is cut before each run of marks (no piece crosses such a place; checked when the model is read).
-Distinct words of equal length advance together: for every end position and piece length, the
-hashes of the substrings probe the sorted piece keys, and a vectorised maximum keeps the best
-score and the backpointer.  The segmentation is the one of greatest score sum; at equal sums the
-longer last piece wins.  A character without a piece becomes its UTF-8 byte pieces.
+is cut into words before each run of marks and around line feeds (no piece crosses such a place;
+checked when the model is read).  Distinct words of equal length advance together: for every end
+position and piece length, the hashes of the substrings probe the sorted piece keys, and a
+vectorised maximum keeps the best score and the backpointer.  The segmentation is the one of
+greatest score sum; at equal sums the longer last piece wins.  A character without a piece
+becomes its UTF-8 byte pieces.  Decoding gathers the pieces' bytes and drops the first mark.
 
 Defined results: null and empty texts have no pieces and decode to the empty text; a text that
 itself holds the mark decodes with a space there (``roundtrip`` false), as in the library.
@@ -13,23 +14,30 @@ itself holds the mark decodes with a space there (``roundtrip`` false), as in th
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import mix64, runs, table
+from .common import mix64, prefix_hash, range_hash, runs, table, utf8
 from .token_counts import MARK, model_path
 
-REMEMBERED, REMEMBERED_CHARS = 400_000, 48
-# a word goes through the Viterbi with at most this many cells at once
-CELLS = 2_000_000
+# ids of distinct words remembered per task
+REMEMBERED = 6_000_000
+# cells (words x positions) that advance together
+CELLS = 1_000_000
+# characters above which a word is walked through alone
+LONG = 256
 _MULT = np.uint64(0x2545F4914F6CDD1D)
+_MARK_BYTES = MARK.encode()
+
+
+def ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """begin[0], begin[0]+1, ... (size[0] numbers), begin[1], ..."""
+    return np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
 
 
 class PieceCodec:
@@ -39,52 +47,60 @@ class PieceCodec:
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         n = model.vocab_size()
         text = [model.id_to_piece(i) for i in range(n)]
-        self.byte_id = np.full(256, -1, np.int64)
-        self.bytes_of: list[bytes] = [t.encode() for t in text]
+        self.byte_id = np.full(256, -1, np.int32)
+        out: list[bytes] = [t.replace(MARK, " ").encode() for t in text]
         ids = []
         for i in range(n):
             if model.is_byte(i):
                 value = int(text[i][3:5], 16)
                 self.byte_id[value] = i
-                self.bytes_of[i] = bytes([value])
+                out[i] = bytes([value])
             elif model.is_control(i) or model.is_unknown(i) or model.is_unused(i):
-                self.bytes_of[i] = b""
+                out[i] = b""
             else:
                 ids.append(i)
-        if any(MARK in text[i].lstrip(MARK) for i in ids):
-            raise ValueError("a piece crosses a word's first mark; words can't be encoded apart")
+        if any(MARK in text[i].lstrip(MARK) or "\n" in text[i] for i in ids):
+            raise ValueError("a piece crosses a place where words are cut")
+        self.is_byte = np.isin(np.arange(n), self.byte_id)
+        self.out = np.frombuffer(b"".join(out), np.uint8)
+        self.out_size = np.array([len(b) for b in out], np.int64)
+        self.out_begin = np.cumsum(self.out_size) - self.out_size
         self.longest = max(len(text[i]) for i in ids)
-        keys = np.array([self._key(np.array([[ord(c) for c in text[i]]], np.uint64))[0] for i in ids])
+        keys = np.array([self._key([ord(c) for c in text[i]]) for i in ids], np.uint64)
         order = np.argsort(keys)
-        self.keys, self.ids = keys[order], np.array(ids)[order]
+        self.keys, self.ids = keys[order], np.array(ids, np.int32)[order]
         if (self.keys[1:] == self.keys[:-1]).any():
             raise ValueError("two pieces share a key")
         # the pieces' characters, to confirm each probe
         self.chars = np.zeros((len(ids), self.longest), np.uint32)
-        for row, i in enumerate(self.ids):
+        for row, i in enumerate(self.ids.tolist()):
             self.chars[row, :len(text[i])] = [ord(c) for c in text[i]]
         self.scores = np.array([model.get_score(int(i)) for i in self.ids], np.float64)
         self.unknown = self.scores.min() - 10.0
-        self.cache: dict[str, list[int]] = {}
+        self.clear()
 
     @staticmethod
-    def _key(chars: np.ndarray) -> np.ndarray:
-        h = np.zeros(len(chars), np.uint64)
-        for j in range(chars.shape[1]):
-            h = h * _MULT + chars[:, j] + np.uint64(1)
-        return mix64(h + np.uint64(chars.shape[1]))
-
-    def _viterbi(self, words: list[str], length: int) -> None:
-        """Segment words of one length; all of them advance one character at a time."""
-        n = len(words)
-        chars = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(n, length)
+    def _key(chars: list[int]) -> np.uint64:
+        h = 0
+        for c in chars:
+            h = (h * int(_MULT) + c + 1) & 0xFFFFFFFFFFFFFFFF
+        return mix64(np.array([(h + len(chars)) & 0xFFFFFFFFFFFFFFFF], np.uint64))[0]
+
+    def clear(self) -> None:
+        self.hashes = np.empty(0, np.uint64)  # of known words, sorted
+        self.slot = np.empty(0, np.int64)
+        self.begin = np.zeros(1, np.int64)  # by slot, into pieces
+        self.pieces = np.empty(0, np.int32)
+
+    def viterbi(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Words of one length (rows of characters): (ids one word after another, ids a word)."""
+        n, length = chars.shape
         wide = chars.astype(np.uint64) + np.uint64(1)
         best = np.full((length + 1, n), -np.inf)
         best[0] = 0.0
-        back = np.zeros((length + 1, n), np.int32)  # length of the last piece
-        piece = np.zeros((length + 1, n), np.int32)  # its row in the piece table, -1 unknown
-        # hashes of the substrings that end at ``end``, per length, grown from those before
-        recent: list[np.ndarray] = []
+        back = np.zeros((length + 1, n), np.int8 if self.longest < 128 else np.int32)  # length of the last piece
+        piece = np.full((length + 1, n), -1, np.int32)  # its row in the piece table, -1 unknown
+        recent: list[np.ndarray] = []  # hashes of the substrings that end here, by length
         for end in range(1, length + 1):
             last = wide[:, end - 1]
             recent = [last.copy()] + [h * _MULT + last for h in recent[: self.longest - 1]]
@@ -93,61 +109,154 @@ class PieceCodec:
                 key = mix64(recent[size - 1] + np.uint64(size))
                 at = np.searchsorted(self.keys, key)
                 at[at == len(self.keys)] = 0
-                hit = np.flatnonzero(self.keys[at] == key)
-                if size == 1:
-                    lone = np.setdiff1d(np.arange(n), hit)
-                    score = best[begin, lone] + self.unknown
-                    better = score > best[end, lone]
-                    lone = lone[better]
-                    best[end, lone], back[end, lone], piece[end, lone] = score[better], 1, -1
-                if not len(hit):
-                    continue
-                row = at[hit]
-                same = (self.chars[row, :size] == chars[hit, begin:end]).all(axis=1)
-                hit, row = hit[same], row[same]
-                score = best[begin, hit] + self.scores[row]
-                better = score > best[end, hit]
-                hit, row = hit[better], row[better]
-                best[end, hit], back[end, hit], piece[end, hit] = score[better], size, row
-        for w, word in enumerate(words):
-            at, out = length, []
-            while at > 0:
-                size, row = int(back[at, w]), int(piece[at, w])
-                if row >= 0:
-                    out.append(int(self.ids[row]))
+                hit = self.keys[at] == key
+                if hit.any():
+                    hit[hit] = (self.chars[at[hit], :size] == chars[hit, begin:end]).all(axis=1)
+                if size > 1:
+                    hit = np.flatnonzero(hit)
+                    score = best[begin, hit] + self.scores[at[hit]]
+                    better = score > best[end, hit]
+                    hit, score = hit[better], score[better]
+                    best[end, hit], back[end, hit], piece[end, hit] = score, size, at[hit]
                 else:
-                    out.extend(self.byte_id[b].item() for b in reversed(word[at - 1].encode()))
-                at -= size
-            out.reverse()
-            self.cache[word] = out
-
-    def learn(self, words: set[str]) -> None:
-        """Put the segmentations of ``words`` in the cache."""
-        new: dict[int, list[str]] = {}
-        for w in words:
-            if w not in self.cache:
-                new.setdefault(len(w), []).append(w)
-        for length, group in sorted(new.items()):
+                    score = best[begin] + np.where(hit, self.scores[at], self.unknown)
+                    better = score > best[end]
+                    best[end] = np.where(better, score, best[end])
+                    back[end, better] = 1
+                    piece[end, better] = np.where(hit, at, -1)[better]
+        # all words walk back together; an unknown character gives its bytes, last first
+        at, word, steps = np.full(n, length), np.arange(n), []
+        while len(word):
+            size, row = back[at, word].astype(np.int64), piece[at, word]
+            ids = np.where(row >= 0, self.ids[row], -1)
+            code = chars[word, at - 1]
+            ids[row < 0] = self.byte_id[np.minimum(code[row < 0], 255)]
+            wide_code = np.flatnonzero((row < 0) & (code >= 128))
+            if len(wide_code):
+                for j in wide_code.tolist():
+                    raw = chr(int(code[j])).encode()
+                    for b in raw[:0:-1]:
+                        steps.append((word[j:j + 1], self.byte_id[b:b + 1].copy()))
+                    ids[j] = self.byte_id[raw[0]]
+            steps.append((word, ids))
+            at = at - size
+            word, at = word[at > 0], at[at > 0]
+        who, ids = np.concatenate([w for w, _ in steps])[::-1], np.concatenate([i for _, i in steps])[::-1]
+        order = np.argsort(who, kind="stable")
+        return ids[order], np.bincount(who, minlength=n)
+
+    def viterbi_long(self, chars: np.ndarray) -> list[int]:
+        """One long word: each piece length probes all positions at once, then one walk."""
+        length = len(chars)
+        found: list[list[tuple[int, int]]] = [[] for _ in range(length + 1)]
+        running = np.zeros(length + 1, np.uint64)
+        for size in range(1, min(self.longest, length) + 1):
+            running = running[:length - size + 1] * _MULT + chars[size - 1:].astype(np.uint64) + np.uint64(1)
+            key = mix64(running + np.uint64(size))
+            at = np.searchsorted(self.keys, key)
+            at[at == len(self.keys)] = 0
+            hit = np.flatnonzero(self.keys[at] == key)
+            same = (self.chars[at[hit], :size] == chars[hit[:, None] + np.arange(size)]).all(axis=1)
+            for begin, row in zip(hit[same].tolist(), at[hit[same]].tolist(), strict=True):
+                found[begin + size].append((size, row))
+        best, back = [0.0] + [-np.inf] * length, [(0, 0)] * (length + 1)
+        scores = self.scores.tolist()
+        for end in range(1, length + 1):
+            lone = True
+            for size, row in reversed(found[end]):
+                lone &= size > 1
+                score = best[end - size] + scores[row]
+                if score > best[end]:
+                    best[end], back[end] = score, (size, row)
+            if lone and best[end - 1] + self.unknown > best[end]:
+                best[end], back[end] = best[end - 1] + self.unknown, (1, -1)
+        out, end = [], length
+        while end > 0:
+            size, row = back[end]
+            out.extend([int(self.ids[row])] if row >= 0 else [int(self.byte_id[b]) for b in reversed(chr(int(chars[end - 1])).encode())])
+            end -= size
+        return out[::-1]
+
+    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
+        size = np.array([len(w) for w in words])
+        counts, ids = np.zeros(len(words), np.int64), {}
+        for j in np.flatnonzero(size > LONG).tolist():
+            ids[j] = np.array(self.viterbi_long(np.frombuffer(words[j].replace(" ", MARK).encode("utf-32-le"), np.uint32)), np.int32)
+            counts[j] = len(ids[j])
+        for length in np.unique(size[size <= LONG]).tolist():
+            group = np.flatnonzero(size == length)
             step = max(1, CELLS // (length + 1))
             for i in range(0, len(group), step):
-                self._viterbi(group[i:i + step], length)
-
-    def words(self, text: str | None) -> list[str]:
-        return re.findall(MARK + "+[^" + MARK + "]*", MARK + text.replace(" ", MARK)) if text else []
-
-    def encode(self, texts: list[str | None]) -> list[list[int]]:
-        cut = [self.words(t) for t in texts]
-        if len(self.cache) > REMEMBERED:
-            self.cache.clear()
-        self.learn(set(chain.from_iterable(cut)))
-        out = [list(chain.from_iterable(map(self.cache.__getitem__, words))) for words in cut]
-        for long in [w for w in self.cache if len(w) > REMEMBERED_CHARS]:
-            del self.cache[long]
-        return out
-
-    def decode(self, ids: list[int]) -> str:
-        data = b"".join(map(self.bytes_of.__getitem__, ids)).replace(MARK.encode(), b" ")
-        return data[1:].decode("utf-8", "replace")
+                part = group[i:i + step]
+                chars = np.frombuffer("".join([words[j] for j in part.tolist()]).replace(" ", MARK).encode("utf-32-le"), np.uint32)
+                flat, count = self.viterbi(chars.reshape(len(part), length))
+                counts[part] = count
+                ids.update(zip(part.tolist(), np.split(flat, np.cumsum(count)[:-1]), strict=True))
+        slots = np.arange(len(words)) + len(self.begin) - 1
+        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(counts)])
+        self.pieces = np.concatenate([self.pieces, *(ids[j] for j in range(len(words)))])
+        at = np.searchsorted(self.hashes, hashes)
+        self.slot, self.hashes = np.insert(self.slot, at, slots), np.insert(self.hashes, at, hashes)
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all rows one after another, ids a row)."""
+        data, offsets = utf8(column)
+        rows = len(offsets) - 1
+        if _MARK_BYTES in data.tobytes():
+            data, offsets = utf8(pa.array([(t or "").replace(MARK, " ") for t in column.to_pylist()], pa.large_string()))
+        full = np.flatnonzero(np.diff(offsets))
+        if not len(full):
+            return np.empty(0, np.int32), np.zeros(rows, np.int64)
+        start = offsets[:-1][full]
+        data = np.insert(data, start, 32)  # each text's first mark
+        start = start + np.arange(len(full))
+        # a word begins at a text's start, before a run of spaces, and before and behind a line feed
+        space, feed = data == 32, data == 10
+        cut = feed.copy()
+        cut[1:] |= (space[1:] & ~space[:-1]) | feed[:-1]
+        cut[start] = True
+        # behind a line feed the run of spaces is one word with what follows, as everywhere
+        begin = np.flatnonzero(cut)
+        end = np.append(begin[1:], len(data))
+        row = full[np.searchsorted(start, begin, side="right") - 1]
+        hashes, first, inverse = np.unique(range_hash(prefix_hash(data), begin, end), return_index=True, return_inverse=True)
+        if len(self.pieces) > REMEMBERED:
+            self.clear()
+        at = np.searchsorted(self.hashes, hashes)
+        new = np.ones(len(hashes), bool)
+        inside = at < len(self.hashes)
+        new[inside] = self.hashes[at[inside]] != hashes[inside]
+        if new.any():
+            raw = data.tobytes()
+            self._learn(hashes[new], [raw[begin[i]:end[i]].decode() for i in first[new].tolist()])
+        slot = self.slot[np.searchsorted(self.hashes, hashes)][inverse]
+        size = self.begin[slot + 1] - self.begin[slot]
+        return self.pieces[ranges(self.begin[slot], size)], np.bincount(row, weights=size, minlength=rows).astype(np.int64)
+
+    def decode(self, ids: np.ndarray, per_row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes of all rows one after another, row offsets), each without its first mark."""
+        size = self.out_size[ids]
+        data = self.out[ranges(self.out_begin[ids], size)]
+        ends = np.concatenate([[0], np.cumsum(size)])[np.cumsum(per_row)]
+        offsets = np.concatenate([[0], ends])
+        full = np.diff(offsets) > 0
+        data = np.delete(data, offsets[:-1][full])
+        return data, offsets - np.concatenate([[0], np.cumsum(full)])
+
+
+def same_rows(column: pa.Array, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Which rows of ``column`` hold just these bytes."""
+    own, at = utf8(column)
+    same = np.diff(at) == np.diff(offsets)
+    if same.all():
+        differs = np.zeros(len(own) + 1, np.int64)
+        np.cumsum(own != data, out=differs[1:])
+        return differs[at[1:]] == differs[at[:-1]]
+    return np.array([s and np.array_equal(own[at[i]:at[i + 1]], data[offsets[i]:offsets[i + 1]]) for i, s in enumerate(same.tolist())])
+
+
+def _arrays(ids: np.ndarray, per_row: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(per_row)]).astype(np.int32)), pa.array(ids, pa.int32()))
 
 
 def encode(docs: DataFrame, model: str | None = None) -> DataFrame:
@@ -158,12 +267,10 @@ def encode(docs: DataFrame, model: str | None = None) -> DataFrame:
         codec = None
         for run in runs(batches):
             codec = codec or PieceCodec(path)
-            texts = run.column("text").to_pylist()
-            ids = codec.encode(texts)
-            same = [codec.decode(i) == (t or "") for i, t in zip(ids, texts, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [run.column("doc_id"), run.column("text"), pa.array(ids, pa.list_(pa.int32())), pa.array(same, pa.bool_())],
-                names=["doc_id", "text", "piece_ids", "roundtrip"])
+            ids, per_row = codec.encode(run.column("text"))
+            same = same_rows(run.column("text"), *codec.decode(ids, per_row))
+            yield pa.RecordBatch.from_arrays([run.column("doc_id"), run.column("text"), _arrays(ids, per_row), pa.array(same, pa.bool_())],
+                                             names=["doc_id", "text", "piece_ids", "roundtrip"])
 
     return docs.select("doc_id", "text").mapInArrow(work, "doc_id long, text string, piece_ids array<int>, roundtrip boolean")
 
@@ -176,7 +283,10 @@ def decode(encoded: DataFrame, model: str | None = None) -> DataFrame:
         codec = None
         for batch in batches:
             codec = codec or PieceCodec(path)
-            texts = [codec.decode(i or []) for i in batch.column("piece_ids").to_pylist()]
+            rows = [i or [] for i in batch.column("piece_ids").to_pylist()]
+            per_row = np.array([len(r) for r in rows], np.int64)
+            data, offsets = codec.decode(np.array([i for r in rows for i in r], np.int64), per_row)
+            texts = [data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(offsets, offsets[1:], strict=False)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
     return encoded.select("doc_id", "piece_ids").mapInArrow(work, "doc_id long, text string")
@@ -191,15 +301,14 @@ def summary(docs: DataFrame, model: str | None = None) -> DataFrame:
         codec = None
         for run in runs(batches):
             codec = codec or PieceCodec(path)
-            is_byte = np.isin(np.arange(len(codec.bytes_of)), codec.byte_id)
-            texts = run.column("text").to_pylist()
-            rows = []
-            for ids, text in zip(codec.encode(texts), texts, strict=True):
-                arr = np.array(ids, "<i4")
-                rows.append((len((text or "").encode()), len(ids), int(is_byte[arr].sum()), zlib.crc32(arr.tobytes()), codec.decode(ids) == (text or "")))
-            cols = list(zip(*rows, strict=True))
+            ids, per_row = codec.encode(run.column("text"))
+            same = same_rows(run.column("text"), *codec.decode(ids, per_row))
+            row = np.repeat(np.arange(run.num_rows), per_row)
+            raw, ends = ids.astype("<i4").tobytes(), 4 * np.cumsum(per_row)
+            crc = [zlib.crc32(raw[a:b]) for a, b in zip([0, *ends.tolist()], ends.tolist(), strict=False)]
             yield pa.RecordBatch.from_arrays(
-                [run.column("doc_id"), *(pa.array(c, pa.int64()) for c in cols[:4]), pa.array(cols[4], pa.bool_())],
+                [run.column("doc_id"), pa.array(np.diff(utf8(run.column("text"))[1])), pa.array(per_row),
+                 pa.array(np.bincount(row[codec.is_byte[ids]], minlength=run.num_rows).astype(np.int64)), pa.array(crc, pa.int64()), pa.array(same, pa.bool_())],
                 names=["doc_id", "n_bytes", "n_pieces", "n_byte_pieces", "ids_crc32", "roundtrip"])
 
     return docs.select("doc_id", "text").mapInArrow(
