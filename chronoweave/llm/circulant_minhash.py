@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from chronoweave.session import materialized
 
-from .common import mix64, prefix_hash, range_hash, runs, table, utf8, word_spans
+from .common import mix64, prefix_hash, quoted, range_hash, runs, table, utf8, word_spans
 from .components import components
 from .textstats import IS_WORD
 
@@ -259,7 +259,7 @@ def representatives(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     """Pipeline stage: of each group the document with the smallest doc_id, all columns; of rows
     that repeat a doc_id and text one stays, rows without a doc_id all stay."""
     kept = groups(docs, words, percent).where("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select(*[F.col(quoted(c)) for c in docs.columns])
     return named.unionByName(docs.where("doc_id is null"))
 
 

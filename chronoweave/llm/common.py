@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 # texts are worked on in runs of about this many bytes (a longer single text is a run of its own)
 RUN_BYTES = 4 << 20
@@ -141,10 +142,24 @@ def cut(text: str, spans: list[tuple[int, int]]) -> str:
     return b"".join(keep).decode("utf-8")
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def packed(docs: DataFrame) -> F.Column:
+    """All columns of ``docs`` as one column, out of the way of an operator's own."""
+    return F.struct(*[F.col(quoted(c)).alias(c) for c in docs.columns]).alias("row")
+
+
+def schema_of(docs: DataFrame, ddl: str) -> StructType:
+    """``row`` as ``packed`` makes it, then the fields of ``ddl``."""
+    return StructType([StructField("row", docs.schema), *StructType.fromDDL(ddl).fields])
+
+
 def with_text(rows: DataFrame, docs: DataFrame) -> DataFrame:
     """(row, text) back as the columns of ``docs``: text replaced, n_chars following it."""
     column = {"text": F.col("text")}
     if "n_chars" in docs.columns:
         column["n_chars"] = (F.when(F.col("text").eqNullSafe(F.col("row.text")), F.col("row.n_chars"))
                              .otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return rows.select(*[column.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+    return rows.select(*[column.get(c, F.col("row." + quoted(c))).alias(c) for c in docs.columns])

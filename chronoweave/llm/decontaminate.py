@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from chronoweave.session import materialized
 
-from .common import cut, prefix_hash, range_hash, runs, table, utf8, with_text, word_spans
+from .common import cut, packed, prefix_hash, range_hash, runs, schema_of, table, utf8, with_text, word_spans
 
 WINDOW = 10
 # benchmark text bytes searched for in one pass over the documents
@@ -246,10 +246,10 @@ def search(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, limit: i
     """(row, text, n_words, hits, items) of ``docs``: row holds all its columns, hits the byte
     spans of the hit words, items the ids of the items with an occurring window."""
     spark = docs.sparkSession
-    out = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text", F.lit(0).cast("long").alias("n_words"),
+    out = docs.select(packed(docs), "text", F.lit(0).cast("long").alias("n_words"),
                       F.expr("cast(array() as array<struct<start:long,end:long>>)").alias("hits"),
                       F.expr("cast(array() as array<string>)").alias("items"))
-    schema = f"row {docs.schema.simpleString()}, text string, {HITS}"
+    schema = schema_of(docs, "text string, " + HITS)
 
     def one_pass(df: DataFrame, rows: list[tuple[str, str | None]]) -> DataFrame:
         shared = spark.sparkContext.broadcast(rows)
@@ -295,7 +295,7 @@ def remove(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, limit: i
                      for t, hits in zip(run.column("text").to_pylist(), run.column("hits").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([run.column("row"), pa.array(texts, pa.string())], names=["row", "text"])
 
-    done = found.where(F.size("hits") > 0).select("row", "text", "hits").mapInArrow(work, f"row {docs.schema.simpleString()}, text string")
+    done = found.where(F.size("hits") > 0).select("row", "text", "hits").mapInArrow(work, schema_of(docs, "text string"))
     same = found.where(F.size("hits") == 0).select("row", "text")
     return with_text(same, docs).unionByName(with_text(done, docs))
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import runs, table
+from .common import packed, runs, schema_of, table
 from .textstats import SYMBOLS, Words, row_sums
 
 WORD_BITS = 15
@@ -173,7 +173,7 @@ def scores(docs: DataFrame, machine: Machine) -> DataFrame:
     """(row, score) of every row of ``docs``; row holds all its columns."""
     shared = docs.sparkSession.sparkContext.broadcast(machine)
     n_chars = F.col("n_chars").cast("double") if "n_chars" in docs.columns else F.lit(None).cast("double")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text", n_chars.alias("n_chars"))
+    rows = docs.select(packed(docs), "text", n_chars.alias("n_chars"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in runs(batches):
@@ -181,7 +181,7 @@ def scores(docs: DataFrame, machine: Machine) -> DataFrame:
             score = shared.value.score(row, feature, value, run.num_rows)
             yield pa.RecordBatch.from_arrays([run.column("row"), pa.array(score, pa.float64())], names=["row", "score"])
 
-    return rows.mapInArrow(work, f"row {docs.schema.simpleString()}, score double")
+    return rows.mapInArrow(work, schema_of(docs, "score double"))
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
