@@ -1,4 +1,4 @@
-"""Numeric expressions: tolerant double parsing, bucket floor, gcd."""
+"""Numeric expressions: tolerant double parsing, bucket floor."""
 
 from __future__ import annotations
 
@@ -23,20 +23,3 @@ def floor_to(ts: Column | str, interval: Column | int) -> Column:
     """Start of the ``interval``-wide bucket holding ``ts`` (correct for negative ts too)."""
     t = _col(ts)
     return t - F.pmod(t, _col(interval))
-
-
-def gcd(a: Column | int, b: Column | int) -> Column:
-    """Greatest common divisor of two non-negative longs, inside the plan.
-
-    Euclid's algorithm folded by ``aggregate`` over a fixed 92-step sequence: 92 steps cover
-    every pair of 64-bit values (consecutive Fibonacci numbers are the worst case).
-    """
-    start = F.struct(_col(a).cast("bigint").alias("x"), _col(b).cast("bigint").alias("y"))
-    return F.aggregate(
-        F.sequence(F.lit(1), F.lit(92)),
-        start,
-        lambda acc, _: F.when(acc["y"] == 0, acc).otherwise(
-            F.struct(acc["y"].alias("x"), (acc["x"] % acc["y"]).alias("y"))
-        ),
-        lambda acc: acc["x"],
-    )

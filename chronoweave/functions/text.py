@@ -26,11 +26,6 @@ def pack_values(cols: Sequence[Column], fill: str = NUMERIC_FILL) -> Column:
     return F.concat_ws(SEPARATOR, *[F.coalesce(c.cast("string"), F.lit(fill)) for c in cols])
 
 
-def split_get(parts: Column, i: int, type_name: str = "double") -> Column:
-    """Cell ``i`` (0-based) of a split packed row, cast leniently; NULL when absent."""
-    return F.get(parts, i).try_cast(type_name)
-
-
 def last_component(name: Column) -> Column:
     """Last dot-separated component of a dotted label id ("db.table.col" -> "col")."""
     return F.element_at(F.split(name, r"\."), -1)

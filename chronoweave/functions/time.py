@@ -34,11 +34,6 @@ def epoch_seconds(c: Column, ntz: bool = True) -> Column:
     return F.unix_seconds(c)
 
 
-def ms_to_s(ms: int | None) -> int | None:
-    """Rule times are epoch milliseconds; the data is in seconds."""
-    return None if ms is None else int(ms) // 1000
-
-
 def ntz_literal(epoch_s: int) -> Column:
     """A TIMESTAMP_NTZ literal for an epoch second, so range filters on a raw timestamp
     column stay comparable and are pushed into the Parquet scan."""

@@ -28,7 +28,7 @@ def as_col(x: Column | str | int) -> Column:
 
 def idiv(a: Column, b: Column) -> Column:
     """Exact floor division of longs (b > 0)."""
-    return ((a - F.pmod(a, b)) / b).cast("bigint")
+    return F.call_function("div", a - F.pmod(a, b), b)
 
 
 def value_columns(df: DataFrame, exclude: Iterable[str]) -> list[str]:

@@ -58,6 +58,13 @@ def schema_from_names(pairs: Sequence[tuple[str, str]]) -> StructType:
     return StructType([StructField(n, spark_type(t)) for n, t in pairs])
 
 
+def check_storable(schema: StructType) -> None:
+    """A schema can be catalogued only with types that can be read back by name."""
+    bad = [f"{f.name} ({type_name(f.dataType)})" for f in schema.fields if type_name(f.dataType) not in TYPE_NAMES]
+    if bad:
+        raise ValueError(f"columns of types that a catalog can't name: {', '.join(bad)}; accepted: {sorted(TYPE_NAMES)}")
+
+
 def schema_pairs(schema: StructType) -> list[tuple[str, str]]:
     """StructType -> ``[(name, type name), ...]``."""
     return [(f.name, type_name(f.dataType)) for f in schema.fields]
@@ -76,25 +83,28 @@ def catalog_from_labels(labels: DataFrame, dataset: str = "dataset", label: str
                         datatype: str = "DoubleType") -> DataFrame:
     """Catalog rows for every dataset described by a label table, in one job.
 
-    Columns are ordered by ``order`` (the time label first when ``is_time`` marks one);
+    Columns are ordered by ``order``.  The label that ``is_time`` marks is the dataset's
+    ``timestamp`` column: entry 0, of LongType, since packed data holds it apart and first.
     ``tagNames`` lists the last dotted component of each label.  A dataset's label list is
     bounded by its column count, so collecting it per dataset is safe."""
-    time_first = (F.when(c(is_time) == 1, 0).otherwise(1) if is_time else F.lit(1)).alias("k0")
-    item = F.struct(time_first, c(order).alias("k1"), c(label).cast("string").alias("colname"))
+    timed = F.coalesce(c(is_time) == 1, F.lit(False)) if is_time else F.lit(False)
+    name = c(label).cast("string")
+    item = F.struct(F.when(timed, 0).otherwise(1).alias("k0"), c(order).alias("k1"),
+                    F.when(timed, F.lit("timestamp")).otherwise(name).alias("colname"),
+                    F.when(timed, F.lit("LongType")).otherwise(F.lit(datatype)).alias("datatype"))
     grouped = labels.groupBy(c(dataset).cast("string").alias("tablename")).agg(
         F.sort_array(F.collect_list(item)).alias("_items"))
     cols = F.transform(F.col("_items"), lambda x, i: F.struct(
-        x["colname"].alias("colname"), F.lit(datatype).alias("datatype"), i.alias("orderby")))
+        x["colname"].alias("colname"), x["datatype"].alias("datatype"), i.alias("orderby")))
     names = F.array_join(F.transform(F.col("_items"), lambda x: last_component(x["colname"])), ",")
     return grouped.select("tablename", F.to_json(cols).alias("columns"), names.alias("tagNames"))
 
 
 def latest(catalog: DataFrame) -> DataFrame:
-    """Latest version of each dataset's catalog row.  A dataset has one catalog row per save,
-    so its rows are gathered (an object-hash aggregate) and the highest version is taken."""
-    versions = F.sort_array(F.collect_list(F.struct("version", "columns", "tagNames")), asc=False)
-    return catalog.groupBy("tablename").agg(F.element_at(versions, 1).alias("_b")).select(
-        "tablename", "_b.columns", "_b.tagNames", "_b.version")
+    """Latest version of each dataset's catalog row (combines before the shuffle, however many
+    versions a dataset has)."""
+    row = F.max_by(F.struct("columns", "tagNames", "version"), F.col("version"))
+    return catalog.groupBy("tablename").agg(row.alias("_b")).select("tablename", "_b.columns", "_b.tagNames", "_b.version")
 
 
 def explode_entries(catalog: DataFrame) -> DataFrame:

@@ -13,10 +13,13 @@ from chronoweave.specs import TagSpec
 
 
 def time_range_filter(df: DataFrame, start_s: int | None = None, finish_s: int | None = None,
-                      ts: str = "timestamp") -> DataFrame:
-    """Inclusive ``start_s <= ts <= finish_s`` on an epoch-seconds column; each bound optional."""
+                      ts: str = "timestamp", keep_null: bool = False) -> DataFrame:
+    """Inclusive ``start_s <= ts <= finish_s`` on an epoch-seconds column; each bound optional.
+    With ``keep_null`` rows without a time stay (to be rejected where that is logged)."""
     cond = _range(c(ts), start_s, finish_s)
-    return df if cond is None else df.where(cond)
+    if cond is None:
+        return df
+    return df.where(cond | c(ts).isNull() if keep_null else cond)
 
 
 def raw_time_range_filter(df: DataFrame, column: str, start_s: int | None = None,
@@ -53,9 +56,3 @@ def modulo_sample(df: DataFrame, every: int = 30, ts: str = "timestamp") -> Data
 def select_tags(df: DataFrame, tags: Sequence[TagSpec], ts: Column, ts_name: str = "timestamp") -> DataFrame:
     """Project the time expression and the listed tags, renamed from source id to output name."""
     return df.select(ts.alias(ts_name), *[c(t.id).alias(t.name) for t in tags])
-
-
-def order_tags(df: DataFrame, tags: Sequence[TagSpec], ts: str = "timestamp") -> DataFrame:
-    """Timestamp first, then tags by their 1-based order over all sources."""
-    ordered = sorted(tags, key=lambda t: int(t.order))
-    return df.select(c(ts), *[c(t.name) for t in ordered])

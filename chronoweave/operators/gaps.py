@@ -1,12 +1,15 @@
 """Gap to the next timestamp of a series, and the series' own sampling interval.
 
 The plain formulation, ``lead(ts) OVER (ORDER BY ts)``, sends a whole series through one
-task.  Here the window runs on *distinct* timestamps cut into fixed time chunks: a chunk of
-``chunk`` seconds holds at most ``chunk`` distinct timestamps however many rows share them,
-so every window partition is bounded.  The last timestamp of a chunk takes the first
-timestamp of the next non-empty chunk, found by a window over the chunks' edge rows (at most
-two per chunk).  Duplicate timestamps are collapsed by a partial (map-side) aggregate before
-any shuffle.
+task.  Here the only window over rows runs on *distinct* timestamps inside fixed time chunks: a
+chunk of ``chunk`` seconds holds at most ``chunk`` of them however many rows share them, so every
+window partition is bounded.  Duplicate timestamps are collapsed by a partial (map-side)
+aggregate before any shuffle.  What crosses chunks comes from a table of one row per (series,
+chunk): its first and last timestamp and smallest gap, and by a window over those rows the first
+timestamp of the next non-empty chunk and the series' interval.  It goes back to the rows by
+(series, chunk), so a long series stays spread over its chunks.
+
+Series keys may be NULL: keys are compared as structs, in which NULL equals NULL.
 """
 
 from __future__ import annotations
@@ -18,63 +21,74 @@ from pyspark.sql import functions as F
 
 from chronoweave.functions.text import quote
 from chronoweave.operators._util import c
+from chronoweave.session import materialized
 
 DAY = 86400
 
 
+def in_chunks(df: DataFrame, ts: str = "timestamp", by: Sequence[str] = (), chunk: int = DAY,
+              aggs: Sequence[Column] = ()) -> DataFrame:
+    """One row per distinct (series, ts) with its ``_chunk``, ``_n`` rows, ``aggs`` over the tied
+    rows, and ``_next``, the next distinct ts of the same chunk (NULL for the chunk's last)."""
+    t, n = quote(ts), int(chunk)
+    base = (df.where(c(ts).isNotNull())
+              .groupBy(*[c(x) for x in by], F.expr(f"{t} - pmod({t}, {n}L)").alias("_chunk"), c(ts))
+              .agg(F.count(F.lit(1)).alias("_n"), *aggs))
+    keys = ", ".join([*(quote(x) for x in by), "_chunk"])
+    return base.selectExpr("*", f"lead({t}) OVER (PARTITION BY {keys} ORDER BY {t}) AS _next")
+
+
+def chunk_edges(rows: DataFrame, ts: str = "timestamp", by: Sequence[str] = ()) -> DataFrame:
+    """One row per (series, chunk) of ``in_chunks`` rows: ``_first`` and ``_last`` ts, ``_rows``,
+    ``_distinct``, ``_following`` (first ts of the series' next chunk) and ``_interval`` (smallest
+    positive gap of the whole series).  The windows see one row per chunk."""
+    t = quote(ts)
+    edges = rows.groupBy(*[c(x) for x in by], "_chunk").agg(
+        F.expr(f"min({t}) AS _first"), F.expr(f"max({t}) AS _last"), F.expr(f"min(_next - {t}) AS _least"),
+        F.expr("sum(_n) AS _rows"), F.expr("count(*) AS _distinct"))
+    series = f"PARTITION BY {', '.join(quote(x) for x in by)}" if by else ""
+    edges = edges.selectExpr("*", f"lead(_first) OVER ({series} ORDER BY _chunk) AS _following")
+    return edges.selectExpr("*", f"min(least(_least, _following - _last)) OVER ({series}) AS _interval")
+
+
+def at_chunk(by: Sequence[str]) -> Column:
+    """(series, chunk) as one key; a struct, so that NULL series match."""
+    return F.struct(*[c(x) for x in by], c("_chunk")).alias("_at")
+
+
 def distinct_next(df: DataFrame, ts: str = "timestamp", by: Sequence[str] = (),
                   chunk: int = DAY, aggs: Sequence[Column] = ()) -> DataFrame:
     """One row per distinct (series, ts) with ``_n`` rows, ``_next`` = next distinct ts of the
     series (ts itself for the last one), plus ``aggs`` over the tied rows.
 
-    Three exchanges: the partial-aggregated distinct step on (series, ts), the chunk window
-    on (series, chunk), and a window per series over at most two rows per chunk (each
-    chunk's last row and a marker for each chunk's first timestamp), which hands every
-    chunk-last row the first timestamp of the next non-empty chunk.  No join.
-    """
-    k = [c(x) for x in by]
-    t = quote(ts)
-    keys = ", ".join(quote(x) for x in by)
-    base = (df.where(c(ts).isNotNull())
-              .groupBy(*k, c(ts))
-              .agg(F.count(F.lit(1)).alias("_n"), *aggs))
-    in_chunk = f"PARTITION BY {keys + ', ' if keys else ''}{t} - pmod({t}, {int(chunk)}L) ORDER BY {t}"
-    within = base.selectExpr("*", f"lead({t}) OVER ({in_chunk}) AS _next", f"lag({t}) OVER ({in_chunk}) AS _prev")
-    inner = within.where("_next IS NOT NULL").drop("_prev")
-    # each chunk's first row becomes a head marker (0) and its last row a stitch row (1);
-    # a one-row chunk gives both
-    edges = within.where("_prev IS NULL OR _next IS NULL").selectExpr(
-        "*", "explode(array_compact(array(CASE WHEN _prev IS NULL THEN 0 END, "
-             "CASE WHEN _next IS NULL THEN 1 END))) AS _mark")
-    per_series = f"{'PARTITION BY ' + keys if keys else ''} ORDER BY {t}, _mark"
-    stitched = edges.selectExpr("*", f"lead({t}) OVER ({per_series}) AS _following").where("_mark = 1")
-    cols = inner.columns
-    return inner.unionByName(stitched.selectExpr(
-        *[f"coalesce(_following, {t}) AS _next" if x == "_next" else quote(x) for x in cols]))
+    The chunked rows are written once to the shared folder (``df`` is read once and the lineage
+    is cut); only each chunk's last row takes part in the join with the chunk table."""
+    rows = materialized(in_chunks(df, ts, by, chunk, aggs), "gaps")
+    edges = chunk_edges(rows, ts, by).select(at_chunk(by), "_following")
+    last = rows.where("_next IS NULL").withColumn("_at", at_chunk(by)).join(edges, "_at", "left")
+    cols = [x for x in rows.columns if x != "_chunk"]
+    last = last.selectExpr(*[f"coalesce(_following, {quote(ts)}) AS _next" if x == "_next" else quote(x) for x in cols])
+    return rows.where("_next IS NOT NULL").selectExpr(*[quote(x) for x in cols]).unionByName(last)
 
 
 def next_gap(df: DataFrame, ts: str = "timestamp", by: Sequence[str] = (), tiebreak: str | None = None,
              out: str = "t", chunk: int = DAY) -> DataFrame:
     """Each row plus ``out`` = next timestamp of its series minus its own; 0 for the last row.
 
-    Among rows sharing a timestamp the one with the largest ``tiebreak`` gets the gap and the
-    others 0, the same multiset as ``lead(ts, 1, ts) OVER (PARTITION BY by ORDER BY ts) - ts``.
-    Without a tiebreak column a row id is generated (``monotonically_increasing_id``, stable
-    for a re-read of the same files); pass a key column when the input has one.
-    """
-    src, k = df, list(by)
-    tb = tiebreak
-    if tb is None:
-        src = src.withColumn("_row", F.monotonically_increasing_id())
-        tb = "_row"
-    d = distinct_next(src, ts, k, chunk, aggs=[F.max(c(tb)).alias("_last")])
-    joined = src.join(d.select(*k, ts, "_next", "_last"), [*k, ts], "left")
-    gap = (F.when(c(ts).isNull(), F.lit(None).cast("bigint"))
-             .when(c(tb) == F.col("_last"), F.col("_next") - c(ts))
-             .otherwise(F.lit(0).cast("bigint")))
-    cols = [x for x in df.columns]
-    res = joined.select(*[c(x) for x in cols], gap.alias(out))
-    return res
+    Among rows sharing a timestamp exactly one gets the gap and the others 0, the same multiset
+    as ``lead(ts, 1, ts) OVER (PARTITION BY by ORDER BY ts) - ts``: the one with the largest
+    ``tiebreak`` (NULL is smallest, and rows equal in it are told apart by their row number).
+
+    The rows are written once with a row number, so it is the same wherever it is read; gaps go
+    back to the rows by it, one row each, so a hot timestamp is no hot key."""
+    k = list(by)
+    rows = materialized(df.withColumn("_row", F.monotonically_increasing_id()), "gap-rows")
+    used = rows.select(*[c(x) for x in dict.fromkeys([*k, ts, *([tiebreak] if tiebreak else [])])], "_row")
+    order = [c(tiebreak)] if tiebreak else []
+    d = distinct_next(used, ts, k, chunk, aggs=[F.max(F.struct(*order, F.col("_row"))).alias("_winner")])
+    won = d.select(F.col("_winner._row").alias("_row"), (F.col("_next") - c(ts)).alias("_gap"))
+    gap = F.when(c(ts).isNotNull(), F.coalesce(F.col("_gap"), F.lit(0).cast("bigint")))
+    return rows.join(won, "_row", "left").select(*[c(x) for x in df.columns], gap.alias(out))
 
 
 def infer_interval(df: DataFrame, ts: str = "timestamp", by: Sequence[str] = (),
@@ -84,12 +98,9 @@ def infer_interval(df: DataFrame, ts: str = "timestamp", by: Sequence[str] = (),
 
     ``literal=True`` gives the second smallest of all row gaps instead (the last row's gap is
     0), which is 0 as soon as the series has a duplicate timestamp and NULL for a single row."""
-    k = list(by)
-    d = distinct_next(df, ts, k, chunk)
-    smallest = F.min(F.when(F.col("_next") > c(ts), F.col("_next") - c(ts)))
-    if not literal:
-        return d.groupBy(*[c(x) for x in k]).agg(smallest.alias(out))
-    rows, distinct = F.sum("_n"), F.count(F.lit(1))
-    second = (F.when(rows < 2, F.lit(None).cast("bigint"))
-                .when(rows > distinct, F.lit(0).cast("bigint")).otherwise(smallest))
-    return d.groupBy(*[c(x) for x in k]).agg(second.alias(out))
+    edges = chunk_edges(in_chunks(df, ts, by, chunk), ts, by)
+    rows, smallest = F.sum("_rows"), F.min("_interval")
+    if literal:
+        smallest = (F.when(F.coalesce(rows, F.lit(0)) < 2, F.lit(None).cast("bigint"))
+                     .when(rows > F.sum("_distinct"), F.lit(0).cast("bigint")).otherwise(smallest))
+    return edges.groupBy(*[c(x) for x in by]).agg(smallest.alias(out))

@@ -5,7 +5,8 @@ Branch rule, per series, with ``old`` its own interval and ``new`` the target:
   old == new -> forward-fill at ``new``;
   old <  new -> forward-fill at ``old``, then average into ``new`` buckets;
   old >  new -> forward-fill at gcd(old, new), then average into ``new`` buckets.
-The branch is decided inside the plan (a small per-series table), not on the driver.
+The branch is decided inside the plan (from a table of one row per series and chunk), not on
+the driver.
 
 When a forward-fill feeds an average, the filled copies are never materialised one by one:
 each source row emits one row per target bucket it reaches, weighted by how many fill steps
@@ -20,29 +21,31 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronoweave.functions.numeric import floor_to, to_double
+from chronoweave.functions.numeric import floor_to
 from chronoweave.functions.text import quote
 from chronoweave.operators._util import as_col, c, explode_range, idiv, sql_floor_div, value_columns
-from chronoweave.operators.gaps import DAY, distinct_next
+from chronoweave.operators.gaps import DAY, at_chunk, chunk_edges, distinct_next, in_chunks, infer_interval
 from chronoweave.session import materialized
 
 EQUAL, SLOWER, FASTER, SINGLE = "equal", "slower", "faster", "single"
+KEEP, AVG = "keep", "avg"
+# Column that flags rows holding text that is not a number.
+BAD_FLAG = "_bad"
 
 
-def _rep(values: Sequence[str]) -> Column:
-    """Representative values of rows tied on one timestamp: the largest value of each tag
-    (deterministic; plain per-column maxima keep numeric tags in a hash aggregate)."""
-    return F.struct(*[F.max(c(v)).alias(v) for v in values]).alias("_rep")
+def _real_row(values: Sequence[str]) -> Column:
+    """The values of one of the rows tied on a timestamp: of the largest, compared tag by tag."""
+    return F.max(F.struct(*[c(v).alias(v) for v in values])).alias("_rep")
 
 
 def upsample(df: DataFrame, step: int | Column, ts: str = "timestamp", by: Sequence[str] = (),
              values: Sequence[str] | None = None, chunk: int = DAY) -> DataFrame:
     """Forward-fill: every row is kept, and a row whose gap to the next timestamp is ``g``
     is copied to ``ts + i*step`` for ``1 <= i < g div step`` (values copied as they are,
-    NULLs included).  Rows tied on a timestamp fill once, from a representative row."""
+    NULLs included).  Rows tied on a timestamp fill once, from one of them (the largest)."""
     k = list(by)
     vals = list(values) if values is not None else value_columns(df, [*k, ts])
-    d = distinct_next(df, ts, k, chunk, aggs=[_rep(vals)]).select("*", as_col(step).alias("_step"))
+    d = distinct_next(df, ts, k, chunk, aggs=[_real_row(vals)]).select("*", as_col(step).alias("_step"))
     n = idiv(F.col("_next") - c(ts), F.col("_step"))
     extra = explode_range(d.where(F.col("_step") > 0), F.lit(1), n - 1, 1, "_i")
     extra = extra.select(*[c(x) for x in k], (c(ts) + F.col("_i") * F.col("_step")).alias(ts),
@@ -73,105 +76,96 @@ def _gcd_sql(a: str, b: str) -> str:
             "(acc, i) -> IF(acc.y = 0, acc, named_struct('x', acc.y, 'y', acc.x % acc.y)), acc -> acc.x)")
 
 
-def _branch_table(d: DataFrame, k: list[str], ts: str, new: int, share: Sequence[str] = ()) -> DataFrame:
-    """One row per series: own interval, fill step and branch.
-
-    With ``share`` the aggregate also reads those columns of ``d`` (a hash, carried into the
-    branch name as an empty string) so its input is the same projection of ``d`` that the
-    main path reads: AQE then reuses ``d``'s shuffles for both instead of recomputing the gap
-    pipeline for a narrower projection."""
-    t = quote(ts)
-    aggs = [F.expr(f"min(CASE WHEN _next > {t} THEN _next - {t} END) AS old_interval")]
-    if share:
-        aggs.append(F.expr(f"max(hash({', '.join(quote(x) for x in share)})) AS _all"))
-    iv = d.groupBy(*[c(x) for x in k]).agg(*aggs)
-    o, nw = "old_interval", f"{int(new)}L"
+def _branch_sql(interval: str, new: int) -> tuple[str, str]:
+    """(step, branch) of a series with its own ``interval``, as SQL."""
+    o, nw = interval, f"{int(new)}L"
     step = (f"CASE WHEN {o} IS NULL THEN CAST(NULL AS BIGINT) WHEN {o} = {nw} THEN {nw} "
-            f"WHEN {o} < {nw} THEN {o} ELSE {_gcd_sql(o, nw)} END AS step")
+            f"WHEN {o} < {nw} THEN {o} ELSE {_gcd_sql(o, nw)} END")
     branch = (f"CASE WHEN {o} IS NULL THEN '{SINGLE}' WHEN {o} = {nw} THEN '{EQUAL}' "
               f"WHEN {o} < {nw} THEN '{SLOWER}' ELSE '{FASTER}' END")
-    if share:
-        branch = f"concat({branch}, substring(CAST(_all AS STRING), 1, 0))"
-    return iv.selectExpr(*[quote(x) for x in k], o, f"{nw} AS new_interval", step, f"{branch} AS branch")
+    return step, branch
 
 
 def resample_plan(df: DataFrame, interval: int, ts: str = "timestamp", by: Sequence[str] = (),
                   chunk: int = DAY) -> DataFrame:
     """Per series: (old_interval, new_interval, step, branch)."""
-    return _branch_table(distinct_next(df, ts, list(by), chunk), list(by), ts, interval)
-
+    step, branch = _branch_sql("old_interval", interval)
+    return infer_interval(df, ts, by, chunk, "old_interval").selectExpr(
+        *[quote(x) for x in by], "old_interval", f"{int(interval)}L AS new_interval", f"{step} AS step", f"{branch} AS branch")
 
-# With ``inline``: above this many series the branch table is joined instead of inlined.
-MAX_INLINE_SERIES = 1000
-INLINE_DEFAULT = False
 
-
-def _per_series(k: list[str], rows: list, field: str) -> Column:
-    """A per-series value of the (small) branch table as a literal expression."""
-    if not k:
-        return F.lit(rows[0][field]) if rows else F.lit(None)
-    expr = F.lit(None)
-    for r in rows:
-        cond = None
-        for x in k:
-            eq = c(x).eqNullSafe(F.lit(r[x]))
-            cond = eq if cond is None else cond & eq
-        expr = F.when(cond, F.lit(r[field])).otherwise(expr)
-    return expr
+def numeric(df: DataFrame, values: Sequence[str], flag: str = BAD_FLAG) -> DataFrame:
+    """Text values -> DOUBLE; rows whose text does not parse get ``flag``."""
+    types = dict(df.dtypes)
+    text = [v for v in values if types.get(v) == "string"]
+    if not text:
+        return df
+    bad = " OR ".join(f"({quote(v)} IS NOT NULL AND try_cast({quote(v)} AS DOUBLE) IS NULL)" for v in text)
+    if flag in df.columns:
+        bad = f"{bad} OR coalesce({flag}, false)"
+    return df.selectExpr(*[f"try_cast({quote(x)} AS DOUBLE) AS {quote(x)}" if x in text else quote(x) for x in df.columns if x != flag],
+                         f"({bad}) AS {flag}")
 
 
 def resample(df: DataFrame, interval: int, ts: str = "timestamp", by: Sequence[str] = (),
-             values: Sequence[str] | None = None, chunk: int = DAY, materialize: bool = False,
-             inline: bool = INLINE_DEFAULT) -> DataFrame:
-    """Resample every series of ``df`` to ``interval`` seconds in one plan (see module doc).
-
-    Everything comes from one distinct table ``d`` (one row per series and timestamp, with
-    the tied rows' sums and counts and a representative row).  Each row of ``d`` is exploded
-    once: equal-branch series into their fill positions, the others into the target buckets
-    they reach (weighted by fill steps).  One hash aggregate then yields both kinds of output
-    row, so ``d`` feeds a single path.  The branch of each series comes from a per-series
-    aggregate of ``d``: joined back for several series (AQE makes it a broadcast join when the
-    measured table is small), a scalar subquery for one; either way AQE computes it on
-    ``d``'s shuffles, so the gap pipeline runs once.  With ``inline`` it is read first and
-    inlined as literals.  With ``materialize`` ``d`` is written as a table
-    in the shared checkpoint folder first, cutting the lineage.
-
-    Output values are DOUBLE.  For text inputs a ``_bad`` column flags rows whose forward-filled
-    text does not parse, so the validator can drop or fail them; averages ignore such text.
-    Rows tied on one timestamp collapse to one row in the equal branch (largest values) and all
-    count in averages.
-    """
+             values: Sequence[str] | None = None, chunk: int = DAY, ties: str = KEEP) -> DataFrame:
+    """``resample_with_bounds`` without the bounds."""
+    return resample_with_bounds(df, interval, ts, by, values, chunk, ties)[0]
+
+
+def resample_with_bounds(df: DataFrame, interval: int, ts: str = "timestamp", by: Sequence[str] = (),
+                         values: Sequence[str] | None = None, chunk: int = DAY,
+                         ties: str = KEEP) -> tuple[DataFrame, DataFrame]:
+    """Resample every series of ``df`` to ``interval`` seconds (see module doc).
+
+    One pass reads ``df``: the distinct timestamps with the tied rows' sums and counts and their
+    gaps inside time chunks are written to the shared folder.  A table of one row per (series,
+    chunk) then holds what crosses chunks, the series' interval and its branch, and meets the rows
+    by (series, chunk).  Each row is exploded once: equal-branch series into their fill positions,
+    the others into the target buckets they reach (weighted by fill steps), and one hash
+    aggregate yields both kinds of output row.
+
+    Output values are DOUBLE.  A ``_bad`` column, for text inputs or where ``df`` has one, flags
+    rows whose forward-filled text does not parse, so the validator can drop or fail them; averages
+    ignore such text.
+
+    Rows tied on one timestamp all count in averages.  Fills come from one of them (the largest)
+    and in the equal branch each of them stays (``ties="keep"``, which reads ``df`` once more for
+    them), or they are averaged to one row (``ties="avg"``).
+
+    Also returns the first and last timestamp of ``df`` (one row, ``start`` and ``finish``),
+    taken from the written table."""
+    if ties not in (KEEP, AVG):
+        raise ValueError(f"ties must be {KEEP!r} or {AVG!r}, got {ties!r}")
     new = int(interval)
     k = list(by)
     keys = [c(x) for x in k]
     qk = [quote(x) for x in k]
     t = quote(ts)
-    vals = list(values) if values is not None else value_columns(df, [*k, ts])
-    types = dict(df.dtypes)
-    text = [v for v in vals if types.get(v) == "string"]
-    num = [f"try_cast({quote(v)} AS DOUBLE)" for v in vals]
-    aggs = [F.expr(f"max({x}) AS _r{i}") for i, x in enumerate(num)]
-    aggs += [F.expr(f"sum({x}) AS _s{i}") for i, x in enumerate(num)]
-    aggs += [F.expr(f"count({x}) AS _c{i}") for i, x in enumerate(num)]
-    if text:
-        flag = " OR ".join(f"({quote(v)} IS NOT NULL AND try_cast({quote(v)} AS DOUBLE) IS NULL)" for v in text)
-        aggs.append(F.expr(f"max({flag}) AS _bad_rep"))
-    d = distinct_next(df, ts, k, chunk, aggs=aggs)
-    if materialize:
-        d = materialized(d, "resample-gaps")
-    used = [x for x in d.columns if x != "_n"]             # what the main path reads of d
-    table = _branch_table(d, k, ts, new, share=used).select(*k, "step", "branch")
-    rows = table.limit(MAX_INLINE_SERIES + 1).collect() if inline else None
-    if rows is not None and len(rows) <= MAX_INLINE_SERIES:
-        dd = d.select("*", _per_series(k, rows, "step").cast("bigint").alias("step"),
-                      _per_series(k, rows, "branch").cast("string").alias("branch"))
-    elif k:
-        dd = d.join(table, k, "left")
+    vals = list(values) if values is not None else value_columns(df, [*k, ts, BAD_FLAG])
+    df = numeric(df, vals)
+    text = BAD_FLAG in df.columns
+    doubles = df.selectExpr(*qk, t, *[f"CAST({quote(v)} AS DOUBLE) AS _x{i}" for i, v in enumerate(vals)],
+                            *([f"coalesce({BAD_FLAG}, false) AS {BAD_FLAG}"] if text else []))
+    width = range(len(vals))
+    aggs = [F.expr(f"sum(_x{i}) AS _s{i}") for i in width] + [F.expr(f"count(_x{i}) AS _c{i}") for i in width]
+    if ties == KEEP and len(vals) > 1:
+        aggs.append(F.max(F.struct(*[c(f"_x{i}") for i in width])).alias("_rep"))
+        rep = [f"_rep._x{i} AS _r{i}" for i in width]
+    elif ties == KEEP:
+        aggs += [F.expr(f"max(_x{i}) AS _r{i}") for i in width]
+        rep = [f"_r{i}" for i in width]
     else:
-        # one series: a scalar subquery, projected once as a struct and then split, so the
-        # optimizer keeps a single copy; AQE runs it on the same shuffles as the main path
-        both = table.select(F.struct("step", "branch")).scalar()
-        dd = d.select("*", both.alias("_b")).selectExpr("*", "_b.step AS step", "_b.branch AS branch").drop("_b")
+        rep = [f"_s{i} / CASE WHEN _c{i} > 0 THEN _c{i} END AS _r{i}" for i in width]
+    if text:
+        aggs.append(F.expr(f"max({BAD_FLAG}) AS _bad_rep"))
+    rows = materialized(in_chunks(doubles, ts, k, chunk, aggs), "resample-gaps")
+    bounds = rows.agg(F.min(c(ts)).alias("start"), F.max(c(ts)).alias("finish"))
+    step, branch = _branch_sql("_interval", new)
+    heads = chunk_edges(rows, ts, k).select(at_chunk(k), "_following", F.expr(f"{step} AS step"), F.expr(f"{branch} AS branch"))
+    dd = rows.withColumn("_at", at_chunk(k)).join(heads, "_at").selectExpr(
+        *qk, t, f"coalesce(_next, _following, {t}) AS _next", "step", "branch", *rep, *[f"_s{i}" for i in width],
+        *[f"_c{i}" for i in width], *(["_bad_rep"] if text else []))
 
     # Each row of d explodes once: equal-branch series into fill positions 0 .. n-1, the
     # others into the target buckets their own timestamp and fill steps reach.
@@ -179,7 +173,7 @@ def resample(df: DataFrame, interval: int, ts: str = "timestamp", by: Sequence[s
     eq = f"(branch = '{EQUAL}')"
     st = f"coalesce(step, {nw})"                              # a single-timestamp series never steps
     n = f"greatest(coalesce((_next - {t}) div step, 1L), 1L)"
-    lo = f"CASE WHEN {eq} THEN 0L ELSE {t} - pmod({t}, {nw}) END"
+    lo = f"CASE WHEN {eq} THEN {0 if ties == AVG else 1}L ELSE {t} - pmod({t}, {nw}) END"
     last = f"{t} + (_steps - 1) * {st}"
     hi = f"CASE WHEN {eq} THEN _steps - 1 ELSE {last} - pmod({last}, {nw}) END"
     inc = f"CASE WHEN {eq} THEN 1L ELSE {nw} END"
@@ -208,4 +202,11 @@ def resample(df: DataFrame, interval: int, ts: str = "timestamp", by: Sequence[s
     if text:
         out_aggs.append(F.expr("max(_bad) AS _bad"))
     out = parts.groupBy(*keys, "_g", "_eq").agg(*out_aggs)
-    return out.select(*keys, c(ts), *[c(v) for v in vals], *([c("_bad")] if text else []))
+    out = out.select(*keys, c(ts), *[c(v) for v in vals], *([c("_bad")] if text else []))
+    if ties == AVG:
+        return out, bounds
+    # the rows of equal-branch series themselves, tied or not
+    own = doubles.where(c(ts).isNotNull()).withColumn("_chunk", F.expr(f"{t} - pmod({t}, {int(chunk)}L)"))
+    own = own.withColumn("_at", at_chunk(k)).join(heads.where(f"branch = '{EQUAL}'").select("_at"), "_at")
+    own = own.selectExpr(*qk, t, *[f"_x{i} AS {quote(v)}" for i, v in enumerate(vals)], *([BAD_FLAG] if text else []))
+    return out.unionByName(own), bounds

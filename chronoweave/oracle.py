@@ -17,20 +17,22 @@ def _bucket_case(buckets: dict[str, int], col: str = "series") -> str:
     return f"CASE {col} {whens} END"
 
 
-def _resample_ctes(values: list[str], new: int) -> str:
-    """CTEs ``g, p, pl, u, r, res`` over a CTE ``src(series, ts, values...)``."""
+def _resample_ctes(values: list[str], new: int, tie: str = "") -> str:
+    """CTEs ``g, p, pl, u, r, res`` over a CTE ``src(series, ts, values...)``; of rows that share
+    a timestamp the last by ``tie`` fills the gap."""
+    order = f"ts, {tie} NULLS FIRST" if tie else "ts"
     vals = ", ".join(values)
     avgs = ", ".join(f"avg({v}) AS {v}" for v in values)
     return f"""
-g AS (SELECT series, ts, {vals}, lead(ts, 1, ts) OVER (PARTITION BY series ORDER BY ts) - ts AS gap FROM src),
+g AS (SELECT series, ts, {vals}, lead(ts, 1, ts) OVER (PARTITION BY series ORDER BY {order}) - ts AS gap FROM src),
 p AS (SELECT series, min(gap) FILTER (WHERE gap > 0) AS old FROM g GROUP BY series),
 pl AS (SELECT series,
          CASE WHEN old IS NULL THEN NULL WHEN old = {new} THEN {new} WHEN old < {new} THEN old ELSE gcd(old, {new}) END AS step,
          CASE WHEN old IS NULL THEN 'single' WHEN old = {new} THEN 'equal' ELSE 'avg' END AS branch
        FROM p),
-u AS (SELECT series, ts, {vals}, step, branch,
+u AS (SELECT g.series, ts, {vals}, step, branch,
          unnest(range(0, CASE WHEN step IS NULL THEN 1 ELSE greatest(gap // step, 1) END)) AS i
-      FROM g JOIN pl USING (series)),
+      FROM g JOIN pl ON g.series IS NOT DISTINCT FROM pl.series),
 r AS (SELECT series, ts + i * coalesce(step, 0) AS ts, {vals}, branch FROM u),
 res AS (SELECT series, ts, {vals} FROM r WHERE branch = 'equal'
         UNION ALL
@@ -99,16 +101,14 @@ _BAD = "(t IS NULL OR (cell IS NOT NULL AND TRY_CAST(cell AS DOUBLE) IS NULL))"
 _DAILY = f"""o AS (SELECT epoch_us(o_orderdate) // 1000000 AS t, sum(o_totalprice) AS v FROM orders GROUP BY 1),
 l AS (SELECT epoch_us(l_shipdate) // 1000000 AS t, sum(l_quantity) AS v FROM lineitem GROUP BY 1)"""
 
+_TWO_TYPES = f"""x AS (SELECT event_type, {E} AS t, value AS v FROM events),
+s AS (SELECT t - t % 3600 AS t, v FROM x WHERE event_type = 'signup'), e AS (SELECT t - t % 3600 AS t, v FROM x WHERE event_type = 'error'),
+k AS (SELECT t FROM s UNION SELECT t FROM e)"""
+
 _ORDERS_DAILY = ("SELECT epoch_us(o_orderdate) // 1000000 AS timestamp, round(sum(o_totalprice), 2) AS order_total, "
                  "CAST(count(*) AS DOUBLE) AS order_count FROM orders GROUP BY 1")
 
 
-def _catalog_values(rows: list[tuple], cols: str) -> str:
-    vals = ", ".join("(" + ", ".join(f"'{x}'" if isinstance(x, str) else f"CAST({x} AS BIGINT)" for x in r) + ")"
-                     for r in rows)
-    return f"SELECT * FROM (VALUES {vals}) AS t({cols})"
-
-
 def snap_rounds(sql: str) -> str:
     """Rewrite every ``round(x, d)`` as ``round(round(x, 9), d)`` (see ``workloads._r``)."""
     out, i = [], 0
@@ -134,8 +134,6 @@ def snap_rounds(sql: str) -> str:
         i = k + 1
 
 
-_DAILY_ENTRIES = [("timestamp", "LongType"), ("order_total", "DoubleType"), ("order_count", "DoubleType")]
-
 ORACLE_SQL: dict[str, str] = {
     "time_range_filter": f"""SELECT event_id, {E} AS timestamp, event_type, value FROM events
         WHERE {E} BETWEEN {RANGE_START} AND {RANGE_FINISH}""",
@@ -213,19 +211,23 @@ ORACLE_SQL: dict[str, str] = {
         CASE WHEN o_orderstatus = 'P' THEN 0.0 ELSE o_totalprice END AS price,
         CAST(CASE WHEN o_orderstatus = 'O' THEN 0 ELSE o_custkey END AS BIGINT) AS cust,
         CAST(o_orderkey AS BIGINT) AS okey FROM orders""",
-    "catalog_build": _catalog_values(
-        [("orders_daily", n, t, i, "timestamp,order_total,order_count") for i, (n, t) in enumerate(_DAILY_ENTRIES)],
-        "tablename, colname, datatype, orderby, tagNames"),
+    "catalog_build": """WITH p AS (SELECT DISTINCT o_orderpriority AS p FROM orders WHERE o_orderpriority IS NOT NULL),
+        e AS (SELECT 'timestamp' AS colname, 'LongType' AS datatype, CAST(0 AS BIGINT) AS orderby
+              UNION ALL SELECT p, 'DoubleType', row_number() OVER (ORDER BY p) FROM p)
+        SELECT 'by_priority' AS tablename, colname, datatype, orderby,
+               (SELECT string_agg(colname, ',' ORDER BY orderby) FROM e) AS tagNames FROM e""",
     "catalog_from_labels": """WITH labels AS (
           SELECT r_name AS dsabelid, 'erp.' || r_name || '.' || n_name AS labelid, CAST(n_nationkey AS BIGINT) AS ord, 0 AS timestampif
           FROM nation JOIN region ON n_regionkey = r_regionkey
           UNION ALL SELECT r_name, 'erp.' || r_name || '.ts', CAST(-1 AS BIGINT), 1 FROM region),
-        o AS (SELECT dsabelid, labelid, row_number() OVER (PARTITION BY dsabelid
+        o AS (SELECT dsabelid, labelid, timestampif, row_number() OVER (PARTITION BY dsabelid
                 ORDER BY CASE WHEN timestampif = 1 THEN 0 ELSE 1 END, ord, labelid) - 1 AS orderby FROM labels),
+        t AS (SELECT dsabelid, orderby, CASE WHEN timestampif = 1 THEN 'timestamp' ELSE labelid END AS labelid,
+                CASE WHEN timestampif = 1 THEN 'LongType' ELSE 'DoubleType' END AS datatype FROM o),
         n AS (SELECT dsabelid, string_agg(regexp_extract(labelid, '([^.]*)$', 1), ',' ORDER BY orderby) AS tagNames
-              FROM o GROUP BY dsabelid)
-        SELECT o.dsabelid AS tablename, o.labelid AS colname, 'DoubleType' AS datatype, CAST(o.orderby AS BIGINT) AS orderby,
-               n.tagNames FROM o JOIN n USING (dsabelid)""",
+              FROM t GROUP BY dsabelid)
+        SELECT t.dsabelid AS tablename, t.labelid AS colname, datatype, CAST(t.orderby AS BIGINT) AS orderby,
+               n.tagNames FROM t JOIN n USING (dsabelid)""",
     "catalog_from_labels_customers": """WITH base AS (
           SELECT 'cust_' || CAST(c_custkey AS VARCHAR) AS dsabelid, n_name, c_mktsegment
           FROM customer JOIN nation ON c_nationkey = n_nationkey),
@@ -233,15 +235,16 @@ ORACLE_SQL: dict[str, str] = {
           SELECT dsabelid, 'erp.' || n_name || '.' || c_mktsegment AS labelid, 2 AS ord, 0 AS timestampif FROM base
           UNION ALL SELECT dsabelid, 'erp.' || n_name || '.balance', 1, 0 FROM base
           UNION ALL SELECT dsabelid, 'erp.' || n_name || '.ts', 9, 1 FROM base),
-        o AS (SELECT dsabelid, labelid, row_number() OVER (PARTITION BY dsabelid
+        o AS (SELECT dsabelid, labelid, timestampif, row_number() OVER (PARTITION BY dsabelid
                 ORDER BY CASE WHEN timestampif = 1 THEN 0 ELSE 1 END, ord, labelid) - 1 AS orderby FROM labels),
+        t AS (SELECT dsabelid, orderby, CASE WHEN timestampif = 1 THEN 'timestamp' ELSE labelid END AS labelid,
+                CASE WHEN timestampif = 1 THEN 'LongType' ELSE 'DoubleType' END AS datatype FROM o),
         n AS (SELECT dsabelid, string_agg(regexp_extract(labelid, '([^.]*)$', 1), ',' ORDER BY orderby) AS tagNames
-              FROM o GROUP BY dsabelid)
-        SELECT o.dsabelid AS tablename, o.labelid AS colname, 'DoubleType' AS datatype, CAST(o.orderby AS BIGINT) AS orderby,
-               n.tagNames FROM o JOIN n USING (dsabelid)""",
-    "catalog_lookup": _catalog_values(
-        [("orders_daily", n, t, i, 3) for i, (n, t) in enumerate(_DAILY_ENTRIES)],
-        "tablename, colname, datatype, orderby, n_columns"),
+              FROM t GROUP BY dsabelid)
+        SELECT t.dsabelid AS tablename, t.labelid AS colname, datatype, CAST(t.orderby AS BIGINT) AS orderby,
+               n.tagNames FROM t JOIN n USING (dsabelid)""",
+    "catalog_lookup": """SELECT n_name AS tablename, CAST(max(c_custkey) AS BIGINT) AS version, arg_max(c_name, c_custkey) AS colname,
+        'DoubleType' AS datatype, CAST(0 AS BIGINT) AS orderby FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""",
     "cast_by_catalog": "SELECT p_partkey, p_name, p_size, p_retailprice FROM part",
     "bad_field_names": """SELECT p_brand AS tablename, regexp_extract('erp.' || p_type || '.' || p_name, '([^.]*)$', 1) AS colname
         FROM part WHERE NOT regexp_matches(regexp_extract('erp.' || p_type || '.' || p_name, '([^.]*)$', 1),
@@ -251,10 +254,48 @@ ORACLE_SQL: dict[str, str] = {
     "multi_table_select": f"""SELECT o_orderkey, o_totalprice, c_name, n_name
         FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
         WHERE epoch_us(o_orderdate) // 1000000 BETWEEN {YEARS_START} AND {YEARS_FINISH}""",
-    "rdbms_import": f"""SELECT epoch_us(o_orderdate) // 1000000 AS timestamp,
-        coalesce(CAST(o_custkey AS VARCHAR), '') || ',' || coalesce(o_orderpriority, '') || ','
-        || coalesce(CAST(o_totalprice AS VARCHAR), '') AS data
+    "composite_keys": """SELECT a.l_orderkey, a.l_linenumber, a.l_quantity AS qa, b.l_quantity AS qb FROM lineitem a
+        JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber = b.l_linenumber""",
+    "rdbms_import": f"""SELECT epoch_us(o_orderdate) // 1000000 AS timestamp, CAST(o_custkey AS DOUBLE) AS o_custkey, o_totalprice
         FROM orders WHERE epoch_us(o_orderdate) // 1000000 BETWEEN {YEARS_START} AND {YEARS_FINISH}""",
+    "next_gap_users": f"""WITH e AS (SELECT CASE WHEN user_id % 7 <> 0 THEN user_id END AS user_id, {E} AS t FROM events),
+        h AS (SELECT user_id, t - t % 3600 AS t FROM e)
+        SELECT user_id, t AS timestamp, lead(t, 1, t) OVER (PARTITION BY user_id ORDER BY t) - t AS gap FROM h""",
+    "resample_events": f"""WITH src AS (SELECT event_type AS series, {E} AS ts, value AS v FROM events),
+{_resample_ctes(['v'], 3600, 'v')}
+        SELECT series AS event_type, ts AS timestamp, round(v, 6) AS value FROM res""",
+    "resample_users": f"""WITH e AS (SELECT CASE WHEN user_id % 7 <> 0 THEN user_id END AS series, {E} AS t, value AS v FROM events),
+src AS (SELECT series, t - t % 3600 AS ts, v FROM e),
+{_resample_ctes(['v'], 86400, 'v')}
+        SELECT series AS user_id, ts AS timestamp, round(v, 6) AS value FROM res""",
+    "resample_equal_ties": f"""WITH e AS (SELECT event_type AS series, {E} AS t, value AS v FROM events),
+src AS (SELECT series, t - t % 3600 AS ts, v FROM e),
+{_resample_ctes(['v'], 3600, 'v')}
+        SELECT series AS event_type, ts AS timestamp, round(v, 6) AS value FROM res""",
+    "align_multiply": f"""WITH {_TWO_TYPES}
+        SELECT k.t AS timestamp, round(coalesce(s.v, 0.0), 6) AS signup, round(coalesce(e.v, 0.0), 6) AS error
+        FROM k LEFT JOIN s ON s.t = k.t LEFT JOIN e ON e.t = k.t""",
+    "align_average": f"""WITH {_TWO_TYPES},
+        sa AS (SELECT t, avg(v) AS v FROM s GROUP BY t), ea AS (SELECT t, avg(v) AS v FROM e GROUP BY t)
+        SELECT k.t AS timestamp, round(coalesce(sa.v, 0.0), 6) AS signup, round(coalesce(ea.v, 0.0), 6) AS error
+        FROM k LEFT JOIN sa ON sa.t = k.t LEFT JOIN ea ON ea.t = k.t""",
+    "align_unique": f"""WITH {_TWO_TYPES},
+        sa AS (SELECT t, avg(v) AS v, count(*) AS n FROM s GROUP BY t), ea AS (SELECT t, avg(v) AS v, count(*) AS n FROM e GROUP BY t)
+        SELECT k.t AS timestamp, round(coalesce(sa.v, 0.0), 6) AS signup, round(coalesce(ea.v, 0.0), 6) AS error
+        FROM k LEFT JOIN sa ON sa.t = k.t LEFT JOIN ea ON ea.t = k.t WHERE coalesce(sa.n, 0) <= 1 AND coalesce(ea.n, 0) <= 1""",
+    "flag_type_errors": f"""WITH f AS ({_CELL})
+        SELECT CASE WHEN event_type = 'signup' THEN 't' || CAST(t AS VARCHAR) ELSE CAST(t AS VARCHAR) END AS time, cell FROM f
+        WHERE event_type = 'signup' OR (cell IS NOT NULL AND TRY_CAST(cell AS DOUBLE) IS NULL)""",
+    "reject_log": f"""WITH e AS (SELECT event_type, {E} AS t FROM events WHERE event_type IN ('view', 'click')),
+        h AS (SELECT event_type, t - t % 3600 AS t, count(*) AS n FROM e GROUP BY 1, 2),
+        src AS (SELECT 'view' AS series, t + 900 AS ts, CAST(n AS DOUBLE) AS v FROM h
+                WHERE event_type = 'view' AND t + 900 BETWEEN {JAN_START} AND {JAN_FINISH + 86401}),
+{_resample_ctes(['v'], 3600)},
+        m AS (SELECT 'NULL: bad time t' || CAST(t AS VARCHAR) AS message FROM h WHERE event_type = 'click' AND n % 5 = 0
+              UNION ALL SELECT CAST(t AS VARCHAR) || ': bad value x' || CAST(n AS VARCHAR) FROM h
+                WHERE event_type = 'click' AND n % 7 = 0 AND n % 5 <> 0 AND t BETWEEN {JAN_START} AND {JAN_FINISH + 86401}
+              UNION ALL SELECT CAST(ts AS VARCHAR) || ': off the key timeline' FROM res)
+        SELECT 'hourly' AS app, message FROM m""",
     "csv_import": _csv_import(),
 }
 ORACLE_SQL = {k: snap_rounds(v) for k, v in ORACLE_SQL.items()}

@@ -15,38 +15,48 @@ from chronoweave.operators.filters import time_range_filter
 from chronoweave.specs import TagSpec
 
 
-def read_tag_csv(spark: SparkSession, path: str, tags: Sequence[TagSpec], start_s: int | None = None,
+def read_tag_csv(spark: SparkSession, path: str | Sequence[str], tags: Sequence[TagSpec], start_s: int | None = None,
                  finish_s: int | None = None, time_format: str = TIME_TEXT_FORMAT,
                  ts: str = "timestamp", tz: str | None = None,
-                 columns: Sequence[str] | None = None, with_file: bool = False) -> DataFrame:
-    """Tag file -> ``(timestamp BIGINT, tag STRING ...)``.
+                 columns: Sequence[str] | None = None, with_file: bool = False,
+                 keep_bad_times: bool = False) -> DataFrame:
+    """Tag files -> ``(timestamp BIGINT, tag STRING ...)``.
 
     The header names the columns; every cell is read as text.  When the spec lists the
-    file's ``columns`` they are declared as the schema (all text) and no job is spent reading
-    the header.  The first column is the time text, turned into epoch seconds (NULL if it
-    does not parse).  Only the listed tags are kept (CSV column pruning), renamed to their
-    output names, and the inclusive time range applied.  ``with_file`` adds ``_file``, the
-    base name of the file each row came from (without ``.csv``)."""
+    file's ``columns`` they are declared as the schema (all text), no job is spent reading
+    the header, and a file whose header differs fails the read.  Folders of one layout can be
+    read together (``path`` a list).  The first column is the time text, turned into epoch seconds
+    (NULL if it does not parse).  Only the listed tags are kept (CSV column pruning), renamed to
+    their output names, and the inclusive time range applied.  ``with_file`` adds ``_file``, the
+    base name of the file each row came from (without ``.csv``); ``keep_bad_times`` keeps rows
+    whose time does not parse, with its text in ``_bad_time``."""
     reader = spark.read.option("header", True)
     if columns:
-        reader = reader.schema(StructType([StructField(x, StringType()) for x in columns]))
-    raw = reader.csv(path)
+        reader = reader.schema(StructType([StructField(x, StringType()) for x in columns])).option("enforceSchema", False)
+    raw = reader.csv(path if isinstance(path, str) else list(path))
     time_col = raw.columns[0]
+    when = parse_time_text(c(time_col), time_format, tz)
     extra = [F.regexp_replace(F.col("_metadata.file_name"), r"(?i)\.csv$", "").alias("_file")] if with_file else []
-    out = raw.select(parse_time_text(c(time_col), time_format, tz).alias(ts),
-                     *[c(t.id).alias(t.name) for t in tags], *extra)
-    return time_range_filter(out, start_s, finish_s, ts)
+    if keep_bad_times:
+        extra.append(F.when(when.isNull(), F.coalesce(c(time_col), F.lit(""))).alias("_bad_time"))
+    out = raw.select(when.alias(ts), *[c(t.id).alias(t.name) for t in tags], *extra)
+    return time_range_filter(out, start_s, finish_s, ts, keep_bad_times)
 
 
 def read_csv_null_to_zero(spark: SparkSession, path: str, ts: str = "timestamp",
                           time_format: str = TIME_TEXT_FORMAT, sampling_ratio: float = 1.0,
-                          tz: str | None = None) -> DataFrame:
-    """Header CSV with inferred types.  The first column becomes ``timestamp``: used as is
+                          tz: str | None = None, schema: StructType | str | None = None) -> DataFrame:
+    """Header CSV with inferred types, or with the given ``schema``, which saves the full read
+    that inferring takes.  The first column becomes ``timestamp``: used as is
     when it is named ``date`` or is already numeric (epoch seconds), parsed as time text
     otherwise.  In other columns a missing cell or the text ``null`` becomes 0 (text columns
     keep text: "0")."""
-    raw = (spark.read.option("header", True).option("inferSchema", True)
-           .option("samplingRatio", sampling_ratio).csv(path))
+    reader = spark.read.option("header", True)
+    if schema is None:
+        reader = reader.option("inferSchema", True).option("samplingRatio", sampling_ratio)
+    else:
+        reader = reader.schema(schema).option("enforceSchema", False)
+    raw = reader.csv(path)
     first = raw.schema.fields[0]
     if first.name == "date" or isinstance(first.dataType, NumericType):
         tcol = c(first.name).cast("bigint")

@@ -9,10 +9,11 @@ Spark's dialect for the URL (Oracle double quotes, MySQL backticks, ...).  With
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime, timezone
 from typing import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, NumericType, TimestampNTZType, TimestampType
 
 from chronoweave.operators._util import c
 from chronoweave.operators.filters import time_range_filter
@@ -69,30 +70,53 @@ class Connection:
                           database=str(row["dsexample"]), user=row.get("dsloginid"), password=row.get("dspwd"))
 
 
+#: How each database kind quotes a name (opening and closing mark).
+QUOTES = {"ORACLE": ('"', '"'), "MYSQL": ("`", "`"), "SQLSERVER": ("[", "]")}
+
+
+def quoted_table(kind: str, table: str) -> str:
+    """A table name as the database wants it, each dotted part quoted (so lower-case or spaced
+    names work); other kinds get the name as it is."""
+    marks = QUOTES.get(kind.upper())
+    if marks is None:
+        return table
+    return ".".join(f"{marks[0]}{part.replace(marks[1], marks[1] * 2)}{marks[1]}" for part in table.split("."))
+
+
+def range_options(time_column: str, time_type: DataType, start_s: int | None, finish_s: int | None,
+                  num_partitions: int) -> dict[str, str]:
+    """Options that split a scan into ``num_partitions`` range queries on the time column; none
+    without both bounds, with one partition, or for a column that Spark can't split on."""
+    if num_partitions <= 1 or start_s is None or finish_s is None or finish_s <= start_s:
+        return {}
+    if isinstance(time_type, NumericType):
+        lower, upper = str(int(start_s)), str(int(finish_s) + 1)
+    elif isinstance(time_type, (TimestampType, TimestampNTZType)):
+        lower, upper = (datetime.fromtimestamp(s, timezone.utc).strftime("%Y-%m-%d %H:%M:%S") for s in (start_s, finish_s + 1))
+    else:
+        return {}
+    return {"partitionColumn": time_column, "lowerBound": lower, "upperBound": upper, "numPartitions": str(int(num_partitions))}
+
+
+def read_table(spark: SparkSession, conn: Connection, table: str, time_column: str | None = None, start_s: int | None = None,
+               finish_s: int | None = None, num_partitions: int = 1, fetch_size: int = 10000) -> DataFrame:
+    """A table as a lazy scan: columns selected and filters put on it are pushed into the
+    database's query.  With a time column, both bounds and ``num_partitions`` > 1 it is split into
+    that many parallel range queries."""
+    reader = (spark.read.format("jdbc").options(**conn.options())
+              .option("dbtable", quoted_table(conn.kind, table)).option("fetchsize", fetch_size))
+    if time_column is None or num_partitions <= 1:
+        return reader.load()
+    whole = reader.load()  # asks the database for the columns only
+    options = range_options(time_column, whole.schema[time_column].dataType, start_s, finish_s, num_partitions)
+    return reader.options(**options).load() if options else whole
+
+
 def read_range(spark: SparkSession, conn: Connection, table: str, time_column: str, columns: Sequence[str],
                start_s: int | None = None, finish_s: int | None = None, num_partitions: int = 1,
                fetch_size: int = 10000) -> DataFrame:
     """Listed columns of one table inside the inclusive time range (pushed to the database).
     The time column holds epoch seconds."""
-    reader = spark.read.format("jdbc").options(**conn.options()).option("dbtable", table).option("fetchsize", fetch_size)
-    if num_partitions > 1 and start_s is not None and finish_s is not None:
-        reader = (reader.option("partitionColumn", time_column).option("lowerBound", int(start_s))
-                  .option("upperBound", int(finish_s) + 1).option("numPartitions", int(num_partitions)))
-    df = reader.load()
+    df = read_table(spark, conn, table, time_column, start_s, finish_s, num_partitions, fetch_size)
     keep = [time_column] + [x for x in columns if x != time_column]
     return time_range_filter(df.select(*[c(x) for x in keep]), start_s, finish_s, time_column)
-
-
-def read_query(spark: SparkSession, conn: Connection, query: str) -> DataFrame:
-    """A database-side query (e.g. a multi-table join written with explicit keys)."""
-    return spark.read.format("jdbc").options(**conn.options()).option("query", query).load()
-
-
-def read_registered(spark: SparkSession, conn: Connection, table: str) -> DataFrame:
-    """A whole table (metadata tables)."""
-    return spark.read.format("jdbc").options(**conn.options()).option("dbtable", table).load()
-
-
-def select_labels(df: DataFrame, label_columns: Sequence[str]) -> DataFrame:
-    """Keep labelled columns by their last dotted component (``db.table.col`` -> ``col``)."""
-    return df.select(*[F.col(c_.split(".")[-1]) for c_ in label_columns])

@@ -2,9 +2,11 @@
 under one root folder (Parquet by default; any Spark file format works).
 
 Every overwrite writes a new version folder ``data/<name>/v<version>`` and then appends the
-catalog row that names it: the catalog row is the commit.  A job that dies while writing
-leaves the previous version readable and untouched; readers always see complete versions.
-Appends go into the latest version's folder."""
+catalog row that names it: the catalog row is the commit.  A writer first claims its version
+number by creating a file that only one can create, so two writers never share a folder.  A job
+that dies while writing leaves the previous version readable and untouched; readers always see
+complete versions.  Appends go into the latest version's folder; streams write folders of their
+own beside it (``streamed/<name>/v<version>``), and readers take both."""
 
 from __future__ import annotations
 
@@ -12,12 +14,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from chronoweave.operators.catalog import (
-    CATALOG_SCHEMA, PACKED_SCHEMA, catalog_record, check_append, explode_entries, latest,
+    CATALOG_SCHEMA, PACKED_SCHEMA, catalog_record, check_append, check_storable, explode_entries, latest,
 )
-from chronoweave.operators.pack import pack, unpack
-from chronoweave.session import path_exists
+from chronoweave.operators.pack import TS, pack, unpack
+from chronoweave.session import create_exclusively, path_exists
 
 OVERWRITE, APPEND = "overwrite", "append"
 
@@ -31,6 +34,9 @@ class DatasetStore:
     def _data(self, name: str, version: int) -> str:
         return f"{self.root}/data/{name}/v{int(version)}"
 
+    def streamed(self, name: str, version: int) -> str:
+        return f"{self.root}/streamed/{name}/v{int(version)}"
+
     @property
     def _catalog(self) -> str:
         return f"{self.root}/catalog"
@@ -44,23 +50,35 @@ class DatasetStore:
         packed.write.mode(mode).format(self.fmt).save(self._data(name, version))
 
     def read_packed(self, name: str, version: int | None = None) -> DataFrame:
-        """Packed rows (latest version by default) with the fixed two-column schema."""
-        v = self.latest(name)[0] if version is None else version
-        return self.spark.read.schema(PACKED_SCHEMA).format(self.fmt).load(self._data(name, v))
+        """Packed rows (latest version by default): batch and streamed ones, with the fixed
+        schema of their layout."""
+        latest_version, entries = self.latest(name)
+        v = latest_version if version is None else version
+        schema = PACKED_SCHEMA if entries and entries[0][0] == TS else StructType([PACKED_SCHEMA["data"]])
+        folders = [f for f in (self._data(name, v), self.streamed(name, v)) if path_exists(self.spark, f)]
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("recursiveFileLookup", True).format(self.fmt).load(folders)
 
     # catalog ----------------------------------------------------------------------------
     def catalog(self) -> DataFrame:
+        """All catalog rows; a filter on ``tablename`` reads only that dataset's folder."""
         if not path_exists(self.spark, self._catalog):
             return self.spark.createDataFrame([], CATALOG_SCHEMA)
-        return self.spark.read.schema(CATALOG_SCHEMA).format(self.fmt).load(self._catalog)
+        rows = self.spark.read.schema(CATALOG_SCHEMA).format(self.fmt).load(self._catalog)
+        return rows.select(*CATALOG_SCHEMA.names)
 
     def add_catalog_rows(self, rows: DataFrame) -> None:
         rows.select(*[F.col(f.name).cast(f.dataType) for f in CATALOG_SCHEMA.fields]) \
-            .write.mode(APPEND).format(self.fmt).save(self._catalog)
+            .write.mode(APPEND).partitionBy("tablename").format(self.fmt).save(self._catalog)
 
-    def _next_version(self, name: str) -> int:
+    def claim_version(self, name: str) -> int:
+        """A version number above all catalogued ones that no other writer has."""
         got = self.catalog().where(F.col("tablename") == name).agg(F.max("version")).first()
-        return 1 if got is None or got[0] is None else int(got[0]) + 1
+        version = 1 if got is None or got[0] is None else int(got[0]) + 1
+        while not create_exclusively(self.spark, f"{self.root}/claims/{name}/v{version}"):
+            version += 1
+        return version
 
     def latest(self, name: str) -> tuple[int, list[tuple[str, str]]]:
         """Latest version of a dataset and its columns ``[(colname, type name), ...]``.  One
@@ -80,18 +98,20 @@ class DatasetStore:
     # whole datasets ---------------------------------------------------------------------
     def save(self, df: DataFrame, name: str, mode: str = OVERWRITE) -> None:
         """Overwrite: pack, write, add a catalog version.  Append: check compatibility with
-        the stored layout, pack, append.  Other modes raise."""
+        the stored layout, pack, append.  Other modes raise, and so do column types that the
+        catalog can't name."""
+        if mode not in (OVERWRITE, APPEND):
+            raise ValueError(f"save mode {mode!r} is neither {OVERWRITE} nor {APPEND}")
+        check_storable(df.schema)
         if mode == OVERWRITE:
-            version = self._next_version(name)
+            version = self.claim_version(name)
             self.write_packed(pack(df), name, version, OVERWRITE)
             rec = catalog_record(df.schema, name, version)
             self.add_catalog_rows(self.spark.createDataFrame([rec], CATALOG_SCHEMA))
-        elif mode == APPEND:
+        else:
             version, entries = self.latest(name)
             check_append(entries, df.schema)
             self.write_packed(pack(df), name, version, APPEND)
-        else:
-            raise ValueError(f"unknown save mode {mode!r}; accepted: overwrite, append")
 
     def load(self, name: str) -> DataFrame:
         """Stored dataset (latest version) with its columns and types restored from the catalog."""

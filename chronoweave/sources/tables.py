@@ -5,6 +5,7 @@ from __future__ import annotations
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from chronoweave.functions.time import epoch_seconds, parse_time_text
 from chronoweave.operators._util import c
@@ -14,11 +15,11 @@ from chronoweave.specs import TagSpec
 
 def read_tag_table(spark: SparkSession, path: str, time_column: str, tags: Sequence[TagSpec],
                    start_s: int | None = None, finish_s: int | None = None, time_kind: str = "auto",
-                   fmt: str = "parquet", ts: str = "timestamp") -> DataFrame:
+                   fmt: str = "parquet", ts: str = "timestamp", keep_bad_times: bool = False) -> DataFrame:
     """Table -> ``(timestamp BIGINT, tags ...)``.  For a TIMESTAMP_NTZ time column the range is
     applied to the raw column so it is pushed into the scan; only the listed columns are read."""
     raw = spark.read.format(fmt).load(path)
-    return prepare_tag_frame(raw, time_column, tags, start_s, finish_s, time_kind, ts)
+    return prepare_tag_frame(raw, time_column, tags, start_s, finish_s, time_kind, ts, keep_bad_times)
 
 
 def time_kind_of(df: DataFrame, column: str) -> str:
@@ -32,9 +33,11 @@ def time_kind_of(df: DataFrame, column: str) -> str:
 
 
 def prepare_tag_frame(raw: DataFrame, time_column: str, tags: Sequence[TagSpec], start_s: int | None = None,
-                      finish_s: int | None = None, time_kind: str = "auto", ts: str = "timestamp") -> DataFrame:
+                      finish_s: int | None = None, time_kind: str = "auto", ts: str = "timestamp",
+                      keep_bad_times: bool = False) -> DataFrame:
     """A table with a time column -> ``(timestamp BIGINT, tags ...)`` inside the range.  The
-    time column's kind is taken from its type unless given."""
+    time column's kind is taken from its type unless given.  ``keep_bad_times`` keeps rows whose
+    time text does not parse, with the text in ``_bad_time``."""
     if time_kind == "auto":
         time_kind = time_kind_of(raw, time_column)
     if time_kind == "timestamp":
@@ -44,7 +47,10 @@ def prepare_tag_frame(raw: DataFrame, time_column: str, tags: Sequence[TagSpec],
     if time_kind == "epoch":
         out = select_tags(raw, tags, c(time_column).cast("bigint"), ts)
     elif time_kind == "text":
-        out = select_tags(raw, tags, parse_time_text(c(time_column)), ts)
+        when = parse_time_text(c(time_column))
+        extra = [F.when(when.isNull(), F.coalesce(c(time_column), F.lit(""))).alias("_bad_time")] if keep_bad_times else []
+        out = raw.select(when.alias(ts), *[c(t.id).alias(t.name) for t in tags], *extra)
+        return time_range_filter(out, start_s, finish_s, ts, keep_bad_times)
     else:
         raise ValueError(f"unknown time kind {time_kind!r}")
     return time_range_filter(out, start_s, finish_s, ts)

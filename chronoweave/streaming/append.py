@@ -2,16 +2,24 @@
 into epoch seconds, range-filtered, validated under the drop/fail policy, packed and appended
 to a stored dataset.
 
-The sink is Spark's file sink writing into the dataset's current version folder, so every micro-batch is
-committed exactly once through the sink's log (a retried batch is not appended twice), and the
-stream's progress lives in ``checkpoint``.  The catalog row is written (or checked for
-compatibility, as a batch append would be) before the stream starts.  The source declares its
-schema, so no file is read to infer it.
+Each micro-batch goes to a folder of its own, named after the stream (its checkpoint) and the
+batch, beside the dataset's batch data: a retried batch overwrites its folder, so it is never there
+twice, and no sink log ever hides rows that others wrote.  A batch goes to the version that is the
+latest when it is written: after an overwrite the stream follows to the new version, if the layout
+still fits, and otherwise stops with an error.  The stream's progress lives in ``checkpoint``.  The
+catalog row is written (or checked for compatibility, as a batch append would be) before the
+stream starts.
+
+The files' header is declared in the source's ``columns`` option, or else read from the files that
+are there when the stream starts; columns are then bound by name, and a file whose header differs
+fails its batch.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import hashlib
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -25,28 +33,46 @@ from chronoweave.sources.store import DatasetStore
 from chronoweave.specs import ImportRule, SourceSpec, tags_in_order
 
 
+def header_of(spark: SparkSession, source: SourceSpec) -> list[str]:
+    """The declared header of a CSV source, or that of the files in its folder."""
+    declared = source.options.get("columns")
+    if declared:
+        return list(declared)
+    found = spark.read.option("header", True).option("recursiveFileLookup", True).csv(source.options["path"]).columns
+    if not found:
+        raise ValueError("no file to read the header from; declare it in the source's columns option")
+    return found
+
+
 def start_append_stream(spark: SparkSession, source: SourceSpec, time_column: str, rule: ImportRule,
                         store: DatasetStore, checkpoint: str, available_now: bool = False,
                         processing_time: str | None = None) -> StreamingQuery:
     """Start the stream; ``available_now`` processes what is there and stops."""
     tags = tags_in_order([source])
-    schema = StructType([StructField(time_column, StringType())] + [StructField(t.id, StringType()) for t in tags])
-    raw = (spark.readStream.option("header", True).option("recursiveFileLookup", True)
+    header = header_of(spark, source)
+    missing = [x for x in (time_column, *(t.id for t in tags)) if x not in header]
+    if missing:
+        raise ValueError(f"columns {missing} are not in the header {header}")
+    schema = StructType([StructField(x, StringType()) for x in header])
+    raw = (spark.readStream.option("header", True).option("enforceSchema", False).option("recursiveFileLookup", True)
            .schema(schema).csv(source.options["path"]))
     prepared = select_tags(raw, tags, parse_time_text(c(time_column), tz=source.options.get("tz")))
-    prepared = time_range_filter(prepared, rule.start_s, rule.finish_s)
-    names = [t.name for t in tags]
-    ds = validate(prepared, names, rule.on_error, key_flag=None)
-    name = rule.dataset_id
+    prepared = time_range_filter(prepared, rule.start_s, rule.finish_s, keep_null=rule.on_error == "fail")
+    ds = validate(prepared, [t.name for t in tags], rule.on_error, key_flag=None)
+    name, layout = rule.dataset_id, ds.schema
     try:
-        version, entries = store.latest(name)
-        check_append(entries, ds.schema)
+        check_append(store.latest(name)[1], layout)
     except KeyError:
-        version = store._next_version(name)
-        rec = catalog_record(ds.schema, name, version)
+        rec = catalog_record(layout, name, store.claim_version(name))
         store.add_catalog_rows(spark.createDataFrame([rec], CATALOG_SCHEMA))
-    writer = (pack(ds).writeStream.format(store.fmt).outputMode("append")
-              .option("checkpointLocation", checkpoint).option("path", store._data(name, version)))
+    stream = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()
+
+    def write(batch: DataFrame, number: int) -> None:
+        version, entries = store.latest(name)
+        check_append(entries, layout)
+        batch.write.mode("overwrite").format(store.fmt).save(f"{store.streamed(name, version)}/{stream}/{number}")
+
+    writer = pack(ds).writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:

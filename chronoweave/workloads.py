@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from chronoweave.functions.numeric import to_double
 from chronoweave.functions.text import last_component
-from chronoweave.functions.time import epoch_seconds
+from chronoweave.functions.time import epoch_seconds, epoch_to_text
 from chronoweave.operators.align import align_by_joins, time_grid, time_grid_from_bounds, union_keys
 from chronoweave.operators.catalog import (
     catalog_from_labels, explode_entries, latest, schema_from_names, schema_pairs,
@@ -27,13 +27,13 @@ from chronoweave.operators.gaps import infer_interval, next_gap
 from chronoweave.operators.metadata import multi_table_select, resolve_source
 from chronoweave.operators.pack import pack, pack_rdbms, unpack
 from chronoweave.operators.quality import (
-    DROP, bad_field_names, rejects_report, type_error_counts, validate, validation_counts,
+    DROP, bad_field_names, flag_type_errors, rejects_report, type_error_counts, validate, validation_counts,
 )
 from chronoweave.operators.resample import downsample, resample, resample_plan, upsample
 from chronoweave.plans.dataset_import import build_dataset, build_from_long, import_dataset
 from chronoweave.plans.rdbms_import import rdbms_import
 from chronoweave.session import scratch_path
-from chronoweave.sources.csv import read_csv_null_to_zero, read_tag_csv, write_csv, write_tag_csv
+from chronoweave.sources.csv import read_csv_null_to_zero, read_csv_text, read_tag_csv, write_csv, write_tag_csv
 from chronoweave.sources.store import DatasetStore
 from chronoweave.specs import ImportRule, SourceSpec, TagSpec
 
@@ -62,15 +62,14 @@ def _events(spark: SparkSession, d: str) -> DataFrame:
 
 def _regular_sources(spark: SparkSession, d: str, buckets: dict[str, int], start_s: int | None = None,
                      finish_s: int | None = None) -> DataFrame:
-    """Per event type, values averaged per that type's bucket: ``(event_type, timestamp, value)``.
-    One scan and one aggregation for all types."""
+    """Of the listed event types, values averaged per that type's bucket: ``(event_type,
+    timestamp, value)``.  One scan and one aggregation for all types."""
     raw = raw_time_range_filter(_t(spark, d, "events"), "ts", start_s, finish_s)
     ev = raw.select(epoch_seconds(F.col("ts")).alias("timestamp"), "event_type", "value")
-    ev = ev.where(F.col("event_type").isin(list(buckets)))
     width = F.lit(None).cast("bigint")
     for k, v in buckets.items():
         width = F.when(F.col("event_type") == k, F.lit(v).cast("bigint")).otherwise(width)
-    ev = ev.withColumn("_w", width)
+    ev = ev.withColumn("_w", width).where("_w IS NOT NULL")
     return downsample(ev.select("event_type", "timestamp", "value", "_w"), F.col("_w"), by=["event_type"],
                       values=["value"], label="bucket")
 
@@ -138,6 +137,15 @@ def q_next_gap_chunked(spark: SparkSession, d: str) -> DataFrame:
     return g.select("timestamp", "gap")
 
 
+def q_next_gap_users(spark: SparkSession, d: str) -> DataFrame:
+    """E1 for a nullable series without a tiebreak: events by user (users divisible by 7 as
+    NULL), times cut to hours so that many tie."""
+    ev = _t(spark, d, "events")
+    t = epoch_seconds(F.col("ts"))
+    rows = ev.select(F.when(F.col("user_id") % 7 != 0, F.col("user_id")).alias("user_id"), (t - F.pmod(t, F.lit(3600))).alias("timestamp"))
+    return next_gap(rows, by=["user_id"], out="gap")
+
+
 def q_infer_interval(spark: SparkSession, d: str) -> DataFrame:
     """AG3: each event type's own interval (smallest positive gap)."""
     return infer_interval(_events(spark, d).select("event_type", "timestamp"), by=["event_type"])
@@ -148,8 +156,8 @@ def q_infer_interval(spark: SparkSession, d: str) -> DataFrame:
 # ------------------------------------------------------------------------------------------
 def q_upsample_ffill(spark: SparkSession, d: str) -> DataFrame:
     """G1: hourly averages of every event type forward-filled at 1800 s."""
-    types = ["view", "click", "purchase", "signup", "error"]
-    src = _regular_sources(spark, d, {t: 3600 for t in types})
+    ev = _events(spark, d).select("event_type", "timestamp", "value")
+    src = downsample(ev, 3600, by=["event_type"], values=["value"], label="bucket")
     return _r(upsample(src, 1800, by=["event_type"], values=["value"]), ["value"])
 
 
@@ -172,6 +180,29 @@ def q_resample_plan(spark: SparkSession, d: str) -> DataFrame:
     return resample_plan(src, 3600, by=["event_type"]).withColumnRenamed("event_type", "series")
 
 
+def q_resample_events(spark: SparkSession, d: str) -> DataFrame:
+    """P1 on raw rows: all events of all types, filled at each type's own interval and averaged
+    hourly; events that share a second all count."""
+    ev = _events(spark, d).select("event_type", "timestamp", "value")
+    return _r(resample(ev, 3600, by=["event_type"], values=["value"]), ["value"])
+
+
+def q_resample_users(spark: SparkSession, d: str) -> DataFrame:
+    """P1 on many series, one of them NULL: all events by user (users divisible by 7 as NULL), times
+    cut to hours, averaged daily."""
+    ev = _t(spark, d, "events")
+    user = F.when(F.col("user_id") % 7 != 0, F.col("user_id"))
+    hour = epoch_seconds(F.col("ts"))
+    rows = ev.select(user.alias("user_id"), (hour - F.pmod(hour, F.lit(3600))).alias("timestamp"), "value")
+    return _r(resample(rows, DAY, by=["user_id"], values=["value"]), ["value"])
+
+
+def q_resample_equal_ties(spark: SparkSession, d: str) -> DataFrame:
+    """P1, equal branch, with tied rows: all events by type, times cut to hours, resampled hourly."""
+    ev = _events(spark, d).select("event_type", (F.col("timestamp") - F.pmod("timestamp", F.lit(3600))).alias("timestamp"), "value")
+    return _r(resample(ev, 3600, by=["event_type"], values=["value"]), ["value"])
+
+
 # ------------------------------------------------------------------------------------------
 # timelines and alignment
 # ------------------------------------------------------------------------------------------
@@ -205,15 +236,39 @@ def q_full_outer_offgrid(spark: SparkSession, d: str) -> DataFrame:
     return _r(out, ["order_total", "ship_qty"], 2)
 
 
+def _two_types(spark: SparkSession, d: str) -> list[tuple[str, DataFrame]]:
+    """Signup and error events at hour resolution: several rows of a source share a timestamp."""
+    ev = _events(spark, d)
+    hour = (F.col("timestamp") - F.pmod("timestamp", F.lit(3600))).alias("timestamp")
+    return [(k, ev.where(F.col("event_type") == k).select(hour, F.col("value").alias(k))) for k in ("signup", "error")]
+
+
+def q_align_multiply(spark: SparkSession, d: str) -> DataFrame:
+    """D24 literal: rows of the sources that share a timestamp multiply."""
+    rule = ImportRule("pairs", interval_s=0, on_error=DROP, dedupe="multiply")
+    return _r(build_dataset(spark, _two_types(spark, d), ["signup", "error"], rule), ["signup", "error"])
+
+
+def q_align_average(spark: SparkSession, d: str) -> DataFrame:
+    """D24, averaged: rows of a source that share a timestamp become one."""
+    rule = ImportRule("means", interval_s=0, on_error=DROP, dedupe="avg")
+    return _r(build_dataset(spark, _two_types(spark, d), ["signup", "error"], rule), ["signup", "error"])
+
+
+def q_align_unique(spark: SparkSession, d: str) -> DataFrame:
+    """D24, refused: timestamps at which a source has several rows are rejected (here dropped)."""
+    rule = ImportRule("single", interval_s=0, on_error=DROP, dedupe="fail")
+    return _r(build_dataset(spark, _two_types(spark, d), ["signup", "error"], rule), ["signup", "error"])
+
+
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     """Three event types as regular sources (hourly, 15-min, 90-min) resampled to hourly and
     aligned on the January timeline; off-timeline rows dropped, gaps filled with 0.0."""
     src = _regular_sources(spark, d, SOURCE_BUCKETS, JAN_START, JAN_FINISH)
-    long = src.select(F.col("event_type").alias("_source"), "timestamp",
-                      *[F.when(F.col("event_type") == k, F.col("value")).alias(k) for k in SOURCE_BUCKETS])
+    long = src.select(F.col("event_type").alias("_source"), "timestamp", F.col("value").alias("_v0"))
     rule = ImportRule("events_hourly", start_ms=JAN_START * 1000, finish_ms=JAN_FINISH * 1000,
-                      interval_s=3600, on_error=DROP)
-    ds = build_from_long(spark, long, list(SOURCE_BUCKETS), rule)
+                      interval_s=3600, on_error=DROP, dedupe="avg")
+    ds = build_from_long(spark, long, {k: (k, "_v0") for k in SOURCE_BUCKETS}, list(SOURCE_BUCKETS), rule)
     return _r(ds, list(SOURCE_BUCKETS))
 
 
@@ -231,13 +286,25 @@ def q_validate_fail_count(spark: SparkSession, d: str) -> DataFrame:
     return validation_counts(_cell_frame(spark, d), ["value", "cell"], by=["event_type"])
 
 
-def q_detect_type_errors(spark: SparkSession, d: str) -> DataFrame:
-    """A3: wrongly typed cells per column of a text frame."""
+def _text_file(spark: SparkSession, d: str) -> str:
+    """Events as a CSV file with wrongly typed times (signup) and cells (error)."""
     f = _cell_frame(spark, d)
     time_text = F.when(F.col("event_type") == "signup", F.concat(F.lit("t"), F.col("timestamp").cast("string"))) \
         .otherwise(F.col("timestamp").cast("string"))
-    text = f.select(time_text.alias("time"), F.col("value").cast("string").alias("value"), "cell")
-    return type_error_counts(text)
+    path = scratch_path(spark, "typed_csv")
+    write_csv(f.select(time_text.alias("time"), F.col("value").cast("string").alias("value"), "cell"), path, header=True)
+    return path
+
+
+def q_detect_type_errors(spark: SparkSession, d: str) -> DataFrame:
+    """A3: wrongly typed cells per column of a CSV file."""
+    return type_error_counts(read_csv_text(spark, _text_file(spark, d)))
+
+
+def q_flag_type_errors(spark: SparkSession, d: str) -> DataFrame:
+    """A3: the rows of a CSV file that hold a wrongly typed cell."""
+    flagged = flag_type_errors(read_csv_text(spark, _text_file(spark, d)))
+    return flagged.where("_type_error").select("time", "cell")
 
 
 def q_rejects_report(spark: SparkSession, d: str) -> DataFrame:
@@ -333,9 +400,11 @@ def q_csv_null_to_zero(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_catalog_build(spark: SparkSession, d: str) -> DataFrame:
-    """Catalog row of a saved dataset, exploded."""
+    """Catalog row of a saved dataset with one column per order priority found."""
+    o = _t(spark, d, "orders").select(epoch_seconds(F.col("o_orderdate")).alias("timestamp"), "o_orderpriority", "o_totalprice")
+    wide = o.groupBy("timestamp").pivot("o_orderpriority").agg(F.sum("o_totalprice"))
     store = _store(spark, "catalog_build")
-    store.save(_orders_daily(spark, d), "orders_daily")
+    store.save(wide, "by_priority")
     cat = latest(store.catalog())
     return explode_entries(cat).join(cat.select("tablename", "tagNames"), "tablename") \
         .select("tablename", "colname", "datatype", F.col("orderby").cast("bigint").alias("orderby"), "tagNames")
@@ -377,16 +446,15 @@ def q_catalog_from_labels_customers(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_catalog_lookup(spark: SparkSession, d: str) -> DataFrame:
-    """Latest of two catalog versions."""
+    """Latest of many catalog versions: one dataset per nation, one version per customer
+    (by key), whose only column is named after the customer."""
+    cust, nation = _t(spark, d, "customer"), _t(spark, d, "nation")
+    rows = cust.join(nation, cust.c_nationkey == nation.n_nationkey).select(
+        F.col("n_name").alias("tablename"), F.col("c_custkey").cast("bigint").alias("version"), "c_name")
+    entry = F.to_json(F.array(F.struct(F.col("c_name").alias("colname"), F.lit("DoubleType").alias("datatype"), F.lit(0).alias("orderby"))))
     store = _store(spark, "catalog_lookup")
-    daily = _orders_daily(spark, d)
-    store.save(daily.select("timestamp", "order_total"), "orders_daily")
-    store.save(daily, "orders_daily")
-    entries = store.entries("orders_daily")
-    cat = latest(store.catalog())
-    return explode_entries(cat).select("tablename", "colname", "datatype",
-                                       F.col("orderby").cast("bigint").alias("orderby"),
-                                       F.lit(len(entries)).cast("bigint").alias("n_columns"))
+    store.add_catalog_rows(rows.select("tablename", entry.alias("columns"), F.col("c_name").alias("tagNames"), "version"))
+    return explode_entries(latest(store.catalog())).select("tablename", "version", "colname", "datatype", F.col("orderby").cast("bigint").alias("orderby"))
 
 
 def q_cast_by_catalog(spark: SparkSession, d: str) -> DataFrame:
@@ -433,8 +501,18 @@ def q_multi_table_select(spark: SparkSession, d: str) -> DataFrame:
     return multi_table_select(tables, cols, keys)
 
 
+def q_composite_keys(spark: SparkSession, d: str) -> DataFrame:
+    """C2 with a two-column key and equal column names: lineitem joined to itself by order and
+    line number."""
+    li = _t(spark, d, "lineitem")
+    keys = [("a", "l_orderkey", "b", "l_orderkey"), ("a", "l_linenumber", "b", "l_linenumber")]
+    cols = [("a", "l_orderkey"), ("a", "l_linenumber"), ("a", "l_quantity"), ("b", "l_quantity")]
+    out = multi_table_select([("a", li), ("b", li)], cols, keys)
+    return out.select("l_orderkey", "l_linenumber", F.col("`a.l_quantity`").alias("qa"), F.col("`b.l_quantity`").alias("qb"))
+
+
 def q_rdbms_import(spark: SparkSession, d: str) -> DataFrame:
-    """The database-style import on the orders table, stored and read back packed."""
+    """The database-style import on the orders table, stored and loaded back."""
     datasets = spark.createDataFrame([("ds1", "src1")], "dsabelid string, datasourcesid string")
     sources = spark.createDataFrame([("src1", "warehouse", "PARQUET", "", "", d, None, None)],
                                     "id string, dsname string, dstype string, dsip string, dsport string, "
@@ -443,12 +521,34 @@ def q_rdbms_import(spark: SparkSession, d: str) -> DataFrame:
         ("ds1", "orders", "erp.orders.o_orderdate", 1),
         ("ds1", "orders", "erp.orders.o_totalprice", 0),
         ("ds1", "orders", "erp.orders.o_custkey", 0),
-        ("ds1", "orders", "erp.orders.o_orderpriority", 0),
     ], "dsabelid string, tablename string, labelid string, timestampif int")
     rule = ImportRule("ds1", start_ms=YEARS_START * 1000, finish_ms=YEARS_FINISH * 1000)
     store = _store(spark, "rdbms_import")
     rdbms_import(spark, "ds1", rule, datasets, sources, labels, store)
-    return store.read_packed("ds1")
+    loaded = store.load("ds1")
+    return loaded.select("timestamp", *[F.col(f"`{x}`").alias(x.split(".")[-1]) for x in loaded.columns[1:]])
+
+
+def q_reject_log(spark: SparkSession, d: str) -> DataFrame:
+    """The exception log of an import under the drop policy: unparsable times (every fifth
+    hour's count), unparsable cells (every seventh) and rows off the key timeline (a source that
+    runs a quarter of an hour late)."""
+    root = scratch_path(spark, "reject_log")
+    ev = _events(spark, d)
+    hour = (F.col("timestamp") - F.pmod("timestamp", F.lit(3600))).alias("timestamp")
+    hourly = ev.where("event_type IN ('view', 'click')").groupBy("event_type", hour).agg(F.count("*").alias("n"))
+    click = hourly.where("event_type = 'click'").select(
+        F.when(F.col("n") % 5 == 0, F.concat(F.lit("t"), F.col("timestamp").cast("string"))).otherwise(epoch_to_text(F.col("timestamp"))).alias("time"),
+        F.when(F.col("n") % 7 == 0, F.concat(F.lit("x"), F.col("n").cast("string"))).otherwise(F.col("n").cast("string")).alias("n"))
+    view = hourly.where("event_type = 'view'").select(epoch_to_text(F.col("timestamp") + 900).alias("time"), "n")
+    write_csv(click, f"{root}/click", header=True)
+    write_csv(view, f"{root}/view", header=True)
+    option = lambda kind: {"path": f"{root}/{kind}", "tz": "UTC", "columns": ["time", "n"]}
+    sources = [SourceSpec("CSV", option(k), (TagSpec(i + 1, "n", k),), name=k) for i, k in enumerate(("click", "view"))]
+    rule = ImportRule("hourly", start_ms=JAN_START * 1000, finish_ms=(JAN_FINISH + 86401) * 1000, interval_s=3600, on_error=DROP, dedupe="avg")
+    store = DatasetStore(spark, f"{root}/store")
+    import_dataset(spark, sources, rule, store, log_rejects=True)
+    return store.errors()
 
 
 def q_csv_import(spark: SparkSession, d: str) -> DataFrame:
@@ -474,7 +574,7 @@ def q_csv_import(spark: SparkSession, d: str) -> DataFrame:
     ]
     rule = ImportRule.from_json_fields({"newDatasetID": "events_2400", "startTime": str(JAN_START * 1000),
                                         "finishTime": str(JAN_FINISH * 1000), "timeInterval": "2400",
-                                        "typesOfException": "0"})
+                                        "typesOfException": "0", "dedupe": "avg"})
     store = DatasetStore(spark, f"{root}/store")
     import_dataset(spark, sources, rule, store)
     return _r(store.load("events_2400"), ["view_n", "click", "view_avg", "purchase"])
@@ -485,6 +585,7 @@ QUERIES: dict[str, Query] = {
     "modulo_sample": q_modulo_sample,
     "next_gap": q_next_gap,
     "next_gap_chunked": q_next_gap_chunked,
+    "next_gap_users": q_next_gap_users,
     "infer_interval": q_infer_interval,
     "upsample_ffill": q_upsample_ffill,
     "downsample_avg": q_downsample_avg,
@@ -492,15 +593,23 @@ QUERIES: dict[str, Query] = {
     "resample_slower": _resample_one("click"),
     "resample_faster": _resample_one("purchase"),
     "resample_plan": q_resample_plan,
+    "resample_events": q_resample_events,
+    "resample_users": q_resample_users,
+    "resample_equal_ties": q_resample_equal_ties,
     "time_grid": q_time_grid,
     "union_keys": q_union_keys,
     "align_union_keys": q_align_union_keys,
     "full_outer_offgrid": q_full_outer_offgrid,
     "align_multi_source": flagship,
+    "align_multiply": q_align_multiply,
+    "align_average": q_align_average,
+    "align_unique": q_align_unique,
     "validate_drop": q_validate_drop,
     "validate_fail_count": q_validate_fail_count,
     "detect_type_errors": q_detect_type_errors,
+    "flag_type_errors": q_flag_type_errors,
     "rejects_report": q_rejects_report,
+    "reject_log": q_reject_log,
     "pack_dataset": q_pack_dataset,
     "pack_no_timestamp": q_pack_no_timestamp,
     "pack_dataset_rdbms": q_pack_dataset_rdbms,
@@ -518,6 +627,7 @@ QUERIES: dict[str, Query] = {
     "bad_field_names": q_bad_field_names,
     "resolve_source": q_resolve_source,
     "multi_table_select": q_multi_table_select,
+    "composite_keys": q_composite_keys,
     "rdbms_import": q_rdbms_import,
     "csv_import": q_csv_import,
 }

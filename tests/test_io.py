@@ -110,9 +110,10 @@ def test_catalog_from_labels_orders_time_first(spark):
                                     ("d2", "db.u.z", 1, 0)], "ds string, label string, o int, is_t int")
     cat = catalog_from_labels(labels, "ds", "label", "o", "is_t")
     names = {r["tablename"]: r["tagNames"] for r in cat.collect()}
-    assert names == {"d1": "ts,a,b", "d2": "z"}
-    ent = sorted((r["tablename"], r["orderby"], r["colname"]) for r in explode_entries(cat).collect())
-    assert ent == [("d1", 0, "db.t.ts"), ("d1", 1, "db.t.a"), ("d1", 2, "db.t.b"), ("d2", 0, "db.u.z")]
+    assert names == {"d1": "timestamp,a,b", "d2": "z"}
+    ent = sorted((r["tablename"], r["orderby"], r["colname"], r["datatype"]) for r in explode_entries(cat).collect())
+    assert ent == [("d1", 0, "timestamp", "LongType"), ("d1", 1, "db.t.a", "DoubleType"), ("d1", 2, "db.t.b", "DoubleType"),
+                   ("d2", 0, "db.u.z", "DoubleType")]
 
 
 def test_type_names():

@@ -1,6 +1,8 @@
 """Plan shape: filters and columns reach the scan, no cartesian or nested-loop joins, no
 window that puts all rows of a series into one task."""
 
+import re
+
 from __spark_entry__ import queries
 
 SF = "/root/testdata/sf0.001"
@@ -23,28 +25,49 @@ def test_flagship_plan_has_no_cartesian_join(spark):
     assert "props" not in p.split("ReadSchema")[1].split("\n")[0]
 
 
-def test_gap_windows_are_partitioned(spark):
-    df = queries()["next_gap"](spark, SF)
-    p = df._jdf.queryExecution().executedPlan().toString()
-    # the row-level window is partitioned by (series, chunk); the per-series stitch window only
-    # sees two rows per chunk
-    assert "Window [lead(" in p
-    assert "SinglePartition" not in p
+def events(spark):
+    from pyspark.sql import functions as F
+
+    from chronoweave.functions.time import epoch_seconds
+
+    return spark.read.parquet(f"{SF}/events.parquet").select(epoch_seconds(F.col("ts")).alias("timestamp"), "event_type", "value")
+
+
+def test_row_window_is_inside_chunks(spark):
+    from chronoweave.operators.gaps import chunk_edges, in_chunks
+
+    rows = in_chunks(events(spark), by=["event_type"])
+    p = plan_of(rows)
+    assert p.count("Window [lead(") == 1 and "SinglePartition" not in p
+    line = next(x for x in p.split("\n") if "Window [lead(" in x)
+    assert "windowspecdefinition(event_type" in line and "_chunk" in line
+    # without a series key the windows over chunk rows are on one partition, those over rows are not
+    single = plan_of(chunk_edges(in_chunks(events(spark))))
+    lines = single.split("\n")
+    at = [i for i, x in enumerate(lines) if "Exchange SinglePartition" in x]
+    assert len(at) == 1 and "HashAggregate(keys=[_chunk" in lines[at[0] + 1]
+
+
+def test_infer_interval_reads_its_input_once(spark):
+    p = plan_of(queries()["infer_interval"](spark, SF))
+    assert p.count("FileScan") == 1 and "SinglePartition" not in p
 
 
-def test_resample_multi_series_single_pass(spark):
-    df = queries()["resample_plan"](spark, SF)
-    assert "SinglePartition" not in plan_of(df)
+def test_flagship_runs_on_the_written_gap_table(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan_of(queries()["align_multi_source"](spark, SF))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # events were read when the gap table was written; no row is shuffled by its series alone
+    assert p.count("FileScan") == 2 and "event_type" not in p
+    rows_path, chunk_table = p.split("SortMergeJoin", 1)
+    assert not re.search(r"hashpartitioning\(_source#\d+, \d+\)", rows_path)
+    assert "_interval" in chunk_table
+    joins = [x for x in p.split("\n") if "SortMergeJoin" in x]
+    assert len(joins) == 1 and "_at" in joins[0]
 
 
-def test_single_series_window_partitioned_by_chunk(spark):
-    p = plan_of(queries()["next_gap_chunked"](spark, SF))
-    # the row-level window is partitioned by the time chunk (an extracted partition
-    # expression); the one single-partition exchange sits above the filter that keeps only
-    # each chunk's edge rows (two per chunk)
-    chunk_window = [x for x in p.split("\n") if "Window [lead(" in x and "lag(" in x]
-    assert chunk_window and "windowspecdefinition(_w" in chunk_window[0]
-    lines = p.split("\n")
-    single = [i for i, x in enumerate(lines) if "Exchange SinglePartition" in x]
-    assert len(single) == 1
-    assert "isnull(_prev" in lines[single[0] + 1] or "isnull(_prev" in lines[single[0] + 2]
+def test_gaps_return_by_row_number(spark):
+    p = plan_of(queries()["next_gap"](spark, SF))
+    assert "_row" in p and "ts#" not in p.replace("timestamp", "") and "SinglePartition" not in p

@@ -113,16 +113,39 @@ def test_grid_has_no_duplicates(spark, start, span, iv):
     assert sorted(got) == sorted({start + i * iv for i in range(n)} | {start + span})
 
 
-@pytest.mark.parametrize("opts", [{"materialize": True}, {"inline": True}, {"materialize": True, "inline": True}])
-def test_resample_options_same_rows(spark, opts):
-    rows = ([("a", t * 300, float(t % 5)) for t in range(20)] + [("b", t * 900, float(t)) for t in range(6)]
-            + [("c", 100, 1.0)])
+@pytest.mark.parametrize("target", [300, 600, 200])
+def test_null_series_is_a_series(spark, target):
+    rows = ([(None, t * 300, float(t % 5)) for t in range(20)] + [("a", t * 300, float(t % 5)) for t in range(20)]
+            + [("b", t * 900, float(t)) for t in range(6)] + [("c", 100, 1.0)])
     df = spark.createDataFrame(rows, "s string, timestamp long, v double")
-    base = sorted(tuple(r) for r in resample(df, 600, by=["s"]).collect())
-    assert sorted(tuple(r) for r in resample(df, 600, by=["s"], **opts).collect()) == base
+    got = [tuple(r) for r in resample(df, target, by=["s"]).collect()]
+    assert sorted(r[1:] for r in got if r[0] is None) == sorted(r[1:] for r in got if r[0] == "a")
     single = df.where("s = 'a'").drop("s")
-    assert sorted(tuple(r) for r in resample(single, 600, **opts).collect()) == \
-        sorted(tuple(r) for r in resample(single, 600).collect())
+    assert sorted(tuple(r) for r in resample(single, target).collect()) == sorted(r[1:] for r in got if r[0] == "a")
+    gaps = [tuple(r) for r in next_gap(df, by=["s"], chunk=700).select("s", "timestamp", "t").collect()]
+    assert sorted(r[1:] for r in gaps if r[0] is None) == sorted(brute.gaps([t * 300 for t in range(20)]))
+
+
+def test_ties_stay_or_are_averaged(spark):
+    # rows tied at 0 and at 120; 60 is the series' interval, so the branch is "equal"
+    data = [(0, 1.0, 9.0), (0, 5.0, 2.0), (60, 3.0, 3.0), (180, 7.0, None), (180, 1.0, 4.0)]
+    df = spark.createDataFrame(data, "timestamp long, a double, b double")
+    kept = sorted(tuple(r) for r in resample(df, 60, values=["a", "b"]).collect())
+    # the gap from 60 to 180 fills once
+    assert kept == sorted([*data, (120, 3.0, 3.0)], key=lambda r: (r[0], r[1]))
+    mean = sorted(tuple(r) for r in resample(df, 60, values=["a", "b"], ties="avg").collect())
+    assert mean == [(0, 3.0, 5.5), (60, 3.0, 3.0), (120, 3.0, 3.0), (180, 4.0, 4.0)]
+    # fills come from a row that exists
+    late = spark.createDataFrame([(0, 1.0, 9.0), (0, 5.0, 2.0), (120, 0.0, 0.0), (180, 0.0, 0.0)], "timestamp long, a double, b double")
+    assert (60, 5.0, 2.0) in {tuple(r) for r in resample(late, 60, values=["a", "b"]).collect()}
+    assert (60, 5.0, 2.0) in {tuple(r) for r in upsample(late, 60).collect()}
+
+
+def test_tiebreak_null_or_equal(spark):
+    rows = [(0, 1), (0, 1), (10, None), (10, None), (10, 5), (30, 2)]
+    df = spark.createDataFrame(rows, "timestamp long, id int")
+    got = sorted((r.timestamp, r.t) for r in next_gap(df, tiebreak="id").collect())
+    assert got == sorted(brute.gaps([t for t, _ in rows]))
 
 
 @SETTINGS
