@@ -29,7 +29,7 @@ edge AS (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS before FROM hit
 run AS (SELECT r, i, sum(CASE WHEN before IS NULL OR i > before + 200 THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY i) AS k FROM edge),
 span AS (SELECT r, k, min(i) AS b, max(i) + 200 AS e FROM run GROUP BY r, k),
 kept AS (SELECT r, 0 AS b, min(b) AS e FROM span GROUP BY r
-         UNION ALL SELECT r, e, coalesce(lead(b) OVER (PARTITION BY r ORDER BY b), 1 << 40) FROM span),
+         UNION ALL SELECT r, e, coalesce(lead(b) OVER (PARTITION BY r ORDER BY b), 2000000000) FROM span),
 parts AS (SELECT k.r, string_agg(substr(x, CAST(2 * b + 1 AS BIGINT), CAST(2 * (e - b) AS BIGINT)), '' ORDER BY b) AS x FROM kept k JOIN d ON k.r = d.r GROUP BY k.r),
 sums AS (SELECT r, sum(e - b) AS n, count(*) AS c FROM span GROUP BY r)
 SELECT doc_id, CAST(length(d.x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, CAST(coalesce(c, 0) AS BIGINT) AS n_spans,
@@ -40,11 +40,11 @@ FROM d LEFT JOIN sums ON d.r = sums.r LEFT JOIN parts ON d.r = parts.r
 ORACLE_SQL["op4_warc_salvage"] = r"""
 WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS x FROM pages),
 f AS (SELECT x, min(page_id) AS first_id FROM p GROUP BY x),
-t AS (SELECT p.*, first_id, list_transform(range(0, 8), i -> list_sum(list_transform(range(0, 5),
-        j -> (strpos('0123456789abcdef', substr(p.x, CAST(5 * i + j + 1 AS BIGINT), 1)) - 1) * (16 ** (4 - j))))) AS v
+t AS (SELECT p.*, first_id, list_transform(range(0, 8), lambda i: list_sum(list_transform(range(0, 5),
+        lambda j: (strpos('0123456789abcdef', substr(p.x, CAST(5 * i + j + 1 AS BIGINT), 1)) - 1) * (16 ** (4 - j))))) AS v
       FROM p JOIN f ON p.x = f.x)
 SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
-  array_to_string(list_transform(range(0, 32), k -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
     1 + CAST(floor(v[k // 4 + 1] / (32 ** (3 - k % 4))) AS BIGINT) % 32, 1)), '') AS payload_digest,
   CASE WHEN first_id IS NULL OR page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN first_id IS NOT NULL AND page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
@@ -55,7 +55,7 @@ ORACLE_SQL["op6_circulant_minhash"] = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
   FROM documents),
-s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), i -> list_slice(w, i, i + 2))
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: list_slice(w, i, i + 2))
                                           WHEN len(w) > 0 THEN [w] ELSE [] END) AS sh FROM d),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY 1, 2),

@@ -5,6 +5,7 @@ import pytest
 from llm_brute import passages
 
 from chronoweave.llm import suffix_dedup as op
+from chronoweave.llm.bloom import BloomFilter
 
 
 def got(df):
@@ -54,6 +55,6 @@ def test_levels_grow_geometrically_and_stay_sorted():
 
 def test_bloom_filter_holds_all(spark, docs):
     keys = np.random.default_rng(1).integers(-(1 << 63), 1 << 63, 5000)
-    held = op.BloomFilter.of(spark.createDataFrame([(int(k),) for k in keys], "h long"), size=1 << 17)
+    held = BloomFilter.of(spark.createDataFrame([(int(k),) for k in keys], "h long"), size=1 << 17)
     assert held.holds(keys.view(np.uint64)).all()
     assert held.holds(np.arange(10_000, dtype=np.uint64)).mean() < 0.2
