@@ -24,12 +24,15 @@ import re
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoweave.session import scratch_path
+from chronoweave.session import materialized, scratch_path
 
+from .bloom import BloomFilter
 from .common import table
 
 LEAST = 0
@@ -52,12 +55,22 @@ def records(pages: DataFrame, least: int = LEAST) -> DataFrame:
     payload = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select("page_id", "url", payload.alias("payload"), F.octet_length(payload).cast("long").alias("payload_bytes"),
                         base32_sha1(payload.cast("binary")).alias("payload_digest"))
-    # payloads that are there more than once, and their smallest page; html is not shuffled for it
+    # payloads that are there more than once, and their smallest page
     first = (rows.where(F.col("payload_bytes") >= least).groupBy("payload_digest")
              .agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1").drop("n"))
+    first = materialized(first, "repeated-payloads")
+    # pages whose payload is surely there once are written where they were read
+    shared = pages.sparkSession.sparkContext.broadcast(BloomFilter.of(first.select(F.xxhash64("payload_digest").alias("h"))))
+
+    @F.pandas_udf("boolean")
+    def maybe(h: pd.Series) -> pd.Series:
+        return pd.Series(shared.value.holds(h.to_numpy(np.int64).view(np.uint64)))
+
+    rows = rows.withColumn("maybe", maybe(F.xxhash64("payload_digest")))
+    once = rows.where(~F.col("maybe")).drop("maybe").withColumn("first_id", F.lit(None).cast("long"))
     salt = F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt")
-    rows = rows.withColumn("salt", F.pmod(F.hash("page_id", "url"), F.lit(SALT)))
-    rows = rows.join(first.select("*", salt), ["payload_digest", "salt"], "left")
+    rows = rows.where("maybe").drop("maybe").withColumn("salt", F.pmod(F.hash("page_id", "url"), F.lit(SALT)))
+    rows = rows.join(first.select("*", salt), ["payload_digest", "salt"], "left").drop("salt").unionByName(once)
     revisit = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
     return rows.select(
         "page_id", "url", "payload", "payload_bytes", "payload_digest", F.when(revisit, "revisit").otherwise("response").alias("record_type"),
