@@ -108,6 +108,7 @@ class Damaged(Exception):
 
 
 _LENGTH = re.compile(rb"\d{1,18}")
+_NAME = re.compile(rb"[A-Za-z0-9!#$%&'*+.^_`|~-]+")
 
 
 def parse(data: memoryview, at: int) -> tuple[int, dict[str, str], memoryview]:
@@ -119,9 +120,11 @@ def parse(data: memoryview, at: int) -> tuple[int, dict[str, str], memoryview]:
     headers: dict[str, str] = {}
     for line in head[:stop].split(b"\r\n")[1:]:
         name, colon, value = line.partition(b":")
-        if not colon:
+        if not colon or not _NAME.fullmatch(name):
             raise Damaged("bad header line")
         headers[name.decode("latin-1").lower()] = value.strip().decode("utf-8", "replace")
+    if "warc-type" not in headers or "warc-record-id" not in headers:
+        raise Damaged("no type or id")
     length = headers.get("content-length", "")
     if not _LENGTH.fullmatch(length.encode()):
         raise Damaged("bad length")
