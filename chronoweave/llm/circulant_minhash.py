@@ -230,12 +230,14 @@ def class_links(docs: DataFrame, classes: DataFrame, words: int, percent: int, b
     inner = inner.select("class", "component", "grp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
     inner = inner.join(sets, "class").join(classes.select("class", "bands"), "class")
     inner = inner.groupBy("grp", "i", "j").applyInArrow(_block_links(percent), "a binary, b binary")
-    # pairs around different centres
-    left = members.select("key", F.col("class").alias("a"), F.col("n_shingles").alias("na"), F.col("component").alias("ca"), F.col("grp").alias("ga"))
-    right = members.select("key", F.col("class").alias("b"), F.col("n_shingles").alias("nb"), F.col("component").alias("cb"), F.col("grp").alias("gb"))
+    # pairs around different centres, each in the least of the buckets that it shares
+    members = materialized(members.join(classes.select("class", "bands"), "class"), "open-bands")
+    left = members.select("key", F.col("class").alias("a"), F.col("n_shingles").alias("na"), F.col("component").alias("ca"), F.col("grp").alias("ga"), F.col("bands").alias("ba"))
+    right = members.select("key", F.col("class").alias("b"), F.col("n_shingles").alias("nb"), F.col("component").alias("cb"), F.col("grp").alias("gb"), F.col("bands").alias("bb"))
     outer = left.join(right, "key").where(
         (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (F.col("ga") != F.col("gb"))
-        & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))).select("a", "b").distinct()
+        & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+        & (F.array_min(F.array_intersect("ba", "bb")) == F.col("key"))).select("a", "b")
     return links.union(inner).union(verified(outer, sets, percent))
 
 
