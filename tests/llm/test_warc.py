@@ -77,7 +77,7 @@ def test_damage_costs_one_record_and_is_logged():
     raw = b"".join(records)
     for harm in (lambda r: r[:at[2] + 200] + b"#" + r[at[2] + 201:],  # a payload byte
                  lambda r: r[:at[2] + 3] + b"X" + r[at[2] + 4:],  # the version line
-                 lambda r: r.replace(b"WARC-Record-ID: <urn:page:2>", b"WARC-Record-ID _ <urn:page:2>")):  # a header
+                 lambda r: r.replace(b"WARC-Record-ID: <urn:page:2>", b"WARC-Record-ID _<urn:page:2>")):  # a header
         found = list(op.salvage_plain(harm(raw)))
         assert ids(found) == [f"<urn:page:{i}>" for i in (0, 1, 3, 4, 5)] and gaps(found) == [(at[2], at[3])]
     short = raw[:at[2] + 100] + raw[at[2] + 150:]
