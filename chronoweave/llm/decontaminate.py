@@ -34,7 +34,7 @@ from .common import cut, packed, prefix_hash, range_hash, runs, schema_of, table
 
 WINDOW = 10
 # benchmark text bytes searched for in one pass over the documents
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 # every how many text positions a suffix position is kept
 SAMPLE = 8
 
@@ -52,32 +52,50 @@ def hashed_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return range_hash(prefix_hash(data), start, end), row, start - offsets[row], end - offsets[row]
 
 
+@dataclass
+class Windows:
+    """Distinct windows of one length, as rows of symbols, and the items that hold each."""
+
+    symbols: np.ndarray
+    first_owner: np.ndarray  # by window, into owners; one more at the end
+    owners: np.ndarray  # item numbers
+
+    def owners_of(self, window: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(position in ``window``, item number) of every owner of every window asked for."""
+        count = self.first_owner[window + 1] - self.first_owner[window]
+        at = np.repeat(self.first_owner[window] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+        return np.repeat(np.arange(len(window)), count), self.owners[at]
+
+
 @dataclass
 class Patterns:
-    """The windows of a block of items, as word hashes and as symbols of a small alphabet."""
+    """The windows of a block of items, as symbols of the alphabet of their words."""
 
     vocabulary: np.ndarray  # sorted word hashes; symbol = position + 1
-    windows: list[np.ndarray]  # distinct windows, grouped by length: matrix of symbols
-    items: list[list[list[str]]]  # for each of them the ids of the items that hold it
+    windows: list[Windows]  # by length
+    items: list[str]
     shortest: int
 
     @staticmethod
     def of(rows: list[tuple[str, str | None]], window: int = WINDOW) -> Patterns:
         hashes, row, _, _ = hashed_words(pa.array([t for _, t in rows], pa.string()))
         vocabulary = np.unique(hashes)
-        symbol = np.searchsorted(vocabulary, hashes).astype(np.int64) + 1
-        found: dict[tuple[int, ...], set[str]] = {}
-        bounds = np.searchsorted(row, np.arange(len(rows) + 1))
-        for i, (item, _) in enumerate(rows):
-            words = symbol[bounds[i]:bounds[i + 1]].tolist()
-            for j in range(max(1, len(words) - window + 1) if words else 0):
-                found.setdefault(tuple(words[j:j + window]), set()).add(item)
-        by_length: dict[int, list[tuple[int, ...]]] = {}
-        for w in sorted(found):
-            by_length.setdefault(len(w), []).append(w)
-        return Patterns(vocabulary, [np.array(g, np.int64) for _, g in sorted(by_length.items())],
-                        [[sorted(found[w]) for w in g] for _, g in sorted(by_length.items())],
-                        min(by_length, default=0))
+        symbol = (np.searchsorted(vocabulary, hashes) + 1).astype(np.int32)
+        first = np.searchsorted(row, np.arange(len(rows) + 1))
+        size = np.diff(first)
+        found = []
+        for length in np.unique(np.minimum(size, window)).tolist():
+            if not length:
+                continue
+            # the windows of the items that have windows of this length
+            item = np.flatnonzero(size >= window if length == window else size == length)
+            count = size[item] - length + 1
+            begin = np.repeat(first[item] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+            owner = np.repeat(item, count)
+            symbols, which = np.unique(symbol[begin[:, None] + np.arange(length)], axis=0, return_inverse=True)
+            pairs = np.unique(np.stack([which.ravel(), owner], axis=1), axis=0)
+            found.append(Windows(symbols.astype(np.int64), np.searchsorted(pairs[:, 0], np.arange(len(symbols) + 1)), pairs[:, 1]))
+        return Patterns(vocabulary, found, [i for i, _ in rows], min((w.symbols.shape[1] for w in found), default=0))
 
 
 class WaveletMatrix:
@@ -192,18 +210,20 @@ def find(column: pa.Array, patterns: Patterns) -> tuple[np.ndarray, list[list[tu
     text = np.where(word >= 0, symbol[word] + 1, 0)
     index = FMIndex(text, len(patterns.vocabulary))
     edge = np.zeros(len(hashes) + 1, np.int64)
-    for windows, owners in zip(patterns.windows, patterns.items, strict=True):
-        low, high = index.search(windows)
+    for windows in patterns.windows:
+        low, high = index.search(windows.symbols)
         count = high - low
         if not count.sum():
             continue
-        which = np.repeat(np.arange(len(windows)), count)
+        which = np.repeat(np.arange(len(count)), count)
         ranks = np.repeat(low - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
         begin = word[index.locate(ranks)]
         np.add.at(edge, begin, 1)
-        np.add.at(edge, begin + windows.shape[1], -1)
-        for r, w in np.unique(np.stack([row[begin], which], axis=1), axis=0).tolist():
-            items[r].update(owners[w])
+        np.add.at(edge, begin + windows.symbols.shape[1], -1)
+        pairs = np.unique(np.stack([row[begin], which], axis=1), axis=0)
+        at, owner = windows.owners_of(pairs[:, 1])
+        for r, item in np.unique(np.stack([pairs[at, 0], owner], axis=1), axis=0).tolist():
+            items[r].add(patterns.items[item])
     hit = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
     for w in hit.tolist():
         spans[row[w]].append((int(start[w]), int(end[w])))
