@@ -5,7 +5,7 @@ by ``unnest(range(...))`` one row per step, then plain ``avg``."""
 from __future__ import annotations
 
 from chronoweave.workloads import (
-    JAN_FINISH, JAN_START, ORDERS_FINISH, ORDERS_START, RANGE_FINISH, RANGE_START,
+    CSV_BUCKETS, JAN_FINISH, JAN_START, ORDERS_FINISH, ORDERS_START, RANGE_FINISH, RANGE_START,
     SOURCE_BUCKETS, WEEK, YEARS_FINISH, YEARS_START,
 )
 
@@ -56,11 +56,11 @@ def _regular_src(buckets: dict[str, int], start: int | None = None, finish: int
             f"src AS (SELECT series, t - t % {_bucket_case(buckets)} AS ts, avg(value) AS v FROM e GROUP BY 1, 2)")
 
 
-def _resample_one(kind: str) -> str:
-    b = {kind: SOURCE_BUCKETS[kind]}
-    return f"""WITH {_regular_src(b)},
+def _resample_all(bucket: int) -> str:
+    return f"""WITH e AS (SELECT event_type AS series, {E} AS t, value FROM events),
+src AS (SELECT series, t - t % {bucket} AS ts, avg(value) AS v FROM e GROUP BY 1, 2),
 {_resample_ctes(['v'], 3600)}
-SELECT ts AS timestamp, round(v, 6) AS value FROM res"""
+SELECT series AS event_type, ts AS timestamp, round(v, 6) AS value FROM res"""
 
 
 def _flagship() -> str:
@@ -74,23 +74,20 @@ SELECT grid.ts AS timestamp, {cols} FROM grid {joins}"""
 
 
 def _csv_import() -> str:
-    b = {"view": 1200, "click": 3600, "purchase": 5400}
-    new = 2400
+    b, new = CSV_BUCKETS, 2400
+    single = [k for k in b if k != "view"]
+    own = ", ".join(f"CASE WHEN series = '{k}' THEN a END AS {k}" for k in single)
+    cols = ", ".join(f"round(coalesce({k}_s.{k}, 0.0), 6) AS {k}" for k in single)
+    joins = "\n".join(f"LEFT JOIN res {k}_s ON {k}_s.series = '{k}' AND {k}_s.ts = grid.ts" for k in b)
     return f"""WITH e AS ({_events_typed(b)}),
 agg AS (SELECT series, t - t % {_bucket_case(b)} AS ts, avg(value) AS a, CAST(count(*) AS DOUBLE) AS n FROM e GROUP BY 1, 2),
-src AS (SELECT series, ts,
-          CASE WHEN series = 'view' THEN a END AS view_avg, CASE WHEN series = 'view' THEN n END AS view_n,
-          CASE WHEN series = 'click' THEN a END AS click, CASE WHEN series = 'purchase' THEN a END AS purchase
+src AS (SELECT series, ts, CASE WHEN series = 'view' THEN a END AS view_avg, CASE WHEN series = 'view' THEN n END AS view_n, {own}
         FROM agg WHERE ts BETWEEN {JAN_START} AND {JAN_FINISH}),
-{_resample_ctes(['view_avg', 'view_n', 'click', 'purchase'], new)},
+{_resample_ctes(['view_avg', 'view_n', *single], new)},
 grid AS ({_grid(JAN_START, JAN_FINISH, new)})
-SELECT grid.ts AS timestamp,
-  round(coalesce(v.view_n, 0.0), 6) AS view_n, round(coalesce(c.click, 0.0), 6) AS click,
-  round(coalesce(v.view_avg, 0.0), 6) AS view_avg, round(coalesce(p.purchase, 0.0), 6) AS purchase
+SELECT grid.ts AS timestamp, round(coalesce(view_s.view_n, 0.0), 6) AS view_n, round(coalesce(view_s.view_avg, 0.0), 6) AS view_avg, {cols}
 FROM grid
-LEFT JOIN res v ON v.series = 'view' AND v.ts = grid.ts
-LEFT JOIN res c ON c.series = 'click' AND c.ts = grid.ts
-LEFT JOIN res p ON p.series = 'purchase' AND p.ts = grid.ts"""
+{joins}"""
 
 
 _CELL = (f"SELECT event_id, {E} AS t, event_type, value, "
@@ -152,9 +149,9 @@ ORACLE_SQL: dict[str, str] = {
         SELECT series AS event_type, ts + i * 1800 AS timestamp, round(v, 6) AS value FROM u""",
     "downsample_avg": f"""WITH e AS (SELECT event_type, {E} AS t, value FROM events)
         SELECT event_type, min(t) AS timestamp, round(avg(value), 6) AS value FROM e GROUP BY event_type, t - t % 3600""",
-    "resample_equal": _resample_one("view"),
-    "resample_slower": _resample_one("click"),
-    "resample_faster": _resample_one("purchase"),
+    "resample_equal": _resample_all(3600),
+    "resample_slower": _resample_all(900),
+    "resample_faster": _resample_all(5400),
     "resample_plan": f"""WITH {_regular_src(SOURCE_BUCKETS)},
         g AS (SELECT series, ts, lead(ts, 1, ts) OVER (PARTITION BY series ORDER BY ts) - ts AS gap FROM src),
         p AS (SELECT series, min(gap) FILTER (WHERE gap > 0) AS old FROM g GROUP BY series)

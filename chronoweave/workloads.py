@@ -48,7 +48,8 @@ WEEK = 7 * DAY
 ORDERS_START = 788918400          # 1995-01-01
 ORDERS_FINISH = 1001894400        # 2001-10-01
 YEARS_START, YEARS_FINISH = 820454400, 946684799     # 1996-01-01 .. 1999-12-31 23:59:59
-SOURCE_BUCKETS = {"view": 3600, "click": 900, "purchase": 5400}
+SOURCE_BUCKETS = {"view": 3600, "click": 900, "purchase": 5400, "signup": 1800, "error": 7200}
+CSV_BUCKETS = {"view": 1200, "click": 3600, "purchase": 5400, "signup": 2400, "error": 7200}
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -74,10 +75,6 @@ def _regular_sources(spark: SparkSession, d: str, buckets: dict[str, int], start
                       values=["value"], label="bucket")
 
 
-def _one_source(spark: SparkSession, d: str, kind: str, bucket: int) -> DataFrame:
-    return _regular_sources(spark, d, {kind: bucket}).drop("event_type")
-
-
 def _daily(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     orders = _t(spark, d, "orders").groupBy(epoch_seconds(F.col("o_orderdate")).alias("timestamp")).agg(
         F.sum("o_totalprice").alias("order_total"))
@@ -167,15 +164,17 @@ def q_downsample_avg(spark: SparkSession, d: str) -> DataFrame:
     return _r(downsample(ev, 3600, by=["event_type"], values=["value"]), ["value"])
 
 
-def _resample_one(kind: str) -> Query:
+def _resample_all(bucket: int) -> Query:
+    """Every event type averaged per ``bucket`` seconds, resampled to an hour."""
     def q(spark: SparkSession, d: str) -> DataFrame:
-        src = _one_source(spark, d, kind, SOURCE_BUCKETS[kind])
-        return _r(resample(src, 3600, values=["value"]), ["value"])
+        ev = _events(spark, d).select("event_type", "timestamp", "value")
+        src = downsample(ev, bucket, by=["event_type"], values=["value"], label="bucket")
+        return _r(resample(src, 3600, by=["event_type"], values=["value"]), ["value"])
     return q
 
 
 def q_resample_plan(spark: SparkSession, d: str) -> DataFrame:
-    """Per-series old interval, step and branch for the three regular sources."""
+    """Per-series old interval, step and branch for the five regular sources."""
     src = _regular_sources(spark, d, SOURCE_BUCKETS)
     return resample_plan(src, 3600, by=["event_type"]).withColumnRenamed("event_type", "series")
 
@@ -262,7 +261,7 @@ def q_align_unique(spark: SparkSession, d: str) -> DataFrame:
 
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:
-    """Three event types as regular sources (hourly, 15-min, 90-min) resampled to hourly and
+    """All event types as regular sources (hourly, 15-min, 90-min, 30-min, 2-hourly) resampled to hourly and
     aligned on the January timeline; off-timeline rows dropped, gaps filled with 0.0."""
     src = _regular_sources(spark, d, SOURCE_BUCKETS, JAN_START, JAN_FINISH)
     long = src.select(F.col("event_type").alias("_source"), "timestamp", F.col("value").alias("_v0"))
@@ -552,14 +551,12 @@ def q_reject_log(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_csv_import(spark: SparkSession, d: str) -> DataFrame:
-    """The whole CSV import: three tag files written from events, imported by spec."""
+    """The whole CSV import: a tag file per event type written from events, imported by spec."""
     root = scratch_path(spark, "csv_import")
-    buckets = {"view": 1200, "click": 3600, "purchase": 5400}
-    ev = _events(spark, d).where(F.col("event_type").isin(list(buckets)))
     width = F.lit(None).cast("bigint")
-    for k, v in buckets.items():
+    for k, v in CSV_BUCKETS.items():
         width = F.when(F.col("event_type") == k, F.lit(v).cast("bigint")).otherwise(width)
-    agg = (ev.withColumn("_w", width)
+    agg = (_events(spark, d).withColumn("_w", width).where("_w IS NOT NULL")
              .groupBy("event_type", (F.col("timestamp") - F.pmod("timestamp", "_w")).alias("timestamp"))
              .agg(F.avg("value").alias("site.avg"), F.count(F.lit(1)).alias("site.n")))
     # one job writes every source's tag files: <root>/files/event_type=<kind>/
@@ -571,13 +568,15 @@ def q_csv_import(spark: SparkSession, d: str) -> DataFrame:
                    name="view"),
         SourceSpec("CSV", folder("click"), (TagSpec(2, "site.avg", "click"),), name="click"),
         SourceSpec("CSV", folder("purchase"), (TagSpec(4, "site.avg", "purchase"),), name="purchase"),
+        SourceSpec("CSV", folder("signup"), (TagSpec(5, "site.avg", "signup"),), name="signup"),
+        SourceSpec("CSV", folder("error"), (TagSpec(6, "site.avg", "error"),), name="error"),
     ]
     rule = ImportRule.from_json_fields({"newDatasetID": "events_2400", "startTime": str(JAN_START * 1000),
                                         "finishTime": str(JAN_FINISH * 1000), "timeInterval": "2400",
                                         "typesOfException": "0", "dedupe": "avg"})
     store = DatasetStore(spark, f"{root}/store")
     import_dataset(spark, sources, rule, store)
-    return _r(store.load("events_2400"), ["view_n", "click", "view_avg", "purchase"])
+    return _r(store.load("events_2400"), ["view_n", "click", "view_avg", "purchase", "signup", "error"])
 
 
 QUERIES: dict[str, Query] = {
@@ -589,9 +588,9 @@ QUERIES: dict[str, Query] = {
     "infer_interval": q_infer_interval,
     "upsample_ffill": q_upsample_ffill,
     "downsample_avg": q_downsample_avg,
-    "resample_equal": _resample_one("view"),
-    "resample_slower": _resample_one("click"),
-    "resample_faster": _resample_one("purchase"),
+    "resample_equal": _resample_all(3600),
+    "resample_slower": _resample_all(900),
+    "resample_faster": _resample_all(5400),
     "resample_plan": q_resample_plan,
     "resample_events": q_resample_events,
     "resample_users": q_resample_users,

@@ -52,5 +52,5 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_entry(spark):
     df = entry(spark)
-    assert df.columns == ["timestamp", "view", "click", "purchase"]
+    assert df.columns == ["timestamp", "view", "click", "purchase", "signup", "error"]
     assert df.count() == 720

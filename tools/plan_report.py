@@ -15,8 +15,8 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from __spark_entry__ import queries  # noqa: E402
 from chronoweave.session import local_session  # noqa: E402
+from chronoweave.workloads import QUERIES  # noqa: E402
 
 
 def summarize(plan: str) -> dict:
@@ -38,7 +38,7 @@ def main() -> None:
     spark = local_session(8)
     print("| query | hash shuffles | range | single-partition | broadcasts | windows | generators | flags | pushed filters |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- | --- |")
-    for name, q in queries().items():
+    for name, q in QUERIES.items():
         df = q(spark, sf)
         s = summarize(df._jdf.queryExecution().executedPlan().toString())
         pushed = "; ".join(p if len(p) <= 90 else p[:87] + "..." for p in s["pushed"]) or "-"
