@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 # texts are worked on in runs of about this many bytes (a longer single text is a run of its own)
-RUN_BYTES = 4 << 20
+RUN_BYTES = 1 << 20
 
 _U64 = np.uint64
 _RADIX = _U64(0x9E3779B97F4A7C15 | 1)
@@ -106,6 +106,16 @@ def range_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     return mix64((prefix[end] - prefix[start]) * inverse[start] + (end - start).astype(_U64))
 
 
+def slid_hash(prefix: np.ndarray, size: int) -> np.ndarray:
+    """A hash of the ``size`` bytes from each position on; good in its upper half only."""
+    n = len(prefix) - size
+    out = prefix[size:] - prefix[:n]
+    out *= _upto(n)[1]
+    out ^= out >> _U64(32)
+    out *= _U64(0xD6E8FEB86659FD93)
+    return out
+
+
 def word_spans(is_word: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Maximal runs of word bytes inside each row: (start, end, row)."""
     n = len(is_word)

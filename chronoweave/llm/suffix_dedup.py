@@ -40,12 +40,14 @@ from pyspark.sql import functions as F
 from chronoweave.session import materialized
 
 from .bloom import BloomFilter
-from .common import cut, mix64, packed, prefix_hash, range_hash, runs, schema_of, table, utf8, with_text
+from .common import cut, mix64, packed, prefix_hash, range_hash, runs, schema_of, slid_hash, table, utf8, with_text
 
 LENGTH = 200
 GRAM = 64
 # context bytes per batch of a task's index
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
+# text bytes looked at together for anchors: what stays in a processor's cache
+ANCHOR_RUN = 256 << 10
 # contexts of one anchor above which its windows are counted by hash
 HOT = 4096
 
@@ -58,9 +60,10 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: i
         e = np.empty(0, np.int64)
         return e, e, e, e, e.astype(np.uint64), e.astype(np.uint64)
     prefix = prefix_hash(data)
-    at = np.arange(n - gram + 1)
-    # order by hash, then by position
-    order = (range_hash(prefix, at, at + gram) & np.uint64(0xFFFFFFFF00000000)) | at.astype(np.uint64)
+    # order by hash, then by position; in place, on slices: this runs over every byte
+    order = slid_hash(prefix, gram)
+    order &= np.uint64(0xFFFFFFFF00000000)
+    order |= np.arange(len(order), dtype=np.uint64)
     grams, span = length - gram + 1, 1
     while span * 2 <= grams:
         order = np.minimum(order[:-span], order[span:])
@@ -68,19 +71,18 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: i
     if span < grams:
         order = np.minimum(order[:n - length + 1], order[grams - span:grams - span + n - length + 1])
     anchor = (order & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    start = np.flatnonzero(row[:n - length + 1] == row[length - 1:])
-    if not len(start):
-        return start, start, start, start, start.astype(np.uint64), start.astype(np.uint64)
-    anchor = anchor[start]
-    fresh = np.ones(len(start), bool)
-    fresh[1:] = (anchor[1:] != anchor[:-1]) | (row[start[1:]] != row[start[:-1]])
-    first = np.flatnonzero(fresh)
-    windows = np.diff(np.append(first, len(start)))
-    begin, anchor = start[first], anchor[first]
+    inside = np.ones(len(anchor), bool)  # windows that don't reach into the next row
+    for end in offsets[1:-1].tolist():
+        inside[max(0, end - length + 1):end] = False
+    fresh = inside.copy()
+    fresh[1:] &= (anchor[1:] != anchor[:-1]) | ~inside[:-1]
+    begin = np.flatnonzero(fresh)
+    anchor = anchor[begin]
+    row = np.searchsorted(offsets, begin, side="right") - 1
+    windows = np.minimum(np.append(begin[1:], n), offsets[row + 1] - length + 1) - begin
     offset = anchor - begin
     context = mix64(range_hash(prefix, begin, begin + windows + length - 1) + offset.astype(np.uint64))
-    return row[begin], begin - offsets[row[begin]], windows, offset, range_hash(prefix, anchor, anchor + gram), context
+    return row, begin - offsets[row], windows, offset, range_hash(prefix, anchor, anchor + gram), context
 
 
 def word(text: np.ndarray) -> np.ndarray:
@@ -267,7 +269,7 @@ def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batch_bytes:
     spark, texts = docs.sparkSession, docs.select("text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for run in runs(batches):
+        for run in runs(batches, limit=ANCHOR_RUN):
             *_, h, x = anchors(*utf8(run.column("text")), length, gram)
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(x.view(np.int64))], names=["h", "x"])
 
@@ -277,7 +279,7 @@ def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batch_bytes:
     several_filter = spark.sparkContext.broadcast(BloomFilter.of(seen.where("several")))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for run in runs(batches):
+        for run in runs(batches, limit=ANCHOR_RUN):
             data, offsets = utf8(run.column("text"))
             row, start, windows, _, h, x = anchors(data, offsets, length, gram)
             at = np.flatnonzero(any_filter.value.holds(h))
