@@ -122,3 +122,64 @@ def hilbert(cell, bits):
         for v in x:
             out = out * 2 + (((v ^ t) >> b) & 1)
     return out
+
+
+def without_passages(texts, length):
+    """The texts without the characters all of whose bytes are repeated."""
+    raw = [(t or "").encode() for t in texts]
+    seen = collections.Counter(x[i:i + length] for x in raw for i in range(len(x) - length + 1))
+    out = []
+    for t, x in zip(texts, raw):
+        hit = bytearray(len(x))
+        for i in range(len(x) - length + 1):
+            if seen[x[i:i + length]] > 1:
+                hit[i:i + length] = b"\1" * length
+        kept, at = [], 0
+        for ch in t or "":
+            n = len(ch.encode())
+            if not all(hit[at:at + n]):
+                kept.append(ch)
+            at += n
+        out.append(t if t is None else "".join(kept))
+    return out
+
+
+def without_windows(text, items, size):
+    """The text without hit words, and without what stands between hit words that follow each other."""
+    if text is None:
+        return None
+    owners = {w for _, t in items for w in windows(t, size)}
+    lower = text.translate(LOWER)
+    found = [(m.start(), m.end()) for m in ALNUM.finditer(lower)]
+    words = [lower[a:b] for a, b in found]
+    hit = set()
+    for n in {len(w) for w in owners}:
+        for i in range(len(words) - n + 1):
+            if tuple(words[i:i + n]) in owners:
+                hit.update(range(i, i + n))
+    gone = [False] * len(text)
+    for i in sorted(hit):
+        a = found[i - 1][1] if i - 1 in hit else found[i][0]
+        gone[a:found[i][1]] = [True] * (found[i][1] - a)
+    return "".join(ch for ch, g in zip(text, gone) if not g)
+
+
+def best_pieces(codec, pieces, text, mark="\u2581"):
+    """The plain Viterbi over a whole text; pieces: piece -> (id, score)."""
+    if not text:
+        return []
+    t = mark + text.replace(" ", mark)
+    score, back = [0.0] + [float("-inf")] * len(t), [None] * (len(t) + 1)
+    for end in range(1, len(t) + 1):
+        for n in range(min(codec.longest, end), 0, -1):
+            piece = pieces.get(t[end - n:end])
+            if piece is None and n > 1:
+                continue
+            s = score[end - n] + (piece[1] if piece else codec.unknown)
+            if s > score[end]:
+                score[end], back[end] = s, (n, [piece[0]] if piece else [int(codec.byte_id[b]) for b in t[end - 1].encode()])
+    out, end = [], len(t)
+    while end:
+        out = back[end][1] + out
+        end -= back[end][0]
+    return out

@@ -1,9 +1,14 @@
 import duckdb
+import numpy as np
 import pytest
+from llm_brute import best_pieces, near, without_passages, without_windows
 
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
+from chronoweave.llm import piece_codec, quality_fm
+from chronoweave.llm.common import table
 from chronoweave.llm.queries import ORACLE_SQL, QUERIES
+from chronoweave.llm.token_counts import model_path
 
 SF = "/root/testdata/sf0.001"
 TABLES = "documents pages benchmark labels".split()
@@ -58,7 +63,25 @@ def test_empty_tables(spark, no_docs, tmp_path):
     assert corpus_pipeline.run(spark, folder).collect() == []
 
 
-def test_run(spark):
-    out = corpus_pipeline.run(spark, SF)
-    n = out.count()
-    assert 50 < n <= 200 and out.where("not roundtrip").count() == 0
+def test_run_like_brute_force(spark):
+    """The whole pipeline on a whole small table; only the classifier's scores are taken as given."""
+    docs, labels, benchmark = (table(spark, SF, t) for t in ("documents", "labels", "benchmark"))
+    accepted = {r.doc_id for r in quality_fm.scores(docs, quality_fm.train(docs, labels)).where("score >= 0.5").select("row.doc_id").collect()}
+    rows = sorted((r.doc_id, r.text) for r in docs.collect() if r.doc_id in accepted)
+    assert 100 < len(rows) < 200
+    ids, texts = [i for i, _ in rows], [t for _, t in rows]
+    rows = [r for r, (_, c) in zip(rows, near(ids, texts, 5, 80)) if r[0] == c]
+    texts = without_passages([t for _, t in rows], 200)
+    items = [(r.item_id, r.text) for r in benchmark.collect()]
+    texts = [without_windows(t, items, 10) for t in texts]
+    codec = piece_codec.PieceCodec(model_path())
+    pieces = {"".join(map(chr, c[c > 0])): (int(i), s) for c, i, s in zip(codec.chars, codec.ids, codec.scores)}
+    out = {r.doc_id: r for r in corpus_pipeline.run(spark, SF).collect()}
+    assert sorted(out) == [i for i, _ in rows] and all(r.roundtrip and r.n_pieces == len(r.piece_ids) for r in out.values())
+    flat = np.array([i for r in out.values() for i in r.piece_ids], np.int64)
+    data, at = codec.decode(flat, np.array([r.n_pieces for r in out.values()]))
+    decoded = {i: data[a:b].tobytes().decode() for i, a, b in zip(out, at, at[1:])}
+    assert decoded == {i: t for (i, _), t in zip(rows, texts)}
+    for (i, _), t in list(zip(rows, texts))[::5]:
+        if len(t) < 4000:
+            assert out[i].piece_ids == best_pieces(codec, pieces, t)

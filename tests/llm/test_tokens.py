@@ -2,6 +2,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import sentencepiece
+from llm_brute import best_pieces
 
 from chronoweave.llm import piece_codec, token_counts
 from chronoweave.llm.token_counts import MARK, model_path
@@ -29,27 +30,6 @@ def test_empty(no_docs):
     assert piece_codec.decode(piece_codec.encode(no_docs)).collect() == []
 
 
-def best(codec, pieces, text):
-    """The plain Viterbi over a whole text."""
-    if not text:
-        return []
-    t = MARK + text.replace(" ", MARK)
-    score, back = [0.0] + [float("-inf")] * len(t), [None] * (len(t) + 1)
-    for end in range(1, len(t) + 1):
-        for size in range(min(codec.longest, end), 0, -1):
-            piece = pieces.get(t[end - size:end])
-            if piece is None and size > 1:
-                continue
-            s = score[end - size] + (piece[1] if piece else codec.unknown)
-            if s > score[end]:
-                score[end], back[end] = s, (size, [piece[0]] if piece else [int(codec.byte_id[b]) for b in t[end - 1].encode()])
-    out, end = [], len(t)
-    while end:
-        out = back[end][1] + out
-        end -= back[end][0]
-    return out
-
-
 def test_pieces_are_the_best_segmentation(rows):
     codec = piece_codec.PieceCodec(model_path())
     pieces = {"".join(map(chr, c[c > 0])): (int(i), s) for c, i, s in zip(codec.chars, codec.ids, codec.scores)}
@@ -57,7 +37,7 @@ def test_pieces_are_the_best_segmentation(rows):
     ids, per_row = codec.encode(pa.array(texts, pa.string()))
     at = np.concatenate([[0], np.cumsum(per_row)])
     for i, t in enumerate(texts):
-        assert ids[at[i]:at[i + 1]].tolist() == best(codec, pieces, t)
+        assert ids[at[i]:at[i + 1]].tolist() == best_pieces(codec, pieces, t)
     again, _ = codec.encode(pa.array(texts, pa.string()))
     assert (again == ids).all()
 
