@@ -169,7 +169,8 @@ def _resample_all(bucket: int) -> Query:
     def q(spark: SparkSession, d: str) -> DataFrame:
         ev = _events(spark, d).select("event_type", "timestamp", "value")
         src = downsample(ev, bucket, by=["event_type"], values=["value"], label="bucket")
-        return _r(resample(src, 3600, by=["event_type"], values=["value"]), ["value"])
+        # bucket averages: one row per type and timestamp
+        return _r(resample(src, 3600, by=["event_type"], values=["value"], ties="avg"), ["value"])
     return q
 
 
