@@ -155,9 +155,12 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(_linked("sa", "sb", percent)).select("a", "b")
 
 
-def links_in_block(classes: list[bytes], comps: list[bytes], keys: list[np.ndarray], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links between rows of different components that share a band, found by counting common
-    shingles through an inverted list; the largest component's rows are only compared with others."""
+def links_in_block(comps: list[bytes], keys: list[np.ndarray], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links between rows that share a band, as many as join all components that any link joins.
+
+    Common shingles are counted through an inverted list.  Rows of one component, by what was
+    known before or by links found here, need no comparison; the largest component's rows are only
+    compared with others."""
     comp = np.unique(np.array(comps, object), return_inverse=True)[1]
     size = np.array([len(s) for s in sets])
     flat = np.concatenate(sets)
@@ -167,28 +170,39 @@ def links_in_block(classes: list[bytes], comps: list[bytes], keys: list[np.ndarr
     end = np.append(begin[1:], len(flat))
     owner = owner[order]
     band = np.stack(keys)
-    usual = np.bincount(comp).argmax()
+    usual = comp == np.bincount(comp).argmax()
     out = []
-    for u in np.flatnonzero(comp != usual).tolist():
+    for u in np.flatnonzero(~usual).tolist():
         at = np.searchsorted(tokens, sets[u])
         count = end[at] - begin[at]
         where = np.repeat(begin[at] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
         common = np.bincount(owner[where], minlength=len(sets))
         near = (100 * common >= percent * (size + size[u] - common)) & (comp != comp[u])
-        near &= (comp == usual) | (np.arange(len(sets)) > u)
-        for v in np.flatnonzero(near).tolist():
-            if (band[u] == band[v]).any():
-                out.append((u, v))
+        near &= usual | (np.arange(len(sets)) > u)
+        near &= (band == band[u]).any(axis=1)
+        while near.any():
+            v = int(near.argmax())
+            out.append((u, v))
+            comp[comp == comp[v]] = comp[u]
+            near &= comp != comp[u]
+    return out
+
+
+def _lists(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """A list column as numpy arrays, without Python numbers between."""
+    out: list[np.ndarray] = []
+    for chunk in column.chunks:
+        at = chunk.offsets.to_numpy()
+        out += np.split(chunk.values.to_numpy()[at[0]:at[-1]], at[1:-1] - at[0])
     return out
 
 
 def _block_links(percent: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = pa.Table.from_batches(batches)
-        sets = [np.asarray(s, np.int64) for s in t.column("shingles").to_pylist()]
-        keys = [np.asarray(b, np.int64) for b in t.column("bands").to_pylist()]
+        sets, keys = _lists(t.column("shingles")), _lists(t.column("bands"))
         classes = t.column("class").to_pylist()
-        found = links_in_block(classes, t.column("component").to_pylist(), keys, sets, percent)
+        found = links_in_block(t.column("component").to_pylist(), keys, sets, percent)
         yield pa.RecordBatch.from_arrays([pa.array([classes[u] for u, _ in found], pa.binary()),
                                           pa.array([classes[v] for _, v in found], pa.binary())], names=["a", "b"])
 
