@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -46,17 +47,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def runs(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = RUN_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches into row ranges of at most ``limit`` text bytes (one row at least)."""
-    for batch in batches:
-        size = np.diff(utf8(batch.column(text))[1])
-        start, held = 0, 0
-        for i, n in enumerate(size.tolist()):
-            if held and held + n > limit:
-                yield batch.slice(start, i - start)
-                start, held = i, 0
-            held += n
-        if start < batch.num_rows:
-            yield batch.slice(start)
+    """Cut Arrow batches into row ranges of at most ``limit`` text bytes (one row at least); when
+    they are through, free memory goes back to the system."""
+    try:
+        for batch in batches:
+            size = np.diff(utf8(batch.column(text))[1])
+            start, held = 0, 0
+            for i, n in enumerate(size.tolist()):
+                if held and held + n > limit:
+                    yield batch.slice(start, i - start)
+                    start, held = i, 0
+                held += n
+            if start < batch.num_rows:
+                yield batch.slice(start)
+    finally:
+        give_back()
+
+
+def give_back() -> None:
+    """Return free memory: a worker lives on after its task, and allocators keep what they had."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -157,19 +171,19 @@ def quoted(name: str) -> str:
 
 
 def packed(docs: DataFrame) -> F.Column:
-    """All columns of ``docs`` as one column, out of the way of an operator's own."""
-    return F.struct(*[F.col(quoted(c)).alias(c) for c in docs.columns]).alias("row")
+    """All columns of ``docs`` but the text as one column, out of the way of an operator's own."""
+    return F.struct(*[F.col(quoted(c)).alias(c) for c in docs.columns if c != "text"]).alias("row")
 
 
 def schema_of(docs: DataFrame, ddl: str) -> StructType:
     """``row`` as ``packed`` makes it, then the fields of ``ddl``."""
-    return StructType([StructField("row", docs.schema), *StructType.fromDDL(ddl).fields])
+    row = StructType([f for f in docs.schema.fields if f.name != "text"])
+    return StructType([StructField("row", row), *StructType.fromDDL(ddl).fields])
 
 
-def with_text(rows: DataFrame, docs: DataFrame) -> DataFrame:
-    """(row, text) back as the columns of ``docs``: text replaced, n_chars following it."""
+def unpacked(rows: DataFrame, docs: DataFrame, changed: F.Column | None = None) -> DataFrame:
+    """(row, text) back as the columns of ``docs``; n_chars follows a changed text."""
     column = {"text": F.col("text")}
-    if "n_chars" in docs.columns:
-        column["n_chars"] = (F.when(F.col("text").eqNullSafe(F.col("row.text")), F.col("row.n_chars"))
-                             .otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
+    if changed is not None and "n_chars" in docs.columns:
+        column["n_chars"] = F.when(changed, F.length("text")).otherwise(F.col("row.n_chars")).cast(docs.schema["n_chars"].dataType)
     return rows.select(*[column.get(c, F.col("row." + quoted(c))).alias(c) for c in docs.columns])

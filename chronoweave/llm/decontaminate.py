@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from chronoweave.session import materialized
 
-from .common import cut, packed, prefix_hash, range_hash, runs, schema_of, table, utf8, with_text, word_spans
+from .common import cut, packed, prefix_hash, range_hash, runs, schema_of, table, unpacked, utf8, word_spans
 
 WINDOW = 10
 # benchmark text bytes searched for in one pass over the documents
@@ -263,7 +263,7 @@ _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
 def search(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, limit: int = BLOCK_BYTES) -> DataFrame:
-    """(row, text, n_words, hits, items) of ``docs``: row holds all its columns, hits the byte
+    """(row, text, n_words, hits, items) of ``docs``: row holds its other columns, hits the byte
     spans of the hit words, items the ids of the items with an occurring window."""
     spark = docs.sparkSession
     out = docs.select(packed(docs), "text", F.lit(0).cast("long").alias("n_words"),
@@ -313,11 +313,11 @@ def remove(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, limit: i
         for run in runs(batches):
             texts = [cut(t, merged(t.encode(), [(h["start"], h["end"]) for h in hits])) if hits else t
                      for t, hits in zip(run.column("text").to_pylist(), run.column("hits").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([run.column("row"), pa.array(texts, pa.string())], names=["row", "text"])
+            yield pa.RecordBatch.from_arrays([run.column("row"), pa.array(texts, pa.string()), pa.array([bool(h) for h in run.column("hits").to_pylist()])],
+                                             names=["row", "text", "changed"])
 
-    done = found.where(F.size("hits") > 0).select("row", "text", "hits").mapInArrow(work, schema_of(docs, "text string"))
-    same = found.where(F.size("hits") == 0).select("row", "text")
-    return with_text(same, docs).unionByName(with_text(done, docs))
+    cuts = found.select("row", "text", "hits").mapInArrow(work, schema_of(docs, "text string, changed boolean"))
+    return unpacked(cuts, docs, F.col("changed"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import packed, runs, schema_of, table
+from .common import packed, runs, schema_of, table, unpacked
 from .textstats import SYMBOLS, Words, row_sums
 
 WORD_BITS = 15
@@ -169,8 +169,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
                   for f, v, y in zip(got["feature"], got["value"], got["label"], strict=True)])
 
 
-def scores(docs: DataFrame, machine: Machine) -> DataFrame:
-    """(row, score) of every row of ``docs``; row holds all its columns."""
+def scores(docs: DataFrame, machine: Machine, texts: bool = False) -> DataFrame:
+    """(row, score) of every row of ``docs``, and text if asked for; row holds the other columns."""
     shared = docs.sparkSession.sparkContext.broadcast(machine)
     n_chars = F.col("n_chars").cast("double") if "n_chars" in docs.columns else F.lit(None).cast("double")
     rows = docs.select(packed(docs), "text", n_chars.alias("n_chars"))
@@ -178,15 +178,16 @@ def scores(docs: DataFrame, machine: Machine) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in runs(batches):
             row, feature, value = features(run.column("text"), run.column("n_chars"))
-            score = shared.value.score(row, feature, value, run.num_rows)
-            yield pa.RecordBatch.from_arrays([run.column("row"), pa.array(score, pa.float64())], names=["row", "score"])
+            score = pa.array(shared.value.score(row, feature, value, run.num_rows), pa.float64())
+            out = {"row": run.column("row"), "score": score} | ({"text": run.column("text")} if texts else {})
+            yield pa.RecordBatch.from_arrays(list(out.values()), names=list(out))
 
-    return rows.mapInArrow(work, schema_of(docs, "score double"))
+    return rows.mapInArrow(work, schema_of(docs, "score double" + ", text string" * texts))
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Pipeline stage: the rows of ``docs``, all columns, that the classifier accepts."""
-    return scores(docs, train(docs, labels)).where("score >= 0.5").select("row.*")
+    return unpacked(scores(docs, train(docs, labels), texts=True).where("score >= 0.5"), docs)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

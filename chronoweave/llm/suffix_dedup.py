@@ -12,7 +12,7 @@ windows in a row with one anchor form a context.
    which combines before the shuffle.  An anchor seen once repeats nothing; one with a single
    context seen twice or more makes all of that context's windows repeated.
 2. A second pass sends on only anchors seen more than once (a Bloom filter of fixed size lets few
-   others through; a join then drops those), with the bytes of contexts whose anchor has several.
+   others through, and those find no partner), with the bytes of contexts whose anchor has several.
 3. Those contexts are dealt to tasks by anchor.  A task takes them in batches: a batch gets its
    suffix array (prefix doubling to depth ``LENGTH``), is merge-scanned against the arrays of the
    levels held so far, both sides' matches are marked, and levels of equal order merge, so a task
@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from chronoweave.session import materialized
 
 from .bloom import BloomFilter
-from .common import cut, mix64, packed, prefix_hash, range_hash, runs, schema_of, slid_hash, table, utf8, with_text
+from .common import cut, give_back, mix64, packed, prefix_hash, range_hash, runs, schema_of, slid_hash, table, unpacked, utf8
 
 LENGTH = 200
 GRAM = 64
@@ -230,6 +230,8 @@ def indexed_repeats(contexts: DataFrame, length: int, batch_bytes: int) -> DataF
         for i in range(0, len(rows), 10_000):
             h, x, found = zip(*rows[i:i + 10_000], strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(x, pa.int64()), pa.array(found, _RUNS)], names=["h", "x", "found"])
+        del family, rows
+        give_back()
 
     return contexts.select("h", "x", "windows", "bytes").repartition("h").mapInArrow(work, _REPEATS)
 
@@ -295,19 +297,18 @@ def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batch_bytes:
                  pa.array(h.view(np.int64)), pa.array(x.view(np.int64)), pa.array(context, pa.binary())],
                 names=["key", "start", "windows", "h", "x", "bytes"])
 
-    sent = texts.mapInArrow(send, "key binary, start int, windows int, h long, x long, bytes binary").join(seen, "h")
-    sent = materialized(sent, "contexts")
-    whole = sent.where("not several").select("key", "start", (F.col("start") + F.col("windows") + length - 1).alias("end"))
-    mixed = sent.where("several")
-    contexts = mixed.groupBy("h", "x").agg(F.count("*").alias("n"), F.max("windows").alias("windows"), F.max("bytes").alias("bytes"))
-    contexts = materialized(contexts, "distinct-contexts")
-    crowded = contexts.groupBy("h").agg(F.count("*").alias("m")).where(F.col("m") > hot).select("h")
-    calm, busy = contexts.join(crowded, "h", "left_anti"), contexts.join(crowded, "h", "left_semi")
-    found = indexed_repeats(calm, length, batch_bytes).union(counted_repeats(busy, length).select("h", "x", "found"))
+    sent = materialized(texts.mapInArrow(send, "key binary, start int, windows int, h long, x long, bytes binary"), "contexts")
+    contexts = sent.groupBy("h", "x").agg(F.count("*").alias("n"), F.max("windows").alias("windows"), F.max("bytes").alias("bytes"))
+    contexts = materialized(contexts.where("n > 1 OR bytes IS NOT NULL"), "distinct-contexts")
+    # a context that is there twice repeats all its windows; what else repeats the index finds
     copies = contexts.where("n > 1").select("h", "x", F.array(F.struct(F.lit(0).alias("first"), (F.col("windows") - 1).alias("last"))).alias("found"))
-    parts = mixed.select("key", "start", "h", "x").join(found.union(copies), ["h", "x"]).select("key", "start", F.explode("found").alias("f"))
+    mixed = contexts.where("bytes IS NOT NULL").select("h", "x", "windows", "bytes")
+    crowded = mixed.groupBy("h").agg(F.count("*").alias("m")).where(F.col("m") > hot).select("h")
+    calm, busy = mixed.join(crowded, "h", "left_anti"), mixed.join(crowded, "h", "left_semi")
+    found = copies.union(indexed_repeats(calm, length, batch_bytes)).union(counted_repeats(busy, length).select("h", "x", "found"))
+    parts = sent.select("key", "start", "h", "x").join(found, ["h", "x"]).select("key", "start", F.explode("found").alias("f"))
     parts = parts.select("key", (F.col("start") + F.col("f.first")).alias("start"), (F.col("start") + F.col("f.last") + length).alias("end"))
-    return whole.union(parts).groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    return parts.groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
 
 def maximal(pieces: list[dict[str, int]]) -> list[tuple[int, int]]:
@@ -356,11 +357,13 @@ def remove(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batch_bytes:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in runs(batches):
-            texts = [cut(t, maximal(s)) if s else t for t, s in zip(run.column("text").to_pylist(), run.column("spans").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([run.column("row"), pa.array(texts, pa.string())], names=["row", "text"])
+            pieces = run.column("spans").to_pylist()
+            texts = [cut(t, maximal(s)) if s else t for t, s in zip(run.column("text").to_pylist(), pieces, strict=True)]
+            yield pa.RecordBatch.from_arrays([run.column("row"), pa.array(texts, pa.string()), pa.array([bool(s) for s in pieces])],
+                                             names=["row", "text", "changed"])
 
     rows = with_spans(rows, spans(docs, length, gram, batch_bytes, hot)).select("row", "text", "spans")
-    return with_text(rows.mapInArrow(work, schema_of(docs, "text string")), docs)
+    return unpacked(rows.mapInArrow(work, schema_of(docs, "text string, changed boolean")), docs, F.col("changed"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
