@@ -1,12 +1,16 @@
-"""Operator 9: piece encoding and decoding by a batched Viterbi in numpy.
+"""Operator 9: piece encoding and decoding in numpy, all distinct words of equal length together.
 
 The model file gives pieces and scores.  A text becomes ``mark + text`` with spaces as marks and
 is cut into words before each run of marks and around line feeds (no piece crosses such a place;
-checked when the model is read).  Distinct words of equal length advance together: for every end
-position and piece length, the hashes of the substrings probe the sorted piece keys, and a
-vectorised maximum keeps the best score and the backpointer.  The segmentation is the one of
-greatest score sum; at equal sums the longer last piece wins.  A character without a piece
-becomes its UTF-8 byte pieces.  Decoding gathers the pieces' bytes and drops the first mark.
+checked when the model is read).  Distinct words of equal length advance together; the hashes of
+their substrings probe the sorted piece keys.  A character without a piece becomes its UTF-8 byte
+pieces.  Decoding gathers the pieces' bytes and drops the first mark.
+
+Two rules choose the pieces.  ``merges`` is the model file's own: its scores are the ranks of
+merges, and in each round every word merges its neighbours of best rank (the first of equals), so
+the ids are the library's.  ``scores`` is a Viterbi: for every end position and piece length a
+vectorised maximum keeps the best score and the backpointer; the segmentation is the one of
+greatest score sum, at equal sums the longer last piece wins.
 
 Defined results: null and empty texts have no pieces and decode to the empty text; a text that
 itself holds the mark decodes with a space there (``roundtrip`` false), as in the library.
@@ -14,6 +18,7 @@ itself holds the mark decodes with a space there (``roundtrip`` false), as in th
 
 from __future__ import annotations
 
+import heapq
 import zlib
 from collections.abc import Iterator
 
@@ -32,6 +37,9 @@ CELLS = 1_000_000
 # characters above which a word is walked through alone
 LONG = 256
 _MULT = np.uint64(0x2545F4914F6CDD1D)
+# the rank of neighbours that make no piece
+NONE = np.iinfo(np.int32).max
+RULES = ("scores", "merges")
 _MARK_BYTES = MARK.encode()
 
 
@@ -41,9 +49,12 @@ def ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 class PieceCodec:
-    def __init__(self, path: str):
+    def __init__(self, path: str, rule: str = "scores"):
         import sentencepiece
 
+        if rule not in RULES:
+            raise ValueError(f"rule must be one of {RULES}")
+        self.words, self.lone_word = (self.merge, self.merge_long) if rule == "merges" else (self.viterbi, self.viterbi_long)
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         n = model.vocab_size()
         text = [model.id_to_piece(i) for i in range(n)]
@@ -77,6 +88,10 @@ class PieceCodec:
             self.chars[row, :len(text[i])] = [ord(c) for c in text[i]]
         self.scores = np.array([model.get_score(int(i)) for i in self.ids], np.float64)
         self.unknown = self.scores.min() - 10.0
+        # equal scores have equal ranks
+        self.rank = np.unique(-self.scores, return_inverse=True)[1].astype(np.int32)
+        self.row = {text[i]: row for row, i in enumerate(self.ids.tolist())}
+        self.power = np.cumprod(np.concatenate([[np.uint64(1)], np.full(self.longest, _MULT)]))
         self.clear()
 
     @staticmethod
@@ -177,11 +192,105 @@ class PieceCodec:
             end -= size
         return out[::-1]
 
+    def probe(self, chars: np.ndarray, prefix: np.ndarray, word: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The piece table's row of each substring, -1 for none."""
+        row = np.full(len(word), -1)
+        fits = np.flatnonzero(end - begin <= self.longest)
+        word, begin, size = word[fits], begin[fits], (end - begin)[fits]
+        key = mix64(prefix[word, begin + size] - prefix[word, begin] * self.power[size] + size.astype(np.uint64))
+        at = np.searchsorted(self.keys, key)
+        at[at == len(self.keys)] = 0
+        hit = np.flatnonzero(self.keys[at] == key)
+        # confirmed character by character; a piece ends at its first 0
+        at, word, begin, size = at[hit], word[hit], begin[hit], size[hit]
+        same = np.ones(len(hit), bool)
+        for i in range(int(size.max(initial=0))):
+            inside = np.flatnonzero(size > i)
+            same[inside] &= self.chars[at[inside], i] == chars[word[inside], begin[inside] + i]
+        row[fits[hit[same]]] = at[same]
+        return row
+
+    def merge(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``viterbi``, by merges: a round merges the best neighbours of every word."""
+        n, length = chars.shape
+        prefix = np.zeros((n, length + 1), np.uint64)
+        for i in range(length):
+            prefix[:, i + 1] = prefix[:, i] * _MULT + chars[:, i].astype(np.uint64) + np.uint64(1)
+        place = np.arange(length)
+        after = np.tile(place + 1, (n, 1))  # where the symbol that begins here ends, 0 for none
+        before = np.tile(place - 1, (n, 1))  # where the symbol before it begins
+        rank = np.full((n, length), NONE, np.int32)  # of the symbol and the next one
+
+        def ranked(word: np.ndarray, begin: np.ndarray, end: np.ndarray) -> None:
+            row = self.probe(chars, prefix, word, begin, end)
+            rank[word, begin] = np.where(row >= 0, self.rank[row], NONE)
+
+        if length > 1:
+            ranked(np.repeat(np.arange(n), length - 1), np.tile(place[:-1], n), np.tile(place[:-1] + 2, n))
+        word = np.arange(n)
+        while len(word):
+            begin = rank[word].argmin(axis=1)
+            found = rank[word, begin] != NONE
+            word, begin = word[found], begin[found]
+            gone = after[word, begin]
+            end = after[word, gone]
+            after[word, begin], after[word, gone], rank[word, gone], rank[word, begin] = end, 0, NONE, NONE
+            more = end < length
+            before[word[more], end[more]] = begin[more]
+            ranked(word[more], begin[more], after[word[more], end[more]])
+            more = begin > 0
+            ranked(word[more], before[word[more], begin[more]], end[more])
+        word, begin = np.nonzero(after)
+        row = self.probe(chars, prefix, word, begin, after[word, begin])
+        ids, count = self.ids[row], np.ones(len(row), np.int64)
+        lone = np.flatnonzero(row < 0)  # single characters
+        if len(lone):
+            code = chars[word[lone], begin[lone]]
+            raw = [chr(c).encode() for c in code.tolist()]
+            count[lone] = [len(r) for r in raw]
+            ids = np.repeat(ids, count)
+            first = (np.cumsum(count) - count)[lone]
+            ids[ranges(first, count[lone])] = self.byte_id[np.frombuffer(b"".join(raw), np.uint8)]
+        return ids, np.bincount(word, weights=count, minlength=n).astype(np.int64)
+
+    def merge_long(self, chars: np.ndarray) -> list[int]:
+        """One long word: a heap of neighbours by rank and place."""
+        text = chars.tobytes().decode("utf-32-le")
+        length, rank = len(text), self.rank.tolist()
+        after, before, heap = list(range(1, length + 1)), list(range(-1, length - 1)), []
+
+        def push(begin: int, end: int) -> None:
+            row = self.row.get(text[begin:end]) if end - begin <= self.longest else None
+            if row is not None:
+                heapq.heappush(heap, (rank[row], begin, end))
+
+        for i in range(length - 1):
+            push(i, i + 2)
+        while heap:
+            _, begin, end = heapq.heappop(heap)
+            gone = after[begin]
+            # merged away meanwhile, or grown
+            if not gone or gone >= end or after[gone] != end:
+                continue
+            after[begin], after[gone] = end, 0
+            if end < length:
+                before[end] = begin
+                push(begin, after[end])
+            if begin > 0:
+                push(before[begin], end)
+        out: list[int] = []
+        at = 0
+        while at < length:
+            row = self.row.get(text[at:after[at]])
+            out.extend([int(self.ids[row])] if row is not None else [int(self.byte_id[b]) for b in text[at].encode()])
+            at = after[at]
+        return out
+
     def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
         size = np.array([len(w) for w in words])
         counts, ids = np.zeros(len(words), np.int64), {}
         for j in np.flatnonzero(size > LONG).tolist():
-            ids[j] = np.array(self.viterbi_long(np.frombuffer(words[j].replace(" ", MARK).encode("utf-32-le"), np.uint32)), np.int32)
+            ids[j] = np.array(self.lone_word(np.frombuffer(words[j].replace(" ", MARK).encode("utf-32-le"), np.uint32)), np.int32)
             counts[j] = len(ids[j])
         for length in np.unique(size[size <= LONG]).tolist():
             group = np.flatnonzero(size == length)
@@ -189,7 +298,7 @@ class PieceCodec:
             for i in range(0, len(group), step):
                 part = group[i:i + step]
                 chars = np.frombuffer("".join([words[j] for j in part.tolist()]).replace(" ", MARK).encode("utf-32-le"), np.uint32)
-                flat, count = self.viterbi(chars.reshape(len(part), length))
+                flat, count = self.words(chars.reshape(len(part), length))
                 counts[part] = count
                 ids.update(zip(part.tolist(), np.split(flat, np.cumsum(count)[:-1]), strict=True))
         slots = np.arange(len(words)) + len(self.begin) - 1
@@ -259,14 +368,14 @@ def _arrays(ids: np.ndarray, per_row: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(per_row)]).astype(np.int32)), pa.array(ids, pa.int32()))
 
 
-def encode(docs: DataFrame, model: str | None = None) -> DataFrame:
+def encode(docs: DataFrame, model: str | None = None, rule: str = "merges") -> DataFrame:
     """doc_id, text, piece_ids and roundtrip (decoding gives the text back) of every row."""
     path = model or model_path()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = None
         for run in runs(batches):
-            codec = codec or PieceCodec(path)
+            codec = codec or PieceCodec(path, rule)
             ids, per_row = codec.encode(run.column("text"))
             same = same_rows(run.column("text"), *codec.decode(ids, per_row))
             yield pa.RecordBatch.from_arrays([run.column("doc_id"), run.column("text"), _arrays(ids, per_row), pa.array(same, pa.bool_())],
@@ -292,7 +401,7 @@ def decode(encoded: DataFrame, model: str | None = None) -> DataFrame:
     return encoded.select("doc_id", "piece_ids").mapInArrow(work, "doc_id long, text string")
 
 
-def summary(docs: DataFrame, model: str | None = None) -> DataFrame:
+def summary(docs: DataFrame, model: str | None = None, rule: str = "merges") -> DataFrame:
     """doc_id, n_bytes, n_pieces, n_byte_pieces, ids_crc32 (of the ids as little-endian 32-bit
     numbers) and roundtrip of every row, without moving the ids out of the workers."""
     path = model or model_path()
@@ -300,7 +409,7 @@ def summary(docs: DataFrame, model: str | None = None) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = None
         for run in runs(batches):
-            codec = codec or PieceCodec(path)
+            codec = codec or PieceCodec(path, rule)
             ids, per_row = codec.encode(run.column("text"))
             same = same_rows(run.column("text"), *codec.decode(ids, per_row))
             row = np.repeat(np.arange(run.num_rows), per_row)
@@ -316,8 +425,8 @@ def summary(docs: DataFrame, model: str | None = None) -> DataFrame:
 
 
 def stage(docs: DataFrame) -> DataFrame:
-    """Last pipeline stage: the documents as token ids, checked by decoding."""
-    return encode(docs).select("doc_id", "piece_ids", F.size("piece_ids").cast("long").alias("n_pieces"), "roundtrip")
+    """Last pipeline stage: the documents as token ids of greatest score sum, checked by decoding."""
+    return encode(docs, rule="scores").select("doc_id", "piece_ids", F.size("piece_ids").cast("long").alias("n_pieces"), "roundtrip")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
