@@ -105,3 +105,28 @@ def test_gaps_are_rows(spark, pages, tmp_path):
     out = op.read_warc(spark, str(tmp_path)).collect()
     assert sum(r.kind == "record" for r in out) == 7
     assert sorted((r.archive[-6:], r.end - r.start) for r in out if r.kind == "gap") == [("a.warc", 7), ("arc.gz", len(gzip.compress(raw[0])) - 9)]
+
+
+def test_long_headers(spark, tmp_path):
+    url = "data:text/html," + "a" * 100_000
+    rows = [(1, "http://a", "<p>one</p>"), (2, url, "<p>two</p>"), (3, url + "b", "<p>two</p>"), (4, "http://b", "<p>four</p>")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    out = {r.page_id: (r.record_type, r.refers_to) for r in op.query(spark, str(tmp_path)).collect()}
+    assert out == {1: ("response", None), 2: ("response", None), 3: ("revisit", 2), 4: ("response", None)}
+    block = b"HTTP/1.1 200 OK\r\nX-Long: " + b"h" * 100_000 + b"\r\n\r\nbody"
+    record = f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:7>\r\nX-Long: {'h' * 100_000}\r\nContent-Type: application/http\r\nContent-Length: {len(block)}\r\n\r\n"
+    found = list(op.salvage_plain(archive(1)[0] + record.encode() + block + b"\r\n\r\n" + archive(1)[0]))
+    assert gaps(found) == [] and [bytes(f[5]) for f in found][1] == b"body"
+
+
+def test_query_fails_on_a_gap(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([(1, "http://a", "x")], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    write = op.write_warc
+
+    def damaged(records, path):
+        write(records, path)
+        records.sparkSession.createDataFrame([("WARC/1.1",)], "value string").write.mode("append").text(path)
+
+    monkeypatch.setattr(op, "write_warc", damaged)
+    with pytest.raises(Exception, match="gap in a written archive"):
+        op.query(spark, str(tmp_path)).collect()
