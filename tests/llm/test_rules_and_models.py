@@ -1,3 +1,4 @@
+import base64
 import math
 import zlib
 from collections import Counter
@@ -43,6 +44,29 @@ def test_bands_reject_noise_and_keep_prose(spark, docs):
     assert kept[1] == (False, True) and kept[2] == (False, False)
 
 
+def test_bands_part_noise_from_each_language(spark, docs):
+    rng = np.random.default_rng(4)
+    sizes = lambda least, most: rng.integers(least, most, 200).tolist()
+    letters = lambda first, last: " ".join("".join(map(chr, rng.integers(first, last + 1, n))) for n in sizes(3, 10))
+    noise = [f() for _ in range(10) for f in (
+        lambda: letters(97, 122), lambda: letters(65, 90), lambda: " ".join(base64.b64encode(rng.bytes(n)).decode() for n in sizes(4, 60)),
+        lambda: " ".join(rng.bytes(n).hex() for n in sizes(2, 20)), lambda: letters(0x3B1, 0x3C9), lambda: letters(0x430, 0x44F),
+        lambda: letters(0x5D0, 0x5EA), lambda: letters(0x627, 0x64A), lambda: letters(0x4E00, 0x9FA5), lambda: letters(0xAC00, 0xD7A3))]
+    prose = [
+        "Việc đọc đoạn văn dài đó kéo dài hơn nhiều so với những gì mọi người nghĩ và những người ngồi trong hội trường bắt đầu tự hỏi liệu nó có kết thúc trước bữa tối hay không",
+        "Čtení toho dlouhého textu trvalo mnohem déle než si kdo myslel a lidé kteří seděli v sále se začali ptát zda vůbec skončí před večeří",
+        "Η ανάγνωση αυτού του μεγάλου κειμένου συνεχίστηκε για πολλή ώρα και οι άνθρωποι που κάθονταν στην αίθουσα άρχισαν να αναρωτιούνται αν θα τελείωνε ποτέ",
+        "Чтение этого длинного отрывка продолжалось гораздо дольше чем кто-либо мог подумать и люди которые сидели в зале начали спрашивать себя закончится ли оно",
+        "استمرت قراءة هذا النص الطويل وقتا أطول بكثير مما كان يعتقد أي شخص وبدأ الناس الذين جلسوا في القاعة يتساءلون عما إذا كانت ستنتهي قبل العشاء"]
+    texts = noise + prose
+    out = fertility.rules(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), min_words=10).collect()
+    assert not [r for r in out if r.base_failed]
+    assert {r.doc_id for r in out if r.kept} == set(range(len(noise), len(texts)))
+    good = table(spark, SF, "documents").join(table(spark, SF, "labels").where("quality = 1").select("doc_id"), "doc_id")
+    sound = fertility.rules(good).join(good.select("doc_id", "lang"), "doc_id").where("not base_failed").collect()
+    assert {r.lang for r in sound} == {"en", "fr", "de", "es"} and all(r.kept for r in sound)
+
+
 def test_rules_on_empty(no_docs):
     assert fertility.rules(no_docs).collect() == []
 
