@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from . import circulant_minhash, decontaminate, fertility, hilbert_shards, language_ecoc, piece_codec, quality_fm, suffix_dedup, token_counts, warc_salvage
+from . import (
+    circulant_minhash,
+    conversation_repair,
+    decontaminate,
+    fertility,
+    hilbert_shards,
+    language_ecoc,
+    piece_codec,
+    quality_fm,
+    suffix_dedup,
+    token_align,
+    token_counts,
+    toxicity,
+    warc_salvage,
+)
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.query,
@@ -15,6 +29,9 @@ QUERIES = {
     "op8_hilbert_shards": hilbert_shards.query,
     "op9_piece_codec": piece_codec.query,
     "op10_decontaminate": decontaminate.query,
+    "op11_conversation_repair": conversation_repair.query,
+    "op12_toxicity": toxicity.query,
+    "op13_token_align": token_align.query,
 }
 
 ORACLE_SQL: dict[str, str] = {}
@@ -94,3 +111,62 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
   coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN words USING (r) LEFT JOIN found USING (r)
 """
+
+ORACLE_SQL["op11_conversation_repair"] = r"""
+WITH RECURSIVE k AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS s FROM conversations),
+c AS (
+  SELECT conv_id, turn, role, text, xor(4294967295::BIGINT, list_reduce(
+    list_transform(range(0, length(s) + 1), lambda i: CASE WHEN i = 0 THEN 4294967295::BIGINT ELSE CAST(ascii(substr(s, i, 1)) AS BIGINT) END),
+    lambda x, b: list_reduce(list_transform(range(0, 9), lambda j: CASE WHEN j = 0 THEN xor(x, b) ELSE 0::BIGINT END),
+      lambda y, z: CASE WHEN y % 2 = 1 THEN xor(y // 2, 3988292384::BIGINT) ELSE y // 2 END))) % 20 AS kind FROM k),
+d AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(0, CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM c),
+o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+    regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS t FROM d),
+q AS (
+  SELECT *, t = '' AS blank, t <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS dup,
+    substr(role, 1, 1) AS init, lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM o),
+x AS (SELECT *, NOT blank AND NOT dup AND right(t, 1) NOT IN ('.', '!', '?') AS cut FROM q),
+edge(state, letter, init, goes, cost) AS (VALUES
+  (0, 'D', NULL, 0, 3), (1, 'D', NULL, 1, 3), (2, 'D', NULL, 2, 3), (3, 'D', NULL, 3, 3),
+  (0, 'R', NULL, 2, 2), (1, 'R', NULL, 2, 2), (2, 'R', NULL, 3, 2), (3, 'R', NULL, 2, 2),
+  (0, 'K', 's', 1, 0), (0, 'K', 'u', 2, 0), (1, 'K', 'u', 2, 0), (3, 'K', 'u', 2, 0), (2, 'K', 'a', 3, 0)),
+more(goes, state, letters, cost) AS (VALUES
+  (0, 0, '', 0), (1, 1, '', 0), (2, 2, '', 0), (3, 3, '', 0), (0, 2, 'I', 2), (0, 3, 'II', 4), (1, 2, 'I', 2), (1, 3, 'II', 4), (2, 3, 'I', 2), (3, 2, 'I', 2)),
+ids AS (SELECT DISTINCT conv_id FROM conversations),
+f AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, state, printf('%09d', cost) || letters AS best FROM ids, more WHERE goes = 0
+  UNION ALL
+  SELECT f.conv_id, x.i, more.state,
+    min(printf('%09d', CAST(left(f.best, 9) AS BIGINT) + edge.cost + more.cost + CASE WHEN x.cut AND edge.letter <> 'D' THEN 1 ELSE 0 END)
+        || substr(f.best, 10) || edge.letter || more.letters)
+  FROM f JOIN x ON x.conv_id IS NOT DISTINCT FROM f.conv_id AND x.i = f.i + 1
+    JOIN edge ON edge.state = f.state AND (edge.letter = 'D' OR NOT (x.blank OR x.dup)) AND (edge.init IS NULL OR edge.init = x.init)
+    JOIN more ON more.goes = edge.goes
+  GROUP BY f.conv_id, x.i, more.state),
+n AS (
+  SELECT ids.conv_id, count(x.i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (blank) AS blank, count(*) FILTER (dup) AS duplicate, count(*) FILTER (cut) AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || init NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM ids LEFT JOIN x ON x.conv_id IS NOT DISTINCT FROM ids.conv_id GROUP BY ids.conv_id),
+a AS (
+  SELECT n.conv_id, CAST(left(min(best), 9) AS BIGINT) AS cost, substr(min(best), 10) AS audit
+  FROM n JOIN f ON f.conv_id IS NOT DISTINCT FROM n.conv_id AND f.i = n.n AND f.state IN (0, 3) GROUP BY n.conv_id),
+l AS (SELECT conv_id, audit, unnest(range(1, length(audit) + 1)) AS j FROM a),
+m AS (
+  SELECT conv_id, j, substr(audit, j, 1) AS letter, length(translate(substr(audit, 1, j), 'I', '')) AS i,
+    length(translate(substr(audit, 1, j - 1), 'D', '')) AS kept FROM l),
+r AS (
+  SELECT m.conv_id, j, letter, kept, x.role, x.text, max(CASE WHEN kept = 0 AND letter = 'K' AND x.init = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY m.conv_id) AS sys
+  FROM m LEFT JOIN x ON x.conv_id IS NOT DISTINCT FROM m.conv_id AND x.i = m.i AND letter <> 'I'),
+s AS (
+  SELECT conv_id, string_agg(CASE WHEN letter = 'K' THEN role WHEN (kept - sys) % 2 = 0 THEN 'user' ELSE 'assistant' END || ':' || coalesce(text, ''), chr(10) ORDER BY j) AS body
+  FROM r WHERE letter <> 'D' GROUP BY conv_id)
+SELECT n.conv_id, CAST(gaps AS BIGINT) AS gaps, blank, duplicate, truncated, illegal, cost, audit, sha256(coalesce(body, '')) AS repaired_sha256
+FROM n JOIN a ON a.conv_id IS NOT DISTINCT FROM n.conv_id LEFT JOIN s ON s.conv_id IS NOT DISTINCT FROM n.conv_id
+"""
