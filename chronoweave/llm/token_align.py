@@ -39,8 +39,8 @@ from chronoweave.session import materialized
 from .common import packed, runs, schema_of, table
 from .token_counts import MARK, model_path
 
-# windows remembered per worker; a window's ids and its alignment take some 0.4 KB
-REMEMBERED = 300_000
+# windows remembered per worker; a window's ids and its alignment take some 0.3 KB
+REMEMBERED = 150_000
 # added to B's ids in a window's key; A's are below it
 SET_APART = 1 << 24
 # fixed: the byte-level vocabulary's cut of a text into words
@@ -89,14 +89,36 @@ def pair_bound(a: list[bytes], b: list[bytes]) -> int:
 
 @dataclass
 class Aligned:
-    """Of each text of a run: numbers of tokens and groups, the groups as text, its links' codes."""
+    """Of each text of a run: numbers of tokens, the groups as one text, the links' codes."""
 
     n_a: np.ndarray
     n_b: np.ndarray
-    n_groups: np.ndarray
-    groups: list[str]
+    groups: np.ndarray  # bytes of all texts' groups
+    groups_at: np.ndarray
     links: np.ndarray
-    ends: np.ndarray  # of each text's links
+    links_at: np.ndarray
+
+    def text(self) -> pa.Array:
+        return pa.Array.from_buffers(pa.large_string(), len(self.groups_at) - 1, [None, pa.py_buffer(self.groups_at.tobytes()), pa.py_buffer(self.groups.tobytes())]).cast(pa.string())
+
+
+def _spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, ... for size[0] numbers, then start[1], ..."""
+    before = np.cumsum(size) - size
+    return np.arange(int(size.sum())) + np.repeat(start - before, size)
+
+
+def _starts(size: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(size) + 1, np.int64)
+    np.cumsum(size, out=out[1:])
+    return out
+
+
+def _decimal(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(digits, their number) of the numbers below ``n``."""
+    say = [str(i).encode() for i in range(n)]
+    size = np.array([len(x) for x in say])
+    return np.array([list(x.ljust(size.max(), b"0")) for x in say], np.uint8), size
 
 
 class Aligner:
@@ -108,38 +130,47 @@ class Aligner:
         self.bytes_a, self.bytes_b = byte_level_tokens(path_a), piece_tokens(path_b)
         # no added token: their strings in a text are plain text, so they are no ranks
         self.a = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=byte_level_ranks(path_a), special_tokens={})
-        self.len_a, self.len_b = ([len(t) for t in x] for x in (self.bytes_a, self.bytes_b))
-        self.say_a, self.say_b = ([str(i) for i in range(len(x))] for x in (self.bytes_a, self.bytes_b))
         self.size_a, self.size_b = (np.array([len(t) for t in x], np.int64) for x in (self.bytes_a, self.bytes_b))
         self.spaced_a, self.spaced_b = (np.array([t[:1] == b" " for t in x]) for x in (self.bytes_a, self.bytes_b))
+        self.digits, self.n_digits = _decimal(max(len(self.bytes_a), len(self.bytes_b)))
+        self._forget()
+
+    def _forget(self) -> None:
+        # a window's key -> its number; its groups and links by number
         self.window: dict[bytes, int] = {}
-        self.text: list[str] = []
-        self.pairs: list[tuple[int, ...]] = []
+        self.text, self.text_at = np.empty(0, np.uint8), np.zeros(1, np.int64)
+        self.pairs, self.pairs_at = np.empty(0, np.int32), np.zeros(1, np.int64)
 
-    def code(self, a: int, b: int) -> int:
+    def code(self, a, b):
         """One number for a pair of ids."""
         return a * len(self.bytes_b) + b
 
-    def _align(self, key: bytes, a: list[int], b: list[int]) -> int:
-        """Match the ends of a window's two id lists; its number from now on."""
-        size_a, size_b, say_a, say_b = self.len_a, self.len_b, self.say_a, self.say_b
-        at, end_b = 0, {}
-        for j, t in enumerate(b):
-            at += size_b[t]
-            end_b[at] = j
-        groups, links = [], []
-        at = first_a = first_b = 0
-        for i, t in enumerate(a):
-            at += size_a[t]
-            j = end_b.get(at)
-            if j is not None:
-                groups.append(",".join([say_a[x] for x in a[first_a:i + 1]]) + "|" + ",".join([say_b[x] for x in b[first_b:j + 1]]))
-                links.append(self.code(t, b[j]))
-                first_a, first_b = i + 1, j + 1
-        self.window[key] = len(self.text)
-        self.text.append(";".join(groups))
-        self.pairs.append(tuple(links))
-        return len(self.text) - 1
+    def _align(self, a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray) -> None:
+        """Remember the alignments of new windows: their tokens one after the other, and how many
+        each has.  Both lists of a window have the same bytes, so ends may be matched in one go."""
+        end_a, end_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        at = np.searchsorted(end_b, end_a)
+        last_a = np.flatnonzero(end_b[at] == end_a)
+        last_b = at[last_a]
+        stop_a, stop_b = last_a + 1, last_b + 1
+        own_a, own_b = np.diff(stop_a, prepend=0), np.diff(stop_b, prepend=0)  # tokens of each group
+        order_a = np.arange(len(a)) + np.repeat(stop_b - own_b, own_a)
+        order_b = np.arange(len(b)) + np.repeat(stop_a, own_b)
+        token, mark = np.empty(len(a) + len(b), np.int64), np.full(len(a) + len(b), ord(","), np.uint8)
+        token[order_a], token[order_b] = a, b
+        mark[order_a[last_a]], mark[order_b[last_b]] = ord("|"), ord(";")
+        size = self.n_digits[token] + 1
+        where = _starts(size)
+        text = np.empty(where[-1], np.uint8)
+        for d in range(self.digits.shape[1]):
+            some = size > d + 1
+            text[where[:-1][some] + d] = self.digits[token[some], d]
+        text[where[1:] - 1] = mark
+        ends = np.cumsum(n_a)
+        self.text_at = np.concatenate([self.text_at, self.text_at[-1] + where[ends + np.cumsum(n_b)]])
+        self.text = np.concatenate([self.text, text])
+        self.pairs_at = np.concatenate([self.pairs_at, self.pairs_at[-1] + np.searchsorted(stop_a, ends, side="right")])
+        self.pairs = np.concatenate([self.pairs, self.code(a[last_a].astype(np.int64), b[last_b]).astype(np.int32)])
 
     def _tokens(self, texts: list[str]) -> tuple[list[np.ndarray], list[list[int]]]:
         """Ids of both tokenizers; empty where their bytes are not the text's."""
@@ -156,15 +187,12 @@ class Aligner:
         return out_a, out_b
 
     def of(self, texts: list[str]) -> Aligned:
-        if len(self.text) > REMEMBERED:
-            self.window.clear()
-            self.text.clear()
-            self.pairs.clear()
+        if len(self.window) > REMEMBERED:
+            self._forget()
         ids_a, ids_b = self._tokens(texts)
         n_a, n_b = np.array([len(x) for x in ids_a], np.int64), np.array([len(x) for x in ids_b], np.int64)
         a = np.concatenate([*ids_a, np.empty(0, np.uint32)]).astype("<i4")
-        list_a, list_b = a.tolist(), list(chain.from_iterable(ids_b))
-        b = np.array(list_b, "<i4")
+        b = np.array(list(chain.from_iterable(ids_b)), "<i4")
         end_a, end_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
         # ends before a space-marked token, and those of texts, in either list; anchors are ends in both
         last_a, last_b = np.cumsum(n_a)[n_a > 0] - 1, np.cumsum(n_b)[n_b > 0] - 1
@@ -176,25 +204,34 @@ class Aligner:
         shared = np.zeros(len(in_a), bool)
         inside = at < len(in_b)
         shared[inside] = end_b[in_b[at[inside]]] == end_a[in_a[inside]]
-        cut_a, cut_b = in_a[shared] + 1, in_b[at[shared]] + 1
+        begin_a = np.concatenate([[0], in_a[shared] + 1])
+        begin_b = np.concatenate([[0], in_b[at[shared]] + 1])
         # one list of windows' ids, A's then B's (B's set apart), so that a slice is a window's key
-        begin_a, begin_b = np.concatenate([[0], cut_a]), np.concatenate([[0], cut_b])
         both = np.empty(len(a) + len(b), "<i4")
         both[np.arange(len(a)) + np.repeat(begin_b[:-1], np.diff(begin_a))] = a
         both[np.arange(len(b)) + np.repeat(begin_a[1:], np.diff(begin_b))] = b + SET_APART
-        keys, to = both.tobytes(), (4 * (begin_a + begin_b)).tolist()
-        number = [*map(self.window.get, [keys[i:j] for i, j in zip(to, to[1:], strict=False)])]
-        for k in [k for k, w in enumerate(number) if w is None]:
-            key = keys[to[k]:to[k + 1]]
-            w = self.window.get(key)
-            number[k] = self._align(key, list_a[begin_a[k]:begin_a[k + 1]], list_b[begin_b[k]:begin_b[k + 1]]) if w is None else w
-        stop = np.searchsorted(cut_a, np.cumsum(n_a), side="right").tolist()
-        text, pairs = self.text.__getitem__, self.pairs.__getitem__
-        own = [number[i:j] for i, j in zip([0, *stop], stop, strict=False)]
-        groups = [";".join(map(text, w)) for w in own]
-        n_links = np.array([sum(map(len, map(pairs, w))) for w in own], np.int64)
-        links = np.fromiter(chain.from_iterable(map(pairs, number)), np.int32, int(n_links.sum()))
-        return Aligned(n_a, n_b, n_links, groups, links, np.cumsum(n_links))
+        data, to = both.tobytes(), (4 * (begin_a + begin_b)).tolist()
+        keys = [data[i:j] for i, j in zip(to, to[1:], strict=False)]
+        number = [*map(self.window.get, keys)]
+        new: dict[bytes, int] = {}
+        for k, w in enumerate(number):
+            if w is None:
+                new.setdefault(keys[k], k)
+        if new:
+            k = np.array([*new.values()])
+            size_a, size_b = begin_a[k + 1] - begin_a[k], begin_b[k + 1] - begin_b[k]
+            first = len(self.text_at) - 1
+            self._align(a[_spread(begin_a[k], size_a)], size_a, b[_spread(begin_b[k], size_b)], size_b)
+            self.window.update(zip(new, range(first, first + len(new)), strict=True))
+            number = [*map(self.window.__getitem__, keys)]
+        w = np.array(number, np.int64)
+        stop = np.searchsorted(begin_a[1:], np.cumsum(n_a), side="right")  # windows up to each text's end
+        links_at = np.concatenate([[0], np.cumsum(self.pairs_at[w + 1] - self.pairs_at[w])])[np.concatenate([[0], stop])]
+        links = self.pairs[_spread(self.pairs_at[w], self.pairs_at[w + 1] - self.pairs_at[w])]
+        size = self.text_at[w + 1] - self.text_at[w]
+        size[stop[n_a > 0] - 1] -= 1  # no mark behind a text's last group
+        groups = self.text[_spread(self.text_at[w], size)]
+        return Aligned(n_a, n_b, groups, _starts(size)[np.concatenate([[0], stop])], links, links_at)
 
 
 @lru_cache(maxsize=2)
@@ -211,10 +248,9 @@ def alignments(docs: DataFrame, path_a: str | None = None, path_b: str | None =
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in runs(batches):
             got = _aligner(path_a, path_b).of(run.column("text").fill_null("").to_pylist())
-            ends = np.concatenate([[0], got.ends]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [run.column("row"), pa.array(got.n_a), pa.array(got.n_b), pa.array(got.n_groups), pa.array(got.groups, pa.string()),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(got.links))],
+                [run.column("row"), pa.array(got.n_a), pa.array(got.n_b), pa.array(np.diff(got.links_at)), got.text(),
+                 pa.ListArray.from_arrays(pa.array(got.links_at.astype(np.int32)), pa.array(got.links))],
                 names=["row", "n_a", "n_b", "n_groups", "groups", "links"])
 
     return docs.select(packed(docs), "text").mapInArrow(

@@ -91,19 +91,18 @@ def test_ids_are_both_libraries_ids(libraries):
     texts += ["<|endoftext|> x<|endoftext|>", "<s>a</s><unk>", "  two  spaces ", "x" * 5000, "it's we'll 'RE", "▁"]
     aligner = token_align.Aligner(model_path("byte_bpe_50k.json"), model_path())
     got = aligner.of(texts)
-    at = 0
+    said = got.text().to_pylist()
     for i, (na, nb, groups, links) in enumerate(plain(texts, libraries)):
-        assert (got.n_a[i], got.n_b[i], got.groups[i]) == (na, nb, groups), repr(texts[i])
-        assert got.links[at:got.ends[i]].tolist() == [aligner.code(*p) for p in links]
-        at = got.ends[i]
+        assert (got.n_a[i], got.n_b[i], said[i]) == (na, nb, groups), repr(texts[i])
+        assert got.links[got.links_at[i]:got.links_at[i + 1]].tolist() == [aligner.code(*p) for p in links]
 
 
 def test_forgetting_windows_changes_nothing(monkeypatch):
     texts = [f"word{i} of{i} it" for i in range(50)] * 2
-    once = token_align.Aligner(model_path("byte_bpe_50k.json"), model_path()).of(texts).groups
+    once = token_align.Aligner(model_path("byte_bpe_50k.json"), model_path()).of(texts).text().to_pylist()
     monkeypatch.setattr(token_align, "REMEMBERED", 10)
     aligner = token_align.Aligner(model_path("byte_bpe_50k.json"), model_path())
-    assert [aligner.of([t]).groups[0] for t in texts] == once
+    assert [aligner.of([t]).text()[0].as_py() for t in texts] == once
 
 
 def test_the_bound_holds_and_is_enforced(spark):
