@@ -49,7 +49,7 @@ def hashed_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     data, offsets = utf8(column)
     data = _FOLD[data]
     start, end, row = word_spans(_IS_WORD[data], offsets)
-    return range_hash(prefix_hash(data), start, end), row, start - offsets[row], end - offsets[row]
+    return range_hash(prefix_hash(data), start, end, data), row, start - offsets[row], end - offsets[row]
 
 
 @dataclass

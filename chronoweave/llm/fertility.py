@@ -1,7 +1,7 @@
 """Operator 5: quality rules from tokeniser fertility.
 
 Each document's words go through two public vocabularies: one of pieces with byte fallback, and a
-byte-level one for many languages (words behind a space, in pieces of at most 256 characters).
+byte-level one for many languages (words behind a space).
 Measured are the characters per token and the entropy of the document's token distribution in bits
 under both, and the share of byte-fallback tokens.  A document outside the band of its main script
 is rejected, and so is one that fails the base rules (under 50 words, or more than half of its words in repeated 3-word
@@ -31,8 +31,6 @@ from .token_counts import model_path
 MIN_WORDS = 50
 # tokens of distinct words remembered per task
 REMEMBERED_TOKENS = 8_000_000
-# characters of a word that the byte-level vocabulary takes at once
-LONG = 256
 
 SCRIPTS = ["other", "latin", "greek", "cyrillic", "hebrew", "arabic", "indic", "cjk", "hangul"]
 # script by the first byte of a UTF-8 character
@@ -142,7 +140,7 @@ class ByteWordTokens(WordTokens):
 
     def encode(self, words: list[str]) -> list[list[int]]:
         one = self.model.encode_ordinary
-        return [one(" " + w) if len(w) <= LONG else [t for i in range(0, len(w), LONG) for t in one(w[i:i + LONG] if i else " " + w[:LONG])] for w in words]
+        return [one(" " + w) for w in words]
 
 
 def counted(words: Words, tokens: WordTokens) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

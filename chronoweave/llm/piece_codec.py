@@ -328,7 +328,7 @@ class PieceCodec:
         begin = np.flatnonzero(cut)
         end = np.append(begin[1:], len(data))
         row = full[np.searchsorted(start, begin, side="right") - 1]
-        hashes, first, inverse = np.unique(range_hash(prefix_hash(data), begin, end), return_index=True, return_inverse=True)
+        hashes, first, inverse = np.unique(range_hash(prefix_hash(data), begin, end, data), return_index=True, return_inverse=True)
         if len(self.pieces) > REMEMBERED:
             self.clear()
         at = np.searchsorted(self.hashes, hashes)

@@ -56,7 +56,7 @@ class Words:
         data, offsets = utf8(column)
         start, end, row = word_spans(IS_WORD[data], offsets)
         prefix = prefix_hash(data)
-        return Words(data, offsets, prefix, start, end, row, range_hash(prefix, start, end))
+        return Words(data, offsets, prefix, start, end, row, range_hash(prefix, start, end, data))
 
     @property
     def rows(self) -> int:
@@ -115,6 +115,6 @@ class Words:
         words = np.zeros(len(self.data) + 1, np.int64)
         np.cumsum(IS_WORD[self.data], out=words[1:])
         full = words[end] > words[start]
-        key = self.own(range_hash(self.prefix, start[full], end[full]), line_row[full])
+        key = self.own(range_hash(self.prefix, start[full], end[full], self.data), line_row[full])
         _, later = repeated(key)
         return per_row(line_row[full], self.rows), per_row(line_row[full][later], self.rows)

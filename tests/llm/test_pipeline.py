@@ -11,12 +11,12 @@ from chronoweave.llm.queries import ORACLE_SQL, QUERIES
 from chronoweave.llm.token_counts import model_path
 
 SF = "/root/testdata/sf0.001"
-TABLES = "documents pages benchmark labels".split()
+TABLES = "documents pages benchmark labels conversations".split()
 
 
 def test_one_query_per_operator():
     names = [q for q in queries() if q.startswith("op")]
-    assert sorted(int(q[2:].split("_")[0]) for q in names) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in names) == list(range(1, 14))
     assert "pipeline" in queries() and set(ORACLE_SQL) <= set(oracle_sql()) & set(QUERIES)
 
 
@@ -58,6 +58,7 @@ def test_empty_tables(spark, no_docs, tmp_path):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     spark.createDataFrame([], "page_id long, url string, html string").write.parquet(f"{folder}/pages.parquet")
+    spark.createDataFrame([], "conv_id long, turn long, role string, text string").write.parquet(f"{folder}/conversations.parquet")
     for name, query in QUERIES.items():
         assert query(spark, folder).collect() == [], name
     assert corpus_pipeline.run(spark, folder).collect() == []
