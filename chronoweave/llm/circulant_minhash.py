@@ -11,9 +11,9 @@ Equal sets are one class from the start, so copies cost one row each.  Over the
 1. Each band bucket names a centre, the class with most company over all its buckets; each class
    is compared with the centre that it meets in most bands, one exact comparison a class.  The
    links found make the first components.
-2. Buckets whose members are then still in different components leave pairs to decide.  Pairs
-   around one centre are decided inside tasks, on blocks of at most about 2 x ``BLOCK`` sets, and
-   only links leave; other pairs are joined with their sets.
+2. Buckets whose members are then still in different components leave pairs to decide.  The buckets
+   of one centre make a group; its pairs are decided inside tasks, on blocks of at most about
+   2 x ``BLOCK`` sets, and only links that join components leave.
 
 Nothing is capped: large groups are cut in blocks and every pair of blocks is compared.
 
@@ -54,7 +54,7 @@ def shingles(column: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
     start, end, row = word_spans(IS_WORD[data], offsets)
     if not len(row):
         return np.empty(0, np.uint64), row
-    h = range_hash(prefix_hash(data), start, end)
+    h = range_hash(prefix_hash(data), start, end, data)
     count = np.bincount(row, minlength=rows)
     at = np.arange(len(h))
     take = np.minimum(count, words)[row]
@@ -107,11 +107,15 @@ def _split(key: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, li
 
 
 def signed(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n_shingles, class (digest of the set, null without one) and bands of every row."""
+    """doc_id, n_shingles, class (digest of the set, null without one), bands and MD5 of the text of
+    every row."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in runs(batches):
             n = run.num_rows
+            data, at = utf8(run.column("text"))
+            raw = memoryview(data.tobytes())
+            texts = [hashlib.md5(raw[a:b]).digest() for a, b in zip(at.tolist(), at[1:].tolist(), strict=False)]
             key, row = shingles(run.column("text"), words)
             present, begin, sets = _split(key, row)
             classes: list[bytes | None] = [None] * n
@@ -122,9 +126,9 @@ def signed(docs: DataFrame, words: int) -> DataFrame:
                     classes[i], keys[i] = digest, b
             yield pa.RecordBatch.from_arrays(
                 [run.column("doc_id"), pa.array(np.bincount(row, minlength=n).astype(np.int64)), pa.array(classes, pa.binary()),
-                 pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "class", "bands"])
+                 pa.array(keys, pa.list_(pa.int64())), pa.array(texts, pa.binary())], names=["doc_id", "n_shingles", "class", "bands", "text_key"])
 
-    return docs.select("doc_id", "text").mapInArrow(work, "doc_id long, n_shingles long, class binary, bands array<long>")
+    return docs.select("doc_id", "text").mapInArrow(work, "doc_id long, n_shingles long, class binary, bands array<long>, text_key binary")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -212,12 +216,13 @@ def _block_links(percent: int):
 def class_links(docs: DataFrame, classes: DataFrame, words: int, percent: int, block: int = BLOCK) -> DataFrame:
     """Links (a, b) between classes that connect all that are linked; ``classes``: class,
     n_shingles, doc_id, bands."""
-    buckets = classes.select(F.explode("bands").alias("key"), "class", "n_shingles")
+    buckets = classes.select(F.explode("bands").alias("key"), "class")
     full = buckets.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     buckets = materialized(buckets.join(full, "key"), "buckets")
     company = buckets.groupBy("class").agg(F.sum(F.col("n") - 1).alias("company"))
     centre = (buckets.join(company, "class").groupBy("key").agg(F.max(F.struct("company", "class")).alias("c"))
               .select("key", F.col("c.class").alias("centre"), "c.company"))
+    centre = materialized(centre, "centres")
     met = (buckets.join(centre, "key").where("class <> centre").groupBy("class", "centre")
            .agg(F.count("*").alias("times"), F.max("company").alias("company")))
     first = met.groupBy("class").agg(F.max(F.struct("times", "company", "centre")).alias("best")).select(F.col("class").alias("a"), F.col("best.centre").alias("b"))
@@ -227,36 +232,22 @@ def class_links(docs: DataFrame, classes: DataFrame, words: int, percent: int, b
     sets = materialized(sets_of(docs, wanted, words), "sets")
     links = materialized(verified(first, sets, percent), "first-links")
     comps = components(links).select(F.col("node").alias("class"), "component")
-    centres = first.select(F.col("b").alias("class")).distinct().withColumn("is_centre", F.lit(True))
-    place = (buckets.select("class").distinct().join(comps, "class", "left").join(first.withColumnRenamed("a", "class"), "class", "left")
-             .join(centres, "class", "left")
-             .select("class", F.coalesce("component", "class").alias("component"),
-                     F.when(F.col("is_centre"), F.col("class")).otherwise(F.coalesce("b", "class")).alias("grp")))
-    members = buckets.join(materialized(place, "place"), "class")
+    place = buckets.select("class").distinct().join(comps, "class", "left").select("class", F.coalesce("component", "class").alias("component"))
+    members = buckets.join(materialized(place, "place"), "class").select("key", "class", "component")
     open_keys = members.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
-    members = materialized(members.join(open_keys, "key").select("key", "class", "n_shingles", "component", "grp"), "open")
-    # pairs around one centre: blocks of sets
-    inner = members.select("class", "component", "grp").distinct()
-    spread = (inner.groupBy("grp").agg(F.count("*").alias("m"), F.min("component").alias("x"), F.max("component").alias("y"))
-              .where("x <> y").select("grp", F.ceil(F.col("m") / block).cast("int").alias("k")))
-    inner = inner.join(spread, "grp").withColumn("own", F.pmod(F.xxhash64("class"), F.col("k")).cast("int"))
-    inner = inner.select("class", "component", "grp", "own", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other"))
-    inner = inner.select("class", "component", "grp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    inner = inner.join(sets, "class").join(classes.select("class", "bands"), "class")
-    inner = inner.groupBy("grp", "i", "j").applyInArrow(_block_links(percent), "a binary, b binary")
-    # pairs around different centres, each in the least of the buckets that it shares
-    members = materialized(members.join(classes.select("class", "bands"), "class"), "open-bands")
-    left = members.select("key", F.col("class").alias("a"), F.col("n_shingles").alias("na"), F.col("component").alias("ca"), F.col("grp").alias("ga"), F.col("bands").alias("ba"))
-    right = members.select("key", F.col("class").alias("b"), F.col("n_shingles").alias("nb"), F.col("component").alias("cb"), F.col("grp").alias("gb"), F.col("bands").alias("bb"))
-    outer = left.join(right, "key").where(
-        (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (F.col("ga") != F.col("gb"))
-        & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-        & (F.array_min(F.array_intersect("ba", "bb")) == F.col("key"))).select("a", "b")
-    return links.union(inner).union(verified(outer, sets, percent))
-
-
-def groups(docs: DataFrame, words: int = 5, percent: int = 80, block: int = BLOCK) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every row of ``docs`` (doc_id, text)."""
+    # buckets of one centre are decided together: a pair in them is compared once, where it shares a band
+    members = members.join(open_keys, "key").join(centre.select("key", F.col("centre").alias("grp")), "key").select("class", "component", "grp").distinct()
+    members = materialized(members, "open")
+    spread = members.groupBy("grp").agg(F.count("*").alias("m")).select("grp", F.ceil(F.col("m") / block).cast("int").alias("k"))
+    members = members.join(spread, "grp").withColumn("own", F.pmod(F.xxhash64("class"), F.col("k")).cast("int"))
+    members = members.select("class", "component", "grp", "own", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other"))
+    members = members.select("class", "component", "grp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    members = members.join(sets, "class").join(classes.select("class", "bands"), "class")
+    return links.union(members.groupBy("grp", "i", "j").applyInArrow(_block_links(percent), "a binary, b binary"))
+
+
+def _judged(docs: DataFrame, words: int, percent: int, block: int) -> DataFrame:
+    """doc_id, n_shingles, class, text_key, component_id and kept of every row of ``docs``."""
     rows = materialized(signed(docs, words), "signed")
     usable = rows.where("class is not null and doc_id is not null")
     classes = (usable.groupBy("class").agg(F.min(F.struct("doc_id", "n_shingles", "bands")).alias("r"))
@@ -268,15 +259,30 @@ def groups(docs: DataFrame, words: int = 5, percent: int = 80, block: int = BLOC
     named = named.join(least, "component").select("class", "component_id")
     out = rows.join(named, "class", "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"))
+    return out.select("doc_id", "n_shingles", "class", "text_key", own.alias("component_id"), F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"))
+
+
+def groups(docs: DataFrame, words: int = 5, percent: int = 80, block: int = BLOCK) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of every row of ``docs`` (doc_id, text)."""
+    return _judged(docs, words, percent, block).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def representatives(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """Pipeline stage: of each group the document with the smallest doc_id, all columns; of rows
-    that repeat a doc_id and text one stays, rows without a doc_id all stay."""
-    kept = groups(docs, words, percent).where("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select(*[F.col(quoted(c)) for c in docs.columns])
-    return named.unionByName(docs.where("doc_id is null"))
+    """Pipeline stage: of each group one document, all columns: that with the smallest doc_id, and of
+    several texts that share this doc_id and group the one with the least MD5.  Texts without words
+    stay; of rows that repeat a doc_id and text one stays.  Rows without a doc_id are in no group:
+    of equal texts one stays, and none where a row with a doc_id has the text."""
+    rows = _judged(docs, words, percent, BLOCK)
+    kept = rows.where("kept and doc_id is not null")
+    one = kept.where("class is not null").groupBy("doc_id").agg(F.min("text_key").alias("text_key"))
+    kept = one.union(kept.where("class is null").select("doc_id", "text_key").distinct())
+    keyed = docs.withColumn("_text_key", F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))))
+    kept = kept.select(F.col("doc_id").alias("_doc_id"), F.col("text_key").alias("_key"))
+    named = (keyed.join(kept, (F.col("doc_id") == F.col("_doc_id")) & (F.col("_text_key") == F.col("_key")), "left_semi")
+             .dropDuplicates(["doc_id", "_text_key"]))
+    known = rows.where("doc_id is not null").select(F.col("text_key").alias("_key"))
+    nameless = keyed.where("doc_id is null").dropDuplicates(["_text_key"]).join(known, F.col("_text_key") == F.col("_key"), "left_anti")
+    return named.unionByName(nameless).select(*[F.col(quoted(c)) for c in docs.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,9 @@ windows in a row with one anchor form a context.
    holds a logarithmic number of them and touches each suffix a logarithmic number of times.
 4. Anchors with more than ``HOT`` contexts would make one task's share grow with the corpus;
    their windows are counted by hash instead, as rows that combine before the shuffle.
-5. Repeated windows become byte spans by text, and each text is cut.
+5. Repeated windows become byte spans by text, and each text is cut.  Neighbouring contexts whose
+   anchors have no other context travel as one stretch, so a passage that many texts share brings
+   few rows to each of them.
 
 Defined results: null and empty texts have 0 bytes and nothing removed; every row is a document
 of its own, so a text of ``LENGTH`` bytes or more that is there twice is removed from both rows;
@@ -208,6 +210,22 @@ class Family:
                 yield level.context[i][0], level.context[i][1], spans
 
 
+_PARTS = pa.list_(pa.struct([("h", pa.int64()), ("x", pa.int64()), ("at", pa.int32()), ("windows", pa.int32())]))
+# contexts in one stretch, at most; a stretch also ends behind one anchor in this many
+STRETCH, STRETCH_END = 256, 32
+
+
+def stretches(chosen: np.ndarray, at: np.ndarray, row: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Where runs of neighbouring contexts begin among the ``chosen`` ones (``at``: their numbers among
+    all contexts).  Runs end at fixed anchors, so equal passages give equal runs."""
+    fresh = np.ones(len(chosen), bool)
+    before, now = chosen[:-1], chosen[1:]
+    fresh[1:] = (at[now] != at[before] + 1) | (row[now] != row[before]) | ((h[before] >> np.uint64(17)) % np.uint64(STRETCH_END) == 0)
+    begin = np.flatnonzero(fresh)
+    since = np.arange(len(chosen)) - np.repeat(begin, np.diff(np.append(begin, len(chosen))))
+    return np.flatnonzero(since % STRETCH == 0)
+
+
 _RUNS = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
 _REPEATS = "h long, x long, found array<struct<first:int,last:int>>"
 
@@ -286,29 +304,58 @@ def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batch_bytes:
             row, start, windows, _, h, x = anchors(data, offsets, length, gram)
             at = np.flatnonzero(any_filter.value.holds(h))
             row, start, windows, h, x = row[at], start[at], windows[at], h[at], x[at]
-            several = several_filter.value.holds(h).tolist()
+            several = several_filter.value.holds(h)
             raw, begin = data.tobytes(), offsets[row] + start
             keys: dict[int, bytes] = {}
             for r in np.unique(row).tolist():
                 keys[r] = hashlib.md5(raw[offsets[r]:offsets[r + 1]]).digest()
-            context = [raw[b:b + n + length - 1] if s else None for b, n, s in zip(begin.tolist(), windows.tolist(), several, strict=True)]
+            one = np.flatnonzero(several)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([keys[r] for r in row.tolist()], pa.binary()), pa.array(start.astype(np.int32)), pa.array(windows.astype(np.int32)),
-                 pa.array(h.view(np.int64)), pa.array(x.view(np.int64)), pa.array(context, pa.binary())],
-                names=["key", "start", "windows", "h", "x", "bytes"])
-
-    sent = materialized(texts.mapInArrow(send, "key binary, start int, windows int, h long, x long, bytes binary"), "contexts")
-    contexts = sent.groupBy("h", "x").agg(F.count("*").alias("n"), F.max("windows").alias("windows"), F.max("bytes").alias("bytes"))
+                [pa.array([keys[r] for r in row[one].tolist()], pa.binary()), pa.array(start[one].astype(np.int32)), pa.array(windows[one].astype(np.int32)),
+                 pa.array(h[one].view(np.int64)), pa.array(x[one].view(np.int64)),
+                 pa.array([raw[b:b + n + length - 1] for b, n in zip(begin[one].tolist(), windows[one].tolist(), strict=True)], pa.binary()),
+                 pa.nulls(len(one), pa.binary()), pa.nulls(len(one), _PARTS)], names=names)
+            many = np.flatnonzero(~several)
+            if not len(many):
+                continue
+            cuts = stretches(many, at, row, h)
+            to = np.append(cuts[1:], len(many))
+            first = np.repeat(start[many[cuts]], to - cuts)
+            own = np.stack([h[many], x[many]], axis=1)
+            names_of = [hashlib.blake2b(own[i:j].tobytes(), digest_size=16).digest() for i, j in zip(cuts.tolist(), to.tolist(), strict=True)]
+            parts = pa.StructArray.from_arrays([pa.array(h[many].view(np.int64)), pa.array(x[many].view(np.int64)), pa.array((start[many] - first).astype(np.int32)),
+                                                pa.array(windows[many].astype(np.int32))], fields=list(_PARTS.value_type))
+            nothing = [pa.nulls(len(cuts), t) for t in (pa.int32(), pa.int64(), pa.int64(), pa.binary())]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([keys[r] for r in row[many[cuts]].tolist()], pa.binary()), pa.array(start[many[cuts]].astype(np.int32)), *nothing,
+                 pa.array(names_of, pa.binary()), pa.ListArray.from_arrays(pa.array(np.append(cuts, len(many)).astype(np.int32)), parts)], names=names)
+
+    names = ["key", "start", "windows", "h", "x", "bytes", "stretch", "parts"]
+    sent = materialized(texts.mapInArrow(send, "key binary, start int, windows int, h long, x long, bytes binary, stretch binary, "
+                                               "parts array<struct<h:long,x:long,at:int,windows:int>>"), "contexts")
+    singles, runs_of = sent.where("stretch IS NULL"), sent.where("stretch IS NOT NULL")
+    stretch = materialized(runs_of.groupBy("stretch").agg(F.count("*").alias("n"), F.first("parts").alias("parts")), "stretches")
+    inside = stretch.select("stretch", "n", F.inline("parts"))
+    contexts = singles.select("h", "x", F.lit(1).cast("long").alias("n"), "windows", "bytes").union(inside.select("h", "x", "n", "windows", F.lit(None).cast("binary")))
+    contexts = contexts.groupBy("h", "x").agg(F.sum("n").alias("n"), F.max("windows").alias("windows"), F.max("bytes").alias("bytes"))
     contexts = materialized(contexts.where("n > 1 OR bytes IS NOT NULL"), "distinct-contexts")
     # a context that is there twice repeats all its windows; what else repeats the index finds
-    copies = contexts.where("n > 1").select("h", "x", F.array(F.struct(F.lit(0).alias("first"), (F.col("windows") - 1).alias("last"))).alias("found"))
-    mixed = contexts.where("bytes IS NOT NULL").select("h", "x", "windows", "bytes")
+    mixed = contexts.where("bytes IS NOT NULL").select("h", "x", "n", "windows", "bytes")
+    copies = mixed.where("n > 1").select("h", "x", F.array(F.struct(F.lit(0).alias("first"), (F.col("windows") - 1).alias("last"))).alias("found"))
     crowded = mixed.groupBy("h").agg(F.count("*").alias("m")).where(F.col("m") > hot).select("h")
     calm, busy = mixed.join(crowded, "h", "left_anti"), mixed.join(crowded, "h", "left_semi")
     found = copies.union(indexed_repeats(calm, length, batch_bytes)).union(counted_repeats(busy, length).select("h", "x", "found"))
-    parts = sent.select("key", "start", "h", "x").join(found, ["h", "x"]).select("key", "start", F.explode("found").alias("f"))
-    parts = parts.select("key", (F.col("start") + F.col("f.first")).alias("start"), (F.col("start") + F.col("f.last") + length).alias("end"))
-    return parts.groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    parts = singles.select("key", "start", "h", "x").join(found, ["h", "x"])
+    parts = parts.select("key", F.expr(f"transform(found, f -> struct(start + f.first AS start, start + f.last + {int(length)} AS end))").alias("spans"))
+    # a stretch that is there twice is repeated as a whole; of the others the contexts that are elsewhere too
+    last = F.element_at("parts", -1)
+    whole = stretch.where("n > 1").select("stretch", F.array(F.struct(F.lit(0).alias("start"), (last["at"] + last["windows"] + (length - 1)).alias("end"))).alias("spans"))
+    twice = contexts.where("n > 1 AND bytes IS NULL").select("h", "x")
+    partly = inside.where("n = 1").join(twice, ["h", "x"], "left_semi").groupBy("stretch").agg(
+        F.collect_list(F.struct(F.col("at").alias("start"), (F.col("at") + F.col("windows") + (length - 1)).alias("end"))).alias("spans"))
+    spread = runs_of.select("key", "start", "stretch").join(whole.union(partly), "stretch")
+    spread = spread.select("key", F.expr("transform(spans, p -> struct(start + p.start AS start, start + p.end AS end))").alias("spans"))
+    return parts.union(spread).groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"))
 
 
 def maximal(pieces: list[dict[str, int]]) -> list[tuple[int, int]]:
