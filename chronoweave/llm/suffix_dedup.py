@@ -11,17 +11,18 @@ windows in a row with one anchor form a context.
 1. One pass counts the anchors: their number and the least and greatest hash of their contexts,
    which combines before the shuffle.  An anchor seen once repeats nothing; one with a single
    context seen twice or more makes all of that context's windows repeated.
-2. A second pass sends on only anchors seen more than once (a Bloom filter of fixed size lets few
-   others through, and those find no partner), with the bytes of contexts whose anchor has several.
+2. A second pass counts the contexts of anchors that have several.  A third sends on only anchors seen
+   more than once (a Bloom filter of fixed size lets few others through, and those find no partner),
+   with the bytes of contexts whose anchor has several.
 3. Those contexts are dealt to tasks by anchor.  A task takes them in batches: a batch gets its
    suffix array (prefix doubling to depth ``LENGTH``), is merge-scanned against the arrays of the
    levels held so far, both sides' matches are marked, and levels of equal order merge, so a task
    holds a logarithmic number of them and touches each suffix a logarithmic number of times.
 4. Anchors with more than ``HOT`` contexts would make one task's share grow with the corpus;
    their windows are counted by hash instead, as rows that combine before the shuffle.
-5. Repeated windows become byte spans by text, and each text is cut.  Neighbouring contexts whose
-   anchors have no other context travel as one stretch, so a passage that many texts share brings
-   few rows to each of them.
+5. Repeated windows become byte spans by text, and each text is cut.  Neighbouring contexts that
+   are there twice or more travel as one stretch, so a passage that many texts share brings few rows
+   to each of them.
 
 Defined results: null and empty texts have 0 bytes and nothing removed; every row is a document
 of its own, so a text of ``LENGTH`` bytes or more that is there twice is removed from both rows;
@@ -210,9 +211,9 @@ class Family:
                 yield level.context[i][0], level.context[i][1], spans
 
 
-_PARTS = pa.list_(pa.struct([("h", pa.int64()), ("x", pa.int64()), ("at", pa.int32()), ("windows", pa.int32())]))
+_PARTS = pa.list_(pa.struct([("h", pa.int64()), ("x", pa.int64()), ("at", pa.int32()), ("windows", pa.int32()), ("several", pa.bool_())]))
 # contexts in one stretch, at most; a stretch also ends behind one anchor in this many
-STRETCH, STRETCH_END = 256, 32
+STRETCH, STRETCH_END = 256, 16
 
 
 def stretches(chosen: np.ndarray, at: np.ndarray, row: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -298,6 +299,15 @@ def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batch_bytes:
     any_filter = spark.sparkContext.broadcast(BloomFilter.of(seen))
     several_filter = spark.sparkContext.broadcast(BloomFilter.of(seen.where("several")))
 
+    def crowd(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in runs(batches, limit=ANCHOR_RUN):
+            *_, h, x = anchors(*utf8(run.column("text")), length, gram)
+            yield pa.RecordBatch.from_arrays([pa.array(x[several_filter.value.holds(h)].view(np.int64))], names=["h"])
+
+    # of anchors with several contexts, the contexts that are there twice or more
+    twice = materialized(texts.mapInArrow(crowd, "h long").groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "copied-contexts")
+    copied_filter = spark.sparkContext.broadcast(BloomFilter.of(twice))
+
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in runs(batches, limit=ANCHOR_RUN):
             data, offsets = utf8(run.column("text"))
@@ -309,13 +319,15 @@ def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batch_bytes:
             keys: dict[int, bytes] = {}
             for r in np.unique(row).tolist():
                 keys[r] = hashlib.md5(raw[offsets[r]:offsets[r + 1]]).digest()
-            one = np.flatnonzero(several)
+            copied = ~several
+            copied[several] = copied_filter.value.holds(x[several])
+            one = np.flatnonzero(~copied)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([keys[r] for r in row[one].tolist()], pa.binary()), pa.array(start[one].astype(np.int32)), pa.array(windows[one].astype(np.int32)),
                  pa.array(h[one].view(np.int64)), pa.array(x[one].view(np.int64)),
                  pa.array([raw[b:b + n + length - 1] for b, n in zip(begin[one].tolist(), windows[one].tolist(), strict=True)], pa.binary()),
                  pa.nulls(len(one), pa.binary()), pa.nulls(len(one), _PARTS)], names=names)
-            many = np.flatnonzero(~several)
+            many = np.flatnonzero(copied)
             if not len(many):
                 continue
             cuts = stretches(many, at, row, h)
@@ -324,35 +336,39 @@ def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batch_bytes:
             own = np.stack([h[many], x[many]], axis=1)
             names_of = [hashlib.blake2b(own[i:j].tobytes(), digest_size=16).digest() for i, j in zip(cuts.tolist(), to.tolist(), strict=True)]
             parts = pa.StructArray.from_arrays([pa.array(h[many].view(np.int64)), pa.array(x[many].view(np.int64)), pa.array((start[many] - first).astype(np.int32)),
-                                                pa.array(windows[many].astype(np.int32))], fields=list(_PARTS.value_type))
-            nothing = [pa.nulls(len(cuts), t) for t in (pa.int32(), pa.int64(), pa.int64(), pa.binary())]
+                                                pa.array(windows[many].astype(np.int32)), pa.array(several[many])], fields=list(_PARTS.value_type))
+            nothing = [pa.nulls(len(cuts), t) for t in (pa.int32(), pa.int64(), pa.int64())]
+            # the bytes of a stretch are the index's, where one of its anchors has other contexts
+            asked = np.logical_or.reduceat(several[many], cuts).tolist()
+            over = begin[many[to - 1]] + windows[many[to - 1]] + length - 1
+            held = [raw[a:b] if s else None for a, b, s in zip(begin[many[cuts]].tolist(), over.tolist(), asked, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([keys[r] for r in row[many[cuts]].tolist()], pa.binary()), pa.array(start[many[cuts]].astype(np.int32)), *nothing,
-                 pa.array(names_of, pa.binary()), pa.ListArray.from_arrays(pa.array(np.append(cuts, len(many)).astype(np.int32)), parts)], names=names)
+                 pa.array(held, pa.binary()), pa.array(names_of, pa.binary()), pa.ListArray.from_arrays(pa.array(np.append(cuts, len(many)).astype(np.int32)), parts)], names=names)
 
     names = ["key", "start", "windows", "h", "x", "bytes", "stretch", "parts"]
     sent = materialized(texts.mapInArrow(send, "key binary, start int, windows int, h long, x long, bytes binary, stretch binary, "
-                                               "parts array<struct<h:long,x:long,at:int,windows:int>>"), "contexts")
+                                               "parts array<struct<h:long,x:long,at:int,windows:int,several:boolean>>"), "contexts")
     singles, runs_of = sent.where("stretch IS NULL"), sent.where("stretch IS NOT NULL")
-    stretch = materialized(runs_of.groupBy("stretch").agg(F.count("*").alias("n"), F.first("parts").alias("parts")), "stretches")
-    inside = stretch.select("stretch", "n", F.inline("parts"))
-    contexts = singles.select("h", "x", F.lit(1).cast("long").alias("n"), "windows", "bytes").union(inside.select("h", "x", "n", "windows", F.lit(None).cast("binary")))
+    stretch = materialized(runs_of.groupBy("stretch").agg(F.count("*").alias("n"), F.first("parts").alias("parts"), F.first("bytes").alias("bytes")), "stretches")
+    inside = stretch.select("stretch", "n", "bytes", F.inline("parts"))
+    own = F.when(F.col("several"), F.expr(f"substring(bytes, at + 1, windows + {int(length) - 1})"))
+    contexts = singles.select("h", "x", F.lit(1).cast("long").alias("n"), "windows", "bytes").union(inside.select("h", "x", "n", "windows", own))
     contexts = contexts.groupBy("h", "x").agg(F.sum("n").alias("n"), F.max("windows").alias("windows"), F.max("bytes").alias("bytes"))
     contexts = materialized(contexts.where("n > 1 OR bytes IS NOT NULL"), "distinct-contexts")
     # a context that is there twice repeats all its windows; what else repeats the index finds
     mixed = contexts.where("bytes IS NOT NULL").select("h", "x", "n", "windows", "bytes")
-    copies = mixed.where("n > 1").select("h", "x", F.array(F.struct(F.lit(0).alias("first"), (F.col("windows") - 1).alias("last"))).alias("found"))
+    copies = contexts.where("n > 1").select("h", "x", F.array(F.struct(F.lit(0).alias("first"), (F.col("windows") - 1).alias("last"))).alias("found"))
     crowded = mixed.groupBy("h").agg(F.count("*").alias("m")).where(F.col("m") > hot).select("h")
     calm, busy = mixed.join(crowded, "h", "left_anti"), mixed.join(crowded, "h", "left_semi")
-    found = copies.union(indexed_repeats(calm, length, batch_bytes)).union(counted_repeats(busy, length).select("h", "x", "found"))
+    found = materialized(copies.union(indexed_repeats(calm, length, batch_bytes)).union(counted_repeats(busy, length).select("h", "x", "found")), "repeats")
     parts = singles.select("key", "start", "h", "x").join(found, ["h", "x"])
     parts = parts.select("key", F.expr(f"transform(found, f -> struct(start + f.first AS start, start + f.last + {int(length)} AS end))").alias("spans"))
     # a stretch that is there twice is repeated as a whole; of the others the contexts that are elsewhere too
     last = F.element_at("parts", -1)
     whole = stretch.where("n > 1").select("stretch", F.array(F.struct(F.lit(0).alias("start"), (last["at"] + last["windows"] + (length - 1)).alias("end"))).alias("spans"))
-    twice = contexts.where("n > 1 AND bytes IS NULL").select("h", "x")
-    partly = inside.where("n = 1").join(twice, ["h", "x"], "left_semi").groupBy("stretch").agg(
-        F.collect_list(F.struct(F.col("at").alias("start"), (F.col("at") + F.col("windows") + (length - 1)).alias("end"))).alias("spans"))
+    partly = inside.where("n = 1").select("stretch", "h", "x", "at").join(found, ["h", "x"]).groupBy("stretch").agg(
+        F.flatten(F.collect_list(F.expr(f"transform(found, f -> struct(at + f.first AS start, at + f.last + {int(length)} AS end))"))).alias("spans"))
     spread = runs_of.select("key", "start", "stretch").join(whole.union(partly), "stretch")
     spread = spread.select("key", F.expr("transform(spans, p -> struct(start + p.start AS start, start + p.end AS end))").alias("spans"))
     return parts.union(spread).groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"))
