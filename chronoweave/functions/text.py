@@ -26,6 +26,28 @@ def pack_values(cols: Sequence[Column], fill: str = NUMERIC_FILL) -> Column:
     return F.concat_ws(SEPARATOR, *[F.coalesce(c.cast("string"), F.lit(fill)) for c in cols])
 
 
+# What cannot stand in an escaped cell as it is, and how it is written (the mark first).
+ESCAPES = (("%", "%25"), (SEPARATOR, "%2C"), ("\n", "%0A"), ("\r", "%0D"), ("\t", "%09"))
+MISSING, EMPTY, SPACE = "%-", "%+", "%20"
+
+
+def escape_cell(c: Column) -> Column:
+    """Text without separators, line ends and outer spaces (text formats would drop those); a missing
+    and an empty one as marks that no text gives."""
+    out = c
+    for raw, written in ESCAPES:
+        out = F.replace(out, F.lit(raw), F.lit(written))
+    out = F.regexp_replace(out, "^ | $", SPACE)
+    return F.when(c.isNull(), F.lit(MISSING)).when(c == "", F.lit(EMPTY)).otherwise(out)
+
+
+def unescape_cell(c: Column) -> Column:
+    out = F.replace(c, F.lit(SPACE), F.lit(" "))
+    for raw, written in reversed(ESCAPES):
+        out = F.replace(out, F.lit(written), F.lit(raw))
+    return F.when(c == EMPTY, F.lit("")).when(c != MISSING, out)
+
+
 def last_component(name: Column) -> Column:
     """Last dot-separated component of a dotted label id ("db.table.col" -> "col")."""
     return F.element_at(F.split(name, r"\."), -1)

@@ -10,7 +10,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    DataType, DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType,
+    ArrayType, DataType, DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType,
     TimestampType,
 )
 
@@ -35,6 +35,15 @@ CATALOG_SCHEMA = StructType([
     StructField("columns", StringType()),
     StructField("tagNames", StringType()),
     StructField("version", LongType()),
+    StructField("cells", StringType()),
+])
+#: One row per committed append or sorted save; first, last and rows are NULL where not sorted.
+MANIFEST_SCHEMA = StructType([
+    StructField("tablename", StringType()),
+    StructField("version", LongType()),
+    StructField("folder", StringType()),
+    StructField("files", ArrayType(StructType([
+        StructField("name", StringType()), StructField("first", LongType()), StructField("last", LongType()), StructField("rows", LongType())]))),
 ])
 PACKED_SCHEMA = StructType([StructField("timestamp", LongType()), StructField("data", StringType())])
 ENTRY_TYPE = "array<struct<colname:string,datatype:string,orderby:int>>"
@@ -70,12 +79,13 @@ def schema_pairs(schema: StructType) -> list[tuple[str, str]]:
     return [(f.name, type_name(f.dataType)) for f in schema.fields]
 
 
-def catalog_record(schema: StructType, tablename: str, version: int) -> tuple[str, str, str, int]:
-    """Catalog row for a dataset's schema (a schema is metadata: built on the driver)."""
+def catalog_record(schema: StructType, tablename: str, version: int, cells: str | None = None) -> tuple[str, str, str, int, str | None]:
+    """Catalog row for a dataset's schema (a schema is metadata: built on the driver) and the codec
+    of its packed cells."""
     cols = [{"colname": f.name, "datatype": type_name(f.dataType), "orderby": i}
             for i, f in enumerate(schema.fields)]
     tag_names = ",".join(f.name.split(".")[-1] for f in schema.fields)
-    return (tablename, json.dumps(cols, separators=(",", ":")), tag_names, int(version))
+    return (tablename, json.dumps(cols, separators=(",", ":")), tag_names, int(version), cells)
 
 
 def catalog_from_labels(labels: DataFrame, dataset: str = "dataset", label: str = "labelid",
@@ -103,24 +113,53 @@ def catalog_from_labels(labels: DataFrame, dataset: str = "dataset", label: str
 def latest(catalog: DataFrame) -> DataFrame:
     """Latest version of each dataset's catalog row (combines before the shuffle, however many
     versions a dataset has)."""
-    row = F.max_by(F.struct("columns", "tagNames", "version"), F.col("version"))
-    return catalog.groupBy("tablename").agg(row.alias("_b")).select("tablename", "_b.columns", "_b.tagNames", "_b.version")
+    cells = F.col("cells") if "cells" in catalog.columns else F.lit(None).cast("string").alias("cells")
+    row = F.max_by(F.struct("columns", "tagNames", "version", cells), F.col("version"))
+    return catalog.groupBy("tablename").agg(row.alias("_b")).select("tablename", "_b.columns", "_b.tagNames", "_b.version", "_b.cells")
 
 
 def explode_entries(catalog: DataFrame) -> DataFrame:
     """Catalog rows -> one row per column ``(tablename, colname, datatype, orderby)`` (plus
-    ``version`` when the rows carry it)."""
-    extra = ["version"] if "version" in catalog.columns else []
+    ``version`` and ``cells`` when the rows carry them)."""
+    extra = [x for x in ("version", "cells") if x in catalog.columns]
     parsed = catalog.select("tablename", *extra, F.explode(F.from_json("columns", ENTRY_TYPE)).alias("e"))
     return parsed.select("tablename", *extra, "e.colname", "e.datatype", "e.orderby")
 
 
+#: Types that hold every value of another type.
+_WIDER = {("IntegerType", "LongType"), ("IntegerType", "DoubleType")}
+
+
 def check_append(old: Sequence[tuple[str, str]], new_schema: StructType) -> None:
-    """An append must keep the column count, and both or neither layout starts with
-    ``timestamp``."""
+    """An append must have the stored columns, each of the stored type or one that fits in it; both or
+    neither layout starts with ``timestamp``.  Columns are bound by name, in any order; only where no
+    name but ``timestamp`` is a stored one, they are bound by position."""
+    _bound(old, new_schema)
+
+
+def _bound(old: Sequence[tuple[str, str]], new_schema: StructType) -> list[tuple[str, str, str]]:
+    """(stored name, stored type, new name) of each stored column."""
     new = new_schema.fields
     if len(old) != len(new):
         raise ValueError(f"cannot append: stored dataset has {len(old)} columns, new data has {len(new)}")
     a, b = old[0][0] if old else None, new[0].name if new else None
     if (a == "timestamp") != (b == "timestamp"):
         raise ValueError("cannot append: one layout starts with timestamp and the other does not")
+    names, given = [n for n, _ in old], [f.name for f in new]
+    if sorted(names) == sorted(given) and len(set(names)) == len(names):
+        pairs = [(n, t, n) for n, t in old]
+    elif not (set(names) - {"timestamp"}) & (set(given) - {"timestamp"}):
+        pairs = [(n, t, g) for (n, t), g in zip(old, given)]
+    else:
+        raise ValueError(f"cannot append: stored columns are {names}, new ones {given}")
+    types = {f.name: type_name(f.dataType) for f in new}
+    bad = [f"{g} ({types[g]}, stored as {t})" for _, t, g in pairs
+           if types[g] != type_name(spark_type(t)) and (types[g], type_name(spark_type(t))) not in _WIDER]
+    if bad:
+        raise ValueError(f"cannot append columns of other types: {', '.join(bad)}")
+    return pairs
+
+
+def bind_append(old: Sequence[tuple[str, str]], df: DataFrame) -> DataFrame:
+    """``df`` with the stored columns, in their order and of their types; raises as ``check_append``."""
+    return df.select(*[c(g).cast(spark_type(t)).alias(n) for n, t, g in _bound(old, df.schema)])

@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -102,11 +103,39 @@ def create_exclusively(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def materialized(df: DataFrame, name: str) -> DataFrame:
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder (none if it is not there)."""
+    fs, hpath = _file_system(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(hpath)] if fs.exists(hpath) else []
+
+
+def is_flat_folder(spark: SparkSession, path: str) -> bool:
+    """A folder that is there and holds no folder of data."""
+    fs, hpath = _file_system(spark, path)
+    return bool(fs.exists(hpath)) and fs.getFileStatus(hpath).isDirectory() and not any(
+        s.isDirectory() and not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(hpath))
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, hpath = _file_system(spark, path)
+    fs.delete(hpath, True)
+
+
+def qualified_path(spark: SparkSession, path: str) -> str:
+    """A path as the scan's file metadata writes it: with scheme, escaped as a URI."""
+    fs, hpath = _file_system(spark, path)
+    return fs.makeQualified(hpath).toUri().toString()
+
+
+def materialized(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` once as a Parquet table in the shared folder and read it back: the lineage
     is cut (lost executors re-read the table instead of recomputing its plan) and later plans
-    built on it stay short.  One job, unlike ``Dataset.checkpoint`` which computes twice."""
+    built on it stay short.  One job, unlike ``Dataset.checkpoint`` which computes twice.  A filter on
+    ``partition_by`` columns reads only the folders that it needs."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+    if not partition_by:
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)

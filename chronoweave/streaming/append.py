@@ -25,7 +25,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from chronoweave.functions.time import parse_time_text
 from chronoweave.operators._util import c
-from chronoweave.operators.catalog import CATALOG_SCHEMA, catalog_record, check_append
+from chronoweave.operators.catalog import CATALOG_SCHEMA, bind_append, catalog_record, check_append
 from chronoweave.operators.filters import select_tags, time_range_filter
 from chronoweave.operators.pack import pack
 from chronoweave.operators.quality import validate
@@ -68,11 +68,11 @@ def start_append_stream(spark: SparkSession, source: SourceSpec, time_column: st
     stream = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()
 
     def write(batch: DataFrame, number: int) -> None:
-        version, entries = store.latest(name)
-        check_append(entries, layout)
+        version, entries, cells = store.described(name)
+        batch = pack(bind_append(entries, batch), cells=cells)
         batch.write.mode("overwrite").format(store.fmt).save(f"{store.streamed(name, version)}/{stream}/{number}")
 
-    writer = pack(ds).writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
+    writer = ds.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:
