@@ -16,8 +16,9 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from chronoweave.functions.text import quote
 from chronoweave.operators._util import c
@@ -71,6 +72,43 @@ def distinct_next(df: DataFrame, ts: str = "timestamp", by: Sequence[str] = (),
     return rows.where("_next IS NOT NULL").selectExpr(*[quote(x) for x in cols]).unionByName(last)
 
 
+def _lead_in_runs(by: list[int], ts: int):
+    """For sorted runs: each row's gap to the next row of its series, the run's last row left open."""
+
+    def work(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        def marked(rows, gap, is_open, first):
+            n = rows.num_rows
+            head = pa.array([first] + [False] * (n - 1))
+            out = rows.append_column("gap", gap).append_column("open", pa.array([is_open] * n)).append_column("head", head)
+            return out.combine_chunks().to_batches()
+
+        held, first = None, True
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            if not rows.num_rows:
+                continue
+            rows = rows if held is None else pa.concat_tables([held, rows]).combine_chunks()
+            n = rows.num_rows
+            if n > 1:
+                now, then = rows.slice(0, n - 1), rows.slice(1)
+                same = pa.chunked_array([pa.array([True] * (n - 1))])
+                for i in by:
+                    x, y = now.column(i), then.column(i)
+                    same = pc.and_(same, pc.or_(pc.fill_null(pc.equal(x, y), False), pc.and_(pc.is_null(x), pc.is_null(y))))
+                gap = pc.if_else(same, pc.subtract(then.column(ts), now.column(ts)), pa.scalar(0, pa.int64()))
+                gap = pc.if_else(pc.is_null(now.column(ts)), pa.scalar(None, pa.int64()), gap)
+                yield from marked(now, gap, False, first)
+                first = False
+            held = rows.slice(n - 1)
+        if held is not None:
+            yield from marked(held, pa.nulls(1, pa.int64()), True, first)
+
+    return work
+
+
 def next_gap(df: DataFrame, ts: str = "timestamp", by: Sequence[str] = (), tiebreak: str | None = None,
              out: str = "t", chunk: int = DAY) -> DataFrame:
     """Each row plus ``out`` = next timestamp of its series minus its own; 0 for the last row.
@@ -79,16 +117,28 @@ def next_gap(df: DataFrame, ts: str = "timestamp", by: Sequence[str] = (), tiebr
     as ``lead(ts, 1, ts) OVER (PARTITION BY by ORDER BY ts) - ts``: the one with the largest
     ``tiebreak`` (NULL is smallest, and rows equal in it are told apart by their row number).
 
-    The rows are written once with a row number, so it is the same wherever it is read; gaps go
-    back to the rows by it, one row each, so a hot timestamp is no hot key."""
-    k = list(by)
-    rows = materialized(df.withColumn("_row", F.monotonically_increasing_id()), "gap-rows")
-    used = rows.select(*[c(x) for x in dict.fromkeys([*k, ts, *([tiebreak] if tiebreak else [])])], "_row")
-    order = [c(tiebreak)] if tiebreak else []
-    d = distinct_next(used, ts, k, chunk, aggs=[F.max(F.struct(*order, F.col("_row"))).alias("_winner")])
-    won = d.select(F.col("_winner._row").alias("_row"), (F.col("_next") - c(ts)).alias("_gap"))
-    gap = F.when(c(ts).isNotNull(), F.coalesce(F.col("_gap"), F.lit(0).cast("bigint")))
-    return rows.join(won, "_row", "left").select(*[c(x) for x in df.columns], gap.alias(out))
+    One shuffle: rows are cut into sorted runs by range over (series, ts, tiebreak, row), so neither
+    a long series nor a hot timestamp is one task's, whatever ``chunk`` is.  Gaps inside a run need the
+    next row only; the runs are written once, and each run's last row is stitched to the first row of
+    the next one, a row a run."""
+    k, names = list(by), df.columns
+    rows = df.select(*[(c(x).cast("bigint") if x == ts else c(x)).alias(f"_c{i}") for i, x in enumerate(names)], F.monotonically_increasing_id().alias("_row"))
+    at = {x: f"_c{i}" for i, x in enumerate(names)}
+    order = [F.col(at[x]).asc_nulls_first() for x in [*k, ts, *([tiebreak] if tiebreak else [])]] + [F.col("_row")]
+    sorted_runs = rows.repartitionByRange(*order).sortWithinPartitions(*order).drop("_row").withColumn("_run", F.spark_partition_id())
+    schema = StructType([*sorted_runs.schema.fields, StructField("gap", LongType()), StructField("open", BooleanType()), StructField("head", BooleanType())])
+    runs = materialized(sorted_runs.mapInArrow(_lead_in_runs([names.index(x) for x in k], names.index(ts)), schema), "gap-runs")
+    # the first row of the next run that has rows: a window over one row a run
+    heads = runs.where("head").select("_run", F.struct(*[F.col(at[x]) for x in [*k, ts]]).alias("_h"))
+    heads = heads.select("_run", F.lead("_h").over(Window.orderBy("_run")).alias("_n"))
+    t = at[ts]
+    same = F.col("_n").isNotNull()
+    for x in k:
+        same = same & F.col(at[x]).eqNullSafe(F.col("_n").getField(at[x]))
+    gap = F.when(F.col(t).isNotNull(), F.when(same, F.col("_n").getField(t) - F.col(t)).otherwise(F.lit(0).cast("bigint")))
+    last = runs.where("open").drop("gap").join(heads, "_run", "left").withColumn("gap", gap)
+    cols = [*(F.col(at[x]).cast(df.schema[x].dataType).alias(x) for x in names), F.col("gap").alias(out)]
+    return runs.where("NOT open").select(*cols).unionByName(last.select(*cols))
 
 
 def infer_interval(df: DataFrame, ts: str = "timestamp", by: Sequence[str] = (),

@@ -29,6 +29,8 @@ from chronoweave.session import materialized
 
 EQUAL, SLOWER, FASTER, SINGLE = "equal", "slower", "faster", "single"
 KEEP, AVG = "keep", "avg"
+# fills of one gap that its own task makes
+FILL_BLOCK = 65536
 # Column that flags rows holding text that is not a number.
 BAD_FLAG = "_bad"
 
@@ -39,16 +41,24 @@ def _real_row(values: Sequence[str]) -> Column:
 
 
 def upsample(df: DataFrame, step: int | Column, ts: str = "timestamp", by: Sequence[str] = (),
-             values: Sequence[str] | None = None, chunk: int = DAY) -> DataFrame:
+             values: Sequence[str] | None = None, chunk: int = DAY, block: int = FILL_BLOCK) -> DataFrame:
     """Forward-fill: every row is kept, and a row whose gap to the next timestamp is ``g``
     is copied to ``ts + i*step`` for ``1 <= i < g div step`` (values copied as they are,
-    NULLs included).  Rows tied on a timestamp fill once, from one of them (the largest)."""
+    NULLs included).  Rows tied on a timestamp fill once, from one of them (the largest).  An outage of
+    more than ``block`` fills is cut into blocks that are dealt to all tasks; other rows stay put."""
     k = list(by)
     vals = list(values) if values is not None else value_columns(df, [*k, ts])
     d = distinct_next(df, ts, k, chunk, aggs=[_real_row(vals)]).select("*", as_col(step).alias("_step"))
-    n = idiv(F.col("_next") - c(ts), F.col("_step"))
-    extra = explode_range(d.where(F.col("_step") > 0), F.lit(1), n - 1, 1, "_i")
-    extra = extra.select(*[c(x) for x in k], (c(ts) + F.col("_i") * F.col("_step")).alias(ts),
+    d = d.where(F.col("_step") > 0).withColumn("_fills", idiv(F.col("_next") - c(ts), F.col("_step")) - 1)
+    extra = explode_range(d.where(F.col("_fills") <= block), F.lit(1), F.col("_fills"), 1, "_i")
+    # an outage of many blocks: a row a block, dealt to all tasks, then the block's fills
+    long = explode_range(d.where(F.col("_fills") > block), F.lit(0), idiv(F.col("_fills") - 1, F.lit(block).cast("bigint")), 1, "_blk")
+    # by number: few and small as they are, they are not to be put together again
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    long = long.repartition(parts, *[c(x) for x in k], c(ts), F.col("_blk"))
+    first = F.col("_blk") * F.lit(block).cast("bigint") + 1
+    long = explode_range(long, first, F.least(F.col("_fills"), first + (block - 1)), 1, "_i").drop("_blk")
+    extra = extra.unionByName(long).select(*[c(x) for x in k], (c(ts) + F.col("_i") * F.col("_step")).alias(ts),
                          *[F.col("_rep").getField(v).alias(v) for v in vals])
     return df.select(*[c(x) for x in k], c(ts), *[c(v) for v in vals]).unionByName(extra)
 
