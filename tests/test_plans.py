@@ -68,6 +68,39 @@ def test_flagship_runs_on_the_written_gap_table(spark):
     assert len(joins) == 1 and "_at" in joins[0]
 
 
-def test_gaps_return_by_row_number(spark):
+def test_gaps_are_stitched_between_written_runs(spark):
     p = plan_of(queries()["next_gap"](spark, SF))
-    assert "_row" in p and "ts#" not in p.replace("timestamp", "") and "SinglePartition" not in p
+    # rows come from the written runs; the only window is over one row a run, and no row is shuffled
+    assert "ts#" not in p.replace("timestamp", "") and p.count("Window [lead(") == 1
+    assert all("_run" in x or "SinglePartition" in x for x in p.split("\n") if "Exchange" in x and "Broadcast" not in x)
+
+
+def test_csv_folders_are_one_scan(spark, scratch):
+    from chronoweave.plans.dataset_import import read_sources
+    from chronoweave.specs import ImportRule, SourceSpec, TagSpec
+
+    paths = [scratch(f"folder {i}=x") for i in range(3)]
+    for i, path in enumerate(paths):
+        spark.createDataFrame([(f"1970/01/01 00:0{i}:00", str(i), "7"), ("late", "1", "1"), ("1970/01/01 00:09:00", "x", None)], "time string, a string, b string").write.option("header", True).csv(path)
+    option = lambda p: {"path": p, "tz": "UTC", "columns": ["time", "a", "b"]}
+    tags = [(TagSpec(1, "a", "p"),), (TagSpec(2, "b", "q"), TagSpec(3, "a", "r")), (TagSpec(4, "b", "s"),)]
+    sources = [SourceSpec("CSV", option(p), t, name=f"s{i}") for i, (p, t) in enumerate(zip(paths, tags))]
+    long, layout = read_sources(spark, sources, ImportRule("d"))
+    assert plan_of(long).count("FileScan") == 1
+    assert layout == {"p": ("s0", "_v0"), "q": ("s1", "_v0"), "r": ("s1", "_v1"), "s": ("s2", "_v0")}
+    apart = [read_sources(spark, [s], ImportRule("d"))[0] for s in sources]
+    cols = ["_source", "timestamp", "_v0", "_v1", "_bad", "_bad_text", "_bad_time"]
+    rows = [tuple(r[x] if x in f.columns else None for x in cols) for f in apart for r in f.collect()]
+    assert sorted((tuple(r[x] for x in cols) for r in long.collect()), key=str) == sorted(rows, key=str)
+
+
+def test_csv_types_are_found_in_one_scan(spark, scratch):
+    from chronoweave.sources.csv import read_csv_null_to_zero
+
+    path = scratch("types")
+    rows = [("2020/01/02 03:04:05", "1", "1.5", "7000000000", "null", None), (None, "", "2", "-1", "x", None)]
+    spark.createDataFrame(rows, "time string, i string, d string, l string, s string, n string").write.option("header", True).csv(path)
+    df = read_csv_null_to_zero(spark, path, tz="UTC")
+    assert [t for _, t in df.dtypes] == ["bigint", "int", "double", "bigint", "string", "string"]
+    assert sorted((tuple(r) for r in df.collect()), key=str) == sorted([(1577934245, 1, 1.5, 7000000000, "0", "0"), (None, 0, 2.0, -1, "x", "0")], key=str)
+    assert "FileScan csv" not in plan_of(df)
