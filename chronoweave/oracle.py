@@ -5,7 +5,7 @@ by ``unnest(range(...))`` one row per step, then plain ``avg``."""
 from __future__ import annotations
 
 from chronoweave.workloads import (
-    CSV_BUCKETS, JAN_FINISH, JAN_START, ORDERS_FINISH, ORDERS_START, RANGE_FINISH, RANGE_START,
+    CSV_BUCKETS, JAN_FINISH, JAN_START, ORDERS_FINISH, ORDERS_START, OTHER_BUCKET, RANGE_FINISH, RANGE_START,
     SOURCE_BUCKETS, WEEK, YEARS_FINISH, YEARS_START,
 )
 
@@ -14,7 +14,7 @@ E = "epoch_us(ts) // 1000000"
 
 def _bucket_case(buckets: dict[str, int], col: str = "series") -> str:
     whens = " ".join(f"WHEN '{k}' THEN {v}" for k, v in buckets.items())
-    return f"CASE {col} {whens} END"
+    return f"CASE {col} {whens} ELSE {OTHER_BUCKET} END"
 
 
 def _resample_ctes(values: list[str], new: int, tie: str = "") -> str:
@@ -52,7 +52,8 @@ def _events_typed(buckets: dict[str, int], start: int | None = None, finish: int
 
 
 def _regular_src(buckets: dict[str, int], start: int | None = None, finish: int | None = None) -> str:
-    return (f"e AS ({_events_typed(buckets, start, finish)}),\n"
+    rng = f" WHERE {E} BETWEEN {start} AND {finish}" if start is not None else ""
+    return (f"e AS (SELECT event_type AS series, {E} AS t, value FROM events{rng}),\n"
             f"src AS (SELECT series, t - t % {_bucket_case(buckets)} AS ts, avg(value) AS v FROM e GROUP BY 1, 2)")
 
 
@@ -98,9 +99,18 @@ _BAD = "(t IS NULL OR (cell IS NOT NULL AND TRY_CAST(cell AS DOUBLE) IS NULL))"
 _DAILY = f"""o AS (SELECT epoch_us(o_orderdate) // 1000000 AS t, sum(o_totalprice) AS v FROM orders GROUP BY 1),
 l AS (SELECT epoch_us(l_shipdate) // 1000000 AS t, sum(l_quantity) AS v FROM lineitem GROUP BY 1)"""
 
-_TWO_TYPES = f"""x AS (SELECT event_type, {E} AS t, value AS v FROM events),
-s AS (SELECT t - t % 3600 AS t, v FROM x WHERE event_type = 'signup'), e AS (SELECT t - t % 3600 AS t, v FROM x WHERE event_type = 'error'),
-k AS (SELECT t FROM s UNION SELECT t FROM e)"""
+def _all_types(seconds: int, select: str, of: str, where: str = "") -> str:
+    """The five types as sources with times cut to ``seconds``, each as ``of`` on the union of their times."""
+    own = ",\n".join(f"{k}_s AS ({of.format(rows=f'(SELECT t, v FROM x WHERE event_type = {chr(39)}{k}{chr(39)})')})" for k in SOURCE_BUCKETS)
+    joins = " ".join(f"LEFT JOIN {k}_s ON {k}_s.t = k.t" for k in SOURCE_BUCKETS)
+    cols = ", ".join(select.format(k=k) for k in SOURCE_BUCKETS)
+    tail = " AND ".join(where.format(k=k) for k in SOURCE_BUCKETS) if where else "true"
+    names = ", ".join(f"'{k}'" for k in SOURCE_BUCKETS)
+    return f"""WITH x AS (SELECT event_type, ({E}) - ({E}) % {seconds} AS t, value AS v FROM events WHERE event_type IN ({names})),
+        {own},
+        k AS (SELECT DISTINCT t FROM x)
+        SELECT k.t AS timestamp, {cols} FROM k {joins} WHERE {tail}"""
+
 
 _ORDERS_DAILY = ("SELECT epoch_us(o_orderdate) // 1000000 AS timestamp, round(sum(o_totalprice), 2) AS order_total, "
                  "CAST(count(*) AS DOUBLE) AS order_count FROM orders GROUP BY 1")
@@ -200,6 +210,25 @@ ORACLE_SQL: dict[str, str] = {
         coalesce(l_extendedprice, 0.0) AS l_extendedprice, coalesce(l_discount, 0.0) AS l_discount FROM lineitem""",
     "save_roundtrip": _ORDERS_DAILY,
     "append_dataset": _ORDERS_DAILY,
+    "append_manifest": _ORDERS_DAILY,
+    "sorted_rank": f"SELECT *, row_number() OVER (ORDER BY timestamp) AS rank FROM ({_ORDERS_DAILY})",
+    "sorted_range": f"SELECT * FROM ({_ORDERS_DAILY}) WHERE timestamp BETWEEN {YEARS_START} AND {YEARS_FINISH}",
+    "text_roundtrip": """SELECT CAST(c_custkey AS BIGINT) AS c_custkey, c_name, CASE c_custkey % 7 WHEN 0 THEN NULL WHEN 1 THEN ''
+          WHEN 2 THEN c_name || ', "' || c_mktsegment || '"' WHEN 3 THEN c_name || chr(10) || c_mktsegment || chr(13) || chr(10)
+          WHEN 4 THEN ' %2C%' || c_name || ' ' ELSE c_mktsegment END AS note, c_acctbal FROM customer""",
+    "upsample_events": f"""WITH e AS (SELECT event_type, {E} AS t, value FROM events),
+        g AS (SELECT *, lead(t, 1, t) OVER (PARTITION BY event_type ORDER BY t, value NULLS FIRST) - t AS gap FROM e)
+        SELECT event_type, t + 60 * unnest(range(0, greatest(gap // 60, 1))) AS timestamp, value FROM g""",
+    "catalog_compacted": """SELECT n_name AS tablename, CAST(max(c_custkey) AS BIGINT) AS version, arg_max(c_name, c_custkey) AS colname,
+        'DoubleType' AS datatype, CAST(0 AS BIGINT) AS orderby FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""",
+    "column_profile": f"""WITH f AS ({_CELL}),
+        x AS (SELECT unnest([{{'c': 'time', 'v': CASE WHEN event_type = 'signup' THEN 't' || CAST(t AS VARCHAR) ELSE CAST(t AS VARCHAR) END}},
+                             {{'c': 'value', 'v': CAST(value AS VARCHAR)}}, {{'c': 'cell', 'v': nullif(cell, '')}}]) AS r FROM f),
+        l AS (SELECT r.c AS c, r.v AS v, CASE WHEN r.v IS NULL THEN 0 WHEN TRY_CAST(r.v AS INTEGER) IS NOT NULL AND NOT contains(r.v, '.') THEN 1
+                WHEN TRY_CAST(r.v AS BIGINT) IS NOT NULL AND NOT contains(r.v, '.') THEN 2 WHEN TRY_CAST(r.v AS DOUBLE) IS NOT NULL THEN 3 ELSE 4 END AS n FROM x)
+        SELECT c AS "column", list_extract(['string', 'int', 'bigint', 'double', 'string'], max(n) + 1) AS "type",
+          CAST(count(*) FILTER (n = 4) AS BIGINT) AS n_text, min(v) FILTER (n = 4) AS example, CAST(count(*) FILTER (v IS NULL) AS BIGINT) AS n_missing
+        FROM l GROUP BY c""",
     "csv_roundtrip": "SELECT o_orderkey, o_custkey, o_totalprice, epoch_us(o_orderdate) // 1000000 AS timestamp FROM orders",
     "csv_tag_scan": f"""SELECT t AS timestamp, round(sum(o_totalprice), 2) AS order_total, CAST(count(*) AS DOUBLE) AS order_count
         FROM (SELECT epoch_us(o_orderdate) // 1000000 AS t, o_totalprice FROM orders)
@@ -269,21 +298,14 @@ src AS (SELECT series, t - t % 3600 AS ts, v FROM e),
 src AS (SELECT series, t - t % 3600 AS ts, v FROM e),
 {_resample_ctes(['v'], 3600, 'v')}
         SELECT series AS event_type, ts AS timestamp, round(v, 6) AS value FROM res""",
-    "align_multiply": f"""WITH {_TWO_TYPES}
-        SELECT k.t AS timestamp, round(coalesce(s.v, 0.0), 6) AS signup, round(coalesce(e.v, 0.0), 6) AS error
-        FROM k LEFT JOIN s ON s.t = k.t LEFT JOIN e ON e.t = k.t""",
-    "align_average": f"""WITH {_TWO_TYPES},
-        sa AS (SELECT t, avg(v) AS v FROM s GROUP BY t), ea AS (SELECT t, avg(v) AS v FROM e GROUP BY t)
-        SELECT k.t AS timestamp, round(coalesce(sa.v, 0.0), 6) AS signup, round(coalesce(ea.v, 0.0), 6) AS error
-        FROM k LEFT JOIN sa ON sa.t = k.t LEFT JOIN ea ON ea.t = k.t""",
-    "align_unique": f"""WITH {_TWO_TYPES},
-        sa AS (SELECT t, avg(v) AS v, count(*) AS n FROM s GROUP BY t), ea AS (SELECT t, avg(v) AS v, count(*) AS n FROM e GROUP BY t)
-        SELECT k.t AS timestamp, round(coalesce(sa.v, 0.0), 6) AS signup, round(coalesce(ea.v, 0.0), 6) AS error
-        FROM k LEFT JOIN sa ON sa.t = k.t LEFT JOIN ea ON ea.t = k.t WHERE coalesce(sa.n, 0) <= 1 AND coalesce(ea.n, 0) <= 1""",
+    "align_multiply": _all_types(60, "round(coalesce({k}_s.v, 0.0), 6) AS {k}", "SELECT t, v FROM {rows}"),
+    "align_average": _all_types(3600, "round(coalesce({k}_s.v, 0.0), 6) AS {k}", "SELECT t, avg(v) AS v FROM {rows} GROUP BY t"),
+    "align_unique": _all_types(1, "round(coalesce({k}_s.v, 0.0), 6) AS {k}", "SELECT t, avg(v) AS v, count(*) AS n FROM {rows} GROUP BY t",
+                               "coalesce({k}_s.n, 0) <= 1"),
     "flag_type_errors": f"""WITH f AS ({_CELL})
         SELECT CASE WHEN event_type = 'signup' THEN 't' || CAST(t AS VARCHAR) ELSE CAST(t AS VARCHAR) END AS time, cell FROM f
         WHERE event_type = 'signup' OR (cell IS NOT NULL AND TRY_CAST(cell AS DOUBLE) IS NULL)""",
-    "reject_log": f"""WITH e AS (SELECT event_type, {E} AS t FROM events WHERE event_type IN ('view', 'click')),
+    "reject_log": f"""WITH e AS (SELECT CASE WHEN event_type = 'click' THEN 'click' ELSE 'view' END AS event_type, {E} AS t FROM events),
         h AS (SELECT event_type, t - t % 3600 AS t, count(*) AS n FROM e GROUP BY 1, 2),
         src AS (SELECT 'view' AS series, t + 900 AS ts, CAST(n AS DOUBLE) AS v FROM h
                 WHERE event_type = 'view' AND t + 900 BETWEEN {JAN_START} AND {JAN_FINISH + 86401}),

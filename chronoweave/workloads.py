@@ -27,7 +27,7 @@ from chronoweave.operators.gaps import infer_interval, next_gap
 from chronoweave.operators.metadata import multi_table_select, resolve_source
 from chronoweave.operators.pack import pack, pack_rdbms, unpack
 from chronoweave.operators.quality import (
-    DROP, bad_field_names, flag_type_errors, rejects_report, type_error_counts, validate, validation_counts,
+    DROP, bad_field_names, column_profile, flag_type_errors, rejects_report, type_error_counts, validate, validation_counts,
 )
 from chronoweave.operators.resample import downsample, resample, resample_plan, upsample
 from chronoweave.plans.dataset_import import build_dataset, build_from_long, import_dataset
@@ -49,6 +49,7 @@ ORDERS_START = 788918400          # 1995-01-01
 ORDERS_FINISH = 1001894400        # 2001-10-01
 YEARS_START, YEARS_FINISH = 820454400, 946684799     # 1996-01-01 .. 1999-12-31 23:59:59
 SOURCE_BUCKETS = {"view": 3600, "click": 900, "purchase": 5400, "signup": 1800, "error": 7200}
+OTHER_BUCKET = 3600               # of event types that are not listed
 CSV_BUCKETS = {"view": 1200, "click": 3600, "purchase": 5400, "signup": 2400, "error": 7200}
 
 
@@ -63,14 +64,14 @@ def _events(spark: SparkSession, d: str) -> DataFrame:
 
 def _regular_sources(spark: SparkSession, d: str, buckets: dict[str, int], start_s: int | None = None,
                      finish_s: int | None = None) -> DataFrame:
-    """Of the listed event types, values averaged per that type's bucket: ``(event_type,
-    timestamp, value)``.  One scan and one aggregation for all types."""
+    """Values of every event type averaged per that type's bucket (``OTHER_BUCKET`` where it is not
+    listed): ``(event_type, timestamp, value)``.  One scan and one aggregation for all types."""
     raw = raw_time_range_filter(_t(spark, d, "events"), "ts", start_s, finish_s)
     ev = raw.select(epoch_seconds(F.col("ts")).alias("timestamp"), "event_type", "value")
-    width = F.lit(None).cast("bigint")
+    width = F.lit(OTHER_BUCKET).cast("bigint")
     for k, v in buckets.items():
         width = F.when(F.col("event_type") == k, F.lit(v).cast("bigint")).otherwise(width)
-    ev = ev.withColumn("_w", width).where("_w IS NOT NULL")
+    ev = ev.withColumn("_w", width)
     return downsample(ev.select("event_type", "timestamp", "value", "_w"), F.col("_w"), by=["event_type"],
                       values=["value"], label="bucket")
 
@@ -158,6 +159,11 @@ def q_upsample_ffill(spark: SparkSession, d: str) -> DataFrame:
     return _r(upsample(src, 1800, by=["event_type"], values=["value"]), ["value"])
 
 
+def q_upsample_events(spark: SparkSession, d: str) -> DataFrame:
+    """G1 on raw rows: all events by type, forward-filled every minute."""
+    return upsample(_events(spark, d).select("event_type", "timestamp", "value"), 60, by=["event_type"], values=["value"])
+
+
 def q_downsample_avg(spark: SparkSession, d: str) -> DataFrame:
     """AG1: hourly averages per event type, labelled with the bucket's first second."""
     ev = _events(spark, d).select("event_type", "timestamp", "value")
@@ -236,33 +242,33 @@ def q_full_outer_offgrid(spark: SparkSession, d: str) -> DataFrame:
     return _r(out, ["order_total", "ship_qty"], 2)
 
 
-def _two_types(spark: SparkSession, d: str) -> list[tuple[str, DataFrame]]:
-    """Signup and error events at hour resolution: several rows of a source share a timestamp."""
+def _all_types(spark: SparkSession, d: str, seconds: int) -> list[tuple[str, DataFrame]]:
+    """The five event types as sources, times cut to ``seconds``: rows of a source share timestamps."""
     ev = _events(spark, d)
-    hour = (F.col("timestamp") - F.pmod("timestamp", F.lit(3600))).alias("timestamp")
-    return [(k, ev.where(F.col("event_type") == k).select(hour, F.col("value").alias(k))) for k in ("signup", "error")]
+    cut = (F.col("timestamp") - F.pmod("timestamp", F.lit(seconds))).alias("timestamp")
+    return [(k, ev.where(F.col("event_type") == k).select(cut, F.col("value").alias(k))) for k in SOURCE_BUCKETS]
 
 
 def q_align_multiply(spark: SparkSession, d: str) -> DataFrame:
-    """D24 literal: rows of the sources that share a timestamp multiply."""
+    """D24 literal: rows of the five sources that share a minute multiply."""
     rule = ImportRule("pairs", interval_s=0, on_error=DROP, dedupe="multiply")
-    return _r(build_dataset(spark, _two_types(spark, d), ["signup", "error"], rule), ["signup", "error"])
+    return _r(build_dataset(spark, _all_types(spark, d, 60), list(SOURCE_BUCKETS), rule), list(SOURCE_BUCKETS))
 
 
 def q_align_average(spark: SparkSession, d: str) -> DataFrame:
     """D24, averaged: rows of a source that share a timestamp become one."""
     rule = ImportRule("means", interval_s=0, on_error=DROP, dedupe="avg")
-    return _r(build_dataset(spark, _two_types(spark, d), ["signup", "error"], rule), ["signup", "error"])
+    return _r(build_dataset(spark, _all_types(spark, d, 3600), list(SOURCE_BUCKETS), rule), list(SOURCE_BUCKETS))
 
 
 def q_align_unique(spark: SparkSession, d: str) -> DataFrame:
-    """D24, refused: timestamps at which a source has several rows are rejected (here dropped)."""
+    """D24, refused: seconds at which a source has several rows are rejected (here dropped)."""
     rule = ImportRule("single", interval_s=0, on_error=DROP, dedupe="fail")
-    return _r(build_dataset(spark, _two_types(spark, d), ["signup", "error"], rule), ["signup", "error"])
+    return _r(build_dataset(spark, _all_types(spark, d, 1), list(SOURCE_BUCKETS), rule), list(SOURCE_BUCKETS))
 
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:
-    """All event types as regular sources (hourly, 15-min, 90-min, 30-min, 2-hourly) resampled to hourly and
+    """The five named event types as regular sources (hourly, 15-min, 90-min, 30-min, 2-hourly) resampled to hourly and
     aligned on the January timeline; off-timeline rows dropped, gaps filled with 0.0."""
     src = _regular_sources(spark, d, SOURCE_BUCKETS, JAN_START, JAN_FINISH)
     long = src.select(F.col("event_type").alias("_source"), "timestamp", F.col("value").alias("_v0"))
@@ -362,6 +368,45 @@ def q_append_dataset(spark: SparkSession, d: str) -> DataFrame:
     return _r(store.load("orders_daily"), ["order_total"], 2)
 
 
+def q_append_manifest(spark: SparkSession, d: str) -> DataFrame:
+    """Three appends, one of them with its columns in another order and one that died before its
+    commit, load back."""
+    store = _store(spark, "append_manifest")
+    daily = _orders_daily(spark, d)
+    year = F.year(F.timestamp_seconds("timestamp"))
+    store.save(daily.where(year < 1997), "orders_daily")
+    store.save(daily.where(year == 1997), "orders_daily", mode="append")
+    pack(daily).write.parquet(f"{store.root}/appended/orders_daily/v1/dead")  # never listed
+    store.save(daily.where(year > 1997).select("timestamp", "order_count", "order_total"), "orders_daily", mode="append")
+    return _r(store.load("orders_daily"), ["order_total"], 2)
+
+
+def q_text_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Names and comments with separators, quotes, line ends, escapes, outer spaces, empty and
+    missing, saved and loaded."""
+    k, name, note = F.col("c_custkey"), F.col("c_name"), F.col("c_mktsegment")
+    text = (F.when(k % 7 == 0, F.lit(None)).when(k % 7 == 1, "").when(k % 7 == 2, F.concat(name, F.lit(", \""), note, F.lit("\"")))
+             .when(k % 7 == 3, F.concat(name, F.lit("\n"), note, F.lit("\r\n"))).when(k % 7 == 4, F.concat(F.lit(" %2C%"), name, F.lit(" "))).otherwise(note))
+    rows = _t(spark, d, "customer").select(k.cast("bigint").alias("c_custkey"), name, text.alias("note"), F.col("c_acctbal").cast("double").alias("c_acctbal"))
+    store = _store(spark, "text_roundtrip")
+    store.save(rows, "customers")
+    return store.load("customers")
+
+
+def q_sorted_rank(spark: SparkSession, d: str) -> DataFrame:
+    """a dataset saved in time order, with each row's rank."""
+    store = _store(spark, "sorted_rank")
+    store.save(_orders_daily(spark, d), "orders_daily", by_time=True)
+    return _r(store.ranked("orders_daily"), ["order_total"], 2)
+
+
+def q_sorted_range(spark: SparkSession, d: str) -> DataFrame:
+    """Of a dataset saved in time order, the files and rows of four years."""
+    store = _store(spark, "sorted_range")
+    store.save(_orders_daily(spark, d), "orders_daily", by_time=True)
+    return _r(store.load("orders_daily", YEARS_START, YEARS_FINISH), ["order_total"], 2)
+
+
 def q_csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """CSV sink without header and read back with the schema."""
     o = _t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice",
@@ -457,6 +502,27 @@ def q_catalog_lookup(spark: SparkSession, d: str) -> DataFrame:
     return explode_entries(latest(store.catalog())).select("tablename", "version", "colname", "datatype", F.col("orderby").cast("bigint").alias("orderby"))
 
 
+def q_catalog_compacted(spark: SparkSession, d: str) -> DataFrame:
+    """The look-up after every nation's catalog was compacted between two batches of versions."""
+    cust, nation = _t(spark, d, "customer"), _t(spark, d, "nation")
+    entry = F.to_json(F.array(F.struct(F.col("c_name").alias("colname"), F.lit("DoubleType").alias("datatype"), F.lit(0).alias("orderby"))))
+    rows = cust.join(nation, cust.c_nationkey == nation.n_nationkey).select(
+        F.col("n_name").alias("tablename"), entry.alias("columns"), F.col("c_name").alias("tagNames"), F.col("c_custkey").cast("bigint").alias("version"))
+    store = _store(spark, "catalog_compacted")
+    store.add_catalog_rows(rows.where("version % 2 = 0"))
+    store.add_catalog_rows(rows.where("version % 2 = 1 and tablename >= 'M'"))
+    for r in nation.where("n_regionkey = 1").select("n_name").collect():  # one region's datasets
+        store.compact_metadata(r["n_name"])
+    store.add_catalog_rows(rows.where("version % 2 = 1 and tablename < 'M'"))
+    return explode_entries(latest(store.catalog())).select("tablename", "version", "colname", "datatype", F.col("orderby").cast("bigint").alias("orderby"))
+
+
+def q_column_profile(spark: SparkSession, d: str) -> DataFrame:
+    """A2/A3: of each column of a CSV file its narrowest type, how many cells are no number, the least of
+    them and how many are missing."""
+    return column_profile(read_csv_text(spark, _text_file(spark, d)))
+
+
 def q_cast_by_catalog(spark: SparkSession, d: str) -> DataFrame:
     """Text columns cast by catalog type names."""
     p = _t(spark, d, "part")
@@ -530,13 +596,14 @@ def q_rdbms_import(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_reject_log(spark: SparkSession, d: str) -> DataFrame:
-    """The exception log of an import under the drop policy: unparsable times (every fifth
+    """The exception log of an import of click events and all others (``view``) under the drop policy: unparsable times (every fifth
     hour's count), unparsable cells (every seventh) and rows off the key timeline (a source that
     runs a quarter of an hour late)."""
     root = scratch_path(spark, "reject_log")
     ev = _events(spark, d)
     hour = (F.col("timestamp") - F.pmod("timestamp", F.lit(3600))).alias("timestamp")
-    hourly = ev.where("event_type IN ('view', 'click')").groupBy("event_type", hour).agg(F.count("*").alias("n"))
+    kind = F.when(F.col("event_type") == "click", "click").otherwise("view").alias("event_type")
+    hourly = ev.groupBy(kind, hour).agg(F.count("*").alias("n"))
     click = hourly.where("event_type = 'click'").select(
         F.when(F.col("n") % 5 == 0, F.concat(F.lit("t"), F.col("timestamp").cast("string"))).otherwise(epoch_to_text(F.col("timestamp"))).alias("time"),
         F.when(F.col("n") % 7 == 0, F.concat(F.lit("x"), F.col("n").cast("string"))).otherwise(F.col("n").cast("string")).alias("n"))
@@ -552,12 +619,13 @@ def q_reject_log(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_csv_import(spark: SparkSession, d: str) -> DataFrame:
-    """The whole CSV import: a tag file per event type written from events, imported by spec."""
+    """The whole CSV import: a tag file per event type written from events, the five named ones imported
+    by spec."""
     root = scratch_path(spark, "csv_import")
-    width = F.lit(None).cast("bigint")
+    width = F.lit(OTHER_BUCKET).cast("bigint")
     for k, v in CSV_BUCKETS.items():
         width = F.when(F.col("event_type") == k, F.lit(v).cast("bigint")).otherwise(width)
-    agg = (_events(spark, d).withColumn("_w", width).where("_w IS NOT NULL")
+    agg = (_events(spark, d).withColumn("_w", width)
              .groupBy("event_type", (F.col("timestamp") - F.pmod("timestamp", "_w")).alias("timestamp"))
              .agg(F.avg("value").alias("site.avg"), F.count(F.lit(1)).alias("site.n")))
     # one job writes every source's tag files: <root>/files/event_type=<kind>/
@@ -588,6 +656,7 @@ QUERIES: dict[str, Query] = {
     "next_gap_users": q_next_gap_users,
     "infer_interval": q_infer_interval,
     "upsample_ffill": q_upsample_ffill,
+    "upsample_events": q_upsample_events,
     "downsample_avg": q_downsample_avg,
     "resample_equal": _resample_all(3600),
     "resample_slower": _resample_all(900),
@@ -616,6 +685,10 @@ QUERIES: dict[str, Query] = {
     "unpack_dataset": q_unpack_dataset,
     "save_roundtrip": q_save_roundtrip,
     "append_dataset": q_append_dataset,
+    "append_manifest": q_append_manifest,
+    "text_roundtrip": q_text_roundtrip,
+    "sorted_rank": q_sorted_rank,
+    "sorted_range": q_sorted_range,
     "csv_roundtrip": q_csv_roundtrip,
     "csv_tag_scan": q_csv_tag_scan,
     "csv_null_to_zero": q_csv_null_to_zero,
@@ -623,6 +696,8 @@ QUERIES: dict[str, Query] = {
     "catalog_from_labels": q_catalog_from_labels,
     "catalog_from_labels_customers": q_catalog_from_labels_customers,
     "catalog_lookup": q_catalog_lookup,
+    "catalog_compacted": q_catalog_compacted,
+    "column_profile": q_column_profile,
     "cast_by_catalog": q_cast_by_catalog,
     "bad_field_names": q_bad_field_names,
     "resolve_source": q_resolve_source,
