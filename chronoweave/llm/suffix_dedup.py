@@ -362,16 +362,17 @@ def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batch_bytes:
     crowded = mixed.groupBy("h").agg(F.count("*").alias("m")).where(F.col("m") > hot).select("h")
     calm, busy = mixed.join(crowded, "h", "left_anti"), mixed.join(crowded, "h", "left_semi")
     found = materialized(copies.union(indexed_repeats(calm, length, batch_bytes)).union(counted_repeats(busy, length).select("h", "x", "found")), "repeats")
-    parts = singles.select("key", "start", "h", "x").join(found, ["h", "x"])
+    # copies of a text have equal rows, which combine before the shuffle
+    parts = singles.select("key", "start", "h", "x").distinct().join(found, ["h", "x"])
     parts = parts.select("key", F.expr(f"transform(found, f -> struct(start + f.first AS start, start + f.last + {int(length)} AS end))").alias("spans"))
     # a stretch that is there twice is repeated as a whole; of the others the contexts that are elsewhere too
     last = F.element_at("parts", -1)
     whole = stretch.where("n > 1").select("stretch", F.array(F.struct(F.lit(0).alias("start"), (last["at"] + last["windows"] + (length - 1)).alias("end"))).alias("spans"))
     partly = inside.where("n = 1").select("stretch", "h", "x", "at").join(found, ["h", "x"]).groupBy("stretch").agg(
         F.flatten(F.collect_list(F.expr(f"transform(found, f -> struct(at + f.first AS start, at + f.last + {int(length)} AS end))"))).alias("spans"))
-    spread = runs_of.select("key", "start", "stretch").join(whole.union(partly), "stretch")
+    spread = runs_of.select("key", "start", "stretch").distinct().join(whole.union(partly), "stretch")
     spread = spread.select("key", F.expr("transform(spans, p -> struct(start + p.start AS start, start + p.end AS end))").alias("spans"))
-    return parts.union(spread).groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"))
+    return parts.union(spread).groupBy("key").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
 def maximal(pieces: list[dict[str, int]]) -> list[tuple[int, int]]:
