@@ -40,7 +40,9 @@ from .common import packed, runs, schema_of, table
 from .token_counts import MARK, model_path
 
 # windows remembered per worker; a window's ids and its alignment take some 0.3 KB
-REMEMBERED = 150_000
+REMEMBERED = 100_000
+# text bytes tokenised together; a run's arrays take some hundred times as much
+TOKEN_RUN = 512 << 10
 # added to B's ids in a window's key; A's are below it
 SET_APART = 1 << 24
 # fixed: the byte-level vocabulary's cut of a text into words
@@ -246,7 +248,7 @@ def alignments(docs: DataFrame, path_a: str | None = None, path_b: str | None =
     path_a, path_b = path_a or model_path("byte_bpe_50k.json"), path_b or model_path()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for run in runs(batches):
+        for run in runs(batches, limit=TOKEN_RUN):
             got = _aligner(path_a, path_b).of(run.column("text").fill_null("").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [run.column("row"), pa.array(got.n_a), pa.array(got.n_b), pa.array(np.diff(got.links_at)), got.text(),
