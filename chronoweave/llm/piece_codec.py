@@ -6,11 +6,16 @@ checked when the model is read).  Distinct words of equal length advance togethe
 their substrings probe the sorted piece keys.  A character without a piece becomes its UTF-8 byte
 pieces.  Decoding gathers the pieces' bytes and drops the first mark.
 
-Two rules choose the pieces.  ``merges`` is the model file's own: its scores are the ranks of
-merges, and in each round every word merges its neighbours of best rank (the first of equals), so
-the ids are the library's.  ``scores`` is a Viterbi: for every end position and piece length a
-vectorised maximum keeps the best score and the backpointer; the segmentation is the one of
-greatest score sum, at equal sums the longer last piece wins.
+Three rules choose the pieces.  ``links`` (the default) is a Viterbi that gives the library's ids,
+though the model file's scores are ranks of merges and no sums.  A piece scores 0 behind the last
+piece at its start if the two are linked (joined and merged, they come out as just these two) and
+minus infinity otherwise; each end position keeps the piece with score 0 as its backpointer.  There
+is always exactly one: merges inside a prefix never see what follows it, so the encoding of a prefix
+without its last piece is the encoding of the shorter prefix; and where all neighbours are linked, the
+first merge over one of their borders would have happened to those two alone.  Links are decided once
+a pair and remembered in a table by pair.  ``merges`` merges whole words, in each round every word its
+neighbours of best rank (the first of equals).  ``scores`` is the Viterbi for models whose scores do
+add up: the segmentation of greatest sum, at equal sums the longer last piece wins.
 
 Defined results: null and empty texts have no pieces and decode to the empty text; a text that
 itself holds the mark decodes with a space there (``roundtrip`` false), as in the library.
@@ -32,6 +37,10 @@ from .token_counts import MARK, model_path
 
 # ids of distinct words remembered per task
 REMEMBERED = 6_000_000
+# pairs of pieces whose links are remembered per task
+PAIRS = 4_000_000
+# pairs below which they are merged one by one
+FEW = 64
 # cells (words x positions) that advance together
 CELLS = 1_000_000
 # characters above which a word is walked through alone
@@ -39,7 +48,7 @@ LONG = 256
 _MULT = np.uint64(0x2545F4914F6CDD1D)
 # the rank of neighbours that make no piece
 NONE = np.iinfo(np.int32).max
-RULES = ("scores", "merges")
+RULES = ("scores", "merges", "links")
 _MARK_BYTES = MARK.encode()
 
 
@@ -54,7 +63,8 @@ class PieceCodec:
 
         if rule not in RULES:
             raise ValueError(f"rule must be one of {RULES}")
-        self.words, self.lone_word = (self.merge, self.merge_long) if rule == "merges" else (self.viterbi, self.viterbi_long)
+        self.words, self.lone_word = {"scores": (self.viterbi, self.viterbi_long), "merges": (self.merge, self.merge_long),
+                                      "links": (self.linked, self.linked_long)}[rule]
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         n = model.vocab_size()
         text = [model.id_to_piece(i) for i in range(n)]
@@ -90,7 +100,12 @@ class PieceCodec:
         self.unknown = self.scores.min() - 10.0
         # equal scores have equal ranks
         self.rank = np.unique(-self.scores, return_inverse=True)[1].astype(np.int32)
+        self.ranks = self.rank.tolist()
         self.row = {text[i]: row for row, i in enumerate(self.ids.tolist())}
+        # symbols: rows of the piece table, then characters without a piece, then what stands before a word
+        self.size = (self.chars > 0).sum(axis=1)
+        self.lone, self.front = len(self.keys), len(self.keys) + 0x110000
+        self.forget_links()
         self.power = np.cumprod(np.concatenate([[np.uint64(1)], np.full(self.longest, _MULT)]))
         self.clear()
 
@@ -107,6 +122,11 @@ class PieceCodec:
         self.begin = np.zeros(1, np.int64)  # by slot, into pieces
         self.pieces = np.empty(0, np.int32)
 
+    def forget_links(self) -> None:
+        self.pair_keys = np.empty(0, np.int64)  # sorted
+        self.pair_linked = np.empty(0, bool)
+        self.lone_pairs: dict[tuple[int, int], bool] = {}
+
     def viterbi(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Words of one length (rows of characters): (ids one word after another, ids a word)."""
         n, length = chars.shape
@@ -162,18 +182,7 @@ class PieceCodec:
 
     def viterbi_long(self, chars: np.ndarray) -> list[int]:
         """One long word: each piece length probes all positions at once, then one walk."""
-        length = len(chars)
-        found: list[list[tuple[int, int]]] = [[] for _ in range(length + 1)]
-        running = np.zeros(length + 1, np.uint64)
-        for size in range(1, min(self.longest, length) + 1):
-            running = running[:length - size + 1] * _MULT + chars[size - 1:].astype(np.uint64) + np.uint64(1)
-            key = mix64(running + np.uint64(size))
-            at = np.searchsorted(self.keys, key)
-            at[at == len(self.keys)] = 0
-            hit = np.flatnonzero(self.keys[at] == key)
-            same = (self.chars[at[hit], :size] == chars[hit[:, None] + np.arange(size)]).all(axis=1)
-            for begin, row in zip(hit[same].tolist(), at[hit[same]].tolist(), strict=True):
-                found[begin + size].append((size, row))
+        length, found = len(chars), self.substrings(chars)
         best, back = [0.0] + [-np.inf] * length, [(0, 0)] * (length + 1)
         scores = self.scores.tolist()
         for end in range(1, length + 1):
@@ -192,6 +201,22 @@ class PieceCodec:
             end -= size
         return out[::-1]
 
+    def substrings(self, chars: np.ndarray) -> list[list[tuple[int, int]]]:
+        """By end position: (length, row of the piece table) of each piece that ends there, shortest first."""
+        length = len(chars)
+        found: list[list[tuple[int, int]]] = [[] for _ in range(length + 1)]
+        running = np.zeros(length + 1, np.uint64)
+        for size in range(1, min(self.longest, length) + 1):
+            running = running[:length - size + 1] * _MULT + chars[size - 1:].astype(np.uint64) + np.uint64(1)
+            key = mix64(running + np.uint64(size))
+            at = np.searchsorted(self.keys, key)
+            at[at == len(self.keys)] = 0
+            hit = np.flatnonzero(self.keys[at] == key)
+            same = (self.chars[at[hit], :size] == chars[hit[:, None] + np.arange(size)]).all(axis=1)
+            for begin, row in zip(hit[same].tolist(), at[hit[same]].tolist(), strict=True):
+                found[begin + size].append((size, row))
+        return found
+
     def probe(self, chars: np.ndarray, prefix: np.ndarray, word: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         """The piece table's row of each substring, -1 for none."""
         row = np.full(len(word), -1)
@@ -210,12 +235,11 @@ class PieceCodec:
         row[fits[hit[same]]] = at[same]
         return row
 
-    def merge(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """As ``viterbi``, by merges: a round merges the best neighbours of every word."""
+    def merged(self, chars: np.ndarray) -> np.ndarray:
+        """Where the piece that begins at each position ends (0: none begins there), by merges: a round
+        merges the best neighbours of every word."""
         n, length = chars.shape
-        prefix = np.zeros((n, length + 1), np.uint64)
-        for i in range(length):
-            prefix[:, i + 1] = prefix[:, i] * _MULT + chars[:, i].astype(np.uint64) + np.uint64(1)
+        prefix = self.prefixes(chars)
         place = np.arange(length)
         after = np.tile(place + 1, (n, 1))  # where the symbol that begins here ends, 0 for none
         before = np.tile(place - 1, (n, 1))  # where the symbol before it begins
@@ -240,8 +264,17 @@ class PieceCodec:
             ranked(word[more], begin[more], after[word[more], end[more]])
             more = begin > 0
             ranked(word[more], before[word[more], begin[more]], end[more])
+        return after
+
+    def merge(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``viterbi``, by merges."""
+        after = self.merged(chars)
         word, begin = np.nonzero(after)
-        row = self.probe(chars, prefix, word, begin, after[word, begin])
+        return self.ids_of(chars, word, begin, self.probe(chars, self.prefixes(chars), word, begin, after[word, begin]))
+
+    def ids_of(self, chars: np.ndarray, word: np.ndarray, begin: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces that begin at the given places, and ids a word; a character without a row
+        gives its bytes."""
         ids, count = self.ids[row], np.ones(len(row), np.int64)
         lone = np.flatnonzero(row < 0)  # single characters
         if len(lone):
@@ -251,12 +284,145 @@ class PieceCodec:
             ids = np.repeat(ids, count)
             first = (np.cumsum(count) - count)[lone]
             ids[ranges(first, count[lone])] = self.byte_id[np.frombuffer(b"".join(raw), np.uint8)]
-        return ids, np.bincount(word, weights=count, minlength=n).astype(np.int64)
+        return ids, np.bincount(word, weights=count, minlength=len(chars)).astype(np.int64)
+
+    def prefixes(self, chars: np.ndarray) -> np.ndarray:
+        n, length = chars.shape
+        prefix = np.zeros((n, length + 1), np.uint64)
+        for i in range(length):
+            prefix[:, i + 1] = prefix[:, i] * _MULT + chars[:, i].astype(np.uint64) + np.uint64(1)
+        return prefix
+
+    def text_of(self, symbol: int) -> str:
+        if symbol >= self.lone:
+            return chr(symbol - self.lone) if symbol < self.front else ""
+        return self.chars[symbol, :self.size[symbol]].tobytes().decode("utf-32-le")
+
+    def decide(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Which pairs of symbols are linked, by merging their joined texts."""
+        if len(left) < FEW:
+            texts = [(self.text_of(a), self.text_of(b)) for a, b in zip(left.tolist(), right.tolist(), strict=True)]
+            return np.array([self.heap_merged(a + b) == ([len(a), len(a + b)] if a else [len(b)]) for a, b in texts], bool)
+        (a, border), (b, behind) = self.texts_of(left), self.texts_of(right)
+        size = border + behind
+        linked = np.zeros(len(left), bool)
+        for length in np.unique(size).tolist():
+            group = np.flatnonzero(size == length)
+            step = max(1, CELLS // length)
+            for i in range(0, len(group), step):
+                part = group[i:i + step, None]
+                place, first = np.arange(length), border[part]
+                chars = np.where(place < first, a[part, np.minimum(place, self.longest - 1)], b[part, np.clip(place - first, 0, self.longest - 1)])
+                after, first = self.merged(chars), first[:, 0]
+                linked[part[:, 0]] = (after[np.arange(len(part)), first] == length) & ((first == 0) | (after[:, 0] == first))
+        return linked
+
+    def texts_of(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(characters, as in the piece table; their number) of each symbol."""
+        piece = symbols < self.lone
+        row = np.where(piece, symbols, 0)
+        chars, size = self.chars[row], np.where(piece, self.size[row], symbols < self.front)
+        chars[~piece, 0] = symbols[~piece] - self.lone
+        return chars, size
+
+    def are_linked(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Which pairs of symbols stay as they are when they stand side by side."""
+        keys, inverse = np.unique((left.astype(np.int64) << 21) | right, return_inverse=True)
+        at = np.searchsorted(self.pair_keys, keys)
+        new = np.ones(len(keys), bool)
+        inside = at < len(self.pair_keys)
+        new[inside] = self.pair_keys[at[inside]] != keys[inside]
+        out = np.empty(len(keys), bool)
+        out[~new] = self.pair_linked[at[~new]]
+        if new.any():
+            fresh = keys[new]
+            linked = out[new] = self.decide(fresh >> 21, fresh & ((1 << 21) - 1))
+            if len(self.pair_keys) > PAIRS:
+                self.forget_links()
+            at = np.searchsorted(self.pair_keys, fresh)
+            self.pair_keys, self.pair_linked = np.insert(self.pair_keys, at, fresh), np.insert(self.pair_linked, at, linked)
+        return out[inverse]
+
+    def linked(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``viterbi``, by links."""
+        n, length = chars.shape
+        wide = chars.astype(np.uint64) + np.uint64(1)
+        back = np.zeros((length + 1, n), np.int8 if self.longest < 128 else np.int32)  # length of the last piece
+        last = np.full((length + 1, n), self.front, np.int32)  # its symbol
+        recent: list[np.ndarray] = []  # hashes of the substrings that end here, by length
+        for end in range(1, length + 1):
+            newest = wide[:, end - 1]
+            recent = [newest.copy()] + [h * _MULT + newest for h in recent[: self.longest - 1]]
+            found = []
+            for size in range(1, len(recent) + 1):
+                key = mix64(recent[size - 1] + np.uint64(size))
+                at = np.searchsorted(self.keys, key)
+                at[at == len(self.keys)] = 0
+                hit = self.keys[at] == key
+                if hit.any():
+                    hit[hit] = (self.chars[at[hit], :size] == chars[hit, end - size:end]).all(axis=1)
+                if size == 1:
+                    found.append((np.arange(n), np.full(n, 1), np.where(hit, at, self.lone + chars[:, end - 1])))
+                else:
+                    hit = np.flatnonzero(hit)
+                    found.append((hit, np.full(len(hit), size), at[hit]))
+            word, size, symbol = (np.concatenate(c) for c in zip(*found, strict=True))
+            best = np.flatnonzero(self.are_linked(last[end - size, word], symbol))
+            word = word[best]
+            if (np.bincount(word, minlength=n) != 1).any():
+                raise RuntimeError("a prefix of a word has not just one last piece")
+            back[end, word], last[end, word] = size[best], symbol[best]
+        # all words walk back together
+        at, word, steps = np.full(n, length), np.arange(n), []
+        while len(word):
+            begin = at - back[at, word]
+            steps.append((word, begin, last[at, word]))
+            word, at = word[begin > 0], begin[begin > 0]
+        word, begin, row = (np.concatenate(c) for c in zip(*steps, strict=True))
+        order = np.lexsort((begin, word))
+        return self.ids_of(chars, word[order], begin[order], np.where(row < self.lone, row, -1)[order])
+
+    def linked_long(self, chars: np.ndarray) -> list[int]:
+        """One long word by links: as ``viterbi_long``, pairs one by one."""
+        length, found = len(chars), self.substrings(chars)
+        back, last = [0] * (length + 1), [self.front] * (length + 1)
+        if len(self.lone_pairs) > PAIRS:
+            self.lone_pairs = {}
+        known = self.lone_pairs
+        for end in range(1, length + 1):
+            ends = found[end]
+            if not ends or ends[0][0] > 1:
+                ends = [(1, self.lone + int(chars[end - 1])), *ends]
+            for size, symbol in ends:
+                pair = (last[end - size], symbol)
+                linked = known.get(pair)
+                if linked is None:
+                    a, b = self.text_of(pair[0]), self.text_of(symbol)
+                    linked = known[pair] = self.heap_merged(a + b) == ([len(a), len(a + b)] if a else [len(b)])
+                if linked:
+                    back[end], last[end] = size, symbol
+                    break
+            else:
+                raise RuntimeError("a prefix of a word has no last piece")
+        out, end = [], length
+        while end > 0:
+            row = last[end]
+            out.extend([int(self.ids[row])] if row < self.lone else [int(self.byte_id[b]) for b in reversed(chr(row - self.lone).encode())])
+            end -= back[end]
+        return out[::-1]
 
     def merge_long(self, chars: np.ndarray) -> list[int]:
-        """One long word: a heap of neighbours by rank and place."""
-        text = chars.tobytes().decode("utf-32-le")
-        length, rank = len(text), self.rank.tolist()
+        """One long word by merges."""
+        text, out, at = chars.tobytes().decode("utf-32-le"), [], 0
+        for end in self.heap_merged(text):
+            row = self.row.get(text[at:end])
+            out.extend([int(self.ids[row])] if row is not None else [int(self.byte_id[b]) for b in text[at].encode()])
+            at = end
+        return out
+
+    def heap_merged(self, text: str) -> list[int]:
+        """Where the pieces of a text end, by merges: a heap of neighbours by rank and place."""
+        length, rank = len(text), self.ranks
         after, before, heap = list(range(1, length + 1)), list(range(-1, length - 1)), []
 
         def push(begin: int, end: int) -> None:
@@ -278,12 +444,10 @@ class PieceCodec:
                 push(begin, after[end])
             if begin > 0:
                 push(before[begin], end)
-        out: list[int] = []
-        at = 0
+        out, at = [], 0
         while at < length:
-            row = self.row.get(text[at:after[at]])
-            out.extend([int(self.ids[row])] if row is not None else [int(self.byte_id[b]) for b in text[at].encode()])
             at = after[at]
+            out.append(at)
         return out
 
     def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
@@ -368,7 +532,7 @@ def _arrays(ids: np.ndarray, per_row: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(per_row)]).astype(np.int32)), pa.array(ids, pa.int32()))
 
 
-def encode(docs: DataFrame, model: str | None = None, rule: str = "merges") -> DataFrame:
+def encode(docs: DataFrame, model: str | None = None, rule: str = "links") -> DataFrame:
     """doc_id, text, piece_ids and roundtrip (decoding gives the text back) of every row."""
     path = model or model_path()
 
@@ -401,7 +565,7 @@ def decode(encoded: DataFrame, model: str | None = None) -> DataFrame:
     return encoded.select("doc_id", "piece_ids").mapInArrow(work, "doc_id long, text string")
 
 
-def summary(docs: DataFrame, model: str | None = None, rule: str = "merges") -> DataFrame:
+def summary(docs: DataFrame, model: str | None = None, rule: str = "links") -> DataFrame:
     """doc_id, n_bytes, n_pieces, n_byte_pieces, ids_crc32 (of the ids as little-endian 32-bit
     numbers) and roundtrip of every row, without moving the ids out of the workers."""
     path = model or model_path()
@@ -425,8 +589,8 @@ def summary(docs: DataFrame, model: str | None = None, rule: str = "merges") ->
 
 
 def stage(docs: DataFrame) -> DataFrame:
-    """Last pipeline stage: the documents as token ids of greatest score sum, checked by decoding."""
-    return encode(docs, rule="scores").select("doc_id", "piece_ids", F.size("piece_ids").cast("long").alias("n_pieces"), "roundtrip")
+    """Last pipeline stage: the documents as token ids, the library's, checked by decoding."""
+    return encode(docs).select("doc_id", "piece_ids", F.size("piece_ids").cast("long").alias("n_pieces"), "roundtrip")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -52,15 +52,26 @@ def test_round_trip(docs, rows):
     assert last.count() == len(rows) and last.where("n_pieces <> size(piece_ids)").count() == 0
 
 
-def test_merged_pieces_are_the_library_s(docs, rows, library):
+@pytest.mark.parametrize("rule", ["merges", "links"])
+def test_pieces_are_the_library_s(docs, rows, library, rule):
     rng = np.random.default_rng(2)
     texts = [r[1] for r in rows] + ["x" * 900, "日本😀語" * 150, "abc  " * 9 + "q" * 400, "\n\n  \nfoo", "a" + MARK + "b", "\t\x01 \r\n é", "ab" * 300 + " " * 300]
     texts += ["".join(rng.choice(list("aab eionst\nzé語"), 300)) for _ in range(40)]
-    ids, per_row = piece_codec.PieceCodec(model_path(), "merges").encode(pa.array(texts, pa.string()))
+    texts += ["".join(map(chr, rng.integers(33, 0x3000, 400))) for _ in range(5)] + ["".join(rng.choice(list("abeionst"), 600)) for _ in range(5)]
+    ids, per_row = piece_codec.PieceCodec(model_path(), rule).encode(pa.array(texts, pa.string()))
     at = np.concatenate([[0], np.cumsum(per_row)])
     for i, t in enumerate(texts):
         assert ids[at[i]:at[i + 1]].tolist() == library.encode(t or "")
-    encoded = piece_codec.encode(docs).collect()
+    encoded = piece_codec.encode(docs, rule=rule).collect()
     assert all(r.piece_ids == library.encode(r.text or "") for r in encoded)
+    if rule != "links":
+        return
     counted = token_counts.token_counts(docs).collect()
     assert sorted(((r.doc_id, r.n_pieces) for r in piece_codec.summary(docs).collect()), key=str) == sorted(((r.doc_id, r.n_tokens) for r in counted), key=str)
+
+
+def test_forgotten_links_change_nothing(rows, library, monkeypatch):
+    monkeypatch.setattr(piece_codec, "PAIRS", 50)
+    texts = [r[1] for r in rows if r[1] and len(r[1]) < 3000][:60]
+    ids, per_row = piece_codec.PieceCodec(model_path(), "links").encode(pa.array(texts, pa.string()))
+    assert ids.tolist() == [i for t in texts for i in library.encode(t)]
