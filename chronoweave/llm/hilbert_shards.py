@@ -1,7 +1,7 @@
 """Operator 8: shards along a Hilbert curve [native: DataFrame and SQL functions only].
 
-Three metadata dimensions are quantised to 32 cells each: language and source by the first bits of
-their CRC-32, size by half powers of two.  The cell's index on the Hilbert curve, then the text's
+Three metadata dimensions are quantised to 64 cells each: language and source by the first bits of
+their CRC-32, size by half powers of two (64 of them reach beyond the longest text that a row can hold).  The cell's index on the Hilbert curve, then the text's
 CRC-32 and the doc_id order all rows, and the order is cut into runs of equal length: law ``rows``
 (shard sizes differ by one row at most).  Neighbours on the curve are neighbours in every dimension,
 so a filter on any of them touches few shards.
@@ -9,6 +9,8 @@ so a filter on any of them touches few shards.
 The order comes from one range shuffle of slim rows (no texts) and a written table: each row's
 place is the number of rows in earlier partitions plus its place in its own.  A hot cell or a large
 group of equal texts spreads over partitions by CRC-32 and doc_id; there is no window over a group.
+Equal texts stand side by side only where language and source are equal too: copies under another
+source lie elsewhere on the curve, so a group of copies may be in several shards.
 
 Defined results: a null text counts as empty (size 8, CRC-32 0); null lang or source has cell 0;
 null doc_ids come first among their equals; repeated rows are ordered arbitrarily among themselves,
@@ -27,7 +29,7 @@ from chronoweave.session import scratch_path
 from .common import table
 
 SHARDS = 24
-BITS = 5
+BITS = 6
 # slim rows per partition of the ordering shuffle
 ROWS_PER_PARTITION = 1_000_000
 
