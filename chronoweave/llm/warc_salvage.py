@@ -8,7 +8,9 @@ response, the others are revisits that refer to it and carry no payload.
 Reading: each record is checked (version line, headers, length, record end, block digest, payload
 digest).  After a failed check the reader searches for the next position that starts a whole valid
 record (a ``WARC/`` version line; in compressed archives the next gzip member that inflates to
-one), goes on there, and logs the bytes between as a quarantined gap.
+one), goes on there, and logs the bytes between as a quarantined gap.  The search reads each header
+line once however many version lines precede it, and members are inflated in pieces, so its time grows
+with the archive; only blocks that overlap and end in a record end are digested more than once.
 
 Defined results: a null html is the empty payload; null urls are ``urn:none`` and line ends in urls
 are percent-encoded; a page with a null id takes part: it revisits an equal page that has an id,
@@ -38,8 +40,8 @@ from .common import table
 LEAST = 0
 END = "\r\n\r\n"
 VERSION = b"WARC/1."
-# the parts that rows of one digest are dealt over when a response is looked up
-SALT = 16
+# bytes of a compressed archive that are inflated at a time
+PIECE = 1 << 16
 
 
 def base32_sha1(data: F.Column) -> F.Column:
@@ -52,25 +54,31 @@ def base32_sha1(data: F.Column) -> F.Column:
 
 def records(pages: DataFrame, least: int = LEAST) -> DataFrame:
     """page_id, url, payload, payload_bytes, payload_digest, record_type, refers_to."""
+    spark = pages.sparkSession
     payload = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select("page_id", "url", payload.alias("payload"), F.octet_length(payload).cast("long").alias("payload_bytes"),
                         base32_sha1(payload.cast("binary")).alias("payload_digest"))
     # payloads that are there more than once, and their smallest page
     first = (rows.where(F.col("payload_bytes") >= least).groupBy("payload_digest")
-             .agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1").drop("n"))
+             .agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1"))
     first = materialized(first, "repeated-payloads")
     # pages whose payload is surely there once are written where they were read
-    shared = pages.sparkSession.sparkContext.broadcast(BloomFilter.of(first.select(F.xxhash64("payload_digest").alias("h"))))
+    shared = spark.sparkContext.broadcast(BloomFilter.of(first.select(F.xxhash64("payload_digest").alias("h"))))
 
     @F.pandas_udf("boolean")
     def maybe(h: pd.Series) -> pd.Series:
         return pd.Series(shared.value.holds(h.to_numpy(np.int64).view(np.uint64)))
 
-    rows = rows.withColumn("maybe", maybe(F.xxhash64("payload_digest")))
-    once = rows.where(~F.col("maybe")).drop("maybe").withColumn("first_id", F.lit(None).cast("long"))
-    salt = F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt")
-    rows = rows.where("maybe").drop("maybe").withColumn("salt", F.pmod(F.hash("page_id", "url"), F.lit(SALT)))
-    rows = rows.join(first.select("*", salt), ["payload_digest", "salt"], "left").drop("salt").unionByName(once)
+    # payloads with over one part's share of all repeated rows: fewer than there are parts, so they
+    # are broadcast, and no part of the shuffle gets more than its share of one payload
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    repeated = first.agg(F.sum("n")).first()[0] or 0
+    hot = F.col("n") * parts > repeated
+    rows = rows.join(F.broadcast(first.where(hot).select("payload_digest", F.col("first_id").alias("hot_id"), F.lit(True).alias("hot"))), "payload_digest", "left")
+    rows = rows.withColumn("go", maybe(F.xxhash64("payload_digest")) & F.col("hot").isNull())
+    stay = rows.where(~F.col("go")).withColumnRenamed("hot_id", "first_id").drop("go", "hot")
+    go = rows.where("go").drop("go", "hot", "hot_id").join(first.where(~hot).drop("n"), "payload_digest", "left")
+    rows = stay.unionByName(go)
     revisit = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
     return rows.select(
         "page_id", "url", "payload", "payload_bytes", "payload_digest", F.when(revisit, "revisit").otherwise("response").alias("record_type"),
@@ -109,24 +117,52 @@ class Damaged(Exception):
 
 _LENGTH = re.compile(rb"\d{1,18}")
 _NAME = re.compile(rb"[A-Za-z0-9!#$%&'*+.^_`|~-]+")
-
-
-def parse(raw: bytes, at: int) -> tuple[int, dict[str, str], memoryview]:
+_VERSION_LINE = re.compile(rb"WARC/1\.[0-9]{1,3}\r\n")
+
+
+class Headers:
+    """Header lines of one archive.  The lines walked through last are remembered: a version line
+    inside them has the same end and, of each name, the same last value, unless that stands before it."""
+
+    def __init__(self, raw: bytes):
+        self.raw = raw
+        self.begin, self.end, self.reason = 0, -1, ""
+        self.last: dict[str, tuple[int, str]] = {}  # name to (where its last line begins, value)
+
+    def after(self, line: int) -> tuple[int, dict[str, str]]:
+        """(where the empty line behind the header lines from ``line`` on begins, the headers)."""
+        if not self.begin <= line <= self.end:
+            self._walk(line)
+        if self.reason:
+            raise Damaged(self.reason)
+        return self.end, {name: value for name, (at, value) in self.last.items() if at >= line}
+
+    def _walk(self, line: int) -> None:
+        raw = self.raw
+        self.begin, self.reason, self.last = line, "", {}
+        while True:
+            self.end = line
+            stop = raw.find(b"\r\n", line)
+            if stop == line:
+                return
+            colon = raw.find(b":", line, stop) if stop >= 0 else -1
+            if stop < 0:
+                # no line end behind here: whatever begins later has none either
+                self.end, self.reason = len(raw), "no header end"
+                return
+            if colon < 0 or not _NAME.fullmatch(raw, line, colon):
+                self.reason = "bad header line"
+                return
+            self.last[raw[line:colon].decode("latin-1").lower()] = line, raw[colon + 1:stop].strip().decode("utf-8", "replace")
+            line = stop + 2
+
+
+def parse(raw: bytes, at: int, lines: Headers | None = None) -> tuple[int, dict[str, str], memoryview]:
     """The record that starts at ``at``: (where it ends, headers, payload); Damaged if any check fails."""
-    if not raw.startswith(VERSION, at):
+    version = _VERSION_LINE.match(raw, at)
+    if not version:
         raise Damaged("no version line")
-    headers: dict[str, str] = {}
-    # line by line: a header may be of any size, and a bad line ends the search
-    start = at
-    while (stop := raw.find(b"\r\n", start)) != start:
-        if stop < 0:
-            raise Damaged("no header end")
-        if start > at:
-            colon = raw.find(b":", start, stop)
-            if colon < 0 or not _NAME.fullmatch(raw, start, colon):
-                raise Damaged("bad header line")
-            headers[raw[start:colon].decode("latin-1").lower()] = raw[colon + 1:stop].strip().decode("utf-8", "replace")
-        start = stop + 2
+    stop, headers = (lines or Headers(raw)).after(version.end())
     if "warc-type" not in headers or "warc-record-id" not in headers:
         raise Damaged("no type or id")
     length = headers.get("content-length", "")
@@ -153,22 +189,23 @@ def parse(raw: bytes, at: int) -> tuple[int, dict[str, str], memoryview]:
 
 def salvage_plain(raw: bytes, base: int = 0) -> Iterator[tuple[str, int, int, str, dict[str, str], memoryview | None]]:
     """(kind, start, end, reason, headers, payload) of each record and each quarantined gap."""
-    at = 0
+    at, lines = 0, Headers(raw)
     while at < len(raw):
         try:
-            end, headers, payload = parse(raw, at)
+            end, headers, payload = parse(raw, at, lines)
             yield "record", base + at, base + end, "", headers, payload
             at = end
             continue
         except Damaged as e:
             reason = str(e)
-        next_at = raw.find(VERSION, at + 1)
-        while next_at >= 0:
+        next_at = -1
+        for version in _VERSION_LINE.finditer(raw, at + 1):
             try:
-                parse(raw, next_at)
+                parse(raw, version.start(), lines)
+                next_at = version.start()
                 break
             except Damaged:
-                next_at = raw.find(VERSION, next_at + 1)
+                pass
         end = next_at if next_at >= 0 else len(raw)
         yield "gap", base + at, base + end, reason, {}, None
         at = end
@@ -176,14 +213,16 @@ def salvage_plain(raw: bytes, base: int = 0) -> Iterator[tuple[str, int, int, st
 
 def _member(raw: bytes, at: int) -> tuple[bytes, int]:
     """The gzip member at ``at`` and where it ends."""
-    inflate = zlib.decompressobj(31)
+    inflate, view, out, end = zlib.decompressobj(31), memoryview(raw), [], at
     try:
-        out = inflate.decompress(memoryview(raw)[at:])
+        while not inflate.eof and end < len(raw):
+            out.append(inflate.decompress(view[end:end + PIECE]))
+            end = min(end + PIECE, len(raw))
     except zlib.error as e:
         raise Damaged("gzip: " + str(e)) from None
     if not inflate.eof:
         raise Damaged("gzip: cut off")
-    return out, len(raw) - len(inflate.unused_data)
+    return b"".join(out), end - len(inflate.unused_data)
 
 
 def salvage_gzip(raw: bytes) -> Iterator[tuple[str, int, int, str, dict[str, str], memoryview | None]]:

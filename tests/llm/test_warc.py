@@ -1,6 +1,7 @@
 import base64
 import gzip
 import hashlib
+import time
 
 import pytest
 
@@ -130,3 +131,46 @@ def test_query_fails_on_a_gap(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(op, "write_warc", damaged)
     with pytest.raises(Exception, match="gap in a written archive"):
         op.query(spark, str(tmp_path)).collect()
+
+
+def seconds(work):
+    start = time.perf_counter()
+    work()
+    return time.perf_counter() - start
+
+
+@pytest.mark.parametrize("junk", [b"WARC/1.", b"WARC/1.1 ", b"WARC/1.1\r\n", b"X: WARC/1.1\r\n", b"X: y\r\nWARC/1.1\r\nX: WARC/1.1\r\n"])
+def test_many_version_lines_take_time_by_size(junk):
+    record = archive(1)[0]
+    found = list(op.salvage_plain(junk * 2000 + record + junk * 3 + record))
+    assert gaps(found) == [(0, len(junk) * 2000), (len(junk) * 2000 + len(record), len(junk) * 2003 + len(record))] and len(ids(found)) == 2
+    small, large = (min(seconds(lambda: list(op.salvage_plain(junk * n))) for _ in range(2)) for n in (40_000, 400_000))
+    assert large < 30 * small + 0.5
+
+
+def test_a_header_keeps_its_last_value_only_behind_the_version_line():
+    block = b"<p>body</p>"
+    inner = b"WARC/1.1\r\nWARC-Record-ID: <b>\r\nContent-Length: %d\r\n\r\n" % len(block) + block + b"\r\n\r\n"
+    # the type stands before the second version line only, so no record starts there
+    found = list(op.salvage_plain(b"WARC/1.1\r\nWARC-Type: resource\r\nX: " + inner))
+    assert gaps(found) == [] and found[0][4]["warc-record-id"] == "<b>" and found[0][1] == 0
+    found = list(op.salvage_plain(b"WARC/1.1\r\n: bad\r\nWARC-Type: resource\r\nX: " + inner))
+    assert ids(found) == []
+
+
+def test_many_members_take_time_by_size():
+    member = gzip.compress(archive(1)[0])
+    assert len(ids(op.salvage_gzip(member * 300))) == 300
+    small, large = (min(seconds(lambda: list(op.salvage_gzip(member * n))) for _ in range(2)) for n in (1000, 10_000))
+    assert large < 30 * small + 0.5
+    long = gzip.compress(b"".join(archive(4000)))
+    assert len(ids(op.salvage_gzip(long + member))) == 4001
+
+
+def test_hot_payloads_are_not_shuffled_by_digest(spark):
+    pages = [(i, f"http://{i}", "hot" if i % 3 else f"<p>{i // 30}</p>") for i in range(600)]
+    out = op.records(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    first = {}
+    for i, _, h in pages:
+        first.setdefault(h, i)
+    assert sorted((r.page_id, r.record_type, r.refers_to) for r in out) == [(i, "response" if first[h] == i else "revisit", None if first[h] == i else first[h]) for i, _, h in pages]
