@@ -9,8 +9,9 @@ searched backward at once by wavelet ranks, their occurrences located by walking
 positions, and the hit words merged into removal spans.
 
 A window: 10 consecutive words of an item; an item of 1 to 9 words is one window; an item without
-words has none.  Items go in blocks of bounded size, one pass over the documents per block, so
-what is broadcast has a bound.
+words has none.  Items are dealt to blocks of bounded size in a written table, items longer than a
+block in pieces that share nine words, so that each window is whole in one; there is one pass over
+the documents per block, and what is broadcast has a bound.
 
 Defined results: null and empty texts have no words and no hits; a null item text has no window;
 a null item_id is written as ``null``; repeated items count once by id; every document row
@@ -25,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chronoweave.session import materialized
@@ -241,21 +242,46 @@ def merged(data: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def blocks(benchmark: DataFrame, limit: int = BLOCK_BYTES) -> Iterator[list[tuple[str, str | None]]]:
-    """The benchmark's distinct items in blocks of at most ``limit`` text bytes (one item at
-    least); one partition of it is on the driver at a time."""
-    rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("i"), "text").where("text is not null").distinct()
-    held: list[tuple[str, str | None]] = []
-    size = 0
-    for r in rows.toLocalIterator():
-        n = len(r["text"].encode())
-        if held and size + n > limit:
-            yield held
-            held, size = [], 0
-        held.append((r["i"], r["text"]))
-        size += n
-    if held:
-        yield held
+def in_pieces(item: str, text: str, window: int, limit: int) -> Iterator[tuple[str, str, int]]:
+    """(item, text, bytes) of an item's pieces: the windows that begin within ``limit`` bytes, each whole."""
+    data = text.encode()
+    if len(data) <= limit:
+        yield item, text, len(data)
+        return
+    raw = np.frombuffer(data, np.uint8)
+    start, end, _ = word_spans(_IS_WORD[_FOLD[raw]], np.array([0, len(raw)]))
+    first = start[:max(1, len(start) - window + 1)]  # where windows begin
+    for k in np.flatnonzero(np.diff(first // limit, prepend=-1)).tolist() if len(first) else []:
+        last = int(np.searchsorted(first // limit, first[k] // limit, side="right")) - 1
+        piece = data[start[k]:end[min(last + window, len(start)) - 1]]
+        yield item, piece.decode(), len(piece)
+
+
+def dealt(benchmark: DataFrame, window: int, limit: int) -> DataFrame:
+    """(item, text, block) of the benchmark's distinct items, dealt in order to blocks of about ``limit`` bytes."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in runs(batches):
+            for item, text in zip(run.column("item").to_pylist(), run.column("text").to_pylist(), strict=True):
+                for piece in in_pieces(item, text, window, limit):
+                    yield pa.RecordBatch.from_arrays([pa.array([v]) for v in piece], names=["item", "text", "size"])
+
+    rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"), "text").where("text is not null").distinct()
+    rows = materialized(rows.mapInArrow(work, "item string, text string, size long").withColumn("at", F.monotonically_increasing_id()), "benchmark-pieces")
+    # bytes before each piece: those of earlier partitions (one row each), and those before it in its own
+    rows = rows.withColumn("part", F.shiftright("at", 33))
+    sizes = rows.groupBy("part").agg(F.sum("size").alias("bytes"))
+    earlier = sizes.select("part", (F.sum("bytes").over(Window.orderBy("part")) - F.col("bytes")).alias("earlier"))
+    own = F.sum("size").over(Window.partitionBy("part").orderBy("at")) - F.col("size")
+    rows = rows.withColumn("own", own).join(earlier, "part")
+    return materialized(rows.select("item", "text", F.expr(f"(earlier + own) div {limit}").alias("block")), "benchmark-blocks")
+
+
+def blocks(benchmark: DataFrame, window: int = WINDOW, limit: int = BLOCK_BYTES) -> Iterator[list[tuple[str, str]]]:
+    """The benchmark's distinct items in blocks of at most about twice ``limit`` text bytes, one at a time."""
+    rows = dealt(benchmark, window, limit)
+    for r in rows.select("block").distinct().orderBy("block").collect():
+        yield [(i, t) for i, t in rows.where(F.col("block") == r["block"]).select("item", "text").collect()]
 
 
 HITS = "n_words long, hits array<struct<start:long,end:long>>, items array<string>"
@@ -289,7 +315,7 @@ def search(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, limit: i
         return df.mapInArrow(work, schema)
 
     passes = 0
-    for rows in blocks(benchmark, limit):
+    for rows in blocks(benchmark, window, limit):
         if passes:
             out = materialized(out, "decontaminate")
         out = one_pass(out, rows)

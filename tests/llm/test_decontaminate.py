@@ -50,3 +50,26 @@ def test_fm_index_finds_every_place():
         for w, a, b in zip(windows.tolist(), low, high):
             places = sorted(index.locate(np.arange(a, b)).tolist())
             assert places == [i for i in range(len(text) - size + 1) if text[i:i + size] == w]
+
+
+def test_pieces_hold_each_window_once():
+    rng = random.Random(3)
+    for n in (1, 9, 10, 11, 40, 300):
+        words = [rng.choice(["é", "Word", "x" * 30, "語語"]) + str(i) for i in range(n)]
+        text = " ... ".join(words) + "!"
+        pieces = list(op.in_pieces("i", text, 10, 100))
+        assert all(size == len(t.encode()) for _, t, size in pieces)
+        cut = [ALNUM.findall(t.translate(LOWER)) for _, t, _ in pieces]
+        windows = [tuple(c[i:i + 10]) for c in cut for i in range(max(1, len(c) - 9))]
+        low = ALNUM.findall(text.translate(LOWER))
+        assert windows == [tuple(low[i:i + 10]) for i in range(max(1, n - 9))]
+        assert n < 40 or max(s for _, _, s in pieces) < 100 + 10 * 45
+    assert list(op.in_pieces("i", "." * 500, 10, 100)) == []
+
+
+def test_blocks_are_bounded(spark):
+    items = spark.createDataFrame([(i, f"item {i} " + "word " * 40) for i in range(200)] + [(900, " ".join(f"w{i}" for i in range(5000)))], "item_id long, text string")
+    found = list(op.blocks(items.repartition(7), limit=2000))
+    assert len(found) > 10 and max(sum(len(t) for _, t in rows) for rows in found) < 4200
+    assert {i for rows in found for i, _ in rows} == {*map(str, range(200)), "900"}
+    assert list(op.blocks(items.limit(0))) == []
