@@ -10,7 +10,8 @@ A text's features are its case-folded byte 1-, 2- and 3-grams inside and around
 as the square roots of their shares.  lang, source and doc_id are never features.
 
 The classifiers learn from rows with a language outside the held-out fold, at most ``PER_LANG`` of
-each language: those whose doc_id hashes smallest.
+each language and ``LEARNED`` altogether: those whose doc_id hashes smallest.  With more than
+``LEARNED`` languages the most frequent ones are learned.
 
 Defined results: ``und`` with score 0 for a null text, a text without a letter, and where no
 language could be learned; a null doc_id is never held out (and never learned from); every input
@@ -27,12 +28,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from chronoweave.session import materialized
+
 from .common import runs, table, utf8
 
 BITS = 12
 SIZE = 256 + 2 * (1 << BITS)
 # rows of each language learned from, at most
 PER_LANG = 400
+# rows learned from altogether, at most: about 100 MB of features on the driver
+LEARNED = 6000
 EPOCHS, BATCH, RATE = 12, 64, 0.05
 MARGIN = 0.05
 
@@ -115,7 +120,8 @@ class Codes:
 
 
 def learn(x: np.ndarray, y: np.ndarray, languages: list[str], seed: int = 5) -> Codes:
-    """All bits at once: logistic regression with Adam; the same every time."""
+    """All bits at once: logistic regression with Adam; the same every time.  ``x`` may be of half
+    precision: a batch at a time is widened."""
     code = codewords(len(languages))
     rng, w, b = np.random.default_rng(seed), np.zeros((SIZE, code.shape[1]), np.float32), np.zeros(code.shape[1], np.float32)
     first, second = np.zeros_like(w), np.zeros_like(w)
@@ -124,23 +130,29 @@ def learn(x: np.ndarray, y: np.ndarray, languages: list[str], seed: int = 5) ->
         order = rng.permutation(len(y))
         for i in range(0, len(order), BATCH):
             part = order[i:i + BATCH]
-            pull = -target[part] / (1 + np.exp(np.clip(target[part] * (x[part] @ w + b), -30, 30))) / len(part)
-            grad = x[part].T @ pull + 1e-6 * w
+            wide = x[part].astype(np.float32)
+            pull = -target[part] / (1 + np.exp(np.clip(target[part] * (wide @ w + b), -30, 30))) / len(part)
+            grad = wide.T @ pull + 1e-6 * w
             first, second = 0.9 * first + 0.1 * grad, 0.99 * second + 0.01 * grad * grad
             w -= RATE * 4 * first / (np.sqrt(second) + 1e-6)
             b -= RATE * pull.sum(axis=0)
     return Codes(languages, code, w, b)
 
 
-def train(docs: DataFrame, per_lang: int = PER_LANG) -> Codes:
+def train(docs: DataFrame, per_lang: int = PER_LANG, learned: int = LEARNED) -> Codes:
     rows = docs.where("lang is not null and text is not null and doc_id is not null").where(~held_out())
     keys = rows.select("doc_id", "lang", (F.xxhash64("doc_id").bitwiseAND(F.lit((1 << 30) - 1)) / F.lit(float(1 << 30))).alias("at"))
-    counts = keys.groupBy("lang").count()
-    # a share of each language that holds per_lang rows with ample room, then exactly that many
-    near = keys.join(F.broadcast(counts), "lang").where(F.col("at") * F.col("count") <= 4.0 * per_lang + 64)
+    counts = materialized(keys.groupBy("lang").count(), "languages")
+    n = counts.count()
+    if n > learned:
+        counts = counts.orderBy(F.col("count").desc(), "lang").limit(learned)
+    per_lang = max(1, min(per_lang, learned // max(n, 1)))
+    # at most ``learned`` rows; a share of each language that holds per_lang rows with ample room, then exactly that many
+    near = keys.join(F.broadcast(counts) if n <= learned else counts, "lang").where(F.col("at") * F.col("count") <= 4.0 * per_lang + 64)
     picked = (near.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("at", "doc_id")))
-              .where(F.col("n") <= per_lang).select("doc_id", "lang"))
-    sample = rows.select("doc_id", "lang", "text").join(F.broadcast(picked), ["doc_id", "lang"])
+              .where(F.col("n") <= per_lang).select("doc_id", "lang").distinct())
+    # of rows that repeat a doc_id and language one text
+    sample = rows.select("doc_id", "lang", "text").join(F.broadcast(picked), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in runs(batches):
@@ -149,9 +161,9 @@ def train(docs: DataFrame, per_lang: int = PER_LANG) -> Codes:
                                              names=["doc_id", "lang", "x"])
 
     got = sample.mapInArrow(work, "doc_id long, lang string, x binary").toPandas().sort_values(["doc_id", "lang", "x"], kind="stable")
-    languages = sorted(got["lang"].unique())
-    x = np.stack([np.frombuffer(v, "<f2") for v in got["x"]]).astype(np.float32) if len(got) else np.zeros((0, SIZE), np.float32)
-    return learn(x, np.array([languages.index(v) for v in got["lang"]], np.int64), languages)
+    languages, y = np.unique(got["lang"].to_numpy(str), return_inverse=True)
+    x = np.frombuffer(b"".join(got.pop("x")), "<f2").reshape(len(got), SIZE)
+    return learn(x, y.astype(np.int64), languages.tolist())
 
 
 def identify(docs: DataFrame, codes: Codes, margin: float = MARGIN) -> DataFrame:

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_brute import base_rules, hilbert
 
@@ -117,6 +118,63 @@ def test_language_edge_rows(docs, no_docs, rows):
     assert language_ecoc.identify(no_docs, empty).collect() == []
 
 
+def language_by_hand(text, codes):
+    """One text's language: features gram by gram in Python, each codeword's loss added up bit by bit."""
+    folded = [b | 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b > 127 else 32 for b in (text or "").encode()]
+    grams = Counter(b for b in folded if b != 32)
+    for n in (2, 3):
+        for i in range(len(folded) - n + 1):
+            gram, h = folded[i:i + n], 0
+            if gram != [32] * n:
+                for b in gram:
+                    h = h * 257 + b
+                grams[256 + (n - 2) * 4096 + ((h * 2654435761) >> 11) % 4096] += 1
+    if not any(c.isalpha() for c in text or ""):
+        return "und", 0.0
+    total = sum(grams.values())
+    margin = sum((math.sqrt(c / total) * codes.weights[f].astype(float) for f, c in grams.items()), codes.bias.astype(float))
+    loss = [sum(math.log1p(math.exp(-m * b)) for m, b in zip(margin, word)) for word in codes.code]
+    chosen = min(range(len(loss)), key=lambda i: loss[i])
+    return codes.languages[chosen], 1 / sum(math.exp(loss[chosen] - v) for v in loss)
+
+
+def test_languages_like_brute_force(docs, rows):
+    codes = language_ecoc.train(docs)
+    out = {(r.doc_id): (r.lang_pred, r.score) for r in language_ecoc.identify(docs, codes).collect() if r.doc_id is not None}
+    for i, text, *_ in rows:
+        if i is not None and len(text or "") < 5000:
+            lang, score = language_by_hand(text, codes)
+            assert out[i][0] == lang and math.isclose(out[i][1], score, rel_tol=1e-3, abs_tol=1e-4), i
+
+
+def test_many_languages(spark):
+    rng = np.random.default_rng(8)
+    letters = [rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6, replace=False) for _ in range(200)]
+    rows = [(i, " ".join("".join(rng.choice(letters[i % 200], 5)) for _ in range(30)), f"l{i % 200:03}") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    codes = language_ecoc.train(docs, learned=1000)
+    assert len(codes.languages) == 200
+    out = language_ecoc.identify(docs, codes).toPandas()
+    assert (out.sort_values("doc_id").lang_pred.to_numpy() == np.array([r[2] for r in rows])).mean() > 0.8
+    few = language_ecoc.train(docs, learned=50)
+    assert len(few.languages) == 50
+
+
+def test_quality_like_brute_force(spark, docs, rows):
+    """The score of each text with all pairs of features added one by one."""
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    machine = quality_fm.train(docs, labels)
+    out = {r.row.doc_id: r.score for r in quality_fm.scores(docs, machine).collect() if r.row.doc_id is not None}
+    assert len(out) > 100
+    for i, text, _, _, n_chars, *_ in rows:
+        if i is not None and len(text or "") < 5000:
+            _, feature, value = quality_fm.features(pa.array([text], pa.string()), pa.array([n_chars], pa.float64()))
+            raw = machine.bias + sum(machine.linear[f] * v for f, v in zip(feature, value))
+            weighted = machine.factors[feature] * value[:, None]
+            raw += np.triu(weighted @ weighted.T, 1).sum()
+            assert math.isclose(out[i], 1 / (1 + math.exp(-max(-30, min(30, raw)))), rel_tol=1e-6), i
+
+
 def test_codewords_correct_errors():
     for n in (2, 3, 4, 6, 9, 30):
         code = language_ecoc.codewords(n)
