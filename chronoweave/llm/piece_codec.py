@@ -37,10 +37,12 @@ from .token_counts import MARK, model_path
 
 # ids of distinct words remembered per task
 REMEMBERED = 6_000_000
-# pairs of pieces whose links are remembered per task
-PAIRS = 4_000_000
+# places for pairs of pieces whose links are remembered per task, a power of two
+PAIRS = 1 << 22
 # pairs below which they are merged one by one
-FEW = 64
+FEW = 16
+# the shift that leaves the place in the filter before the piece keys
+THERE = np.uint64(64 - 21)
 # cells (words x positions) that advance together
 CELLS = 1_000_000
 # characters above which a word is walked through alone
@@ -87,7 +89,10 @@ class PieceCodec:
         self.out_size = np.array([len(b) for b in out], np.int64)
         self.out_begin = np.cumsum(self.out_size) - self.out_size
         self.longest = max(len(text[i]) for i in ids)
-        keys = np.array([self._key([ord(c) for c in text[i]]) for i in ids], np.uint64)
+        unmixed = np.array([self._sum([ord(c) for c in text[i]]) for i in ids], np.uint64)
+        keys = mix64(unmixed)
+        self.there = np.zeros(1 << 21, bool)
+        self.there[(unmixed * _MULT) >> THERE] = True
         order = np.argsort(keys)
         self.keys, self.ids = keys[order], np.array(ids, np.int32)[order]
         if (self.keys[1:] == self.keys[:-1]).any():
@@ -110,11 +115,11 @@ class PieceCodec:
         self.clear()
 
     @staticmethod
-    def _key(chars: list[int]) -> np.uint64:
+    def _sum(chars: list[int]) -> int:
         h = 0
         for c in chars:
             h = (h * int(_MULT) + c + 1) & 0xFFFFFFFFFFFFFFFF
-        return mix64(np.array([(h + len(chars)) & 0xFFFFFFFFFFFFFFFF], np.uint64))[0]
+        return (h + len(chars)) & 0xFFFFFFFFFFFFFFFF
 
     def clear(self) -> None:
         self.hashes = np.empty(0, np.uint64)  # of known words, sorted
@@ -123,8 +128,8 @@ class PieceCodec:
         self.pieces = np.empty(0, np.int32)
 
     def forget_links(self) -> None:
-        self.pair_keys = np.empty(0, np.int64)  # sorted
-        self.pair_linked = np.empty(0, bool)
+        self.pairs = np.full(PAIRS, -1, np.int64)  # by place: the pair, and in the last bit whether it is linked
+        self.pair_shift = np.uint64(64 - PAIRS.bit_length() + 1)
         self.lone_pairs: dict[tuple[int, int], bool] = {}
 
     def viterbi(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -306,15 +311,16 @@ class PieceCodec:
         (a, border), (b, behind) = self.texts_of(left), self.texts_of(right)
         size = border + behind
         linked = np.zeros(len(left), bool)
-        for length in np.unique(size).tolist():
-            group = np.flatnonzero(size == length)
-            step = max(1, CELLS // length)
-            for i in range(0, len(group), step):
-                part = group[i:i + step, None]
-                place, first = np.arange(length), border[part]
-                chars = np.where(place < first, a[part, np.minimum(place, self.longest - 1)], b[part, np.clip(place - first, 0, self.longest - 1)])
-                after, first = self.merged(chars), first[:, 0]
-                linked[part[:, 0]] = (after[np.arange(len(part)), first] == length) & ((first == 0) | (after[:, 0] == first))
+        # shorter texts are filled up with 0, which no piece holds
+        length = int(size.max(initial=1))
+        step = max(1, CELLS // length)
+        for i in range(0, len(left), step):
+            first, total, place = border[i:i + step, None], size[i:i + step, None], np.arange(length)
+            part = np.arange(i, i + len(first))[:, None]
+            chars = np.where(place < first, a[part, np.minimum(place, self.longest - 1)], b[part, np.clip(place - first, 0, self.longest - 1)])
+            after = self.merged(np.where(place < total, chars, 0).astype(np.uint32))
+            first, total = first[:, 0], total[:, 0]
+            linked[i:i + step] = (after[np.arange(len(first)), first] == total) & ((first == 0) | (after[:, 0] == first))
         return linked
 
     def texts_of(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -327,21 +333,35 @@ class PieceCodec:
 
     def are_linked(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Which pairs of symbols stay as they are when they stand side by side."""
-        keys, inverse = np.unique((left.astype(np.int64) << 21) | right, return_inverse=True)
-        at = np.searchsorted(self.pair_keys, keys)
-        new = np.ones(len(keys), bool)
-        inside = at < len(self.pair_keys)
-        new[inside] = self.pair_keys[at[inside]] != keys[inside]
-        out = np.empty(len(keys), bool)
-        out[~new] = self.pair_linked[at[~new]]
-        if new.any():
-            fresh = keys[new]
-            linked = out[new] = self.decide(fresh >> 21, fresh & ((1 << 21) - 1))
-            if len(self.pair_keys) > PAIRS:
-                self.forget_links()
-            at = np.searchsorted(self.pair_keys, fresh)
-            self.pair_keys, self.pair_linked = np.insert(self.pair_keys, at, fresh), np.insert(self.pair_linked, at, linked)
-        return out[inverse]
+        keys = (left.astype(np.int64) << 21) | right
+        place = (mix64(keys.view(np.uint64)) >> self.pair_shift).astype(np.int64)
+        held = self.pairs[place]
+        out, new = (held & 1).astype(bool), np.flatnonzero(held >> 1 != keys)
+        if len(new):
+            fresh, first, inverse = np.unique(keys[new], return_index=True, return_inverse=True)
+            linked = self.decide(fresh >> 21, fresh & ((1 << 21) - 1))
+            out[new] = linked[inverse]
+            # a pair takes the place of another that was there
+            self.pairs[place[new[first]]] = fresh << 1 | linked
+        return out
+
+    def hits(self, recent: np.ndarray, chars: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(word, length, row of the piece table) of the pieces that end at ``end``; ``recent``: unmixed
+        hashes of the substrings that end there, by length."""
+        place = recent * _MULT
+        place >>= THERE
+        size, word = np.nonzero(self.there[place])
+        key = mix64(recent[size, word])
+        at = np.searchsorted(self.keys, key)
+        at[at == len(self.keys)] = 0
+        same = self.keys[at] == key
+        size, word, at = size[same] + 1, word[same], at[same]
+        # confirmed character by character, the last first
+        same = np.ones(len(word), bool)
+        for i in range(int(size.max(initial=0))):
+            inside = np.flatnonzero(size > i)
+            same[inside] &= self.chars[at[inside], size[inside] - 1 - i] == chars[word[inside], end - 1 - i]
+        return word[same], size[same], at[same]
 
     def linked(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """As ``viterbi``, by links."""
@@ -349,24 +369,20 @@ class PieceCodec:
         wide = chars.astype(np.uint64) + np.uint64(1)
         back = np.zeros((length + 1, n), np.int8 if self.longest < 128 else np.int32)  # length of the last piece
         last = np.full((length + 1, n), self.front, np.int32)  # its symbol
-        recent: list[np.ndarray] = []  # hashes of the substrings that end here, by length
+        lengths = np.arange(1, self.longest + 1, dtype=np.uint64)[:, None]
+        recent = np.zeros((self.longest, n), np.uint64)  # hashes of the substrings that end here, by length
         for end in range(1, length + 1):
-            newest = wide[:, end - 1]
-            recent = [newest.copy()] + [h * _MULT + newest for h in recent[: self.longest - 1]]
-            found = []
-            for size in range(1, len(recent) + 1):
-                key = mix64(recent[size - 1] + np.uint64(size))
-                at = np.searchsorted(self.keys, key)
-                at[at == len(self.keys)] = 0
-                hit = self.keys[at] == key
-                if hit.any():
-                    hit[hit] = (self.chars[at[hit], :size] == chars[hit, end - size:end]).all(axis=1)
-                if size == 1:
-                    found.append((np.arange(n), np.full(n, 1), np.where(hit, at, self.lone + chars[:, end - 1])))
-                else:
-                    hit = np.flatnonzero(hit)
-                    found.append((hit, np.full(len(hit), size), at[hit]))
-            word, size, symbol = (np.concatenate(c) for c in zip(*found, strict=True))
+            recent[1:] = recent[:-1] * _MULT
+            recent[0] = 0
+            recent += wide[:, end - 1]
+            have = min(end, self.longest)
+            word, size, symbol = self.hits(recent[:have] + lengths[:have], chars, end)
+            # a character without a piece stands for itself
+            alone = np.ones(n, bool)
+            alone[word[size == 1]] = False
+            alone = np.flatnonzero(alone)
+            word, size = np.concatenate([word, alone]), np.concatenate([size, np.ones(len(alone), np.int64)])
+            symbol = np.concatenate([symbol, self.lone + chars[alone, end - 1].astype(np.int64)])
             best = np.flatnonzero(self.are_linked(last[end - size, word], symbol))
             word = word[best]
             if (np.bincount(word, minlength=n) != 1).any():

@@ -71,7 +71,7 @@ def test_pieces_are_the_library_s(docs, rows, library, rule):
 
 
 def test_forgotten_links_change_nothing(rows, library, monkeypatch):
-    monkeypatch.setattr(piece_codec, "PAIRS", 50)
+    monkeypatch.setattr(piece_codec, "PAIRS", 64)
     texts = [r[1] for r in rows if r[1] and len(r[1]) < 3000][:60]
     ids, per_row = piece_codec.PieceCodec(model_path(), "links").encode(pa.array(texts, pa.string()))
     assert ids.tolist() == [i for t in texts for i in library.encode(t)]
