@@ -7,10 +7,19 @@ under both, and the share of byte-fallback tokens.  A document outside the band
 is rejected, and so is one that fails the base rules (under 50 words, or more than half of its words in repeated 3-word
 windows).
 
+A second band comes from the corpus: of each language (column ``lang``, where there is one) and
+script, the quartiles of each measure over all documents that pass the base rules.  A document
+is rejected where it lies more than ``FAR`` times the distance of the quartiles beyond the one next
+to it: characters per token of the byte-level vocabulary or entropy below, byte share above.
+The band of a text under ``TYPICAL_WORDS`` words is wider, as a mean over n words strays by
+1 / sqrt(n).  The quartiles come from a histogram with ``STEPS`` bins per unit, which is the same
+whatever the partitions; what the measures can be is bounded by the vocabularies, so is its size.
+
 Each distinct word is encoded once per task and its ids kept in a bounded table.
 
 Defined results: null and empty texts have no words, no tokens and fail the base rules; text
-without letters of a listed script uses the band ``other``; every input row gives one result row.
+without letters of a listed script uses the band ``other``; a null ``lang`` is a language of its own;
+every input row gives one result row, repeated or with a null id.
 """
 
 from __future__ import annotations
@@ -22,7 +31,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from chronoweave.session import materialized
 
 from .common import runs, table
 from .textstats import SYMBOLS, Words
@@ -32,6 +44,15 @@ MIN_WORDS = 50
 # tokens of distinct words remembered per task
 REMEMBERED_TOKENS = 8_000_000
 
+# a measure this many quartile distances beyond a quartile is far out; texts of fewer words may stray more
+FAR, TYPICAL_WORDS = 3.0, 256
+# bins per unit of a measure's histogram
+STEPS = 256
+# measure: which side is rejected, and the least distance of the quartiles (copies may make it 0)
+FENCED = {"chars_per_token_multi": ("below", 0.05), "byte_share": ("above", 0.02), "token_entropy": ("below", 0.25)}
+# languages and scripts up to which their limits are broadcast
+BROADCAST_GROUPS = 50_000
+
 SCRIPTS = ["other", "latin", "greek", "cyrillic", "hebrew", "arabic", "indic", "cjk", "hangul"]
 # script by the first byte of a UTF-8 character
 _SCRIPT = np.zeros(256, np.int64)
@@ -175,19 +196,52 @@ def measure(words: Words, tokens: WordTokens, multi: ByteWordTokens) -> dict[str
 
 COLUMNS = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, "
            "kept boolean, script string, n_tokens long, chars_per_token double, byte_share double, token_entropy double, "
-           "n_tokens_multi long, chars_per_token_multi double, token_entropy_multi double")
+           "n_tokens_multi long, chars_per_token_multi double, token_entropy_multi double, lang string")
+
+
+def limits(measured: DataFrame) -> DataFrame:
+    """(lang, script, quartile and quartile distance of each of ``FENCED``) of all rows that pass the base rules."""
+    bins = (measured.where("not base_failed")
+            .select("lang", "script", F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.floor(F.col(m) * STEPS).alias("bin")) for m in FENCED])).alias("x"))
+            .groupBy("lang", "script", "x.measure", "x.bin").agg(F.count("*").alias("n")))
+    group = ("lang", "script", "measure")
+    upto = F.sum("n").over(Window.partitionBy(*group).orderBy("bin"))
+    bins = bins.select(*group, "bin", upto.alias("upto"), F.sum("n").over(Window.partitionBy(*group)).alias("total"))
+    quartile = lambda q: F.min(F.when(F.col("upto") * 4 >= F.col("total") * q, F.col("bin"))) / STEPS
+    quartiles = bins.groupBy(*group).agg(quartile(1).alias("q1"), quartile(3).alias("q3"))
+    columns = []
+    for m, (side, least) in FENCED.items():
+        own = lambda c, m=m: F.max(F.when(F.col("measure") == m, c))
+        columns += [own(F.col("q1" if side == "below" else "q3")).alias(f"{m}_at"), own(F.greatest(F.col("q3") - F.col("q1"), F.lit(least))).alias(f"{m}_width")]
+    return quartiles.groupBy("lang", "script").agg(*columns)
+
+
+def judged(measured: DataFrame) -> DataFrame:
+    """``measured`` with ``outlier``, and ``kept`` without the outliers."""
+    bounds = materialized(limits(measured), "limits")
+    if bounds.count() <= BROADCAST_GROUPS:
+        bounds = F.broadcast(bounds)
+    bounds = bounds.withColumnsRenamed({"lang": "_lang", "script": "_script"})
+    stray = F.lit(FAR) * F.greatest(F.lit(1.0), F.sqrt(F.lit(TYPICAL_WORDS) / F.greatest("n_words", F.lit(1))))
+    outlier = F.lit(False)
+    for m, (side, _) in FENCED.items():
+        reach = stray * F.col(f"{m}_width")
+        outlier |= F.col(m) < F.col(f"{m}_at") - reach if side == "below" else F.col(m) > F.col(f"{m}_at") + reach
+    outlier = ~F.col("base_failed") & F.coalesce(outlier, F.lit(False))
+    rows = measured.join(bounds, F.col("lang").eqNullSafe(F.col("_lang")) & (F.col("script") == F.col("_script")), "left")
+    return rows.select(*[(F.col("kept") & ~outlier).alias("kept") if c == "kept" else F.col(c) for c in measured.columns if c != "lang"], outlier.alias("outlier"))
 
 
 def rules(docs: DataFrame, model: str | None = None, bands: dict[str, Band] | None = None, min_words: int = MIN_WORDS,
           multi_model: str | None = None) -> DataFrame:
-    """The measures and the verdict of every row of ``docs`` (doc_id, text)."""
+    """The measures and the verdict of every row of ``docs`` (doc_id, text, and lang where there is one)."""
     path, multi_path = model or model_path(), multi_model or model_path("byte_bpe_multi_50k.tiktoken")
-    limits = [(bands or BANDS)[s] for s in SCRIPTS]
+    own = [(bands or BANDS)[s] for s in SCRIPTS]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = multi = None
         least, most, byte_share, entropy, least_multi, entropy_multi = (
-            np.array([getattr(b, f) for b in limits]) for f in ("least", "most", "byte_share", "entropy", "least_multi", "entropy_multi"))
+            np.array([getattr(b, f) for b in own]) for f in ("least", "most", "byte_share", "entropy", "least_multi", "entropy_multi"))
         for run in runs(batches):
             tokens = tokens or WordTokens(path)
             multi = multi or ByteWordTokens(multi_path)
@@ -200,10 +254,13 @@ def rules(docs: DataFrame, model: str | None = None, bands: dict[str, Band] | No
             cols = {"doc_id": run.column("doc_id"), **{k: pa.array(m[k]) for k in list(m)[:5]}, "base_failed": pa.array(failed),
                     "kept": pa.array(~failed & inside), "script": pa.array([SCRIPTS[i] for i in s.tolist()], pa.string()),
                     **{k: pa.array(m[k]) for k in ("n_tokens", "chars_per_token", "byte_share", "token_entropy",
-                                                     "n_tokens_multi", "chars_per_token_multi", "token_entropy_multi")}}
+                                                     "n_tokens_multi", "chars_per_token_multi", "token_entropy_multi")},
+                    "lang": run.column("lang")}
             yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
 
-    return docs.select("doc_id", "text").mapInArrow(work, "doc_id long, " + COLUMNS)
+    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+    measured = docs.select("doc_id", "text", lang.alias("lang")).mapInArrow(work, "doc_id long, " + COLUMNS)
+    return judged(materialized(measured, "fertility"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -68,6 +68,58 @@ def test_bands_part_noise_from_each_language(spark, docs):
     assert {r.lang for r in sound} == {"en", "fr", "de", "es"} and all(r.kept for r in sound)
 
 
+def fences_by_hand(rows):
+    """Limits of each (lang, script) from the sorted values of the documents that pass the base rules."""
+    groups, out = {}, {}
+    for r in rows:
+        if not r["base_failed"]:
+            groups.setdefault((r["lang"], r["script"]), []).append(r)
+    for key, own in groups.items():
+        for m, (_, least) in fertility.FENCED.items():
+            v = sorted(math.floor(r[m] * fertility.STEPS) for r in own)
+            q1, q3 = (v[math.ceil(len(v) * q / 4) - 1] / fertility.STEPS for q in (1, 3))
+            out[key, m] = q1, q3, max(q3 - q1, least)
+    return out
+
+
+def far_out_by_hand(r, fences):
+    if r["base_failed"]:
+        return False
+    stray, key = fertility.FAR * max(1, math.sqrt(fertility.TYPICAL_WORDS / r["n_words"])), (r["lang"], r["script"])
+    (c, _, cw), (_, b, bw), (e, _, ew) = (fences[key, m] for m in ("chars_per_token_multi", "byte_share", "token_entropy"))
+    return r["chars_per_token_multi"] < c - stray * cw or r["byte_share"] > b + stray * bw or r["token_entropy"] < e - stray * ew
+
+
+def fixed_band_by_hand(r):
+    b = fertility.BANDS[r["script"]]
+    return ((r["chars_per_token"] >= b.least or r["chars_per_token_multi"] >= b.least_multi) and r["chars_per_token"] <= b.most
+            and r["byte_share"] <= b.byte_share and r["token_entropy"] >= b.entropy and r["token_entropy_multi"] >= b.entropy_multi)
+
+
+def test_verdict_like_brute_force(spark):
+    lang = dict(table(spark, SF, "documents").select("doc_id", "lang").collect())
+    rows = [r.asDict() | {"lang": lang[r.doc_id]} for r in fertility.query(spark, SF).collect()]
+    fences = fences_by_hand(rows)
+    for r in rows:
+        assert r["outlier"] == far_out_by_hand(r, fences), r
+        assert r["kept"] == (not r["base_failed"] and fixed_band_by_hand(r) and not r["outlier"]), r
+    quality = dict(table(spark, SF, "labels").select("doc_id", "quality").collect())
+    passed = [(quality.get(r["doc_id"]), r["kept"]) for r in rows if not r["base_failed"]]
+    assert sum(q == 0 and not k for q, k in passed) > 0.5 * sum(q == 0 for q, _ in passed)
+    assert sum(q == 1 and not k for q, k in passed) < 0.005 * sum(q == 1 for q, _ in passed)
+
+
+def test_verdict_of_hot_copies_nulls_and_few(spark, docs):
+    """A third of the rows are one text, in a language of few others: copies make the quartiles equal
+    and the others stay; one text alone is never far out; a null lang is a language."""
+    good = [r.text for r in table(spark, SF, "documents").join(table(spark, SF, "labels").where("quality = 1"), "doc_id")
+            .where("lang = 'en'").select("text").orderBy("doc_id").limit(40).collect()]
+    rows = [(i, good[0], "xx") for i in range(40)] + [(100 + i, t, "xx") for i, t in enumerate(good)] + [(200, good[1], "alone"), (None, good[2], None)] * 2
+    got = fertility.rules(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)).collect()
+    assert len(got) == len(rows) and not any(r.outlier for r in got)
+    assert all(r.kept for r in got if not r.base_failed)
+
+
 def test_rules_on_empty(no_docs):
     assert fertility.rules(no_docs).collect() == []
 
